@@ -1,0 +1 @@
+"""Incremental loading with Structured Streaming (see ``clientele.streaming.ingest``)."""
