@@ -137,3 +137,82 @@ def with_ctes(*groups: dict[str, str], final: str) -> str:
 def base(final: str, *extra: dict[str, str]) -> str:
     """Star mapping + customer view + scoring, then ``final``."""
     return with_ctes(STAR, VIEW, SCORED, *extra, final=final)
+
+
+def round2(expr: str) -> str:
+    return f"round_even(({expr}) * 100, 0) / 100"
+
+
+def ratio(num: str, den: str) -> str:
+    return f"CAST({num} AS DOUBLE) / CAST(NULLIF({den}, 0) AS DOUBLE)"
+
+
+def exact_mean(col: str) -> str:
+    return ratio(f"sum(CAST({col} AS DECIMAL(18,2)))", f"count({col})")
+
+
+COHORT = {
+    "cohort_facts": """
+        SELECT CustomerKey, max(TransactionDate) AS LastPurchaseDate, count(*) AS lines,
+               sum(CASE WHEN ReturnFlag = 'N' THEN NetSalesAmount ELSE 0 END) AS spend
+        FROM fact_sales GROUP BY CustomerKey""",
+    "cohort_base": """
+        SELECT c.CustomerKey, c.CustomerID, c.RegistrationDate,
+               CAST(year(c.RegistrationDate) AS INTEGER) AS CohortYear,
+               CAST(quarter(c.RegistrationDate) AS INTEGER) AS CohortQuarter,
+               strftime(c.RegistrationDate, '%Y-%m') AS CohortMonth,
+               f.LastPurchaseDate, COALESCE(f.lines, 0) AS TransactionCount,
+               CASE WHEN f.lines IS NULL THEN 0 ELSE f.spend END AS TotalSpend,
+               CAST((year(f.LastPurchaseDate) - year(c.RegistrationDate)) * 12
+                    + month(f.LastPurchaseDate) - month(c.RegistrationDate) AS INTEGER) AS MonthsSinceCohort
+        FROM dim_customer c LEFT JOIN cohort_facts f ON c.CustomerKey = f.CustomerKey
+        WHERE c.IsCurrentRecord""",
+    "cohort_cells": """
+        SELECT CohortMonth AS Cohort, MonthsSinceCohort, count(*) AS Customers
+        FROM cohort_base WHERE MonthsSinceCohort IS NOT NULL GROUP BY CohortMonth, MonthsSinceCohort""",
+}
+
+
+def cohort(final: str, *extra: dict[str, str]) -> str:
+    return with_ctes(STAR, COHORT, *extra, final=final)
+
+
+BASKET = {
+    "bitems": """
+        SELECT f.OrderNumber, p.ProductName, p.Category
+        FROM fact_sales f JOIN dim_product p ON f.ProductKey = p.ProductKey
+        WHERE f.ReturnFlag = 'N'""",
+    "bsk": """
+        SELECT OrderNumber, list_sort(list(DISTINCT ProductName)) AS items
+        FROM bitems GROUP BY OrderNumber""",
+    "nb": "SELECT count(*) AS n FROM bsk",
+    "subsets": """
+        SELECT list_filter(items, lambda x, i: ((m >> (i - 1)) & 1) = 1) AS itemset
+        FROM (SELECT items, unnest(range(1, (1 << len(items)))) AS m FROM bsk)""",
+    "itemset_counts": "SELECT itemset, count(*) AS cnt FROM subsets GROUP BY itemset",
+    "itemsets": """
+        SELECT itemset, CAST(len(itemset) AS INTEGER) AS Length, cnt AS Count,
+               CAST(cnt AS DOUBLE) / CAST(n AS DOUBLE) AS support
+        FROM itemset_counts, nb
+        WHERE CAST(cnt AS DOUBLE) / CAST(n AS DOUBLE) >= CAST(0.001 AS DOUBLE)""",
+    "splits": """
+        SELECT list_filter(itemset, lambda x, i: ((m >> (i - 1)) & 1) = 1) AS a,
+               list_filter(itemset, lambda x, i: ((m >> (i - 1)) & 1) = 0) AS c, s
+        FROM (SELECT itemset, support AS s, unnest(range(1, (1 << len(itemset)) - 1)) AS m
+              FROM itemsets WHERE len(itemset) >= 2)""",
+    "rule_supports": """
+        SELECT sp.a, sp.c, ia.support AS sA, ic.support AS sC, sp.s
+        FROM splits sp JOIN itemsets ia ON ia.itemset = sp.a JOIN itemsets ic ON ic.itemset = sp.c""",
+    "rules": """
+        SELECT array_to_string(a, ', ') AS antecedents, array_to_string(c, ', ') AS consequents,
+               sA AS antecedent_support, sC AS consequent_support, s AS support,
+               s / sA AS confidence, (s / sA) / sC AS lift, s - sA * sC AS leverage,
+               CASE WHEN s / sA < 1 THEN (1 - sC) / (1 - s / sA) ELSE CAST('inf' AS DOUBLE) END AS conviction,
+               CASE WHEN greatest(s * (1 - sA), sA * (sC - s)) = 0 THEN CAST(0 AS DOUBLE)
+                    ELSE (s - sA * sC) / greatest(s * (1 - sA), sA * (sC - s)) END AS zhangs_metric
+        FROM rule_supports WHERE s / sA >= CAST(0.01 AS DOUBLE)""",
+}
+
+
+def basket(final: str) -> str:
+    return with_ctes(STAR, BASKET, final=final)

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from clientele.operators import basket as B
+from clientele.operators import cohort as C
+from clientele.operators import reports as R
 from clientele.operators.clv import clv
 from clientele.operators.customer_view import customer_extract, customer_single_view
 from clientele.operators.ranking import global_row_number
@@ -46,9 +49,24 @@ def view(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 TESTDATA_AS_OF)
 
 
+_SCORED: dict[tuple[str, str], DataFrame] = {}
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Extract -> RFM -> CLV, the enriched per-customer frame of the pipeline."""
-    return clv(rfm(customer_extract(view(spark, sf_dir))))
+    """Extract -> RFM -> CLV, the enriched per-customer frame of the pipeline.
+
+    Like the source's results table, it is computed once per session and data folder
+    and then read back: the last ranking step already wrote it to the reliable
+    checkpoint folder, so every report below starts from that materialised table.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SCORED:
+        _SCORED[key] = clv(rfm(customer_extract(view(spark, sf_dir))))
+    return _SCORED[key]
+
+
+def clear_cache() -> None:
+    _SCORED.clear()
 
 
 VIEW_COLUMNS = ("CustomerKey, CustomerID, CustomerName, Email, Phone, RegistrationDate, RecencyDays, "
@@ -125,6 +143,292 @@ def q_rfm_results(spark, sf_dir):
     return report_types(present_columns(scored(spark, sf_dir), RESULT_COLUMNS))
 
 
+# ---------------------------------------------------------------- reports
+
+def seg(spark, sf_dir):
+    return R.segment_summary(scored(spark, sf_dir))
+
+
+SEGMENT_SQL = f"""
+    SELECT Segment, count(CustomerID) AS Customers, {O.exact_mean('RFM_Score')} AS Avg_RFM_Score,
+           CAST(sum(TotalSpend) AS DOUBLE) AS Total_Spend, {O.exact_mean('CLV_Predicted')} AS Avg_CLV
+    FROM results GROUP BY Segment"""
+
+
+@register("segment_summary", O.base(SEGMENT_SQL))
+def q_segment_summary(spark, sf_dir):
+    return seg(spark, sf_dir)
+
+
+@register("segment_share", O.base(f"""
+    SELECT Segment, count(*) AS Customers, {O.ratio('sum(TotalSpend)', 'count(TotalSpend)')} AS AvgSpend,
+           {O.ratio('count(*)', '(SELECT count(*) FROM results)')} * CAST(100 AS DOUBLE) AS Percent
+    FROM results GROUP BY Segment"""))
+def q_segment_share(spark, sf_dir):
+    return R.segment_share(scored(spark, sf_dir))
+
+
+@register("score_distribution", O.base("""
+    SELECT 'R' AS Dimension, R_Score AS Score, count(*) AS Customers FROM results GROUP BY R_Score
+    UNION ALL SELECT 'F', F_Score, count(*) FROM results GROUP BY F_Score
+    UNION ALL SELECT 'M', M_Score, count(*) FROM results GROUP BY M_Score"""))
+def q_score_distribution(spark, sf_dir):
+    return R.score_distribution(scored(spark, sf_dir))
+
+
+@register("rfm_stats", O.base(f"""
+    SELECT {O.exact_mean('RFM_Score')} AS MeanRFM, min(RFM_Score) AS MinRFM, max(RFM_Score) AS MaxRFM
+    FROM results"""))
+def q_rfm_stats(spark, sf_dir):
+    return R.rfm_stats(scored(spark, sf_dir))
+
+
+@register("clv_stats", O.base(f"""
+    SELECT {O.exact_mean('CLV_Predicted')} AS MeanCLV,
+           (SELECT (min(v) + max(v)) / CAST(2 AS DOUBLE) FROM (
+               SELECT CLV_Predicted AS v,
+                      row_number() OVER (ORDER BY CLV_Predicted, CustomerKey) AS pos,
+                      count(*) OVER () AS cnt
+               FROM results WHERE CLV_Predicted IS NOT NULL)
+            WHERE pos = floor((cnt + 1) / 2) OR pos = ceil((cnt + 1) / 2)) AS MedianCLV,
+           max(CLV_Predicted) AS MaxCLV
+    FROM results"""))
+def q_clv_stats(spark, sf_dir):
+    return R.clv_stats(scored(spark, sf_dir))
+
+
+@register("kpi_summary", O.base(f"""
+    SELECT count(*) AS TotalCustomers, CAST(sum(TotalSpend) AS DOUBLE) AS TotalRevenue,
+           {O.exact_mean('CLV_Predicted')} AS AvgCLV, {O.exact_mean('RFM_Score')} AS AvgRFM,
+           {O.ratio("count(*) FILTER (WHERE Segment IN ('Champions', 'Loyal Customers'))", 'count(*)')}
+               * CAST(100 AS DOUBLE) AS ChampionsLoyalPct
+    FROM results"""))
+def q_kpi_summary(spark, sf_dir):
+    return R.kpi_summary(scored(spark, sf_dir))
+
+
+@register("chart_segment_share", O.base(f"""
+    SELECT Segment, count(*) AS Customers,
+           {O.ratio('count(*)', '(SELECT count(*) FROM results)')} * CAST(100 AS DOUBLE) AS Percent
+    FROM results GROUP BY Segment"""))
+def q_chart_segment_share(spark, sf_dir):
+    return R.chart_segment_share(scored(spark, sf_dir))
+
+
+@register("chart_segment_rfm", O.base(
+    f"SELECT Segment, {O.round2('Avg_RFM_Score')} AS Avg_RFM_Score FROM seg",
+    {"seg": SEGMENT_SQL}))
+def q_chart_segment_rfm(spark, sf_dir):
+    return R.chart_segment_rfm(seg(spark, sf_dir))
+
+
+@register("chart_segment_clv", O.base(
+    "SELECT Segment, round_even(Avg_CLV, 0) AS Avg_CLV FROM seg", {"seg": SEGMENT_SQL}))
+def q_chart_segment_clv(spark, sf_dir):
+    return R.chart_segment_clv(seg(spark, sf_dir))
+
+
+@register("chart_rm_grid", O.base(
+    "SELECT R_Score, M_Score, Segment, count(*) AS Customers FROM results GROUP BY R_Score, M_Score, Segment"))
+def q_chart_rm_grid(spark, sf_dir):
+    return R.chart_rm_grid(scored(spark, sf_dir))
+
+
+@register("chart_revenue_tree", O.base(
+    "SELECT Segment, Total_Spend, Avg_RFM_Score FROM seg", {"seg": SEGMENT_SQL}))
+def q_chart_revenue_tree(spark, sf_dir):
+    return R.chart_revenue_tree(seg(spark, sf_dir))
+
+
+@register("top100_customers", O.base("""
+    SELECT * FROM (
+        SELECT row_number() OVER (ORDER BY RFM_Score DESC, TotalSpend DESC, CustomerKey) AS Rank,
+               CustomerKey, CustomerName, Segment, R_Score, F_Score, M_Score, RFM_Score,
+               CAST(TotalSpend AS DOUBLE) AS TotalSpend, CLV_Predicted
+        FROM results) WHERE Rank <= 100"""))
+def q_top100_customers(spark, sf_dir):
+    return R.top_customers(scored(spark, sf_dir), 100)
+
+
+def _churn_sql(source: str) -> str:
+    return f"""
+    SELECT * FROM (
+        SELECT row_number() OVER (ORDER BY TotalSpend DESC, CustomerKey) AS Rank,
+               CustomerKey, CustomerName, Segment, RFM_Score, CAST(TotalSpend AS DOUBLE) AS TotalSpend,
+               CLV_Predicted
+        FROM {source}
+        WHERE Segment IN ('At Risk', 'Hibernating')
+           OR ((SELECT count(*) FROM {source} WHERE Segment IN ('At Risk', 'Hibernating')) = 0
+               AND RFM_Score < CAST(2.5 AS DOUBLE)))
+    WHERE Rank <= 10"""
+
+
+@register("churn_risk_top10", O.base(_churn_sql("results")))
+def q_churn_risk_top10(spark, sf_dir):
+    return R.churn_risk(scored(spark, sf_dir), 10)
+
+
+@register("churn_risk_fallback", O.base(
+    _churn_sql("others"),
+    {"others": "SELECT * FROM results WHERE Segment NOT IN ('At Risk', 'Hibernating')"}))
+def q_churn_risk_fallback(spark, sf_dir):
+    """The same report on customers outside the churn segments: exercises the fallback."""
+    others = scored(spark, sf_dir).where(~F.col("Segment").isin("At Risk", "Hibernating"))
+    return R.churn_risk(others, 10)
+
+
+@register("report_rfm_scores", O.base("""
+    SELECT CustomerID, CustomerName, R_Score, F_Score, M_Score, RFM_Score, Segment, RecencyDays,
+           TransactionCount, CAST(TotalSpend AS DOUBLE) AS TotalSpend FROM results"""))
+def q_report_rfm_scores(spark, sf_dir):
+    return report_types(R.report_rfm_scores(scored(spark, sf_dir)))
+
+
+@register("report_clv", O.base(
+    "SELECT CustomerID, CustomerName, Segment, AvgOrderValue, CLV_Predicted FROM results"))
+def q_report_clv(spark, sf_dir):
+    return R.report_clv(scored(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- cohorts
+
+def cohort_base_df(spark, sf_dir):
+    star = load_star(spark, sf_dir)
+    return C.cohort_base(star.customer, star.sales(with_region=False))
+
+
+@register("cohort_base", O.cohort("""
+    SELECT CustomerKey, CustomerID, RegistrationDate, CohortYear, CohortQuarter, CohortMonth,
+           LastPurchaseDate, TransactionCount, CAST(TotalSpend AS DOUBLE) AS TotalSpend, MonthsSinceCohort
+    FROM cohort_base"""))
+def q_cohort_base(spark, sf_dir):
+    return report_types(cohort_base_df(spark, sf_dir))
+
+
+@register("cohort_summary", O.cohort(f"""
+    SELECT CohortMonth AS Cohort, count(CustomerKey) AS CohortSize,
+           {O.round2('CAST(sum(TotalSpend) AS DOUBLE)')} AS TotalRevenue,
+           {O.round2(O.ratio('sum(TotalSpend)', 'count(TotalSpend)'))} AS AvgSpend,
+           {O.round2(O.ratio('sum(TransactionCount)', 'count(TransactionCount)'))} AS AvgTransactions
+    FROM cohort_base GROUP BY CohortMonth"""))
+def q_cohort_summary(spark, sf_dir):
+    return C.cohort_summary(cohort_base_df(spark, sf_dir))
+
+
+@register("cohort_retention", O.cohort(f"""
+    SELECT Cohort, MonthsSinceCohort, Customers, Denominator,
+           {O.ratio('Customers', 'Denominator')} * CAST(100 AS DOUBLE) AS RetentionPct
+    FROM (SELECT c.*, COALESCE(max(CASE WHEN c.MonthsSinceCohort =
+                     (SELECT min(MonthsSinceCohort) FROM cohort_cells) THEN c.Customers END)
+                  OVER (PARTITION BY c.Cohort), 0) AS Denominator
+          FROM cohort_cells c)"""))
+def q_cohort_retention(spark, sf_dir):
+    return C.cohort_retention(cohort_base_df(spark, sf_dir), "first_offset")
+
+
+@register("cohort_retention_by_size", O.cohort(f"""
+    SELECT c.Cohort, c.MonthsSinceCohort, c.Customers, s.Denominator,
+           {O.ratio('c.Customers', 's.Denominator')} * CAST(100 AS DOUBLE) AS RetentionPct
+    FROM cohort_cells c
+    JOIN (SELECT CohortMonth AS Cohort, count(CustomerKey) AS Denominator FROM cohort_base
+          GROUP BY CohortMonth) s ON c.Cohort = s.Cohort"""))
+def q_cohort_retention_by_size(spark, sf_dir):
+    return C.cohort_retention(cohort_base_df(spark, sf_dir), "cohort_size")
+
+
+@register("cohort_spending", O.cohort(f"""
+    SELECT CohortMonth AS Cohort, MonthsSinceCohort,
+           {O.ratio('sum(TotalSpend)', 'count(TotalSpend)')} AS AvgSpend
+    FROM cohort_base WHERE MonthsSinceCohort IS NOT NULL GROUP BY CohortMonth, MonthsSinceCohort"""))
+def q_cohort_spending(spark, sf_dir):
+    return C.cohort_spending(cohort_base_df(spark, sf_dir))
+
+
+@register("cohort_top_revenue", O.cohort("""
+    SELECT * FROM (
+        SELECT Cohort, TotalRevenue, row_number() OVER (ORDER BY TotalRevenue DESC, Cohort) AS Rank
+        FROM (SELECT CohortMonth AS Cohort, CAST(sum(TotalSpend) AS DOUBLE) AS TotalRevenue
+              FROM cohort_base GROUP BY CohortMonth))
+    WHERE Rank <= 5"""))
+def q_cohort_top_revenue(spark, sf_dir):
+    return C.cohort_top_revenue(cohort_base_df(spark, sf_dir), 5)
+
+
+@register("cohort_active_rate", O.cohort(f"""
+    SELECT * FROM (
+        SELECT Cohort, ActiveRate, row_number() OVER (ORDER BY ActiveRate DESC, Cohort) AS Rank
+        FROM (SELECT CohortMonth AS Cohort,
+                     {O.ratio('count(*) FILTER (WHERE TransactionCount > 0)', 'count(*)')}
+                         * CAST(100 AS DOUBLE) AS ActiveRate
+              FROM cohort_base GROUP BY CohortMonth))
+    WHERE Rank <= 5"""))
+def q_cohort_active_rate(spark, sf_dir):
+    return C.cohort_active_rate(cohort_base_df(spark, sf_dir), 5)
+
+
+@register("cohort_retention_wide", None)
+def q_cohort_retention_wide(spark, sf_dir):
+    return C.retention_wide(cohort_base_df(spark, sf_dir))
+
+
+@register("cohort_spending_wide", None)
+def q_cohort_spending_wide(spark, sf_dir):
+    return C.to_wide(C.cohort_spending(cohort_base_df(spark, sf_dir)), "AvgSpend")
+
+
+# ---------------------------------------------------------------- market basket
+
+def items_df(spark, sf_dir):
+    star = load_star(spark, sf_dir)
+    return B.basket_items(star.sales(with_region=False), star.product)
+
+
+@register("basket_items", O.basket("SELECT OrderNumber, ProductName, Category FROM bitems"))
+def q_basket_items(spark, sf_dir):
+    return items_df(spark, sf_dir)
+
+
+@register("baskets", O.basket("""
+    SELECT OrderNumber, array_to_string(items, ', ') AS Items, CAST(len(items) AS INTEGER) AS ItemCount
+    FROM bsk"""))
+def q_baskets(spark, sf_dir):
+    b = B.baskets(items_df(spark, sf_dir))
+    return b.select("OrderNumber", F.array_join("items", ", ").alias("Items"),
+                    F.size("items").alias("ItemCount"))
+
+
+@register("basket_stats", O.basket("""
+    SELECT count(*) AS Lines, count(DISTINCT OrderNumber) AS Orders,
+           CAST(count(*) AS DOUBLE) / CAST(count(DISTINCT OrderNumber) AS DOUBLE) AS AvgLinesPerOrder,
+           count(DISTINCT ProductName) AS DistinctItems
+    FROM bitems"""))
+def q_basket_stats(spark, sf_dir):
+    return B.basket_stats(items_df(spark, sf_dir))
+
+
+def itemsets_df(spark, sf_dir):
+    return B.frequent_itemsets(B.baskets(items_df(spark, sf_dir)), B.MIN_SUPPORT)
+
+
+@register("frequent_itemsets", O.basket("""
+    SELECT array_to_string(itemset, ', ') AS Itemset, Length, Count, support FROM itemsets"""))
+def q_frequent_itemsets(spark, sf_dir):
+    fi = itemsets_df(spark, sf_dir)
+    return fi.select(F.array_join("items", ", ").alias("Itemset"), "Length", "Count", "support")
+
+
+@register("basket_rules", O.basket("SELECT * FROM rules"))
+def q_basket_rules(spark, sf_dir):
+    return B.rules_as_text(B.association_rules(itemsets_df(spark, sf_dir), B.MIN_CONFIDENCE))
+
+
+@register("basket_top_rules", O.basket("""
+    SELECT * FROM (SELECT *, row_number() OVER (ORDER BY lift DESC, antecedents, consequents) AS Rank
+                   FROM rules) WHERE Rank <= 10"""))
+def q_basket_top_rules(spark, sf_dir):
+    return B.top_rules(B.association_rules(itemsets_df(spark, sf_dir), B.MIN_CONFIDENCE), 10)
+
+
 def queries() -> dict[str, QueryFn]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 

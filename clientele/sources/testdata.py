@@ -24,6 +24,7 @@ from pyspark.sql.types import DecimalType
 
 from clientele.functions.dates import date_key
 from clientele.functions.numeric import MONEY
+from clientele.sources.schemas import TESTDATA
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -33,7 +34,10 @@ TESTDATA_AS_OF = _dt.date(2001, 8, 2)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TESTDATA:
+        reader = reader.schema(TESTDATA[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def dim_customer(customer: DataFrame, orders: DataFrame,
@@ -87,7 +91,10 @@ def fact_sales(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame | Non
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                          "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    f = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    # Both sides grow with the data: co-partition them on the order key (sort-merge,
+    # spills, AQE splits a skewed order) instead of letting the planner broadcast
+    # whichever side happens to be small in a test.
+    f = li.join(o.hint("merge"), li["l_orderkey"] == o["o_orderkey"])
     region_key = F.lit(None).cast("int")
     if supplier is not None:
         s = supplier.select("s_suppkey", "s_nationkey")
