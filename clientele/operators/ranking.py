@@ -5,13 +5,19 @@ task. Instead:
 
 1. range-partition the rows on the full sort order (Spark samples the keys and cuts
    the key space into P contiguous ranges; a heavy tie on the first sort column is
-   split by the later columns, so no range holds a hot group) and sort each range;
-2. write that result to the reliable checkpoint folder, so every later job reads the
-   very same P partitions in the very same order, also after an executor is lost;
+   split by the later columns, so no range holds a hot group), sort each range and
+   tag every row with its partition and position (``monotonically_increasing_id``:
+   partition in the high bits, position in the low 33 bits);
+2. persist that, so the two consumers below read one and the same RDD. This is safe
+   under executor loss: lost blocks are recomputed through the same shuffle
+   dependency, whose range bounds are fixed once computed, and the total-order sort
+   gives back the same rows in the same order. ``materialize=True`` writes to the
+   reliable checkpoint folder instead (cuts the lineage, costs two extra jobs);
 3. count rows per partition (P rows), turn the counts into offsets with a running
    sum over those P rows, and broadcast them (size bounded by P);
-4. row number = offset of the partition + position inside the partition, read from
-   ``monotonically_increasing_id`` (its low 33 bits are the position).
+4. row number = offset of the partition + position inside the partition.
+
+Nothing runs until the result is used.
 
 The order must be total (end it with a unique key); ties would otherwise be broken by
 whatever order the ranges are read in.
@@ -21,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,12 +42,14 @@ def default_partitions(df: DataFrame) -> int:
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], rank_col: str = "row_number",
-                      count_col: str | None = None, partitions: int | None = None) -> DataFrame:
+                      count_col: str | None = None, partitions: int | None = None,
+                      materialize: bool = False) -> DataFrame:
     """Add ``rank_col`` = 1..n in the given total order; optionally ``count_col`` = n."""
     p = partitions or default_partitions(df)
-    ranged = cut_lineage(df.repartitionByRange(p, *order).sortWithinPartitions(*order))
+    ranged = df.repartitionByRange(p, *order).sortWithinPartitions(*order)
     located = ranged.select("*", F.spark_partition_id().alias(_PID),
                             F.monotonically_increasing_id().alias(_MID))
+    located = cut_lineage(located) if materialize else located.persist(StorageLevel.MEMORY_AND_DISK)
     sizes = located.groupBy(_PID).agg(F.count(F.lit(1)).alias("_rank_size"))
     running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = sizes.select(

@@ -216,3 +216,108 @@ BASKET = {
 
 def basket(final: str) -> str:
     return with_ctes(STAR, BASKET, final=final)
+
+
+INGEST = {
+    "raw": """
+        SELECT CAST(l.l_orderkey AS VARCHAR) AS tid, strftime(o.o_orderdate, '%Y-%m-%d') AS dt,
+               CAST(o.o_custkey AS VARCHAR) AS cid, p.p_type AS cat,
+               CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) AS qty,
+               l.l_extendedprice / l.l_quantity AS price,
+               CAST(round(CAST(l.l_extendedprice AS DECIMAL(15,2))
+                          * (1 - CAST(l.l_discount AS DECIMAL(4,2))), 2) AS DOUBLE) AS total
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+        JOIN part p ON l.l_partkey = p.p_partkey""",
+    "tx": """
+        SELECT 'ORD_' || tid AS OrderID, strptime(dt, '%Y-%m-%d') AS OrderDate,
+               'CUST_' || cid AS CustomerID, cat AS Category,
+               TRY_CAST(qty AS INTEGER) AS Quantity, price AS UnitPrice, total AS NetSalesAmount,
+               'PROD_' || replace(upper(cat), ' ', '_') AS ProductID, cat || ' Item' AS ProductName,
+               'CUST_' || cid AS CustomerName, lower('CUST_' || cid) || '@example.com' AS Email,
+               'Unknown' AS Region, TRY_CAST(qty AS INTEGER) * price AS SalesAmount
+        FROM raw""",
+    "tx1": "SELECT * FROM tx WHERE OrderDate < TIMESTAMP '1998-01-01'",
+    "tx2": "SELECT * FROM tx WHERE NOT (OrderDate < TIMESTAMP '1998-01-01') OR OrderDate IS NULL",
+    "p1": """
+        SELECT row_number() OVER (ORDER BY ProductID) AS ProductKey, ProductID, ProductName, Category
+        FROM (SELECT ProductID, ProductName, Category,
+                     row_number() OVER (PARTITION BY ProductID ORDER BY ProductName, Category) AS rn
+              FROM tx1) WHERE rn = 1""",
+    "p2": """
+        SELECT (SELECT COALESCE(max(ProductKey), 0) FROM p1)
+                 + row_number() OVER (ORDER BY ProductID) AS ProductKey, ProductID, ProductName, Category
+        FROM (SELECT ProductID, ProductName, Category,
+                     row_number() OVER (PARTITION BY ProductID ORDER BY ProductName, Category) AS rn
+              FROM tx2 WHERE ProductID NOT IN (SELECT ProductID FROM p1)) WHERE rn = 1""",
+    "products": "SELECT * FROM p1 UNION ALL SELECT * FROM p2",
+    "c1": """
+        SELECT row_number() OVER (ORDER BY CustomerID) AS CustomerKey, CustomerID, CustomerName, Email
+        FROM (SELECT DISTINCT CustomerID, CustomerName, Email FROM tx1)""",
+    "c2": """
+        SELECT (SELECT COALESCE(max(CustomerKey), 0) FROM c1)
+                 + row_number() OVER (ORDER BY CustomerID) AS CustomerKey, CustomerID, CustomerName, Email
+        FROM (SELECT DISTINCT CustomerID, CustomerName, Email FROM tx2
+              WHERE CustomerID NOT IN (SELECT CustomerID FROM c1))""",
+    "customers": "SELECT * FROM c1 UNION ALL SELECT * FROM c2",
+    "cal": """
+        SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS DateKey
+        FROM (SELECT unnest(generate_series(CAST(date_trunc('year', min(OrderDate)) AS DATE),
+                                            make_date(year(max(OrderDate)), 12, 31),
+                                            INTERVAL 1 DAY)) AS d FROM tx)""",
+}
+
+
+def _classified(batch: str, customers: str, products: str) -> str:
+    return f"""
+        SELECT t.*, c.CustomerKey, p.ProductKey, 1 AS RegionKey,
+               CAST(strftime(t.OrderDate, '%Y%m%d') AS INTEGER) AS DateKey,
+               CASE WHEN t.OrderDate IS NULL THEN 'bad_date'
+                    WHEN t.Quantity IS NULL THEN 'bad_quantity'
+                    WHEN t.UnitPrice IS NULL THEN 'bad_price'
+                    WHEN c.CustomerKey IS NULL THEN 'unknown_customer'
+                    WHEN p.ProductKey IS NULL THEN 'unknown_product'
+                    WHEN CAST(strftime(t.OrderDate, '%Y%m%d') AS INTEGER) NOT IN (SELECT DateKey FROM cal)
+                         THEN 'date_not_in_calendar'
+                    WHEN t.Quantity <= 0 THEN 'quantity_not_positive' END AS RejectReason
+        FROM {batch} t LEFT JOIN {customers} c ON t.CustomerID = c.CustomerID
+        LEFT JOIN {products} p ON t.ProductID = p.ProductID"""
+
+
+_FACT_COLS = ("CustomerKey, ProductKey, DateKey, RegionKey, OrderID AS OrderNumber, "
+              "OrderDate AS TransactionDate, Quantity, "
+              "CAST(CAST(CAST(UnitPrice AS VARCHAR) AS DECIMAL(10,2)) AS DOUBLE) AS UnitPrice, "
+              "CAST(CAST(CAST(SalesAmount AS VARCHAR) AS DECIMAL(15,2)) AS DOUBLE) AS SalesAmount, "
+              "CAST(CAST(CAST(NetSalesAmount AS VARCHAR) AS DECIMAL(15,2)) AS DOUBLE) AS NetSalesAmount")
+# DuckDB's DOUBLE -> DECIMAL cast scales in floating point; rounding the shortest decimal
+# text (what the source writes into its INSERT statement) needs the VARCHAR step.
+_FACT_ORDER = ("CustomerKey NULLS FIRST, ProductKey NULLS FIRST, DateKey NULLS FIRST, RegionKey NULLS FIRST, "
+               "OrderNumber NULLS FIRST, TransactionDate NULLS FIRST, Quantity NULLS FIRST, "
+               "UnitPrice NULLS FIRST, SalesAmount NULLS FIRST, NetSalesAmount NULLS FIRST")
+
+INGEST_FACTS = {
+    "k1": _classified("tx1", "c1", "p1"),
+    "k2": _classified("tx2", "customers", "products"),
+    "f1": f"""
+        SELECT 1000000 + row_number() OVER (ORDER BY {_FACT_ORDER}) AS SalesID, *
+        FROM (SELECT {_FACT_COLS} FROM k1 WHERE RejectReason IS NULL)""",
+    "f2": f"""
+        SELECT (SELECT greatest(COALESCE(max(SalesID), 0), 1000000) FROM f1)
+                 + row_number() OVER (ORDER BY {_FACT_ORDER}) AS SalesID, *
+        FROM (SELECT {_FACT_COLS} FROM k2 WHERE RejectReason IS NULL)""",
+}
+
+
+def ingest(final: str, facts: bool = False) -> str:
+    return with_ctes(INGEST, *([INGEST_FACTS] if facts else []), final=final)
+
+
+CALENDAR = """
+    SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS DateKey, d AS CalendarDate,
+           CAST(year(d) AS INTEGER) AS Year, CAST(quarter(d) AS INTEGER) AS Quarter,
+           CAST(month(d) AS INTEGER) AS Month, CAST(day(d) AS INTEGER) AS Day,
+           CAST(floor((dayofyear(d) + dayofweek(date_trunc('year', d)) + 1 - 2) / 7) + 1 AS INTEGER) AS WeekOfYear,
+           CAST(dayofweek(d) + 1 AS INTEGER) AS DayOfWeek, strftime(d, '%A') AS DayName,
+           strftime(d, '%B') AS MonthName, dayofweek(d) IN (0, 6) AS IsWeekend, FALSE AS IsHoliday
+    FROM (SELECT CAST(unnest(generate_series(CAST(date_trunc('year', min(o_orderdate)) AS DATE),
+                                              make_date(year(max(o_orderdate)), 12, 31),
+                                              INTERVAL 1 DAY)) AS DATE) AS d FROM orders)"""

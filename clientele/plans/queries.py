@@ -11,16 +11,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructType
 
 from clientele.operators import basket as B
 from clientele.operators import cohort as C
 from clientele.operators import reports as R
+from clientele.operators import ingest as I
+from clientele.operators.calendar import calendar_for
 from clientele.operators.clv import clv
 from clientele.operators.customer_view import customer_extract, customer_single_view
 from clientele.operators.ranking import global_row_number
 from clientele.operators.rfm import rfm
 from clientele.plans import oracle as O
+from clientele.session import cut_lineage
+from clientele.sources import schemas as S
 from clientele.sources.testdata import TESTDATA_AS_OF, load_star
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +71,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clear_cache() -> None:
     _SCORED.clear()
+    _INGEST.clear()
 
 
 VIEW_COLUMNS = ("CustomerKey, CustomerID, CustomerName, Email, Phone, RegistrationDate, RecencyDays, "
@@ -429,6 +434,110 @@ def q_basket_top_rules(spark, sf_dir):
     return B.top_rules(B.association_rules(itemsets_df(spark, sf_dir), B.MIN_CONFIDENCE), 10)
 
 
+
+# ---------------------------------------------------------------- ingest, calendar, counts
+
+INGEST_SPLIT = "1998-01-01"  # the feed is loaded as two batches: before / from this date
+
+
+def _empty(spark, schema: StructType, cols) -> DataFrame:
+    return spark.createDataFrame([], schema).select(*cols)
+
+
+_INGEST: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def ingest_state(spark, sf_dir):
+    """Load the CSV-shaped feed in two batches into an empty star schema (once per
+    session and folder; the transformed feed is materialised once and shared)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INGEST:
+        _INGEST[key] = _ingest_state(spark, sf_dir)
+    return _INGEST[key]
+
+
+def _ingest_state(spark, sf_dir):
+    star = load_star(spark, sf_dir)
+    tx = cut_lineage(I.ingest_transform(star.raw_transactions()))
+    early = F.col("OrderDate") < F.lit(INGEST_SPLIT).cast("timestamp")
+    tx1, tx2 = tx.where(early), tx.where(~early | F.col("OrderDate").isNull())
+    calendar = calendar_for(tx, "OrderDate")
+    regions = I.region_rows(_empty(spark, S.DIM_REGION, ["RegionKey", "RegionID", "RegionName",
+                                                         "Country", "IsActive"]))
+    p0 = _empty(spark, S.DIM_PRODUCT, ["ProductKey", "ProductID", "ProductName", "Category",
+                                       "UnitPrice", "IsActive"])
+    c0 = _empty(spark, S.DIM_CUSTOMER, ["CustomerKey", "CustomerID", "CustomerName", "Email",
+                                        "RegistrationDate", "IsCurrentRecord"])
+    p1 = I.product_rows(p0, tx1)
+    c1 = I.customer_rows(c0, tx1, TESTDATA_AS_OF)
+    products = p1.unionByName(I.product_rows(p1, tx2))
+    customers = c1.unionByName(I.customer_rows(c1, tx2, TESTDATA_AS_OF))
+    k1 = I.classify_facts(tx1, c1, p1, regions, calendar)
+    f1 = I.load_facts(k1)
+    k2 = I.classify_facts(tx2, customers, products, regions, calendar)
+    f2 = I.load_facts(k2, f1)
+    return {"tx": tx, "products": products, "customers": customers, "facts": f1.unionByName(f2),
+            "rejects": I.rejects(k1).unionByName(I.rejects(k2)), "regions": regions}
+
+
+@register("ingest_transform", O.ingest("SELECT * FROM tx"))
+def q_ingest_transform(spark, sf_dir):
+    return I.ingest_transform(load_star(spark, sf_dir).raw_transactions())
+
+
+@register("ingest_dim_product", O.ingest("SELECT * FROM products"))
+def q_ingest_dim_product(spark, sf_dir):
+    return ingest_state(spark, sf_dir)["products"].select("ProductKey", "ProductID", "ProductName",
+                                                          "Category")
+
+
+@register("ingest_dim_customer", O.ingest("SELECT * FROM customers"))
+def q_ingest_dim_customer(spark, sf_dir):
+    return ingest_state(spark, sf_dir)["customers"].select("CustomerKey", "CustomerID",
+                                                           "CustomerName", "Email")
+
+
+@register("ingest_fact_sales", O.ingest("SELECT * FROM f1 UNION ALL SELECT * FROM f2", facts=True))
+def q_ingest_fact_sales(spark, sf_dir):
+    f = ingest_state(spark, sf_dir)["facts"]
+    return report_types(f.select("SalesID", "CustomerKey", "ProductKey", "DateKey", "RegionKey",
+                                 "OrderNumber", "TransactionDate", "Quantity", "UnitPrice",
+                                 "SalesAmount", "NetSalesAmount"))
+
+
+@register("ingest_rejects", O.ingest("""
+    SELECT OrderID, CustomerID, ProductID, RejectReason FROM k1 WHERE RejectReason IS NOT NULL
+    UNION ALL
+    SELECT OrderID, CustomerID, ProductID, RejectReason FROM k2 WHERE RejectReason IS NOT NULL""",
+    facts=True))
+def q_ingest_rejects(spark, sf_dir):
+    return ingest_state(spark, sf_dir)["rejects"].select("OrderID", "CustomerID", "ProductID",
+                                                         "RejectReason")
+
+
+@register("dim_date", O.CALENDAR)
+def q_dim_date(spark, sf_dir):
+    orders = load_star(spark, sf_dir).table("orders")
+    return calendar_for(orders.select(F.to_date("o_orderdate").alias("d")), "d")
+
+
+@register("table_row_counts", O.with_ctes(O.STAR, final="""
+    SELECT 'Dim_Region' AS Table_Name, count(*) AS Row_Count FROM dim_region
+    UNION ALL SELECT 'Dim_Product', count(*) FROM dim_product
+    UNION ALL SELECT 'Dim_Customer', count(*) FROM dim_customer
+    UNION ALL SELECT 'Fact_Sales', count(*) FROM fact_sales"""))
+def q_table_row_counts(spark, sf_dir):
+    star = load_star(spark, sf_dir)
+    parts = [("Dim_Region", star.region), ("Dim_Product", star.product),
+             ("Dim_Customer", star.customer), ("Fact_Sales", star.sales())]
+    counted = [df.agg(F.count(F.lit(1)).alias("Row_Count")).select(
+        F.lit(name).alias("Table_Name"), "Row_Count") for name, df in parts]
+    out = counted[0]
+    for c in counted[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 def queries() -> dict[str, QueryFn]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
