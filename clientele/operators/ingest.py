@@ -35,7 +35,8 @@ PRODUCT_NAME_SUFFIX = " Item"
 EMAIL_DOMAIN = "@example.com"
 UNKNOWN_REGION = ("R_UNK", "Unknown", "Unknown")
 FIRST_SALES_ID = 1000001
-DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "dd-MM-yyyy")
+# tried in this order; the most common first, since each failed attempt is costly
+DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy", "dd-MM-yyyy")
 
 RAW_COLUMNS = [f.name for f in RAW_TRANSACTIONS.fields]
 

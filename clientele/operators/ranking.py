@@ -46,7 +46,10 @@ def global_row_number(df: DataFrame, order: Sequence[Column], rank_col: str = "r
                       materialize: bool = False) -> DataFrame:
     """Add ``rank_col`` = 1..n in the given total order; optionally ``count_col`` = n."""
     p = partitions or default_partitions(df)
-    ranged = df.repartitionByRange(p, *order).sortWithinPartitions(*order)
+    # Range partitioning reads its input twice (a sampling pass for the bounds, then
+    # the shuffle); keep the input so an expensive upstream plan runs once.
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = source.repartitionByRange(p, *order).sortWithinPartitions(*order)
     located = ranged.select("*", F.spark_partition_id().alias(_PID),
                             F.monotonically_increasing_id().alias(_MID))
     located = cut_lineage(located) if materialize else located.persist(StorageLevel.MEMORY_AND_DISK)

@@ -153,7 +153,8 @@ class Star:
                                            "l_extendedprice", "l_discount")
         o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         p = self.table("part").select("p_partkey", "p_type")
-        x = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(p, li["l_partkey"] == p["p_partkey"])
+        x = (li.join(o.hint("merge"), li["l_orderkey"] == o["o_orderkey"])
+               .join(p, li["l_partkey"] == p["p_partkey"]))
         net = F.round(F.col("l_extendedprice").cast(MONEY)
                       * (F.lit(1) - F.col("l_discount").cast(DecimalType(4, 2))), 2).cast("double")
         return x.select(

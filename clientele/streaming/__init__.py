@@ -1 +1,6 @@
-"""Incremental loading with Structured Streaming (see ``clientele.streaming.ingest``)."""
+"""Streaming: intentionally empty.
+
+The source has no streams, event-time windows, watermarks or stateful operators; its
+only incremental behaviour is re-running the batch import, which the batch operators
+cover (dimension upserts are idempotent, fact loads append).
+"""
