@@ -8,16 +8,20 @@ task. Instead:
    split by the later columns, so no range holds a hot group), sort each range and
    tag every row with its partition and position (``monotonically_increasing_id``:
    partition in the high bits, position in the low 33 bits);
-2. persist that, so the two consumers below read one and the same RDD. This is safe
-   under executor loss: lost blocks are recomputed through the same shuffle
-   dependency, whose range bounds are fixed once computed, and the total-order sort
-   gives back the same rows in the same order. ``materialize=True`` writes to the
-   reliable checkpoint folder instead (cuts the lineage, costs two extra jobs);
+2. write that to the reliable checkpoint folder, so the two consumers below read the
+   very same partitions in the very same order, also after an executor is lost, and
+   later plans start from a short lineage. ``materialize=False`` persists instead
+   (lazy, and still consistent under executor loss: lost blocks are recomputed
+   through the same shuffle dependency, whose range bounds are fixed, and the total
+   order gives back the same rows in the same order; measured slower here because
+   every later plan re-plans and re-matches the cached sub-plans);
 3. count rows per partition (P rows), turn the counts into offsets with a running
    sum over those P rows, and broadcast them (size bounded by P);
 4. row number = offset of the partition + position inside the partition.
 
-Nothing runs until the result is used.
+Range partitioning reads its input twice (a sampling pass for the bounds, then the
+shuffle), so an expensive input should itself be materialised first (``keep_input``
+persists it, or the caller checkpoints it, as ``rfm_scores`` does).
 
 The order must be total (end it with a unique key); ties would otherwise be broken by
 whatever order the ranges are read in.
@@ -43,12 +47,10 @@ def default_partitions(df: DataFrame) -> int:
 
 def global_row_number(df: DataFrame, order: Sequence[Column], rank_col: str = "row_number",
                       count_col: str | None = None, partitions: int | None = None,
-                      materialize: bool = False) -> DataFrame:
+                      materialize: bool = True, keep_input: bool = False) -> DataFrame:
     """Add ``rank_col`` = 1..n in the given total order; optionally ``count_col`` = n."""
     p = partitions or default_partitions(df)
-    # Range partitioning reads its input twice (a sampling pass for the bounds, then
-    # the shuffle); keep the input so an expensive upstream plan runs once.
-    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    source = df.persist(StorageLevel.MEMORY_AND_DISK) if keep_input else df
     ranged = source.repartitionByRange(p, *order).sortWithinPartitions(*order)
     located = ranged.select("*", F.spark_partition_id().alias(_PID),
                             F.monotonically_increasing_id().alias(_MID))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from clientele.functions.numeric import quantile_tile, round2
 from clientele.operators.ranking import global_row_number
+from clientele.session import cut_lineage
 
 # Default weights of R, F and M in the index.
 DEFAULT_WEIGHTS = (1.0, 1.2, 1.5)
@@ -53,13 +54,18 @@ def _score(df: DataFrame, order: Sequence[Column], name: str, tiles: int, invert
 
 def rfm_scores(df: DataFrame, tiles: int = 5, tie_break: Sequence[str] = ("CustomerKey",),
                partitions: int | None = None) -> DataFrame:
-    """Add R_Score, F_Score, M_Score (1..tiles)."""
+    """Add R_Score, F_Score, M_Score (1..tiles).
+
+    The input is written once to the checkpoint folder: each of the three rankings
+    reads it twice (range sampling, then the shuffle).
+    """
     d = df.withColumns({
         "RecencyDays": F.coalesce(F.col("RecencyDays"), F.lit(RECENCY_FILL)),
         "TransactionCount": F.coalesce(F.col("TransactionCount"), F.lit(FREQUENCY_FILL)),
         "TotalSpend": F.coalesce(F.col("TotalSpend"), F.lit(MONETARY_FILL).cast(
             df.schema["TotalSpend"].dataType)),
     })
+    d = cut_lineage(d)
     ties = [F.col(c).asc() for c in tie_break]
     spend_desc = F.col("TotalSpend").desc()
     d = _score(d, [F.col("RecencyDays").asc(), spend_desc, *ties], "R_Score", tiles, True, partitions)

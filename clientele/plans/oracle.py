@@ -321,3 +321,30 @@ CALENDAR = """
     FROM (SELECT CAST(unnest(generate_series(CAST(date_trunc('year', min(o_orderdate)) AS DATE),
                                               make_date(year(max(o_orderdate)), 12, 31),
                                               INTERVAL 1 DAY)) AS DATE) AS d FROM orders)"""
+
+
+# Complete cohort x offset grid for the wide (pivoted) matrices; missing cells are 0.
+COHORT_GRID = {
+    "offs": "SELECT DISTINCT MonthsSinceCohort AS o FROM cohort_cells",
+    "cohs": "SELECT DISTINCT Cohort FROM cohort_cells",
+    "grid": """
+        SELECT c.Cohort, o.o, COALESCE(x.Customers, 0) AS cnt
+        FROM cohs c CROSS JOIN offs o
+        LEFT JOIN cohort_cells x ON x.Cohort = c.Cohort AND x.MonthsSinceCohort = o.o""",
+    "firsts": "SELECT Cohort, cnt AS f FROM grid WHERE o = (SELECT min(o) FROM offs)",
+    "retention_vals": """
+        SELECT g.Cohort, CAST(g.o AS VARCHAR) AS off,
+               CAST(g.cnt AS DOUBLE) / CAST(NULLIF(f.f, 0) AS DOUBLE) * CAST(100 AS DOUBLE) AS v
+        FROM grid g JOIN firsts f ON g.Cohort = f.Cohort""",
+    "spend_cells": """
+        SELECT CohortMonth AS Cohort, MonthsSinceCohort,
+               CAST(sum(TotalSpend) AS DOUBLE) / CAST(NULLIF(count(TotalSpend), 0) AS DOUBLE) AS AvgSpend
+        FROM cohort_base WHERE MonthsSinceCohort IS NOT NULL GROUP BY CohortMonth, MonthsSinceCohort""",
+    "spending_vals": """
+        SELECT g.Cohort, CAST(g.o AS VARCHAR) AS off, COALESCE(s.AvgSpend, CAST(0 AS DOUBLE)) AS v
+        FROM grid g LEFT JOIN spend_cells s ON s.Cohort = g.Cohort AND s.MonthsSinceCohort = g.o""",
+}
+
+
+def cohort_wide(values: str) -> str:
+    return cohort(f"SELECT * FROM (PIVOT {values} ON off USING first(v) GROUP BY Cohort)", COHORT_GRID)

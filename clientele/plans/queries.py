@@ -371,12 +371,12 @@ def q_cohort_active_rate(spark, sf_dir):
     return C.cohort_active_rate(cohort_base_df(spark, sf_dir), 5)
 
 
-@register("cohort_retention_wide", None)
+@register("cohort_retention_wide", O.cohort_wide("retention_vals"))
 def q_cohort_retention_wide(spark, sf_dir):
     return C.retention_wide(cohort_base_df(spark, sf_dir))
 
 
-@register("cohort_spending_wide", None)
+@register("cohort_spending_wide", O.cohort_wide("spending_vals"))
 def q_cohort_spending_wide(spark, sf_dir):
     return C.to_wide(C.cohort_spending(cohort_base_df(spark, sf_dir)), "AvgSpend")
 

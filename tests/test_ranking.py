@@ -30,8 +30,12 @@ def test_materialized_variant_and_empty_input(spark):
     assert global_row_number(empty, [F.col("key").asc()]).count() == 0
 
 
-def test_plan_has_no_single_partition_sort_over_rows(spark):
+def test_rows_stay_spread_over_all_ranges(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 7)
-    out = global_row_number(df, [F.col("v").asc(), F.col("id").asc()], rank_col="rk")
+    out = global_row_number(df, [F.col("v").asc(), F.col("id").asc()], rank_col="rk", partitions=6)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" in plan.lower() or "InMemoryTableScan" in plan
+    assert "ExistingRDD" in plan  # reads the checkpointed ranges
+    assert out.rdd.getNumPartitions() == 6  # never collapsed into one task
+    lazy = global_row_number(df, [F.col("v").asc(), F.col("id").asc()], rank_col="rk",
+                             partitions=6, materialize=False, keep_input=True)
+    assert sorted(r.rk for r in lazy.collect()) == list(range(1, 1001))
