@@ -22,6 +22,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clientele.session import cut_lineage
+
 # Thresholds of the source analysis.
 MIN_SUPPORT = 0.001
 MIN_CONFIDENCE = 0.01
@@ -57,7 +59,12 @@ def frequent_itemsets(basket_df: DataFrame, min_support: float = MIN_SUPPORT,
     FP-growth keeps ``count >= ceil(min_support * n)``; the source keeps
     ``count / n >= min_support`` in floating point. FP-growth is run with a hair lower
     threshold and the source's test is applied to its result, so the two agree exactly.
+
+    The baskets are written once (FP-growth reads its input several times) and so are
+    the itemsets (MLlib hands them back as an uncached RDD, and the rule step uses
+    them three times).
     """
+    basket_df = cut_lineage(basket_df.select("items"))
     n = basket_df.count()
     if n == 0:
         return basket_df.sparkSession.createDataFrame(
@@ -72,7 +79,7 @@ def frequent_itemsets(basket_df: DataFrame, min_support: float = MIN_SUPPORT,
     out = out.where(F.col("support") >= F.lit(min_support))
     if max_len is not None:
         out = out.where(F.col("Length") <= max_len)
-    return out
+    return cut_lineage(out)
 
 
 def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this library assumes. Timestamps are compared as UTC, ANSI
@@ -64,9 +65,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Used where a result is consumed by several jobs that must see identical rows
     (the global ranking) or where a long plan would otherwise be recomputed.
     Reliable checkpoints survive executor loss; local checkpoints do not.
+
+    Writing a checkpoint runs the plan a second time unless it is cached, so the rows
+    are persisted for the duration of the write and released afterwards.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
 
 
 def env_int(name: str, default: int) -> int:
