@@ -163,7 +163,8 @@ def load_facts(classified: DataFrame, existing_sales: DataFrame | None = None) -
         start = existing_sales.select(
             F.greatest(F.coalesce(F.max("SalesID"), F.lit(0)), F.lit(FIRST_SALES_ID - 1)).cast("long")).scalar()
     order = [F.col(c).asc() for c in facts.columns]
-    numbered = global_row_number(facts, order, rank_col="_n")
+    # fact feeds are large by nature: no size probe, straight to the distributed plan
+    numbered = global_row_number(facts, order, rank_col="_n", single_task_max_rows=0)
     return numbered.select((start + F.col("_n")).alias("SalesID"), *facts.columns)
 
 

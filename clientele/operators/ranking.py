@@ -23,6 +23,11 @@ Range partitioning reads its input twice (a sampling pass for the bounds, then t
 shuffle), so an expensive input should itself be materialised first (``keep_input``
 persists it, or the caller checkpoints it, as ``rfm_scores`` does).
 
+Small inputs take a cheaper exact plan, chosen behind a size check like broadcast
+versus shuffle: a probe counts at most ``single_task_max_rows + 1`` rows, and when the
+input is no larger than that, one ``row_number()`` window in a single task ranks it.
+Above the bound the distributed plan runs, so no task ever holds more than the bound.
+
 The order must be total (end it with a unique key); ties would otherwise be broken by
 whatever order the ranges are read in.
 """
@@ -37,6 +42,8 @@ from pyspark.sql import functions as F
 
 from clientele.session import cut_lineage
 
+SINGLE_TASK_MAX_ROWS = 100_000
+
 _PID = "_rank_pid"
 _MID = "_rank_mid"
 
@@ -47,8 +54,16 @@ def default_partitions(df: DataFrame) -> int:
 
 def global_row_number(df: DataFrame, order: Sequence[Column], rank_col: str = "row_number",
                       count_col: str | None = None, partitions: int | None = None,
-                      materialize: bool = True, keep_input: bool = False) -> DataFrame:
+                      materialize: bool = True, keep_input: bool = False,
+                      single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """Add ``rank_col`` = 1..n in the given total order; optionally ``count_col`` = n."""
+    if single_task_max_rows > 0 and df.limit(single_task_max_rows + 1).count() <= single_task_max_rows:
+        ordered = Window.orderBy(*order)
+        out = df.withColumn(rank_col, F.row_number().over(ordered).cast("long"))
+        if count_col:
+            whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            out = out.withColumn(count_col, F.count(F.lit(1)).over(whole))
+        return out.persist(StorageLevel.MEMORY_AND_DISK) if materialize else out
     p = partitions or default_partitions(df)
     source = df.persist(StorageLevel.MEMORY_AND_DISK) if keep_input else df
     ranged = source.repartitionByRange(p, *order).sortWithinPartitions(*order)

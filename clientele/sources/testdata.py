@@ -16,7 +16,7 @@ Every frame is lazy; only the columns a query references are read from parquet.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,13 +123,17 @@ def fact_sales(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame | Non
 
 @dataclass
 class Star:
-    """The star schema over one directory of testdata parquet files."""
+    """The star schema over one directory of testdata parquet files (lazy frames; each
+    source table is opened once per Star)."""
 
     spark: SparkSession
     sf_dir: str
+    _tables: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     @property
     def customer(self) -> DataFrame:
@@ -168,5 +172,11 @@ class Star:
         )
 
 
+_STARS: dict[tuple[str, str], Star] = {}
+
+
 def load_star(spark: SparkSession, sf_dir: str) -> Star:
-    return Star(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STARS:
+        _STARS[key] = Star(spark, sf_dir)
+    return _STARS[key]

@@ -13,7 +13,8 @@ def test_matches_single_partition_window_with_heavy_ties(spark):
             for i in range(5000)]
     df = spark.createDataFrame(rows, "key long, freq long, spend double")
     order = [F.col("freq").asc(), F.col("spend").desc(), F.col("key").asc()]
-    got = global_row_number(df, order, rank_col="rk", count_col="n", partitions=16)
+    got = global_row_number(df, order, rank_col="rk", count_col="n", partitions=16,
+                            single_task_max_rows=0)
     ref = df.withColumn("ref", F.row_number().over(Window.orderBy(*order)))
     joined = got.join(ref, "key")
     assert joined.where(F.col("rk") != F.col("ref")).count() == 0
@@ -24,18 +25,33 @@ def test_matches_single_partition_window_with_heavy_ties(spark):
 def test_materialized_variant_and_empty_input(spark):
     df = spark.createDataFrame([(i, i % 5) for i in range(200)], "key long, v long")
     out = global_row_number(df, [F.col("v").asc(), F.col("key").asc()], rank_col="rk",
-                            partitions=4, materialize=True)
+                            partitions=4, materialize=True, single_task_max_rows=0)
     assert sorted(r.rk for r in out.collect()) == list(range(1, 201))
     empty = df.where("false")
+    assert global_row_number(empty, [F.col("key").asc()], single_task_max_rows=0).count() == 0
     assert global_row_number(empty, [F.col("key").asc()]).count() == 0
 
 
 def test_rows_stay_spread_over_all_ranges(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 7)
-    out = global_row_number(df, [F.col("v").asc(), F.col("id").asc()], rank_col="rk", partitions=6)
+    out = global_row_number(df, [F.col("v").asc(), F.col("id").asc()], rank_col="rk", partitions=6,
+                            single_task_max_rows=0)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ExistingRDD" in plan  # reads the checkpointed ranges
     assert out.rdd.getNumPartitions() == 6  # never collapsed into one task
     lazy = global_row_number(df, [F.col("v").asc(), F.col("id").asc()], rank_col="rk",
-                             partitions=6, materialize=False, keep_input=True)
+                             partitions=6, materialize=False, keep_input=True, single_task_max_rows=0)
     assert sorted(r.rk for r in lazy.collect()) == list(range(1, 1001))
+
+
+def test_size_checked_paths_agree(spark):
+    rnd = random.Random(11)
+    rows = [(i, rnd.randint(1, 5), rnd.randint(1, 3)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "key long, a long, b long")
+    order = [F.col("a").desc(), F.col("b").asc(), F.col("key").asc()]
+    small = global_row_number(df, order, rank_col="rk", count_col="n")            # one task
+    big = global_row_number(df, order, rank_col="rk2", count_col="n2", partitions=5,
+                            single_task_max_rows=10)                                # distributed
+    j = small.join(big.select("key", "rk2", "n2"), "key")
+    assert j.where((F.col("rk") != F.col("rk2")) | (F.col("n") != F.col("n2"))).count() == 0
+    assert "ExistingRDD" in big._jdf.queryExecution().executedPlan().toString()
