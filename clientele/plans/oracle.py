@@ -127,6 +127,16 @@ SCORED = {
 }
 
 
+def day(col: str) -> str:
+    """DATE as ISO text (see report_types in queries.py)."""
+    return f"strftime({col}, '%Y-%m-%d') AS {col}"
+
+
+def instant(col: str) -> str:
+    """TIMESTAMP as ISO text."""
+    return f"strftime({col}, '%Y-%m-%d %H:%M:%S') AS {col}"
+
+
 def with_ctes(*groups: dict[str, str], final: str) -> str:
     parts = []
     for g in groups:

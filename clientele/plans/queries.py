@@ -12,7 +12,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StructType
+from pyspark.sql.types import (DateType, DecimalType, StructType, TimestampNTZType,
+                               TimestampType)
 
 from clientele.operators import basket as B
 from clientele.operators import cohort as C
@@ -40,10 +41,25 @@ def register(name: str, sql: str | None):
 
 
 def report_types(df: DataFrame) -> DataFrame:
-    """DECIMAL columns leave as DOUBLE (the source hands money on as float)."""
-    return df.select([F.col(f.name).cast("double").alias(f.name)
-                      if isinstance(f.dataType, DecimalType) else F.col(f.name)
-                      for f in df.schema.fields])
+    """Types of a registered query's result.
+
+    DECIMAL leaves as DOUBLE (the source hands money on as float). Dates and timestamps
+    leave as ISO text ('yyyy-MM-dd', 'yyyy-MM-dd HH:mm:ss'): client libraries map
+    DATE to different Python types (date objects from Spark, datetime64 from DuckDB),
+    and text compares the same whichever way the results are fetched. The library
+    operators themselves keep DATE / TIMESTAMP.
+    """
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, DecimalType):
+            c = c.cast("double")
+        elif isinstance(f.dataType, DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, (TimestampType, TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        cols.append(c.alias(f.name))
+    return df.select(cols)
 
 
 # ---------------------------------------------------------------- customer view
@@ -75,10 +91,10 @@ def clear_cache() -> None:
     _INGEST.clear()
 
 
-VIEW_COLUMNS = ("CustomerKey, CustomerID, CustomerName, Email, Phone, RegistrationDate, RecencyDays, "
-                "TransactionCount, CAST(TotalSpend AS DOUBLE) AS TotalSpend, PurchaseCount, "
+VIEW_COLUMNS = (f"CustomerKey, CustomerID, CustomerName, Email, Phone, {O.day('RegistrationDate')}, "
+                "RecencyDays, TransactionCount, CAST(TotalSpend AS DOUBLE) AS TotalSpend, PurchaseCount, "
                 "ReturnCount, AvgOrderValue, CustomerTenureDays, CohortYear, CohortQuarter, "
-                "CohortMonth, MonthsActive, PrimaryRegion, Country, State, LastPurchaseDate, "
+                f"CohortMonth, MonthsActive, PrimaryRegion, Country, State, {O.instant('LastPurchaseDate')}, "
                 "CategoriesPurchased, RecencyCategory")
 
 
@@ -140,11 +156,11 @@ def present_columns(df: DataFrame, wanted) -> DataFrame:
     return df.select([c for c in wanted if c in df.columns])
 
 
-@register("rfm_results", O.base("""
-    SELECT CustomerKey, CustomerID, CustomerName, Email, RegistrationDate, RecencyDays,
+@register("rfm_results", O.base(f"""
+    SELECT CustomerKey, CustomerID, CustomerName, Email, {O.day('RegistrationDate')}, RecencyDays,
            TransactionCount, CAST(TotalSpend AS DOUBLE) AS TotalSpend, AvgOrderValue,
            CustomerTenureDays, PrimaryRegion, Country, State, R_Score, F_Score, M_Score,
-           RFM_Score, Segment, CLV_Predicted, LastPurchaseDate
+           RFM_Score, Segment, CLV_Predicted, {O.instant('LastPurchaseDate')}
     FROM results"""))
 def q_rfm_results(spark, sf_dir):
     return report_types(present_columns(scored(spark, sf_dir), RESULT_COLUMNS))
@@ -304,9 +320,10 @@ def cohort_base_df(spark, sf_dir):
     return C.cohort_base(star.customer, star.sales(with_region=False))
 
 
-@register("cohort_base", O.cohort("""
-    SELECT CustomerKey, CustomerID, RegistrationDate, CohortYear, CohortQuarter, CohortMonth,
-           LastPurchaseDate, TransactionCount, CAST(TotalSpend AS DOUBLE) AS TotalSpend, MonthsSinceCohort
+@register("cohort_base", O.cohort(f"""
+    SELECT CustomerKey, CustomerID, {O.day('RegistrationDate')}, CohortYear, CohortQuarter, CohortMonth,
+           {O.instant('LastPurchaseDate')}, TransactionCount, CAST(TotalSpend AS DOUBLE) AS TotalSpend,
+           MonthsSinceCohort
     FROM cohort_base"""))
 def q_cohort_base(spark, sf_dir):
     return report_types(cohort_base_df(spark, sf_dir))
@@ -521,9 +538,9 @@ class IngestScenario:
         return I.rejects(self.k1).unionByName(I.rejects(self.k2))
 
 
-@register("ingest_transform", O.ingest("SELECT * FROM tx"))
+@register("ingest_transform", O.ingest(f"SELECT * REPLACE ({O.instant('OrderDate')}) FROM tx"))
 def q_ingest_transform(spark, sf_dir):
-    return I.ingest_transform(load_star(spark, sf_dir).raw_transactions())
+    return report_types(I.ingest_transform(load_star(spark, sf_dir).raw_transactions()))
 
 
 @register("ingest_dim_product", O.ingest("SELECT * FROM products"))
@@ -538,7 +555,9 @@ def q_ingest_dim_customer(spark, sf_dir):
                                                            "CustomerName", "Email")
 
 
-@register("ingest_fact_sales", O.ingest("SELECT * FROM f1 UNION ALL SELECT * FROM f2", facts=True))
+@register("ingest_fact_sales", O.ingest(
+    f"SELECT * REPLACE ({O.instant('TransactionDate')}) FROM (SELECT * FROM f1 UNION ALL SELECT * FROM f2)",
+    facts=True))
 def q_ingest_fact_sales(spark, sf_dir):
     f = ingest_state(spark, sf_dir).facts
     return report_types(f.select("SalesID", "CustomerKey", "ProductKey", "DateKey", "RegionKey",
@@ -556,10 +575,10 @@ def q_ingest_rejects(spark, sf_dir):
                                                          "RejectReason")
 
 
-@register("dim_date", O.CALENDAR)
+@register("dim_date", f"SELECT * REPLACE ({O.day('CalendarDate')}) FROM ({O.CALENDAR})")
 def q_dim_date(spark, sf_dir):
     orders = load_star(spark, sf_dir).table("orders")
-    return calendar_for(orders.select(F.to_date("o_orderdate").alias("d")), "d")
+    return report_types(calendar_for(orders.select(F.to_date("o_orderdate").alias("d")), "d"))
 
 
 @register("table_row_counts", O.with_ctes(O.STAR, final="""
