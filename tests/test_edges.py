@@ -114,3 +114,24 @@ def test_pipeline_round_trip(spark, tmp_path):
         back = read_table(spark, str(tmp_path / name))
         assert back.count() == df.count(), name
     assert read_table(spark, str(tmp_path / "rfm_results")).count() == 150
+
+
+def test_hot_customer_holding_a_third_of_all_lines(spark, dims):
+    region, product = dims
+    customers = _customers(spark, {k: dt.date(2024, 1, 1) for k in range(1, 51)})
+    rows = []
+    for i in range(3000):
+        cust = 1 if i % 3 == 0 else 2 + i % 49           # customer 1 has a third of all lines
+        ts = dt.datetime(2024, 1 + i % 6, 1 + i % 28)
+        rows.append((cust, 1 + i % 2, 1 + i % 2, ts, f"{1 + i % 97}.{i % 100:02d}", "N"))
+    sales = _sales(spark, rows).repartition(8)
+    view = customer_single_view(customers, sales, product, region, AS_OF)
+    got = {r.CustomerKey: (r.TransactionCount, float(r.TotalSpend), r.MonthsActive, r.CategoriesPurchased)
+           for r in view.collect()}
+    ref = (sales.groupBy("CustomerKey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("NetSalesAmount").cast("double").alias("s"),
+        F.countDistinct(F.month("TransactionDate")).alias("m")).collect())
+    assert {r.CustomerKey: (r.n, r.s, r.m, 2) for r in ref} == got
+    assert got[1][0] == 1000
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan  # combined map-side before the shuffle
