@@ -19,9 +19,10 @@ zhangs_metric = leverage / max(s*(1 - sA), sA*(sC - s)) (0 when that is 0).
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.operators.ranking import top_k
 from clientele.session import cut_lineage
 
 # Thresholds of the source analysis.
@@ -123,5 +124,4 @@ def rules_as_text(rules: DataFrame) -> DataFrame:
 def top_rules(rules: DataFrame, k: int = 10) -> DataFrame:
     """Strongest k rules by lift, ties by rule text."""
     t = rules_as_text(rules)
-    order = [F.col("lift").desc(), F.col("antecedents").asc(), F.col("consequents").asc()]
-    return t.orderBy(*order).limit(k).withColumn("Rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
+    return top_k(t, [F.col("lift").desc(), F.col("antecedents").asc(), F.col("consequents").asc()], k)

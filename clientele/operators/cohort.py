@@ -19,11 +19,12 @@ an explicit, sorted list of offsets.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientele.functions.dates import month_boundaries
 from clientele.functions.numeric import round2, safe_ratio
+from clientele.operators.ranking import top_k
 
 OFFSET = "MonthsSinceCohort"
 
@@ -118,20 +119,15 @@ def retention_wide(base: DataFrame) -> DataFrame:
                                      for o in offsets])
 
 
-def _top(df: DataFrame, order: list[Column], k: int) -> DataFrame:
-    top = df.orderBy(*order).limit(k)  # TakeOrderedAndProject: k rows per task, then merge
-    return top.withColumn("Rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
-
-
 def cohort_top_revenue(base: DataFrame, k: int = 5) -> DataFrame:
     rev = base.groupBy(F.col("CohortMonth").alias("Cohort")).agg(
         F.sum("TotalSpend").cast("double").alias("TotalRevenue"))
-    return _top(rev, [F.col("TotalRevenue").desc(), F.col("Cohort").asc()], k)
+    return top_k(rev, [F.col("TotalRevenue").desc(), F.col("Cohort").asc()], k)
 
 
 def cohort_active_rate(base: DataFrame, k: int = 5) -> DataFrame:
     rate = base.groupBy(F.col("CohortMonth").alias("Cohort")).agg(
         (safe_ratio(F.count_if(F.col("TransactionCount") > 0), F.count(F.lit(1)))
          * F.lit(100.0)).alias("ActiveRate"))
-    return _top(rate, [F.col("ActiveRate").desc(), F.col("Cohort").asc()], k)
+    return top_k(rate, [F.col("ActiveRate").desc(), F.col("Cohort").asc()], k)
 

@@ -83,3 +83,14 @@ def global_row_number(df: DataFrame, order: Sequence[Column], rank_col: str = "r
     if count_col:
         out = out.withColumn(count_col, F.col("_rank_total"))
     return out.drop(_PID, _MID, "_rank_offset", "_rank_total")
+
+
+def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
+    """First k rows in ``order`` (make it total) with a 1-based ``Rank`` column (BIGINT).
+
+    ``orderBy().limit(k)`` plans as TakeOrderedAndProject: every task keeps its k best
+    rows and only those are merged, so no task sees more than k rows per input task.
+    The Rank window then runs over the k survivors only.
+    """
+    top = df.orderBy(*order).limit(k)
+    return top.withColumn("Rank", F.row_number().over(Window.orderBy(*order)).cast("long"))

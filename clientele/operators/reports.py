@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.numeric import exact_mean, exact_sum, round2, round_to, safe_ratio
-from clientele.operators.ranking import global_row_number
+from clientele.operators.ranking import global_row_number, top_k
 from clientele.operators.rfm import CHURN_SEGMENTS
 
 # Segments counted as "Champions + Loyal" in the KPI block.
@@ -21,16 +21,6 @@ TOP_SEGMENTS = ("Champions", "Loyal Customers")
 CHURN_FALLBACK_SCORE = 2.5
 
 
-def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """First k rows in ``order`` (must be total) with a 1-based Rank column.
-
-    ``orderBy().limit(k)`` becomes TakeOrderedAndProject: each task keeps k rows, the
-    driver merges k rows per task. The Rank window then runs over those k rows only.
-    """
-    top = df.orderBy(*order).limit(k)
-    return top.withColumn("Rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
-
-
 def segment_summary(df: DataFrame) -> DataFrame:
     return df.groupBy("Segment").agg(
         F.count("CustomerID").alias("Customers"),

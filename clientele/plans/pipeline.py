@@ -21,6 +21,8 @@ from clientele.session import cut_lineage
 from clientele.sources.sinks import write_table
 from clientele.sources.testdata import Star
 
+# Export column list of the results table; CohortYearMonth is listed by the source but
+# never produced, so it is skipped like any other missing name.
 RESULT_COLUMNS = ("CustomerKey", "CustomerID", "CustomerName", "Email", "RegistrationDate",
                   "RecencyDays", "TransactionCount", "TotalSpend", "AvgOrderValue",
                   "CustomerTenureDays", "CohortYearMonth", "PrimaryRegion", "Country", "State",

@@ -25,6 +25,7 @@ from clientele.operators.customer_view import customer_extract, customer_single_
 from clientele.operators.ranking import global_row_number
 from clientele.operators.rfm import rfm
 from clientele.plans import oracle as O
+from clientele.plans.pipeline import RESULT_COLUMNS
 from clientele.session import cut_lineage
 from clientele.sources import schemas as S
 from clientele.sources.testdata import TESTDATA_AS_OF, load_star
@@ -143,13 +144,6 @@ def q_clv(spark, sf_dir):
                                         "CustomerTenureDays", "AnnualRevenue", "CLV_Predicted")
 
 
-# Export column list of the results table; CohortYearMonth is listed by the source
-# but never produced, so it is skipped like any other missing name.
-RESULT_COLUMNS = ("CustomerKey", "CustomerID", "CustomerName", "Email", "RegistrationDate",
-                  "RecencyDays", "TransactionCount", "TotalSpend", "AvgOrderValue",
-                  "CustomerTenureDays", "CohortYearMonth", "PrimaryRegion", "Country", "State",
-                  "R_Score", "F_Score", "M_Score", "RFM_Score", "Segment", "CLV_Predicted",
-                  "LastPurchaseDate")
 
 
 def present_columns(df: DataFrame, wanted) -> DataFrame:
