@@ -27,3 +27,14 @@ def test_oracle_covers_every_query(results):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "Segment" in df.columns
+
+
+def test_segment_counts_cover_every_customer(spark):
+    from clientele.plans import queries
+
+    seg = {r.Segment: r.Customers for r in queries.q_segment_summary(spark, SMALL).collect()}
+    assert sum(seg.values()) == queries.q_rfm_results(spark, SMALL).count() == 150
+    # cross-check values of FIXTURES.md section 3 (sf0.001)
+    assert seg == {"Champions": 16, "Loyal Customers": 37, "Potential Loyalists": 16,
+                   "Customers Needing Attention": 8, "At Risk": 8, "Hibernating": 38,
+                   "New/Low Value": 27}
