@@ -7,6 +7,7 @@ with the DuckDB oracle in ``clientele/plans/oracle.py``.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from functools import cached_property
 
@@ -26,7 +27,7 @@ from clientele.operators.ranking import global_row_number
 from clientele.operators.rfm import rfm
 from clientele.plans import oracle as O
 from clientele.plans.pipeline import RESULT_COLUMNS
-from clientele.session import cut_lineage
+from clientele.session import cut_lineage, ensure_checkpoint_dir
 from clientele.sources import schemas as S
 from clientele.sources.testdata import TESTDATA_AS_OF, load_star
 
@@ -537,6 +538,15 @@ def q_ingest_transform(spark, sf_dir):
     return report_types(I.ingest_transform(load_star(spark, sf_dir).raw_transactions()))
 
 
+@register("ingest_csv", O.ingest(f"SELECT * REPLACE ({O.instant('OrderDate')}) FROM tx"))
+def q_ingest_csv(spark, sf_dir):
+    """The raw feed as a headered CSV file (written by Spark from the given tables into
+    the session's checkpoint folder), read back with the CSV reader and transformed."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feeds/{zlib.crc32(sf_dir.encode()):08x}"
+    load_star(spark, sf_dir).raw_transactions().write.mode("overwrite").option("header", True).csv(folder)
+    return report_types(I.ingest_transform(I.read_transactions(spark, folder)))
+
+
 @register("ingest_dim_product", O.ingest("SELECT * FROM products"))
 def q_ingest_dim_product(spark, sf_dir):
     return ingest_state(spark, sf_dir).products.select("ProductKey", "ProductID", "ProductName",
