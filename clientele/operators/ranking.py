@@ -48,6 +48,11 @@ _PID = "_rank_pid"
 _MID = "_rank_mid"
 
 
+def fits_one_task(df: DataFrame, max_rows: int = SINGLE_TASK_MAX_ROWS) -> bool:
+    """Size check: does ``df`` have at most ``max_rows`` rows? Counts at most max_rows + 1."""
+    return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
+
+
 def default_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -55,9 +60,16 @@ def default_partitions(df: DataFrame) -> int:
 def global_row_number(df: DataFrame, order: Sequence[Column], rank_col: str = "row_number",
                       count_col: str | None = None, partitions: int | None = None,
                       materialize: bool = True, keep_input: bool = False,
-                      single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
-    """Add ``rank_col`` = 1..n in the given total order; optionally ``count_col`` = n."""
-    if single_task_max_rows > 0 and df.limit(single_task_max_rows + 1).count() <= single_task_max_rows:
+                      single_task_max_rows: int = SINGLE_TASK_MAX_ROWS,
+                      known_small: bool | None = None) -> DataFrame:
+    """Add ``rank_col`` = 1..n in the given total order; optionally ``count_col`` = n.
+
+    ``known_small`` skips the size probe when the caller has already checked the size
+    against ``single_task_max_rows`` (True: single task, False: distributed).
+    """
+    if known_small is None:
+        known_small = fits_one_task(df, single_task_max_rows)
+    if known_small:
         ordered = Window.orderBy(*order)
         out = df.withColumn(rank_col, F.row_number().over(ordered).cast("long"))
         if count_col:

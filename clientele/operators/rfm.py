@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.numeric import quantile_tile, round2
-from clientele.operators.ranking import global_row_number
+from clientele.operators.ranking import fits_one_task, global_row_number
 from clientele.session import cut_lineage
 
 # Default weights of R, F and M in the index.
@@ -44,9 +44,11 @@ MONETARY_FILL = 0
 
 
 def _score(df: DataFrame, order: Sequence[Column], name: str, tiles: int, invert: bool,
-           partitions: int | None) -> DataFrame:
+           partitions: int | None, small: bool) -> DataFrame:
+    # small inputs: three chained single-task windows in one lazy plan; large inputs:
+    # three materialised distributed rankings
     ranked = global_row_number(df, order, rank_col="_rfm_rank", count_col="_rfm_n",
-                               partitions=partitions)
+                               partitions=partitions, known_small=small, materialize=not small)
     tile = quantile_tile("_rfm_rank", "_rfm_n", tiles)
     score = (F.lit(tiles + 1) - tile) if invert else tile
     return ranked.withColumn(name, score.cast("int")).drop("_rfm_rank", "_rfm_n")
@@ -66,12 +68,14 @@ def rfm_scores(df: DataFrame, tiles: int = 5, tie_break: Sequence[str] = ("Custo
             df.schema["TotalSpend"].dataType)),
     })
     d = cut_lineage(d)
+    small = fits_one_task(d)  # one size check for all three rankings
     ties = [F.col(c).asc() for c in tie_break]
     spend_desc = F.col("TotalSpend").desc()
-    d = _score(d, [F.col("RecencyDays").asc(), spend_desc, *ties], "R_Score", tiles, True, partitions)
+    d = _score(d, [F.col("RecencyDays").asc(), spend_desc, *ties], "R_Score", tiles, True,
+               partitions, small)
     d = _score(d, [F.col("TransactionCount").asc(), spend_desc, *ties], "F_Score", tiles, False,
-               partitions)
-    d = _score(d, [F.col("TotalSpend").asc(), *ties], "M_Score", tiles, False, partitions)
+               partitions, small)
+    d = _score(d, [F.col("TotalSpend").asc(), *ties], "M_Score", tiles, False, partitions, small)
     return d
 
 
