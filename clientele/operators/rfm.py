@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.numeric import quantile_tile, round2
-from clientele.operators.ranking import fits_one_task, global_row_number
+from clientele.operators.ranking import SINGLE_TASK_MAX_ROWS, fits_one_task, global_row_number
 from clientele.session import cut_lineage
 
 # Default weights of R, F and M in the index.
@@ -55,11 +55,15 @@ def _score(df: DataFrame, order: Sequence[Column], name: str, tiles: int, invert
 
 
 def rfm_scores(df: DataFrame, tiles: int = 5, tie_break: Sequence[str] = ("CustomerKey",),
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None,
+               single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """Add R_Score, F_Score, M_Score (1..tiles).
 
-    The input is written once to the checkpoint folder: each of the three rankings
-    reads it twice (range sampling, then the shuffle).
+    The input is written once to the checkpoint folder and its size checked once. Up to
+    ``single_task_max_rows`` rows, the three rankings are chained single-task windows in
+    one lazy plan. Above it, only the key columns go through the three distributed
+    rankings (each sorts and checkpoints its rows, so narrow rows keep that cheap) and
+    the scores are joined back to the full rows once, on the tie-break key.
     """
     d = df.withColumns({
         "RecencyDays": F.coalesce(F.col("RecencyDays"), F.lit(RECENCY_FILL)),
@@ -68,15 +72,20 @@ def rfm_scores(df: DataFrame, tiles: int = 5, tie_break: Sequence[str] = ("Custo
             df.schema["TotalSpend"].dataType)),
     })
     d = cut_lineage(d)
-    small = fits_one_task(d)  # one size check for all three rankings
+    small = fits_one_task(d, single_task_max_rows)
+    keys = d if small else d.select(*tie_break, "RecencyDays", "TransactionCount", "TotalSpend")
     ties = [F.col(c).asc() for c in tie_break]
     spend_desc = F.col("TotalSpend").desc()
-    d = _score(d, [F.col("RecencyDays").asc(), spend_desc, *ties], "R_Score", tiles, True,
-               partitions, small)
-    d = _score(d, [F.col("TransactionCount").asc(), spend_desc, *ties], "F_Score", tiles, False,
-               partitions, small)
-    d = _score(d, [F.col("TotalSpend").asc(), *ties], "M_Score", tiles, False, partitions, small)
-    return d
+    keys = _score(keys, [F.col("RecencyDays").asc(), spend_desc, *ties], "R_Score", tiles, True,
+                  partitions, small)
+    keys = _score(keys, [F.col("TransactionCount").asc(), spend_desc, *ties], "F_Score", tiles,
+                  False, partitions, small)
+    keys = _score(keys, [F.col("TotalSpend").asc(), *ties], "M_Score", tiles, False, partitions,
+                  small)
+    if small:
+        return keys
+    scores = keys.select(*tie_break, "R_Score", "F_Score", "M_Score")
+    return d.join(scores, list(tie_break))
 
 
 def rfm_index(df: DataFrame, weights: Sequence[float] = DEFAULT_WEIGHTS) -> DataFrame:
@@ -106,6 +115,8 @@ def rfm_segments(df: DataFrame) -> DataFrame:
 
 
 def rfm(df: DataFrame, tiles: int = 5, weights: Sequence[float] = DEFAULT_WEIGHTS,
-        partitions: int | None = None) -> DataFrame:
+        partitions: int | None = None,
+        single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """Scores, index and segment in one call."""
-    return rfm_segments(rfm_index(rfm_scores(df, tiles, partitions=partitions), weights))
+    scores = rfm_scores(df, tiles, partitions=partitions, single_task_max_rows=single_task_max_rows)
+    return rfm_segments(rfm_index(scores, weights))

@@ -55,3 +55,18 @@ def test_size_checked_paths_agree(spark):
     j = small.join(big.select("key", "rk2", "n2"), "key")
     assert j.where((F.col("rk") != F.col("rk2")) | (F.col("n") != F.col("n2"))).count() == 0
     assert "ExistingRDD" in big._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rfm_distributed_path_equals_single_task_path(spark):
+    """Every test scale has under 100k customers, so force the distributed path."""
+    from clientele.operators.customer_view import customer_extract
+    from clientele.operators.rfm import rfm
+    from clientele.plans.queries import view
+
+    ext = customer_extract(view(spark, "/root/testdata/sf0.01"))
+    cols = ["CustomerKey", "R_Score", "F_Score", "M_Score", "RFM_Score", "Segment"]
+    small = rfm(ext).select(cols)
+    dist = rfm(ext, partitions=7, single_task_max_rows=10).select(cols)
+    assert small.count() == dist.count() == 1500
+    assert small.exceptAll(dist).count() == 0 and dist.exceptAll(small).count() == 0
+    assert "ExistingRDD" in dist._jdf.queryExecution().executedPlan().toString()
