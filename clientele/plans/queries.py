@@ -7,7 +7,7 @@ with the DuckDB oracle in ``clientele/plans/oracle.py``.
 
 from __future__ import annotations
 
-import zlib
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -542,7 +542,7 @@ def q_ingest_transform(spark, sf_dir):
 def q_ingest_csv(spark, sf_dir):
     """The raw feed as a headered CSV file (written by Spark from the given tables into
     the session's checkpoint folder), read back with the CSV reader and transformed."""
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feeds/{zlib.crc32(sf_dir.encode()):08x}"
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feeds/{uuid.uuid4().hex}"
     load_star(spark, sf_dir).raw_transactions().write.mode("overwrite").option("header", True).csv(folder)
     return report_types(I.ingest_transform(I.read_transactions(spark, folder)))
 
