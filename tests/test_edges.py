@@ -135,3 +135,20 @@ def test_hot_customer_holding_a_third_of_all_lines(spark, dims):
     assert got[1][0] == 1000
     plan = view._jdf.queryExecution().executedPlan().toString()
     assert "partial_" in plan  # combined map-side before the shuffle
+
+
+def test_pipeline_outputs_equal_registered_queries(spark):
+    from clientele.plans import queries as Q
+    from clientele.plans.pipeline import run_pipeline
+    from clientele.sources.testdata import TESTDATA_AS_OF, load_star
+
+    sf = "/root/testdata/sf0.001"
+    out = run_pipeline(load_star(spark, sf), TESTDATA_AS_OF)
+    pairs = {"segment_summary": Q.q_segment_summary, "kpi_summary": Q.q_kpi_summary,
+             "top100_customers": Q.q_top100_customers, "churn_risk_top10": Q.q_churn_risk_top10,
+             "cohort_summary": Q.q_cohort_summary, "chart_rm_grid": Q.q_chart_rm_grid}
+    for name, fn in pairs.items():
+        a, b = Q.report_types(out[name]), fn(spark, sf)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    rules = Q.q_basket_rules(spark, sf)
+    assert out["market_basket_rules"].count() == rules.count()
