@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -70,3 +72,16 @@ def test_rfm_distributed_path_equals_single_task_path(spark):
     assert small.count() == dist.count() == 1500
     assert small.exceptAll(dist).count() == 0 and dist.exceptAll(small).count() == 0
     assert "ExistingRDD" in dist._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("n", [120_001, 120_002])
+def test_exact_median_distributed_path_matches_numpy(spark, n):
+    import numpy as np
+
+    from clientele.operators.reports import exact_median
+
+    df = spark.range(n).select(F.col("id").alias("CustomerKey"),
+                               (F.pmod(F.col("id") * 7919, F.lit(100003)) / F.lit(100.0)).alias("v"))
+    got = exact_median(df, "v").first().Median
+    values = np.array([(i * 7919 % 100003) / 100.0 for i in range(n)])
+    assert got == float(np.median(values))
