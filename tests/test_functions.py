@@ -51,3 +51,22 @@ def test_month_boundaries(spark):
                                 (dt.date(2021, 3, 1), dt.date(2020, 12, 31))], "a date, b date")
     got = [r.m for r in df.select(month_boundaries("a", "b").alias("m")).collect()]
     assert got == [1, -3]
+
+
+def test_calendar_weeks_and_names_against_brute_force(spark):
+    from clientele.operators.calendar import dim_date
+
+    start, end = dt.date(2019, 1, 1), dt.date(2031, 12, 31)
+    expected = {}
+    d, week = start, 1
+    while d <= end:
+        if d.month == 1 and d.day == 1:
+            week = 1
+        elif d.isoweekday() == 7:  # a Sunday after Jan 1 starts the next week
+            week += 1
+        expected[d] = (week, d.isoweekday() % 7 + 1, d.strftime("%A"), d.strftime("%B"),
+                       d.isoweekday() in (6, 7))
+        d += dt.timedelta(days=1)
+    got = {r.CalendarDate: (r.WeekOfYear, r.DayOfWeek, r.DayName, r.MonthName, r.IsWeekend)
+           for r in dim_date(spark, start, end).collect()}
+    assert got == expected
