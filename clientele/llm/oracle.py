@@ -16,4 +16,48 @@ SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept,
 FROM t JOIN g USING (norm)
 """
 
-SQL = {"op9_exact_dedup": OP9}
+_WORDS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP3 = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                    '{_WORDS}') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                     '{_WORDS}') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS win
+  FROM (SELECT item_id, w, least(10, len(w)) AS n,
+               unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+        FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+hit AS (SELECT DISTINCT doc_id, s, n, item_id FROM dw JOIN bw USING (win, n)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(s, s + n)) AS p
+              FROM (SELECT DISTINCT doc_id, s, n FROM hit)) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items,
+               string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+OP4 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n
+  FROM pages),
+f AS (SELECT html, min(page_id) AS first_id FROM p GROUP BY html)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM p JOIN f USING (html)
+"""
+
+SQL = {"op4_warc": OP4,
+       "op3_decontaminate": OP3,
+       "op9_exact_dedup": OP9}

@@ -8,11 +8,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm import oracle
+from clientele.llm.decontaminate import decontaminate
 from clientele.llm.exact_dedup import exact_dedup
-from clientele.llm.staging import read_table
+from clientele.llm.mixing import mix_sources
+from clientele.llm.sharding import kd_shards
+from clientele.llm.staging import Staging, read_table
 from clientele.llm.token_counts import TokenizerSpec, token_counts
+from clientele.llm.warc import read_warc, write_warc
 
 TOKEN_LIMIT = 2048
+SHARDS = 8
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(read_table(spark, sf_dir, "documents"),
+                          read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Staging(spark, "archives").path
+    write_warc(read_table(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards(read_table(spark, sf_dir, "documents"), shards=SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +61,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_decontaminate": op3_decontaminate,
+        "op4_warc": op4_warc,
+        "op5_kd_shards": op5_kd_shards,
+        "op7_mix_sources": op7_mix_sources,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_token_counts": op10_token_counts,
     }
