@@ -11,6 +11,7 @@ from clientele.llm import oracle
 from clientele.llm.decontaminate import decontaminate
 from clientele.llm.exact_dedup import exact_dedup
 from clientele.llm.mixing import mix_sources
+from clientele.llm.secret_scan import scan_secrets
 from clientele.llm.sharding import kd_shards
 from clientele.llm.staging import Staging, read_table
 from clientele.llm.token_counts import TokenizerSpec, token_counts
@@ -47,6 +48,22 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(read_table(spark, sf_dir, "documents"))
+    base = F.filter("findings", lambda f: f["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(findings):
+        return F.array_join(F.transform(findings, lambda f: F.concat_ws(
+            ":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("findings")).alias("spans"), "closed_layers")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -65,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_warc": op4_warc,
         "op5_kd_shards": op5_kd_shards,
         "op7_mix_sources": op7_mix_sources,
+        "op8_secrets": op8_secrets,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_token_counts": op10_token_counts,
     }
