@@ -10,17 +10,27 @@ from pyspark.sql import functions as F
 from clientele.llm import oracle
 from clientele.llm.decontaminate import decontaminate
 from clientele.llm.exact_dedup import exact_dedup
+from clientele.llm.labelled import held_out
 from clientele.llm.mixing import mix_sources
+from clientele.llm.quality import THRESHOLD, fit_quality, score_quality
 from clientele.llm.secret_scan import scan_secrets
 from clientele.llm.sharding import kd_shards
 from clientele.llm.staging import Staging, read_table
 from clientele.llm.token_counts import TokenizerSpec, token_counts
+from clientele.llm.toxicity import fit_toxicity, score_toxicity
 from clientele.llm.warc import read_warc, write_warc
 
 TOKEN_LIMIT = 2048
 SHARDS = 8
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(read_table(spark, sf_dir, "documents"),
                           read_table(spark, sf_dir, "benchmark"))
@@ -43,6 +53,12 @@ def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_quality(docs, read_table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).withColumn("kept", F.col("score") >= THRESHOLD)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
@@ -78,9 +94,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_toxicity": op2_toxicity,
         "op3_decontaminate": op3_decontaminate,
         "op4_warc": op4_warc,
         "op5_kd_shards": op5_kd_shards,
+        "op6_quality": op6_quality,
         "op7_mix_sources": op7_mix_sources,
         "op8_secrets": op8_secrets,
         "op9_exact_dedup": op9_exact_dedup,
