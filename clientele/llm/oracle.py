@@ -47,6 +47,32 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+OP1 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM w
+        WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * k >= 75 * (x.n + y.n - k)),
+both_ways AS MATERIALIZED (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM n
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON e.a = r.other),
+c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id,
+       coalesce(component_id, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
 OP4 = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n
@@ -58,6 +84,7 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(html) AS payload_dige
 FROM p JOIN f USING (html)
 """
 
-SQL = {"op4_warc": OP4,
+SQL = {"op1_near_duplicates": OP1,
+       "op4_warc": OP4,
        "op3_decontaminate": OP3,
        "op9_exact_dedup": OP9}

@@ -11,6 +11,7 @@ from clientele.llm import oracle
 from clientele.llm.decontaminate import decontaminate
 from clientele.llm.exact_dedup import exact_dedup
 from clientele.llm.labelled import held_out
+from clientele.llm.minhash_dedup import near_duplicates
 from clientele.llm.mixing import mix_sources
 from clientele.llm.quality import THRESHOLD, fit_quality, score_quality
 from clientele.llm.secret_scan import scan_secrets
@@ -24,6 +25,10 @@ TOKEN_LIMIT = 2048
 SHARDS = 8
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
@@ -94,6 +99,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_near_duplicates": op1_near_duplicates,
         "op2_toxicity": op2_toxicity,
         "op3_decontaminate": op3_decontaminate,
         "op4_warc": op4_warc,

@@ -136,9 +136,9 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
     total = np.full(n, size, dtype=np.uint64)
-    factor = 0x9E3779B97F4A7C15
+    factors = mix(np.arange(1, size + 1, dtype=np.uint64)) | np.uint64(1)  # unrelated odd numbers
     for k in range(size):
-        total += hashes[k:k + n] * np.uint64((factor * (2 * k + 1)) % (1 << 64) | 1)
+        total += hashes[k:k + n] * factors[k]
     return mix(total)
 
 
