@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.staging import Staging
+from clientele.llm.staging import Staging, row_key
 from clientele.llm.words import ALPHANUMERIC, blocks, whole_shingles
 
 WINDOW = 10
@@ -126,9 +126,9 @@ def _candidates(sizes: list[int], bitmap: np.ndarray, window: int):
                 kind = pa.struct([("h", pa.int64()), ("at", pa.int32()), ("lead", pa.int32()),
                                   ("near", pa.list_(pa.string()))])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"),
+                    [part.column("doc_id"), part.column("key"),
                      pa.array(np.diff(words.first).astype(np.int64)),
-                     pa.array(found, pa.list_(kind))], names=["doc_id", "n_words", "found"])
+                     pa.array(found, pa.list_(kind))], names=["doc_id", "key", "n_words", "found"])
     return run
 
 
@@ -147,11 +147,11 @@ def _covered(places):
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   id_col: str = "doc_id", text_col: str = "text",
                   item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Per document: id, n_words, n_hit, items (sorted array of item ids as strings)."""
+    """Per document: id, n_words, n_hit, items (sorted array of item ids as strings), row_key."""
     stage = Staging(docs.sparkSession, "decontaminate")
     items = benchmark.select(F.col(item_id_col).cast("long").alias("item_id"),
                              F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     owned = stage.put(items.mapInArrow(
@@ -173,7 +173,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
     rows = texts.mapInArrow(
         _candidates(sizes, _bitmap(prefix.select("h")), window),
-        "doc_id long, n_words long, found array<struct<h:long,at:int,lead:int,near:array<string>>>")
+        "doc_id long, key long, n_words long, found array<struct<h:long,at:int,lead:int,near:array<string>>>")
     rows = stage.put(rows.withColumn("row", F.monotonically_increasing_id()), "candidates")
 
     tokens = (rows.where(F.size("found") > 0).select("row", F.explode("found").alias("c"))
@@ -195,7 +195,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                                  .alias("items")))
     # staged, so that the join below is between narrow tables of known size
     judged = stage.put(covered.join(named, "row", "left"), "judged")
-    return rows.select("row", "doc_id", "n_words").join(judged, "row", "left").select(
+    return rows.select("row", "doc_id", "key", "n_words").join(judged, "row", "left").select(
         F.col("doc_id").alias(id_col), "n_words",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.col("key").alias("row_key"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns as they are, without any benchmark window."""
+    found = decontaminate(docs, benchmark, window, id_col, text_col)
+    hit = found.where("n_hit > 0").select(F.col("row_key").alias("_row_key"))
+    return (docs.withColumn("_row_key", row_key(id_col, text_col))
+            .join(hit, "_row_key", "left_anti").drop("_row_key"))

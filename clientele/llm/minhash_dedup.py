@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.llm.components import connected_components
-from clientele.llm.staging import Staging
+from clientele.llm.staging import Staging, row_key
 from clientele.llm.words import NOT_SPACE, Words, blocks, mix, shingle_hashes
 
 SHINGLE = 5
@@ -253,13 +253,11 @@ def _prefix_pairs(stage: Staging, texts: DataFrame, nodes: DataFrame, threshold:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Per row: id, n_shingles, component_id, kept (the row's id is its group's)."""
+    """Per row: id, n_shingles, component_id, kept (the row's id is its group's), row_key."""
     stage = Staging(docs.sparkSession, "near-duplicates")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # rows without id are found again by their content
     found = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                        F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text)).alias("key"),
-                        text.alias("text"))
+                        row_key(id_col, text_col).alias("key"), text.alias("text"))
     sketched = stage.put(found.mapInArrow(_sketch_rows(bands, rows), SKETCHED), "sketches")
     classes = stage.put(
         sketched.where("n_shingles > 0").groupBy("d1", "d2")
@@ -326,6 +324,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        "firsts")
     named = stage.put(grouped.join(firsts, "component").select("d1", "d2", "component_id"), "named")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return (sketched.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
+    return (sketched.select("doc_id", "key", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
             .select(F.col("doc_id").alias(id_col), "n_shingles", own.alias("component_id"),
-                    F.col("doc_id").eqNullSafe(own).alias("kept")))
+                    F.col("doc_id").eqNullSafe(own).alias("kept"), F.col("key").alias("row_key")))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               threshold: int = THRESHOLD) -> DataFrame:
+    """The documents without their near-duplicates: of every group the row with the
+    smallest id stays, with all its columns. Empty texts are no duplicates of each other."""
+    found = near_duplicates(docs, id_col, text_col, threshold)
+    alone = F.when(F.col("n_shingles") == 0, F.col("row_key"))
+    first = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), "row_key")).alias("first")
+    chosen = (found.groupBy("component_id", alone.alias("alone")).agg(first)
+              .select(F.col("first.row_key").alias("_row_key")))
+    # equal rows share a key: one of them stays
+    return (docs.withColumn("_row_key", row_key(id_col, text_col))
+            .join(chosen, "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key"))

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.llm.selection import crossing_keys
-from clientele.llm.staging import Staging
+from clientele.llm.staging import Staging, row_key
 from clientele.operators.ranking import global_row_number
 
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -123,13 +123,13 @@ def solve_multipliers(stage: Staging, rows: DataFrame, sources: DataFrame, cap:
 def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
                 cap: float = CAP, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source") -> DataFrame:
-    """Per row: id, source, size, source_size, target, rate, copies, taken."""
+    """Per row: id, source, size, source_size, target, rate, copies, taken, row_key."""
     stage = Staging(docs.sparkSession, "mixing")
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(
         F.col(id_col).alias("row_id"), F.col(source_col).cast("string").alias("source"),
         F.regexp_count(text, F.lit(TOKEN)).cast("long").alias("size"),
-        F.xxhash64(F.col(id_col), text).alias("hash"))
+        row_key(id_col, text_col).alias("hash"))
     base = stage.put(base, "rows")
     sizes = F.col("size").cast("double")
     sources = base.groupBy("source").agg(
@@ -152,7 +152,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: floa
                     F.lit(float((1 << KEY_BITS) - 1))).cast("long")
     rated = stage.put(
         rated.withColumn("key", order)
-        .select("s", "row_id", "source", "size", "key", "rate", "copies", "fraction"), "rated")
+        .select("s", "row_id", "source", "size", "hash", "key", "rate", "copies", "fraction"), "rated")
 
     more = (F.col("fraction") > 0) & (F.col("size") > 0)
     for k in range(1 + FILL_ROUNDS):
@@ -178,4 +178,20 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: floa
     facts = sources.select("s", F.col("tokens").alias("source_size"), "target")
     return rated.join(facts, "s").select(
         F.col("row_id").alias(id_col), "source", "size", "source_size", "target", "rate",
-        "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        "copies", (F.col("copies") * F.col("size")).alias("taken"), F.col("hash").alias("row_key"))
+
+
+def take_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
+             cap: float = CAP, id_col: str = "doc_id", text_col: str = "text",
+             source_col: str = "source") -> DataFrame:
+    """The mix itself: every document as many times as it has copies, all columns as they are."""
+    plan = (mix_sources(docs, weights, share, cap, id_col, text_col, source_col)
+            .where("copies > 0")
+            .select(F.col("row_key").alias("_row_key"), F.col("source").alias("_source"),
+                    F.col("copies").alias("_copies")).distinct())
+    keyed = docs.withColumn("_row_key", row_key(id_col, text_col))
+    return (keyed.join(plan.withColumnRenamed("_row_key", "_plan_key"),
+                       (F.col("_row_key") == F.col("_plan_key"))
+                       & F.col(source_col).cast("string").eqNullSafe(F.col("_source")))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+            .select(*(keyed[c] for c in docs.columns)))

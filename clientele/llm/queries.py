@@ -26,7 +26,7 @@ SHARDS = 8
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents"))
+    return near_duplicates(read_table(spark, sf_dir, "documents")).drop("row_key")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

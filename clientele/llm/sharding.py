@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from clientele.llm.selection import crossing_keys, key_bits
-from clientele.llm.staging import Staging
+from clientele.llm.staging import Staging, row_key
 
 TIE_BITS = 32
 
@@ -56,8 +56,9 @@ def _pick(nodes: dict[int, str], dims: Sequence[str], lowest: dict[str, int]) ->
 
 def kd_shards(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars"),
               target_bytes: int | None = None, shards: int | None = None,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, size, text_crc32, shard, slot.
+              id_col: str = "doc_id", text_col: str = "text",
+              key_col: str | None = None) -> DataFrame:
+    """Per row: id, size, text_crc32, shard, slot, row_key (``key_col`` or a hash of id and text).
 
     Give ``target_bytes`` (leaves of about that size) or the number of ``shards``.
     """
@@ -68,7 +69,8 @@ def kd_shards(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars
     rows = docs.select(
         F.col(id_col).alias("row_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("crc"),
-        F.xxhash64(F.col(id_col), text).bitwiseAND(F.lit((1 << TIE_BITS) - 1)).alias("tie"),
+        (F.col(key_col) if key_col else row_key(id_col, text_col)).alias("key_of_row"),
+        row_key(id_col, text_col).bitwiseAND(F.lit((1 << TIE_BITS) - 1)).alias("tie"),
         *(dimension(docs, d).alias(n) for d, n in zip(dims, names)))
     rows = stage.put(rows, "rows")
 
@@ -129,7 +131,7 @@ def kd_shards(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars
             leaves[n], leaves[n + k // 2] = k // 2, k - k // 2
         level += 1
 
-    placed = rows.select("row_id", "size", "crc", F.col("node").alias("shard"),
+    placed = rows.select("row_id", "key_of_row", "size", "crc", F.col("node").alias("shard"),
                          F.spark_partition_id().alias("part"),
                          F.monotonically_increasing_id().alias("at"))
     placed = stage.put(placed, "placed")
@@ -142,4 +144,16 @@ def kd_shards(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars
     numbered = placed.withColumn("nth", F.row_number().over(inside) - 1)
     return numbered.join(offsets, ["shard", "part"]).select(
         F.col("row_id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "shard",
-        (F.col("offset") + F.col("nth")).cast("long").alias("slot"))
+        (F.col("offset") + F.col("nth")).cast("long").alias("slot"),
+        F.col("key_of_row").alias("row_key"))
+
+
+def shard_documents(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars"),
+                    target_bytes: int | None = None, shards: int | None = None,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns as they are, with shard and slot."""
+    # rows equal in all columns are interchangeable: one of them fills all their slots
+    keyed = docs.withColumn("_row_key", F.xxhash64(*docs.columns))
+    placed = kd_shards(keyed, dims, target_bytes, shards, id_col, text_col, key_col="_row_key")
+    slots = placed.select(F.col("row_key").alias("_row_key"), "shard", "slot")
+    return keyed.dropDuplicates(["_row_key"]).join(slots, "_row_key").drop("_row_key")

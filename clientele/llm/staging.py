@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clientele.session import ensure_checkpoint_dir
 
@@ -42,3 +43,8 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """A hash of id and text, by which rows are found again where ids are null or repeat."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
