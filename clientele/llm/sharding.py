@@ -151,7 +151,9 @@ def kd_shards(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars
 def shard_documents(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars"),
                     target_bytes: int | None = None, shards: int | None = None,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns as they are, with shard and slot."""
+    """The documents, all columns as they are, with shard and slot (in place of columns of
+    these names, if there are any)."""
+    docs = docs.drop("shard", "slot")
     # rows equal in all columns are interchangeable: one of them fills all their slots
     keyed = docs.withColumn("_row_key", F.xxhash64(*docs.columns))
     placed = kd_shards(keyed, dims, target_bytes, shards, id_col, text_col, key_col="_row_key")

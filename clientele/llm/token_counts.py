@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm.staging import Staging
+from clientele.llm.staging import Staging, row_key
 
 CACHE_SCHEMA = "digest binary, tokenizer binary, n_tokens long"
 MEMO_PIECES = 600_000
@@ -109,9 +109,15 @@ def count_texts(spec: TokenizerSpec, texts: list[str]) -> list[int]:
 
 def _encode(spec: TokenizerSpec):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
+                digests = part.column(0).to_pylist()
+                # repeated rows arrive side by side; one of them is encoded
+                fresh = [i for i, d in enumerate(digests) if d != (digests[i - 1] if i else last)]
+                last = digests[-1]
+                part = part.take(pa.array(fresh, pa.int64()))
                 counts = count_texts(spec, part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
@@ -140,18 +146,19 @@ def token_counts(docs: DataFrame, spec: TokenizerSpec, cache_path: str | None =
     tokenizer = spec.digest()
     content = spec.normalised(F.col(text_col))
     digest = F.unhex(F.sha2(content, 256))
-    rows = docs.select(F.col(id_col).alias("row_id"), digest.alias("digest"),
+    rows = docs.select(F.col(id_col).alias("row_id"), row_key(id_col, text_col).alias("row"),
+                       digest.alias("digest"),
                        F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long")
                        .alias("n_bytes"))
     known = cached_counts(spark, cache_path, tokenizer)
-    misses = (rows.groupBy("digest").agg(F.min("row_id").alias("row_id"))
+    misses = (rows.groupBy("digest").agg(F.min("row").alias("row"))
               .join(known, "digest", "left_anti"))
-    texts = docs.select(F.col(id_col).alias("text_id"), content.alias("content"))
-    chosen = (misses.join(texts, F.col("row_id").eqNullSafe(F.col("text_id")))
-              .select("digest", "content"))
-    # an id that repeats with other texts would bring texts of other digests
-    chosen = chosen.where(F.unhex(F.sha2("content", 256)) == F.col("digest"))
+    texts = docs.select(row_key(id_col, text_col).alias("row"), content.alias("content"))
+    # the digest says which text is meant, should two rows share a key
+    chosen = (misses.join(texts, "row").select("digest", "content")
+              .where(F.unhex(F.sha2("content", 256)) == F.col("digest")))
     fresh = (chosen.mapInArrow(_encode(spec), "digest binary, n_tokens long")
+             .dropDuplicates(["digest"])  # repeated rows bring their text more than once
              .withColumn("tokenizer", F.lit(bytearray(tokenizer))))
     (fresh.select("digest", "tokenizer", "n_tokens")
      .write.mode("append").option("compression", "zstd").parquet(cache_path))
