@@ -44,17 +44,19 @@ def baskets(items: DataFrame, item_col: str = "ProductName") -> DataFrame:
 
 
 def basket_stats(items: DataFrame, item_col: str = "ProductName") -> DataFrame:
-    per_order = items.groupBy("OrderNumber").agg(F.count(F.lit(1)).alias("_lines"))
-    lines = per_order.agg(F.sum("_lines").alias("Lines"), F.count(F.lit(1)).alias("Orders"))
-    distinct_items = items.select(F.count_distinct(item_col)).scalar()
-    return lines.select(
-        "Lines", "Orders",
-        F.try_divide(F.col("Lines").cast("double"), F.col("Orders").cast("double")).alias("AvgLinesPerOrder"),
-        distinct_items.alias("DistinctItems"))
+    # one read: per order its lines and distinct items, then per item; both are partial sums
+    pairs = items.groupBy("OrderNumber", F.col(item_col).alias("_item")).agg(
+        F.count(F.lit(1)).alias("_lines"))
+    return pairs.agg(
+        F.coalesce(F.sum("_lines"), F.lit(0)).alias("Lines"),
+        F.count_distinct("OrderNumber").alias("Orders"),
+        F.try_divide(F.sum("_lines").cast("double"), F.count_distinct("OrderNumber").cast("double"))
+        .alias("AvgLinesPerOrder"),
+        F.count_distinct("_item").alias("DistinctItems"))
 
 
 def frequent_itemsets(basket_df: DataFrame, min_support: float = MIN_SUPPORT,
-                      max_len: int | None = None, num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None) -> DataFrame:
     """items (sorted array), Length, Count, support.
 
     FP-growth keeps ``count >= ceil(min_support * n)``; the source keeps
@@ -78,30 +80,46 @@ def frequent_itemsets(basket_df: DataFrame, min_support: float = MIN_SUPPORT,
                        F.col("freq").alias("Count"),
                        (F.col("freq").cast("double") / F.lit(float(n))).alias("support"))
     out = out.where(F.col("support") >= F.lit(min_support))
-    if max_len is not None:
-        out = out.where(F.col("Length") <= max_len)
     return cut_lineage(out)
 
 
 def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """All-split rules of ``frequent_itemsets`` output, filtered by confidence."""
-    multi = itemsets.where(F.col("Length") >= 2).select("items", "Length", "support")
-    splits = multi.select(
-        "items", "support",
-        F.explode(F.sequence(F.lit(1), F.expr("cast(pow(2, Length) as int) - 2"))).alias("mask"))
-    sides = splits.select(
-        F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 1)").alias("antecedent"),
-        F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 0)").alias("consequent"),
-        F.col("support").alias("s"))
+    itemsets = cut_lineage(itemsets.select("items", "Length", "support"))
     supports = itemsets.select("items", "support")
-    a = supports.select(F.col("items").alias("antecedent"), F.col("support").alias("sA"))
+    antecedents = supports.select(F.col("items").alias("antecedent"), F.col("support").alias("sA"))
+    last = F.lit(0)  # place of the consequent's last item; the next one comes after it
+    level = (itemsets.where("Length >= 2")
+             .select("items", "support", F.array().cast("array<string>").alias("consequent"),
+                     last.alias("last")))
+    longest = itemsets.agg(F.max("Length")).first()[0] or 0
+    levels = []
+    for _ in range(1, longest):
+        grown = (level.where(F.size("consequent") + 1 < F.size("items"))
+                 .where(F.col("last") < F.size("items"))
+                 .withColumn("next", F.explode(F.sequence(F.col("last") + 1, F.size("items"))))
+                 .select("items", "support", F.col("next").alias("last"),
+                         F.concat("consequent", F.array(F.element_at("items", F.col("next"))))
+                         .alias("consequent")))
+        grown = grown.withColumn("antecedent", F.array_except("items", "consequent"))
+        level = cut_lineage(grown.join(antecedents, "antecedent")
+                            .where(F.col("support") / F.col("sA") >= F.lit(min_confidence)))
+        if not level.take(1):
+            break
+        levels.append(level)
+    if not levels:
+        level = level.withColumns({"antecedent": F.col("consequent"), "sA": F.lit(0.0)}).where(F.lit(False))
+        levels.append(level)
+    sides = levels[0].select("antecedent", "consequent", "sA", "support")
+    for more in levels[1:]:
+        sides = sides.unionByName(more.select("antecedent", "consequent", "sA", "support"))
     c = supports.select(F.col("items").alias("consequent"), F.col("support").alias("sC"))
-    r = sides.join(a, "antecedent").join(c, "consequent")
+    r = sides.withColumnRenamed("support", "s").join(c, "consequent")
     s, sa, sc = F.col("s"), F.col("sA"), F.col("sC")
     confidence = s / sa
     leverage = s - sa * sc
     zhang_den = F.greatest(s * (F.lit(1.0) - sa), sa * (sc - s))
-    r = r.select(
+    return r.select(
         "antecedent", "consequent",
         sa.alias("antecedent_support"), sc.alias("consequent_support"), s.alias("support"),
         confidence.alias("confidence"),
@@ -111,7 +129,6 @@ def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENC
          .otherwise(F.lit(float("inf"))).alias("conviction"),
         F.when(zhang_den == F.lit(0.0), F.lit(0.0)).otherwise(leverage / zhang_den).alias("zhangs_metric"),
     )
-    return r.where(F.col("confidence") >= F.lit(min_confidence))
 
 
 def rules_as_text(rules: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from clientele.functions.dates import month_boundaries
 from clientele.functions.numeric import round2, safe_ratio
 from clientele.operators.ranking import top_k
+from clientele.session import cut_lineage
 
 OFFSET = "MonthsSinceCohort"
 
@@ -72,11 +73,11 @@ def cohort_retention(base: DataFrame, denominator: str = "first_offset") -> Data
     """Long form: Cohort, MonthsSinceCohort, Customers, Denominator, RetentionPct."""
     cells = _cells(base)
     if denominator == "first_offset":
-        first = base.where(F.col(OFFSET).isNotNull()).select(F.min(OFFSET)).scalar()
+        first = F.min(OFFSET).over(Window.partitionBy())  # over the aggregated cells: bounded by months
         per_cohort = Window.partitionBy("Cohort")  # one row per observed offset: bounded
-        denom = F.coalesce(F.max(F.when(F.col(OFFSET) == first, F.col("Customers"))).over(per_cohort),
-                           F.lit(0).cast("long"))
-        out = cells.withColumn("Denominator", denom)
+        denom = F.coalesce(F.max(F.when(F.col(OFFSET) == F.col("_first"), F.col("Customers")))
+                           .over(per_cohort), F.lit(0).cast("long"))
+        out = cells.withColumn("_first", first).withColumn("Denominator", denom).drop("_first")
     elif denominator == "cohort_size":
         sizes = base.groupBy(F.col("CohortMonth").alias("Cohort")).agg(
             F.count("CustomerKey").alias("Denominator"))
@@ -98,8 +99,10 @@ def to_wide(long: DataFrame, value: str, index: str = "Cohort", column: str = OF
     """Pivot a long cohort table; one column per observed offset, named by the offset.
 
     The offsets are collected first (one value per month of history, so bounded) and
-    passed to ``pivot`` so Spark does not need its own discovery pass.
+    passed to ``pivot`` so Spark does not need its own discovery pass. The long table (a
+    row per cohort and month) is written first, so the facts behind it are read once.
     """
+    long = cut_lineage(long)
     offsets = sorted(r[0] for r in long.select(column).where(F.col(column).isNotNull())
                      .distinct().collect())
     wide = long.groupBy(index).pivot(column, offsets).agg(F.first(value))
@@ -119,6 +122,16 @@ def retention_wide(base: DataFrame) -> DataFrame:
                                      for o in offsets])
 
 
+def to_long(wide: DataFrame, value: str, index: str = "Cohort", column: str = OFFSET) -> DataFrame:
+    """A wide matrix as (index, column, value) over its full grid."""
+    offsets = [c for c in wide.columns if c != index]
+    if not offsets:
+        return wide.select(index, F.lit(None).cast("int").alias(column),
+                           F.lit(None).cast("double").alias(value)).where(F.lit(False))
+    long = wide.unpivot([index], [f"`{o}`" for o in offsets], column, value)
+    return long.withColumn(column, F.col(column).cast("int"))
+
+
 def cohort_top_revenue(base: DataFrame, k: int = 5) -> DataFrame:
     rev = base.groupBy(F.col("CohortMonth").alias("Cohort")).agg(
         F.sum("TotalSpend").cast("double").alias("TotalRevenue"))

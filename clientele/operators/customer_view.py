@@ -11,22 +11,19 @@ Semantics of the source view:
 * MonthsActive counts distinct months of the year (1..12), not year-months.
 * RecencyDays counts day boundaries from the last sale *timestamp* to ``as_of``.
 
-Plan: filter facts, join the two dimensions, aggregate once per customer (partial
-aggregation before the shuffle, so a customer with a third of all lines still sends
-one row per map task), then join the customer dimension on its key.
-
-The three maxima and the distinct category count are taken over ``collect_set``
-buffers (bounded by the number of distinct regions / categories, not by the number
-of lines): that keeps the whole aggregate in one hash-based (object) aggregation with
-a single shuffle, where ``max`` over strings plus ``count(DISTINCT)`` would need a
-sort-based aggregation and a second shuffle on (customer, category).
+Plan: plain hash aggregation throughout. Region names, countries, states and categories
+are coded as integers on their dimensions (codes follow the texts' order, so the maximum
+of codes is the maximum of texts); lines are joined with the codes only, aggregated by
+(customer, category) and then by customer, and the codes of the result are decoded. Both
+aggregations combine map-side, so a customer with a third of all lines sends one row per
+category and task.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientele.functions.dates import day_boundaries
@@ -52,29 +49,59 @@ def recency_category(days: Column) -> Column:
     return band.otherwise(F.lit(RECENCY_OTHER))
 
 
+def codes(dimension: DataFrame, column: str) -> DataFrame:
+    """(text, code): the distinct texts of a dimension's column, numbered in their order.
+
+    The window runs over the distinct texts of one attribute (countries, categories)."""
+    texts = dimension.select(column).where(F.col(column).isNotNull()).distinct()
+    return texts.withColumn(f"{column}Code", F.row_number().over(Window.orderBy(column)))
+
+
+PLACES = ("RegionName", "Country", "State")
+
+
+def coded_places(region: DataFrame) -> DataFrame:
+    """RegionKey, names and their codes, which follow the names' order; null has no code."""
+    def code(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.dense_rank().over(Window.orderBy(F.col(c))))
+    return region.select("RegionKey", *PLACES, *(code(c).alias(f"{c}Code") for c in PLACES))
+
+
 def purchase_metrics(sales: DataFrame, product: DataFrame, region: DataFrame,
                      purchase_flag: str = "N") -> DataFrame:
     """Per-customer aggregate over purchase lines (the CTE of the view)."""
+    coded_region = coded_places(region)
+    coded_product = (product.select("ProductKey", "Category")
+                     .join(codes(product, "Category"), "Category", "left"))
     lines = (sales.where(F.col("ReturnFlag") == purchase_flag)
              .select("CustomerKey", "ProductKey", "RegionKey", "TransactionDate",
                      "NetSalesAmount", "ReturnFlag"))
     lines = (lines
-             .join(region.select("RegionKey", "RegionName", "Country", "State"), "RegionKey", "left")
-             .join(product.select("ProductKey", "Category"), "ProductKey", "left"))
+             .join(coded_region.select("RegionKey", *(f"{c}Code" for c in PLACES)), "RegionKey", "left")
+             .join(coded_product.select("ProductKey", "CategoryCode"), "ProductKey", "left"))
     month_bit = F.call_function("shiftleft", F.lit(1), F.month("TransactionDate") - F.lit(1))
-    return lines.groupBy("CustomerKey").agg(
-        F.max("TransactionDate").alias("LastPurchaseDate"),
-        F.count(F.lit(1)).alias("TransactionCount"),
-        F.sum("NetSalesAmount").alias("TotalSpend"),
-        F.count_if(F.col("ReturnFlag") == "N").alias("PurchaseCount"),
-        F.count_if(F.col("ReturnFlag") == "Y").alias("ReturnCount"),
-        # distinct months of the year as a 12-bit set: no second distinct aggregate
-        F.bit_count(F.bit_or(month_bit)).cast("int").alias("MonthsActive"),
-        F.array_max(F.collect_set("RegionName")).alias("PrimaryRegion"),
-        F.array_max(F.collect_set("Country")).alias("Country"),
-        F.array_max(F.collect_set("State")).alias("State"),
-        F.size(F.collect_set("Category")).cast("long").alias("CategoriesPurchased"),
-    )
+    bought = F.col("ReturnFlag") == purchase_flag
+    by_category = lines.groupBy("CustomerKey", "CategoryCode").agg(
+        F.max("TransactionDate").alias("last"),
+        F.count(F.lit(1)).alias("lines"),
+        F.sum("NetSalesAmount").alias("spend"),
+        F.count_if(bought).alias("bought"),
+        F.count_if(~bought).alias("returned"),
+        F.bit_or(month_bit).alias("months"),  # months of the year as a 12-bit set
+        *(F.max(f"{c}Code").alias(f"{c}Code") for c in PLACES))
+    totals = by_category.groupBy("CustomerKey").agg(
+        F.max("last").alias("LastPurchaseDate"),
+        F.sum("lines").alias("TransactionCount"),
+        F.sum("spend").cast(by_category.schema["spend"].dataType).alias("TotalSpend"),
+        F.sum("bought").alias("PurchaseCount"),
+        F.sum("returned").alias("ReturnCount"),
+        F.bit_count(F.bit_or("months")).cast("int").alias("MonthsActive"),
+        *(F.max(f"{c}Code").alias(f"{c}Code") for c in PLACES),
+        F.count("CategoryCode").alias("CategoriesPurchased"))
+    for c in PLACES:
+        names = coded_region.select(f"{c}Code", c).where(F.col(c).isNotNull()).distinct()
+        totals = totals.join(names, f"{c}Code", "left").drop(f"{c}Code")
+    return totals.withColumnRenamed("RegionName", "PrimaryRegion")
 
 
 def customer_single_view(customer: DataFrame, sales: DataFrame, product: DataFrame,

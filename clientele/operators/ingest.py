@@ -21,10 +21,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from clientele.functions.dates import date_key
 from clientele.operators.ranking import global_row_number
+from clientele.session import cut_lineage
 from clientele.sources.schemas import RAW_TRANSACTIONS
 
 # Fixed values of the source load.
@@ -42,14 +43,22 @@ RAW_COLUMNS = [f.name for f in RAW_TRANSACTIONS.fields]
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header row; every column as text (no inference pass), extra columns
-    ignored, the required ones selected by name."""
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    missing = [c for c in RAW_COLUMNS if c not in raw.columns]
-    if missing and raw.columns:
-        raise ValueError(f"transaction file lacks columns {missing}")
-    if not raw.columns:
+    """CSV with a header row; every column as text, extra columns ignored, the required
+    ones selected by name.
+
+    The names come from one header; the schema made of them is explicit and every file's
+    own header is held against it (``enforceSchema`` off), so a file with another column
+    order fails instead of being read by position.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    if not names:
         return spark.createDataFrame([], RAW_TRANSACTIONS)
+    missing = [c for c in RAW_COLUMNS if c not in names]
+    if missing:
+        raise ValueError(f"transaction file lacks columns {missing}")
+    schema = StructType([StructField(n, StringType()) for n in names])
+    raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+           .option("mode", "PERMISSIVE").csv(path))
     return raw.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])
 
 
@@ -60,7 +69,8 @@ def parse_timestamp(text) -> F.Column:
 def ingest_transform(raw: DataFrame) -> DataFrame:
     customer_id = F.concat(F.lit(CUSTOMER_PREFIX), F.col("`Customer ID`"))
     category = F.col("`Product Category`")
-    quantity = F.col("`Quantity`").try_cast("int")
+    # whole numbers also come as "2.0": read as a number, then cut to an integer
+    quantity = F.col("`Quantity`").try_cast("double").try_cast("int")
     unit_price = F.col("`Price per Unit`").try_cast("double")
     return raw.select(
         F.concat(F.lit(ORDER_PREFIX), F.col("`Transaction ID`")).alias("OrderID"),
@@ -83,8 +93,10 @@ def upsert_dim(existing: DataFrame, feed: DataFrame, business_key: str, surrogat
                attributes: Sequence[str]) -> DataFrame:
     """Rows to append to a dimension: one per new business key, numbered after the
     dimension's largest surrogate key. When the feed spells one key several ways, the
-    smallest attribute tuple wins (the feed has no meaningful row order)."""
-    firsts = (feed.where(F.col(business_key).isNotNull())
+    smallest attribute tuple wins (the feed has no meaningful row order). Spellings are
+    made distinct first, by a hash aggregate, so only they are compared, not feed rows."""
+    spellings = feed.where(F.col(business_key).isNotNull()).select(business_key, *attributes).distinct()
+    firsts = (cut_lineage(spellings)
               .groupBy(business_key)
               .agg(F.min(F.struct(*attributes)).alias("_first"))
               .select(business_key, *[F.col(f"_first.{a}").alias(a) for a in attributes]))
@@ -122,6 +134,7 @@ def _reject_reason() -> F.Column:
     return (F.when(F.col("OrderDate").isNull(), F.lit("bad_date"))
              .when(F.col("Quantity").isNull(), F.lit("bad_quantity"))
              .when(F.col("UnitPrice").isNull(), F.lit("bad_price"))
+             .when(F.col("NetSalesAmount").isNull(), F.lit("bad_amount"))
              .when(F.col("CustomerKey").isNull(), F.lit("unknown_customer"))
              .when(F.col("ProductKey").isNull(), F.lit("unknown_product"))
              .when(F.col("RegionKey").isNull(), F.lit("no_region"))
@@ -163,8 +176,7 @@ def load_facts(classified: DataFrame, existing_sales: DataFrame | None = None) -
         start = existing_sales.select(
             F.greatest(F.coalesce(F.max("SalesID"), F.lit(0)), F.lit(FIRST_SALES_ID - 1)).cast("long")).scalar()
     order = [F.col(c).asc() for c in facts.columns]
-    # fact feeds are large by nature: no size probe, straight to the distributed plan
-    numbered = global_row_number(facts, order, rank_col="_n", single_task_max_rows=0)
+    numbered = global_row_number(facts, order, rank_col="_n")
     return numbered.select((start + F.col("_n")).alias("SalesID"), *facts.columns)
 
 

@@ -1,56 +1,46 @@
-"""Exact global row numbers without a single-partition window.
+"""Exact global row numbers and order statistics without a single-partition window.
 
 ``row_number() OVER (ORDER BY ...)`` with no PARTITION BY moves every row into one
-task. Instead:
+task. Instead ``global_row_number``:
 
-1. range-partition the rows on the full sort order (Spark samples the keys and cuts
+1. range-partitions the rows on the full sort order (Spark samples the keys and cuts
    the key space into P contiguous ranges; a heavy tie on the first sort column is
-   split by the later columns, so no range holds a hot group), sort each range and
-   tag every row with its partition and position (``monotonically_increasing_id``:
+   split by the later columns, so no range holds a hot group), sorts each range and
+   tags every row with its partition and position (``monotonically_increasing_id``:
    partition in the high bits, position in the low 33 bits);
-2. write that to the reliable checkpoint folder, so the two consumers below read the
-   very same partitions in the very same order, also after an executor is lost, and
-   later plans start from a short lineage. ``materialize=False`` persists instead
-   (lazy, and still consistent under executor loss: lost blocks are recomputed
-   through the same shuffle dependency, whose range bounds are fixed, and the total
-   order gives back the same rows in the same order; measured slower here because
-   every later plan re-plans and re-matches the cached sub-plans);
-3. count rows per partition (P rows), turn the counts into offsets with a running
-   sum over those P rows, and broadcast them (size bounded by P);
+2. writes that as a table in the shared folder, so that the two consumers below read
+   the very same tags, also after an executor is lost;
+3. counts rows per partition (P rows) and turns the counts into offsets with a running
+   sum over those P rows; the offsets are broadcast (size bounded by P);
 4. row number = offset of the partition + position inside the partition.
 
-Range partitioning reads its input twice (a sampling pass for the bounds, then the
-shuffle), so an expensive input should itself be materialised first (``keep_input``
-persists it, or the caller checkpoints it, as ``rfm_scores`` does).
+``rows_at`` finds the rows at a few positions of a total order (cut points of quantiles,
+medians) without ranking or shuffling anything: it narrows a bracket around each
+position. Every step counts, in one aggregation, the rows before a few sampled
+splitters of each bracket and keeps the part that holds the position, until a bracket
+has at most ``BRACKET_ROWS`` rows left, of which the right one is taken. Rows are read, never moved; what
+reaches the driver is a handful of splitters per position.
 
-Small inputs take a cheaper exact plan, chosen behind a size check like broadcast
-versus shuffle: a probe counts at most ``single_task_max_rows + 1`` rows, and when the
-input is no larger than that, one ``row_number()`` window in a single task ranks it.
-Above the bound the distributed plan runs, so no task ever holds more than the bound.
-
-The order must be total (end it with a unique key); ties would otherwise be broken by
-whatever order the ranges are read in.
+The same plan runs at every size. The order must be total (end it with a unique key);
+ties would otherwise be broken by whatever order the ranges are read in.
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientele.session import cut_lineage
 
-SINGLE_TASK_MAX_ROWS = 100_000
-
 _PID = "_rank_pid"
 _MID = "_rank_mid"
 
-
-def fits_one_task(df: DataFrame, max_rows: int = SINGLE_TASK_MAX_ROWS) -> bool:
-    """Size check: does ``df`` have at most ``max_rows`` rows? Counts at most max_rows + 1."""
-    return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
+SPLITTERS = 96     # counted together in one aggregation
+BRACKET_ROWS = 256
 
 
 def default_partitions(df: DataFrame) -> int:
@@ -58,30 +48,12 @@ def default_partitions(df: DataFrame) -> int:
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], rank_col: str = "row_number",
-                      count_col: str | None = None, partitions: int | None = None,
-                      materialize: bool = True, keep_input: bool = False,
-                      single_task_max_rows: int = SINGLE_TASK_MAX_ROWS,
-                      known_small: bool | None = None) -> DataFrame:
-    """Add ``rank_col`` = 1..n in the given total order; optionally ``count_col`` = n.
-
-    ``known_small`` skips the size probe when the caller has already checked the size
-    against ``single_task_max_rows`` (True: single task, False: distributed).
-    """
-    if known_small is None:
-        known_small = fits_one_task(df, single_task_max_rows)
-    if known_small:
-        ordered = Window.orderBy(*order)
-        out = df.withColumn(rank_col, F.row_number().over(ordered).cast("long"))
-        if count_col:
-            whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            out = out.withColumn(count_col, F.count(F.lit(1)).over(whole))
-        return out.persist(StorageLevel.MEMORY_AND_DISK) if materialize else out
+                      count_col: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Add ``rank_col`` = 1..n in the given total order; optionally ``count_col`` = n."""
     p = partitions or default_partitions(df)
-    source = df.persist(StorageLevel.MEMORY_AND_DISK) if keep_input else df
-    ranged = source.repartitionByRange(p, *order).sortWithinPartitions(*order)
-    located = ranged.select("*", F.spark_partition_id().alias(_PID),
-                            F.monotonically_increasing_id().alias(_MID))
-    located = cut_lineage(located) if materialize else located.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = df.repartitionByRange(p, *order).sortWithinPartitions(*order)
+    located = cut_lineage(ranged.select("*", F.spark_partition_id().alias(_PID),
+                                        F.monotonically_increasing_id().alias(_MID)))
     sizes = located.groupBy(_PID).agg(F.count(F.lit(1)).alias("_rank_size"))
     running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = sizes.select(
@@ -97,6 +69,122 @@ def global_row_number(df: DataFrame, order: Sequence[Column], rank_col: str = "r
     return out.drop(_PID, _MID, "_rank_offset", "_rank_total")
 
 
+Order = Sequence[tuple[str, bool]]  # column, ascending
+
+
+def sort_columns(order: Order) -> list[Column]:
+    return [F.col(c).asc() if ascending else F.col(c).desc() for c, ascending in order]
+
+
+def sql_literal(value) -> str:
+    """SQL text of a value collected from an order column."""
+    if isinstance(value, bool):
+        return str(value).upper()
+    if isinstance(value, int):
+        return f"{value}L" if value >= 0 else f"(-{-value}L)"
+    if isinstance(value, Decimal):
+        return f"CAST('{value}' AS DECIMAL(38, {max(0, -value.as_tuple().exponent)}))"
+    if isinstance(value, float):
+        return f"CAST('{value!r}' AS DOUBLE)"
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP '{value}'"
+    if isinstance(value, datetime.date):
+        return f"DATE '{value}'"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def at_or_before(order: Order, values: Sequence) -> str:
+    """SQL condition: does a row stand at or before ``values`` in the order?
+
+    Text, because hundreds of these conditions are counted in one aggregation."""
+    (column, ascending), value = order[-1], sql_literal(values[-1])
+    met = f"`{column}` {'<=' if ascending else '>='} {value}"
+    for (column, ascending), value in list(zip(order, map(sql_literal, values)))[-2::-1]:
+        met = f"`{column}` {'<' if ascending else '>'} {value} OR (`{column}` = {value} AND ({met}))"
+    return f"({met})"
+
+
+def _inside(order: Order, bracket: tuple) -> str:
+    """Rows after the bracket's lower and up to its upper border."""
+    low, high = bracket
+    met = "TRUE" if high is None else at_or_before(order, high)
+    return met if low is None else f"({met} AND NOT {at_or_before(order, low)})"
+
+
+def rows_at(df: DataFrame, n: int, wanted: dict[str, tuple[Order, Sequence[int]]]
+            ) -> dict[str, dict[int, tuple]]:
+    """Per name, the order columns of the rows at 1-based positions of an order.
+
+    ``n`` is the number of rows of ``df``; no order column may be null. All orders are
+    narrowed together; ``df`` is read twice per step, and there are about
+    log(n) / log(SPLITTERS) steps.
+    """
+    columns = list(dict.fromkeys(c for order, _ in wanted.values() for c, _ in order))
+    keys = df.select(*columns)
+
+    def place(order: Order, row) -> tuple:
+        return tuple(row[c] for c, _ in order)
+
+    # position -> (lower border, upper border), rows up to the lower, rows up to the upper
+    state = {(name, p): ((None, None), 0, n) for name, (_, positions) in wanted.items()
+             for p in positions}
+    while True:
+        wide = {(name, bracket) for (name, _), (bracket, before, upto) in state.items()
+                if upto - before > BRACKET_ROWS}
+        if not wide:
+            break
+        each = max(3, SPLITTERS // len(wide))
+        wide = list(wide)
+        sampled = None
+        for i, (name, bracket) in enumerate(wide):  # rows of the bracket with the smallest hashes
+            part = (keys.where(_inside(wanted[name][0], bracket))
+                    .orderBy(F.xxhash64(F.lit(i), *columns), *columns).limit(each)
+                    .select(F.lit(i).alias("_bracket"), *columns))
+            sampled = part if sampled is None else sampled.union(part)
+        splitters: dict[int, list[tuple]] = {}
+        for row in sampled.collect():
+            splitters.setdefault(row["_bracket"], []).append(
+                place(wanted[wide[row["_bracket"]][0]][0], row))
+        counts = keys.selectExpr(
+            *(f"count_if({at_or_before(wanted[wide[i][0]][0], s)}) AS `{i}_{k}`"
+              for i, own in splitters.items() for k, s in enumerate(own))).first()
+        for (name, p), (bracket, before, upto) in list(state.items()):
+            if (name, bracket) not in wide or upto - before <= BRACKET_ROWS:
+                continue
+            i = wide.index((name, bracket))
+            low, high = bracket
+            for count, s in sorted((counts[f"{i}_{k}"], s) for k, s in enumerate(splitters[i])):
+                if count < p:
+                    low, before = s, count
+                else:
+                    high, upto = s, count
+                    break
+            state[name, p] = ((low, high), before, upto)
+    ends = list({(name, bracket) for (name, _), (bracket, _, _) in state.items()})
+    last = None
+    for i, (name, bracket) in enumerate(ends):
+        order = wanted[name][0]
+        part = (keys.where(_inside(order, bracket)).orderBy(*sort_columns(order)).limit(BRACKET_ROWS)
+                .select(F.lit(i).alias("_bracket"), *columns))
+        last = part if last is None else last.union(part)
+    rows: dict[int, list] = {i: [] for i in range(len(ends))}
+    for row in last.collect() if ends else []:
+        rows[row["_bracket"]].append(row)
+    out: dict[str, dict[int, tuple]] = {name: {} for name in wanted}
+    for (name, p), (bracket, before, _) in state.items():
+        order = wanted[name][0]
+        own = sort_rows([place(order, r) for r in rows[ends.index((name, bracket))]], order)
+        out[name][p] = own[p - before - 1]
+    return out
+
+
+def sort_rows(rows: list[tuple], order: Order) -> list[tuple]:
+    for k in reversed(range(len(order))):
+        rows = sorted(rows, key=lambda r: r[k], reverse=not order[k][1])
+    return rows
+
+
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """First k rows in ``order`` (make it total) with a 1-based ``Rank`` column (BIGINT).
 

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientele.functions.numeric import exact_mean, exact_sum, round2, round_to, safe_ratio
-from clientele.operators.ranking import global_row_number, top_k
+from clientele.operators.ranking import rows_at, top_k
 from clientele.operators.rfm import CHURN_SEGMENTS
 
 # Segments counted as "Champions + Loyal" in the KPI block.
@@ -32,10 +32,10 @@ def segment_summary(df: DataFrame) -> DataFrame:
 
 def segment_share(df: DataFrame) -> DataFrame:
     """Segment, customers, share of all customers (%), average spend."""
-    total = df.select(F.count(F.lit(1))).scalar()
     per = df.groupBy("Segment").agg(
         F.count(F.lit(1)).alias("Customers"),
         safe_ratio(F.sum("TotalSpend"), F.count("TotalSpend")).alias("AvgSpend"))
+    total = F.sum("Customers").over(Window.partitionBy())  # over one row per segment
     return per.withColumn("Percent", safe_ratio(F.col("Customers"), total) * F.lit(100.0))
 
 
@@ -53,32 +53,27 @@ def rfm_stats(df: DataFrame) -> DataFrame:
                   F.max("RFM_Score").alias("MaxRFM"))
 
 
-def exact_median(df: DataFrame, column: str, tie_break: Sequence[str] = ("CustomerKey",)) -> DataFrame:
-    """Median as the mean of the two middle values, found by an exact distributed rank.
+def exact_median(df: DataFrame, column: str, tie_break: Sequence[str] = ("CustomerKey",)) -> float | None:
+    """Median as the mean of the two middle values, found by narrowing brackets.
 
-    ``median``/``percentile`` keep every value of the group in one buffer; ranking keeps
-    the work spread over range partitions. Returns one row with ``Median``.
+    ``median``/``percentile`` keep every value of the group in one buffer; ``rows_at`` only
+    counts. None without values.
     """
-    order = [F.col(column).asc(), *[F.col(c).asc() for c in tie_break]]
-    ranked = global_row_number(df.select(column, *tie_break).where(F.col(column).isNotNull()),
-                               order, rank_col="_pos", count_col="_n")
-    lo = F.floor((F.col("_n") + F.lit(1)) / F.lit(2))
-    hi = F.ceil((F.col("_n") + F.lit(1)) / F.lit(2))
-    mids = ranked.where((F.col("_pos") == lo) | (F.col("_pos") == hi))
-    return mids.agg(((F.min(column) + F.max(column)) / F.lit(2.0)).alias("Median"))
-
-
-def clv_stats(df: DataFrame, approx_accuracy: int | None = None) -> DataFrame:
-    """Mean, median and maximum CLV. The median is exact (mean of the two middle values,
-    via the distributed rank); with ``approx_accuracy`` it is ``percentile_approx``
-    instead: one pass, a bounded sketch per task, rank error about 1/accuracy."""
-    if approx_accuracy:
-        return df.agg(exact_mean("CLV_Predicted").alias("MeanCLV"),
-                      F.percentile_approx("CLV_Predicted", 0.5, approx_accuracy).alias("MedianCLV"),
-                      F.max("CLV_Predicted").alias("MaxCLV"))
-    stats = df.agg(exact_mean("CLV_Predicted").alias("MeanCLV"), F.max("CLV_Predicted").alias("MaxCLV"))
-    median = exact_median(df, "CLV_Predicted").select("Median").scalar()
-    return stats.select("MeanCLV", median.alias("MedianCLV"), "MaxCLV")
+    known = df.select(column, *tie_break).where(F.col(column).isNotNull())
+    n = known.count()
+    if n == 0:
+        return None
+    order = [(column, True), *((c, True) for c in tie_break)]
+    low, high = (n + 1) // 2, n // 2 + 1
+    middle = rows_at(known, n, {column: (order, sorted({low, high}))})[column]
+    return (middle[low][0] + middle[high][0]) / 2.0
+
+
+def clv_stats(df: DataFrame) -> DataFrame:
+    """Mean, exact median and maximum CLV (one row)."""
+    median = F.lit(exact_median(df, "CLV_Predicted")).cast("double")
+    return df.agg(exact_mean("CLV_Predicted").alias("MeanCLV"), median.alias("MedianCLV"),
+                  F.max("CLV_Predicted").alias("MaxCLV"))
 
 
 def kpi_summary(df: DataFrame) -> DataFrame:
@@ -125,17 +120,20 @@ def top_customers(df: DataFrame, k: int = 100) -> DataFrame:
 def churn_risk(df: DataFrame, k: int = 10, fallback_score: float = CHURN_FALLBACK_SCORE,
                segments: Sequence[str] = CHURN_SEGMENTS) -> DataFrame:
     """Top-k customers at risk by spend; when no row is in ``segments``, customers with
-    RFM_Score below ``fallback_score`` are used instead. One plan: the count of at-risk
-    rows is a scalar subquery."""
-    at_risk = F.col("Segment").isin(*segments)
-    n_risk = df.where(at_risk).select(F.count(F.lit(1))).scalar()
-    chosen = df.where(at_risk | ((n_risk == 0) & (F.col("RFM_Score") < F.lit(fallback_score))))
+    RFM_Score below ``fallback_score`` are used instead. One scan: the best k of either kind,
+    at-risk rows first, of which the fallback rows count only if none is at risk."""
+    at_risk = F.coalesce(F.col("Segment").isin(*segments), F.lit(False))
+    either = df.where(at_risk | (F.col("RFM_Score") < F.lit(fallback_score))).withColumn("_risk", at_risk)
     order = [F.col("TotalSpend").desc(), F.col("CustomerKey").asc()]
+    first = either.orderBy(F.col("_risk").desc(), *order).limit(k)
+    any_risk = F.max("_risk").over(Window.partitionBy())  # over at most k rows
+    chosen = first.withColumn("_any", any_risk).where(F.col("_risk") | ~F.col("_any"))
     return top_k(chosen, order, k).select(
         "Rank", "CustomerKey", "CustomerName", "Segment", "RFM_Score",
         F.col("TotalSpend").cast("double").alias("TotalSpend"), "CLV_Predicted")
 
 
+# Column lists of the two report sheets.
 def report_rfm_scores(df: DataFrame) -> DataFrame:
     cols = ["CustomerID", "CustomerName", "R_Score", "F_Score", "M_Score", "RFM_Score", "Segment",
             "RecencyDays", "TransactionCount", "TotalSpend"]

@@ -18,8 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.numeric import quantile_tile, round2
-from clientele.operators.ranking import SINGLE_TASK_MAX_ROWS, fits_one_task, global_row_number
+from clientele.functions.numeric import round2
+from clientele.operators.ranking import Order, at_or_before, rows_at
 from clientele.session import cut_lineage
 
 # Default weights of R, F and M in the index.
@@ -43,27 +43,22 @@ FREQUENCY_FILL = 0
 MONETARY_FILL = 0
 
 
-def _score(df: DataFrame, order: Sequence[Column], name: str, tiles: int, invert: bool,
-           partitions: int | None, small: bool) -> DataFrame:
-    # small inputs: three chained single-task windows in one lazy plan; large inputs:
-    # three materialised distributed rankings
-    ranked = global_row_number(df, order, rank_col="_rfm_rank", count_col="_rfm_n",
-                               partitions=partitions, known_small=small, materialize=not small)
-    tile = quantile_tile("_rfm_rank", "_rfm_n", tiles)
-    score = (F.lit(tiles + 1) - tile) if invert else tile
-    return ranked.withColumn(name, score.cast("int")).drop("_rfm_rank", "_rfm_n")
+def _score(order: Order, cuts: dict[int, tuple], ends: Sequence[int], tiles: int,
+           invert: bool) -> Column:
+    """Quantile bin by comparing a row with the rows at the bins' upper borders."""
+    bin_ = F.lit(1)
+    for rank, cut in cuts.items():
+        # a rank that ends several bins (n < tiles) moves the rows after it on by as many
+        bin_ = bin_ + F.when(F.expr(at_or_before(order, cut)), 0).otherwise(ends.count(rank))
+    return F.lit(tiles + 1) - bin_ if invert else bin_
 
 
-def rfm_scores(df: DataFrame, tiles: int = 5, tie_break: Sequence[str] = ("CustomerKey",),
-               partitions: int | None = None,
-               single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+def rfm_scores(df: DataFrame, tiles: int = 5, tie_break: Sequence[str] = ("CustomerKey",)) -> DataFrame:
     """Add R_Score, F_Score, M_Score (1..tiles).
 
-    The input is written once to the checkpoint folder and its size checked once. Up to
-    ``single_task_max_rows`` rows, the three rankings are chained single-task windows in
-    one lazy plan. Above it, only the key columns go through the three distributed
-    rankings (each sorts and checkpoints its rows, so narrow rows keep that cheap) and
-    the scores are joined back to the full rows once, on the tie-break key.
+    The input is written once to the shared folder. ``rows_at`` finds the ``tiles - 1``
+    customers at the bins' borders of every score by counting; then one pass compares every
+    row with these few cut keys. No rank column, no shuffle of customers, no join.
     """
     d = df.withColumns({
         "RecencyDays": F.coalesce(F.col("RecencyDays"), F.lit(RECENCY_FILL)),
@@ -72,20 +67,19 @@ def rfm_scores(df: DataFrame, tiles: int = 5, tie_break: Sequence[str] = ("Custo
             df.schema["TotalSpend"].dataType)),
     })
     d = cut_lineage(d)
-    small = fits_one_task(d, single_task_max_rows)
-    keys = d if small else d.select(*tie_break, "RecencyDays", "TransactionCount", "TotalSpend")
-    ties = [F.col(c).asc() for c in tie_break]
-    spend_desc = F.col("TotalSpend").desc()
-    keys = _score(keys, [F.col("RecencyDays").asc(), spend_desc, *ties], "R_Score", tiles, True,
-                  partitions, small)
-    keys = _score(keys, [F.col("TransactionCount").asc(), spend_desc, *ties], "F_Score", tiles,
-                  False, partitions, small)
-    keys = _score(keys, [F.col("TotalSpend").asc(), *ties], "M_Score", tiles, False, partitions,
-                  small)
-    if small:
-        return keys
-    scores = keys.select(*tie_break, "R_Score", "F_Score", "M_Score")
-    return d.join(scores, list(tie_break))
+    n = d.count()
+    ties = [(c, True) for c in tie_break]
+    orders = {
+        "R_Score": ([("RecencyDays", True), ("TotalSpend", False), *ties], True),
+        "F_Score": ([("TransactionCount", True), ("TotalSpend", False), *ties], False),
+        "M_Score": ([("TotalSpend", True), *ties], False),
+    }
+    # bin k of ``qcut`` over ranks 1..n ends at rank 1 + floor(k * (n - 1) / tiles);
+    # with one row (or none) every row is in bin 1
+    ends = [1 + k * (n - 1) // tiles for k in range(1, tiles)] if n > 1 else []
+    cuts = rows_at(d, n, {name: (order, sorted(set(ends))) for name, (order, _) in orders.items()})
+    return d.withColumns({name: _score(order, cuts[name], ends, tiles, invert).cast("int")
+                          for name, (order, invert) in orders.items()})
 
 
 def rfm_index(df: DataFrame, weights: Sequence[float] = DEFAULT_WEIGHTS) -> DataFrame:
@@ -114,9 +108,6 @@ def rfm_segments(df: DataFrame) -> DataFrame:
                                                F.col("M_Score"), F.col("RFM_Score")))
 
 
-def rfm(df: DataFrame, tiles: int = 5, weights: Sequence[float] = DEFAULT_WEIGHTS,
-        partitions: int | None = None,
-        single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+def rfm(df: DataFrame, tiles: int = 5, weights: Sequence[float] = DEFAULT_WEIGHTS) -> DataFrame:
     """Scores, index and segment in one call."""
-    scores = rfm_scores(df, tiles, partitions=partitions, single_task_max_rows=single_task_max_rows)
-    return rfm_segments(rfm_index(scores, weights))
+    return rfm_segments(rfm_index(rfm_scores(df, tiles), weights))

@@ -229,22 +229,30 @@ def basket(final: str) -> str:
 
 
 INGEST = {
-    "raw": """
+    "sound": """
         SELECT CAST(l.l_orderkey AS VARCHAR) AS tid, strftime(o.o_orderdate, '%Y-%m-%d') AS dt,
-               CAST(o.o_custkey AS VARCHAR) AS cid, p.p_type AS cat,
+               CAST(o.o_custkey AS VARCHAR) AS cid, p.p_type AS cat, l.l_orderkey % 40 AS kind,
                CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) AS qty,
                l.l_extendedprice / l.l_quantity AS price,
                CAST(round(CAST(l.l_extendedprice AS DECIMAL(15,2))
                           * (1 - CAST(l.l_discount AS DECIMAL(4,2))), 2) AS DOUBLE) AS total
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
         JOIN part p ON l.l_partkey = p.p_partkey""",
+    "raw": """
+        SELECT tid, dt, cid, cat, qty, price, total FROM sound
+        UNION ALL
+        SELECT 'D' || tid, CASE kind WHEN 0 THEN 'not a date' WHEN 6 THEN '1901-01-01' ELSE dt END,
+               CASE WHEN kind <> 4 THEN cid END, CASE WHEN kind <> 5 THEN cat END,
+               CASE kind WHEN 1 THEN 'many' WHEN 7 THEN '-1' WHEN 8 THEN qty || '.0' ELSE qty END,
+               CASE WHEN kind <> 2 THEN price END, CASE WHEN kind <> 3 THEN total END
+        FROM sound WHERE kind <= 8""",
     "tx": """
-        SELECT 'ORD_' || tid AS OrderID, strptime(dt, '%Y-%m-%d') AS OrderDate,
+        SELECT 'ORD_' || tid AS OrderID, try_strptime(dt, '%Y-%m-%d') AS OrderDate,
                'CUST_' || cid AS CustomerID, cat AS Category,
-               TRY_CAST(qty AS INTEGER) AS Quantity, price AS UnitPrice, total AS NetSalesAmount,
+               TRY_CAST(TRY_CAST(qty AS DOUBLE) AS INTEGER) AS Quantity, price AS UnitPrice, total AS NetSalesAmount,
                'PROD_' || replace(upper(cat), ' ', '_') AS ProductID, cat || ' Item' AS ProductName,
                'CUST_' || cid AS CustomerName, lower('CUST_' || cid) || '@example.com' AS Email,
-               'Unknown' AS Region, TRY_CAST(qty AS INTEGER) * price AS SalesAmount
+               'Unknown' AS Region, TRY_CAST(TRY_CAST(qty AS DOUBLE) AS INTEGER) * price AS SalesAmount
         FROM raw""",
     "tx1": "SELECT * FROM tx WHERE OrderDate < TIMESTAMP '1998-01-01'",
     "tx2": "SELECT * FROM tx WHERE NOT (OrderDate < TIMESTAMP '1998-01-01') OR OrderDate IS NULL",
@@ -252,7 +260,7 @@ INGEST = {
         SELECT row_number() OVER (ORDER BY ProductID) AS ProductKey, ProductID, ProductName, Category
         FROM (SELECT ProductID, ProductName, Category,
                      row_number() OVER (PARTITION BY ProductID ORDER BY ProductName, Category) AS rn
-              FROM tx1) WHERE rn = 1""",
+              FROM tx1 WHERE ProductID IS NOT NULL) WHERE rn = 1""",
     "p2": """
         SELECT (SELECT COALESCE(max(ProductKey), 0) FROM p1)
                  + row_number() OVER (ORDER BY ProductID) AS ProductKey, ProductID, ProductName, Category
@@ -262,7 +270,7 @@ INGEST = {
     "products": "SELECT * FROM p1 UNION ALL SELECT * FROM p2",
     "c1": """
         SELECT row_number() OVER (ORDER BY CustomerID) AS CustomerKey, CustomerID, CustomerName, Email
-        FROM (SELECT DISTINCT CustomerID, CustomerName, Email FROM tx1)""",
+        FROM (SELECT DISTINCT CustomerID, CustomerName, Email FROM tx1 WHERE CustomerID IS NOT NULL)""",
     "c2": """
         SELECT (SELECT COALESCE(max(CustomerKey), 0) FROM c1)
                  + row_number() OVER (ORDER BY CustomerID) AS CustomerKey, CustomerID, CustomerName, Email
@@ -271,9 +279,9 @@ INGEST = {
     "customers": "SELECT * FROM c1 UNION ALL SELECT * FROM c2",
     "cal": """
         SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS DateKey
-        FROM (SELECT unnest(generate_series(CAST(date_trunc('year', min(OrderDate)) AS DATE),
-                                            make_date(year(max(OrderDate)), 12, 31),
-                                            INTERVAL 1 DAY)) AS d FROM tx)""",
+        FROM (SELECT unnest(generate_series(CAST(date_trunc('year', min(o_orderdate)) AS DATE),
+                                            make_date(year(max(o_orderdate)), 12, 31),
+                                            INTERVAL 1 DAY)) AS d FROM orders)""",
 }
 
 
@@ -284,6 +292,7 @@ def _classified(batch: str, customers: str, products: str) -> str:
                CASE WHEN t.OrderDate IS NULL THEN 'bad_date'
                     WHEN t.Quantity IS NULL THEN 'bad_quantity'
                     WHEN t.UnitPrice IS NULL THEN 'bad_price'
+                    WHEN t.NetSalesAmount IS NULL THEN 'bad_amount'
                     WHEN c.CustomerKey IS NULL THEN 'unknown_customer'
                     WHEN p.ProductKey IS NULL THEN 'unknown_product'
                     WHEN CAST(strftime(t.OrderDate, '%Y%m%d') AS INTEGER) NOT IN (SELECT DateKey FROM cal)
@@ -343,7 +352,7 @@ COHORT_GRID = {
         LEFT JOIN cohort_cells x ON x.Cohort = c.Cohort AND x.MonthsSinceCohort = o.o""",
     "firsts": "SELECT Cohort, cnt AS f FROM grid WHERE o = (SELECT min(o) FROM offs)",
     "retention_vals": """
-        SELECT g.Cohort, CAST(g.o AS VARCHAR) AS off,
+        SELECT g.Cohort, g.o,
                CAST(g.cnt AS DOUBLE) / CAST(NULLIF(f.f, 0) AS DOUBLE) * CAST(100 AS DOUBLE) AS v
         FROM grid g JOIN firsts f ON g.Cohort = f.Cohort""",
     "spend_cells": """
@@ -351,10 +360,11 @@ COHORT_GRID = {
                CAST(sum(TotalSpend) AS DOUBLE) / CAST(NULLIF(count(TotalSpend), 0) AS DOUBLE) AS AvgSpend
         FROM cohort_base WHERE MonthsSinceCohort IS NOT NULL GROUP BY CohortMonth, MonthsSinceCohort""",
     "spending_vals": """
-        SELECT g.Cohort, CAST(g.o AS VARCHAR) AS off, COALESCE(s.AvgSpend, CAST(0 AS DOUBLE)) AS v
+        SELECT g.Cohort, g.o, COALESCE(s.AvgSpend, CAST(0 AS DOUBLE)) AS v
         FROM grid g LEFT JOIN spend_cells s ON s.Cohort = g.Cohort AND s.MonthsSinceCohort = g.o""",
 }
 
 
-def cohort_wide(values: str) -> str:
-    return cohort(f"SELECT * FROM (PIVOT {values} ON off USING first(v) GROUP BY Cohort)", COHORT_GRID)
+def cohort_matrix(values: str, name: str) -> str:
+    """A wide matrix over its full grid, one row per cell."""
+    return cohort(f"SELECT Cohort, o AS MonthsSinceCohort, v AS {name} FROM {values}", COHORT_GRID)

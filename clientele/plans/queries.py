@@ -9,26 +9,23 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, DecimalType, StructType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from clientele.operators import basket as B
 from clientele.operators import cohort as C
 from clientele.operators import reports as R
 from clientele.operators import ingest as I
 from clientele.operators.calendar import calendar_for
-from clientele.operators.clv import clv
 from clientele.operators.customer_view import customer_extract, customer_single_view
 from clientele.operators.ranking import global_row_number
-from clientele.operators.rfm import rfm
 from clientele.plans import oracle as O
-from clientele.plans.pipeline import RESULT_COLUMNS
+from clientele.plans.ingest_job import FACTS, REJECTS, load_feed, warehouse_table
+from clientele.plans.pipeline import RESULT_COLUMNS, scored_customers
 from clientele.session import cut_lineage, ensure_checkpoint_dir
-from clientele.sources import schemas as S
+from clientele.sources.sinks import drop_table
 from clientele.sources.testdata import TESTDATA_AS_OF, load_star
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -76,21 +73,20 @@ _SCORED: dict[tuple[str, str], DataFrame] = {}
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Extract -> RFM -> CLV, the enriched per-customer frame of the pipeline.
+    """Extract -> RFM -> CLV, the enriched per-customer table of the pipeline.
 
-    Like the source's results table, it is computed once per session and data folder
-    and then read back: the last ranking step already wrote it to the reliable
-    checkpoint folder, so every report below starts from that materialised table.
+    Like the source's results table, it is written once per session and data folder (as
+    Parquet in the shared folder); every report below reads that table.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SCORED:
-        _SCORED[key] = clv(rfm(customer_extract(view(spark, sf_dir))))
+        _SCORED[key] = scored_customers(load_star(spark, sf_dir), TESTDATA_AS_OF)
     return _SCORED[key]
 
 
 def clear_cache() -> None:
-    _SCORED.clear()
-    _INGEST.clear()
+    for kept in (_SCORED, _MINED, _WAREHOUSES):
+        kept.clear()
 
 
 VIEW_COLUMNS = (f"CustomerKey, CustomerID, CustomerName, Email, Phone, {O.day('RegistrationDate')}, "
@@ -119,9 +115,8 @@ def q_customer_extract(spark, sf_dir):
     FROM extract"""))
 def q_global_rank(spark, sf_dir):
     ext = customer_extract(view(spark, sf_dir)).select("CustomerKey", "TotalSpend")
-    # always the distributed plan here: this query exists to check it against SQL
     ranked = global_row_number(ext, [F.col("TotalSpend").asc(), F.col("CustomerKey").asc()],
-                               rank_col="SpendRank", single_task_max_rows=0)
+                               rank_col="SpendRank")
     return report_types(ranked.select("CustomerKey", "TotalSpend", "SpendRank"))
 
 
@@ -385,14 +380,16 @@ def q_cohort_active_rate(spark, sf_dir):
     return C.cohort_active_rate(cohort_base_df(spark, sf_dir), 5)
 
 
-@register("cohort_retention_wide", O.cohort_wide("retention_vals"))
+@register("cohort_retention_wide", O.cohort_matrix("retention_vals", "RetentionPct"))
 def q_cohort_retention_wide(spark, sf_dir):
-    return C.retention_wide(cohort_base_df(spark, sf_dir))
+    """The pivoted matrix, given cell by cell over its full grid (zeros included)."""
+    return C.to_long(C.retention_wide(cohort_base_df(spark, sf_dir)), "RetentionPct")
 
 
-@register("cohort_spending_wide", O.cohort_wide("spending_vals"))
+@register("cohort_spending_wide", O.cohort_matrix("spending_vals", "AvgSpend"))
 def q_cohort_spending_wide(spark, sf_dir):
-    return C.to_wide(C.cohort_spending(cohort_base_df(spark, sf_dir)), "AvgSpend")
+    wide = C.to_wide(C.cohort_spending(cohort_base_df(spark, sf_dir)), "AvgSpend")
+    return C.to_long(wide, "AvgSpend")
 
 
 # ---------------------------------------------------------------- market basket
@@ -425,8 +422,15 @@ def q_basket_stats(spark, sf_dir):
     return B.basket_stats(items_df(spark, sf_dir))
 
 
+_MINED: dict[tuple[str, str], DataFrame] = {}
+
+
 def itemsets_df(spark, sf_dir):
-    return B.frequent_itemsets(B.baskets(items_df(spark, sf_dir)), B.MIN_SUPPORT)
+    """The mined itemsets, written once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MINED:
+        _MINED[key] = B.frequent_itemsets(B.baskets(items_df(spark, sf_dir)), B.MIN_SUPPORT)
+    return _MINED[key]
 
 
 @register("frequent_itemsets", O.basket("""
@@ -454,88 +458,33 @@ def q_basket_top_rules(spark, sf_dir):
 INGEST_SPLIT = "1998-01-01"  # the feed is loaded as two batches: before / from this date
 
 
-def _empty(spark, schema: StructType, cols) -> DataFrame:
-    return spark.createDataFrame([], schema).select(*cols)
-
-
-_INGEST: dict[tuple[str, str], "IngestScenario"] = {}
+_WAREHOUSES: dict[tuple[str, str], str] = {}
 
 
-def ingest_state(spark, sf_dir) -> "IngestScenario":
+def warehouse(spark, sf_dir) -> str:
+    """A warehouse folder into which the feed was loaded as two batches (before / from
+    ``INGEST_SPLIT``), once per session and data folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _INGEST:
-        _INGEST[key] = IngestScenario(spark, sf_dir)
-    return _INGEST[key]
-
-
-class IngestScenario:
-    """The CSV-shaped feed loaded in two batches (before / from ``INGEST_SPLIT``) into an
-    empty star schema. Each part is built on first use, so a query pays only for the
-    steps it reads; the transformed feed is materialised once and shared."""
-
-    def __init__(self, spark, sf_dir):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    @cached_property
-    def tx(self):
-        return cut_lineage(I.ingest_transform(load_star(self.spark, self.sf_dir).raw_transactions()))
-
-    @cached_property
-    def batches(self):
-        early = F.col("OrderDate") < F.lit(INGEST_SPLIT).cast("timestamp")
-        return self.tx.where(early), self.tx.where(~early | F.col("OrderDate").isNull())
-
-    @cached_property
-    def calendar(self):
-        return calendar_for(self.tx, "OrderDate")
-
-    @cached_property
-    def regions(self):
-        return I.region_rows(_empty(self.spark, S.DIM_REGION,
-                                    ["RegionKey", "RegionID", "RegionName", "Country", "IsActive"]))
-
-    @cached_property
-    def p1(self):
-        p0 = _empty(self.spark, S.DIM_PRODUCT,
-                    ["ProductKey", "ProductID", "ProductName", "Category", "UnitPrice", "IsActive"])
-        return I.product_rows(p0, self.batches[0])
-
-    @cached_property
-    def products(self):
-        return self.p1.unionByName(I.product_rows(self.p1, self.batches[1]))
-
-    @cached_property
-    def c1(self):
-        c0 = _empty(self.spark, S.DIM_CUSTOMER, ["CustomerKey", "CustomerID", "CustomerName", "Email",
-                                                 "RegistrationDate", "IsCurrentRecord"])
-        return I.customer_rows(c0, self.batches[0], TESTDATA_AS_OF)
-
-    @cached_property
-    def customers(self):
-        return self.c1.unionByName(I.customer_rows(self.c1, self.batches[1], TESTDATA_AS_OF))
-
-    @cached_property
-    def k1(self):
-        return I.classify_facts(self.batches[0], self.c1, self.p1, self.regions, self.calendar)
-
-    @cached_property
-    def k2(self):
-        return I.classify_facts(self.batches[1], self.customers, self.products, self.regions,
-                                self.calendar)
+    if key not in _WAREHOUSES:
+        star = load_star(spark, sf_dir)
+        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warehouse/{uuid.uuid4().hex}"
+        feed = cut_lineage(star.feed())
+        day = I.parse_timestamp(F.col("Date"))
+        early = F.coalesce(day < F.lit(INGEST_SPLIT).cast("timestamp"), F.lit(False))
+        calendar = cut_lineage(order_calendar(star))
+        for batch in (feed.where(early), feed.where(~early)):
+            load_feed(batch, folder, calendar, TESTDATA_AS_OF)
+        _WAREHOUSES[key] = folder
+    return _WAREHOUSES[key]
 
-    @cached_property
-    def facts(self):
-        f1 = I.load_facts(self.k1)
-        return f1.unionByName(I.load_facts(self.k2, f1))
 
-    @cached_property
-    def rejects(self):
-        return I.rejects(self.k1).unionByName(I.rejects(self.k2))
+def order_calendar(star) -> DataFrame:
+    return calendar_for(star.table("orders").select(F.to_date("o_orderdate").alias("d")), "d")
 
 
 @register("ingest_transform", O.ingest(f"SELECT * REPLACE ({O.instant('OrderDate')}) FROM tx"))
 def q_ingest_transform(spark, sf_dir):
-    return report_types(I.ingest_transform(load_star(spark, sf_dir).raw_transactions()))
+    return report_types(I.ingest_transform(load_star(spark, sf_dir).feed()))
 
 
 @register("ingest_csv", O.ingest(f"SELECT * REPLACE ({O.instant('OrderDate')}) FROM tx"))
@@ -543,27 +492,29 @@ def q_ingest_csv(spark, sf_dir):
     """The raw feed as a headered CSV file (written by Spark from the given tables into
     the session's checkpoint folder), read back with the CSV reader and transformed."""
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feeds/{uuid.uuid4().hex}"
-    load_star(spark, sf_dir).raw_transactions().write.mode("overwrite").option("header", True).csv(folder)
-    return report_types(I.ingest_transform(I.read_transactions(spark, folder)))
+    load_star(spark, sf_dir).feed().write.option("header", True).csv(folder)
+    read = cut_lineage(I.ingest_transform(I.read_transactions(spark, folder)))
+    drop_table(spark, folder)
+    return report_types(read)
 
 
 @register("ingest_dim_product", O.ingest("SELECT * FROM products"))
 def q_ingest_dim_product(spark, sf_dir):
-    return ingest_state(spark, sf_dir).products.select("ProductKey", "ProductID", "ProductName",
-                                                          "Category")
+    products = warehouse_table(spark, warehouse(spark, sf_dir), "dim_product")
+    return products.select("ProductKey", "ProductID", "ProductName", "Category")
 
 
 @register("ingest_dim_customer", O.ingest("SELECT * FROM customers"))
 def q_ingest_dim_customer(spark, sf_dir):
-    return ingest_state(spark, sf_dir).customers.select("CustomerKey", "CustomerID",
-                                                           "CustomerName", "Email")
+    customers = warehouse_table(spark, warehouse(spark, sf_dir), "dim_customer")
+    return customers.select("CustomerKey", "CustomerID", "CustomerName", "Email")
 
 
 @register("ingest_fact_sales", O.ingest(
     f"SELECT * REPLACE ({O.instant('TransactionDate')}) FROM (SELECT * FROM f1 UNION ALL SELECT * FROM f2)",
     facts=True))
 def q_ingest_fact_sales(spark, sf_dir):
-    f = ingest_state(spark, sf_dir).facts
+    f = warehouse_table(spark, warehouse(spark, sf_dir), FACTS)
     return report_types(f.select("SalesID", "CustomerKey", "ProductKey", "DateKey", "RegionKey",
                                  "OrderNumber", "TransactionDate", "Quantity", "UnitPrice",
                                  "SalesAmount", "NetSalesAmount"))
@@ -575,14 +526,13 @@ def q_ingest_fact_sales(spark, sf_dir):
     SELECT OrderID, CustomerID, ProductID, RejectReason FROM k2 WHERE RejectReason IS NOT NULL""",
     facts=True))
 def q_ingest_rejects(spark, sf_dir):
-    return ingest_state(spark, sf_dir).rejects.select("OrderID", "CustomerID", "ProductID",
-                                                         "RejectReason")
+    rejects = warehouse_table(spark, warehouse(spark, sf_dir), REJECTS)
+    return rejects.select("OrderID", "CustomerID", "ProductID", "RejectReason")
 
 
 @register("dim_date", f"SELECT * REPLACE ({O.day('CalendarDate')}) FROM ({O.CALENDAR})")
 def q_dim_date(spark, sf_dir):
-    orders = load_star(spark, sf_dir).table("orders")
-    return report_types(calendar_for(orders.select(F.to_date("o_orderdate").alias("d")), "d"))
+    return report_types(order_calendar(load_star(spark, sf_dir)))
 
 
 @register("table_row_counts", O.with_ctes(O.STAR, final="""

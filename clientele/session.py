@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this library assumes. Timestamps are compared as UTC, ANSI
@@ -43,8 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder of the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that one is always
-    used. Only when nothing is configured (a local test run) is a fresh scratch folder
-    created.
+    used. Only on a local master (tests, bench), where driver and executors are one
+    process, a fresh scratch folder is created when nothing is configured; on any other
+    master that would be a folder the executors cannot see, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,25 +53,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="clientele-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    sc.setCheckpointDir(configured or scratch_folder(sc.master))
+    return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the session's reliable checkpoint folder.
+def scratch_folder(master: str) -> str:
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that the "
+                         f"driver and all executors share (master {master})")
+    return tempfile.mkdtemp(prefix="clientele-ckpt-")
+
 
-    Used where a result is consumed by several jobs that must see identical rows
-    (the global ranking) or where a long plan would otherwise be recomputed.
-    Reliable checkpoints survive executor loss; local checkpoints do not.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet into the session's shared folder and read it back.
 
-    Writing a checkpoint runs the plan a second time unless it is cached, so the rows
-    are persisted for the duration of the write and released afterwards.
+    Used where a result is consumed by several jobs that must see identical rows or where
+    a long plan would otherwise be recomputed. The plan runs once, later readers prune
+    columns and push filters down, Spark knows the table's size, and the rows survive the
+    loss of executors.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,3 +17,18 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def _store(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    store, hadoop = _store(spark, path)
+    return bool(store.exists(hadoop))
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    store, hadoop = _store(spark, path)
+    store.delete(hadoop, True)

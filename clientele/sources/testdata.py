@@ -121,6 +121,10 @@ def fact_sales(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame | Non
     )
 
 
+# one order in so many is copied into the feed with a damaged field (its key's remainder says which)
+DAMAGE_EVERY = 40
+
+
 @dataclass
 class Star:
     """The star schema over one directory of testdata parquet files (lazy frames; each
@@ -171,6 +175,34 @@ class Star:
             net.cast("string").alias("Total Amount"),
         )
 
+    def damaged_transactions(self) -> DataFrame:
+        """Copies of feed rows with one field spoiled, by a rule on the order key; kind 8 is
+        sound (a whole number written with a decimal point)."""
+        kind = (F.col("`Transaction ID`").cast("long") % DAMAGE_EVERY).alias("_kind")
+
+        def spoil(column: str, kinds: dict[int, str | None]):
+            out = F.when(F.lit(False), F.lit(None).cast("string"))
+            for k, text in kinds.items():
+                out = out.when(F.col("_kind") == k, F.lit(text).cast("string"))
+            return out.otherwise(F.col(f"`{column}`")).alias(column)
+
+        rows = self.raw_transactions().withColumn("_kind", kind).where(F.col("_kind") <= 8)
+        quantity = F.when(F.col("_kind") == 8, F.concat("Quantity", F.lit(".0"))).otherwise(
+            spoil("Quantity", {1: "many", 7: "-1"}))
+        return rows.select(
+            F.concat(F.lit("D"), F.col("`Transaction ID`")).alias("Transaction ID"),
+            spoil("Date", {0: "not a date", 6: "1901-01-01"}),
+            spoil("Customer ID", {4: None}),
+            spoil("Product Category", {5: None}),
+            quantity.alias("Quantity"),
+            spoil("Price per Unit", {2: "free"}),
+            spoil("Total Amount", {3: "oops"}),
+        )
+
+    def feed(self) -> DataFrame:
+        """The whole feed: all sound rows and the damaged copies."""
+        return self.raw_transactions().unionByName(self.damaged_transactions())
+
 
 _STARS: dict[tuple[str, str], Star] = {}
 

@@ -1,87 +1,88 @@
+"""Distributed ranking, order statistics and scoring without size switches."""
+
+import datetime
 import random
+from decimal import Decimal
 
+import pandas as pd
 import pytest
-
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from clientele.operators.ranking import global_row_number
-
-
-def test_matches_single_partition_window_with_heavy_ties(spark):
-    rnd = random.Random(3)
-    # a third of all rows share one frequency value (hot tie group)
-    rows = [(i, 1 if i % 3 == 0 else rnd.randint(1, 20), round(rnd.uniform(0, 100), 2))
-            for i in range(5000)]
-    df = spark.createDataFrame(rows, "key long, freq long, spend double")
-    order = [F.col("freq").asc(), F.col("spend").desc(), F.col("key").asc()]
-    got = global_row_number(df, order, rank_col="rk", count_col="n", partitions=16,
-                            single_task_max_rows=0)
-    ref = df.withColumn("ref", F.row_number().over(Window.orderBy(*order)))
-    joined = got.join(ref, "key")
-    assert joined.where(F.col("rk") != F.col("ref")).count() == 0
-    assert got.select(F.min("n"), F.max("n")).first() == (5000, 5000)
-    assert got.select(F.countDistinct("rk")).first()[0] == 5000
-
-
-def test_materialized_variant_and_empty_input(spark):
-    df = spark.createDataFrame([(i, i % 5) for i in range(200)], "key long, v long")
-    out = global_row_number(df, [F.col("v").asc(), F.col("key").asc()], rank_col="rk",
-                            partitions=4, materialize=True, single_task_max_rows=0)
-    assert sorted(r.rk for r in out.collect()) == list(range(1, 201))
-    empty = df.where("false")
-    assert global_row_number(empty, [F.col("key").asc()], single_task_max_rows=0).count() == 0
-    assert global_row_number(empty, [F.col("key").asc()]).count() == 0
-
-
-def test_rows_stay_spread_over_all_ranges(spark):
-    df = spark.range(1000).withColumn("v", F.col("id") % 7)
-    out = global_row_number(df, [F.col("v").asc(), F.col("id").asc()], rank_col="rk", partitions=6,
-                            single_task_max_rows=0)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "ExistingRDD" in plan  # reads the checkpointed ranges
-    assert out.rdd.getNumPartitions() == 6  # never collapsed into one task
-    lazy = global_row_number(df, [F.col("v").asc(), F.col("id").asc()], rank_col="rk",
-                             partitions=6, materialize=False, keep_input=True, single_task_max_rows=0)
-    assert sorted(r.rk for r in lazy.collect()) == list(range(1, 1001))
-
-
-def test_size_checked_paths_agree(spark):
-    rnd = random.Random(11)
-    rows = [(i, rnd.randint(1, 5), rnd.randint(1, 3)) for i in range(3000)]
-    df = spark.createDataFrame(rows, "key long, a long, b long")
-    order = [F.col("a").desc(), F.col("b").asc(), F.col("key").asc()]
-    small = global_row_number(df, order, rank_col="rk", count_col="n")            # one task
-    big = global_row_number(df, order, rank_col="rk2", count_col="n2", partitions=5,
-                            single_task_max_rows=10)                                # distributed
-    j = small.join(big.select("key", "rk2", "n2"), "key")
-    assert j.where((F.col("rk") != F.col("rk2")) | (F.col("n") != F.col("n2"))).count() == 0
-    assert "ExistingRDD" in big._jdf.queryExecution().executedPlan().toString()
-
-
-def test_rfm_distributed_path_equals_single_task_path(spark):
-    """Every test scale has under 100k customers, so force the distributed path."""
-    from clientele.operators.customer_view import customer_extract
-    from clientele.operators.rfm import rfm
-    from clientele.plans.queries import view
-
-    ext = customer_extract(view(spark, "/root/testdata/sf0.01"))
-    cols = ["CustomerKey", "R_Score", "F_Score", "M_Score", "RFM_Score", "Segment"]
-    small = rfm(ext).select(cols)
-    dist = rfm(ext, partitions=7, single_task_max_rows=10).select(cols)
-    assert small.count() == dist.count() == 1500
-    assert small.exceptAll(dist).count() == 0 and dist.exceptAll(small).count() == 0
-    assert "ExistingRDD" in dist._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.mark.parametrize("n", [120_001, 120_002])
-def test_exact_median_distributed_path_matches_numpy(spark, n):
-    import numpy as np
-
-    from clientele.operators.reports import exact_median
-
-    df = spark.range(n).select(F.col("id").alias("CustomerKey"),
-                               (F.pmod(F.col("id") * 7919, F.lit(100003)) / F.lit(100.0)).alias("v"))
-    got = exact_median(df, "v").first().Median
-    values = np.array([(i * 7919 % 100003) / 100.0 for i in range(n)])
-    assert got == float(np.median(values))
+from clientele.operators.ranking import BRACKET_ROWS, global_row_number, rows_at, sql_literal
+from clientele.operators.reports import exact_median
+from clientele.operators.rfm import rfm_scores
+
+
+def test_global_row_number_matches_pandas(spark):
+    rng = random.Random(7)
+    rows = [(i, rng.choice([1, 1, 1, 2, 3, 50]), rng.random()) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k int, hot int, v double").repartition(7)
+    got = global_row_number(df, [F.col("hot").desc(), F.col("v").asc(), F.col("k").asc()], "r", "n",
+                            partitions=5).toPandas()
+    want = pd.DataFrame(rows, columns=["k", "hot", "v"]).sort_values(
+        ["hot", "v", "k"], ascending=[False, True, True]).k.tolist()
+    assert got.sort_values("r").k.tolist() == want
+    assert got.r.min() == 1 and got.r.max() == 1000 and set(got.n) == {1000}
+
+
+def test_global_row_number_empty(spark):
+    df = spark.createDataFrame([], "k int")
+    assert global_row_number(df, [F.col("k").asc()]).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, BRACKET_ROWS, 5000])
+def test_rows_at_any_position(spark, n):
+    rng = random.Random(n)
+    rows = [(i, rng.choice([-5, 0, 7]) if i % 3 else 3, Decimal(rng.randint(-999, 999)) / 100,
+             datetime.datetime(2020, 1, 1) + datetime.timedelta(seconds=rng.randint(0, 50)),
+             rng.choice(["a'b", "c\\d", ""])) for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, a int, d decimal(15,2), t timestamp, s string").repartition(4)
+    first = [("a", False), ("s", True), ("t", False), ("d", True), ("k", False)]
+    second = [("d", False), ("k", True)]
+    positions = sorted({1, (n + 1) // 2, max(1, n - 1), n})
+    got = rows_at(df, n, {"one": (first, positions), "two": (second, positions)})
+    one = sorted(rows, key=lambda r: (-r[1], r[4], -r[3].timestamp(), r[2], -r[0]))
+    two = sorted(rows, key=lambda r: (-r[2], r[0]))
+    for p in positions:
+        k, a, d, t, s = one[p - 1]
+        assert got["one"][p] == (a, s, t, d, k)
+        assert got["two"][p] == (two[p - 1][2], two[p - 1][0])
+
+
+def test_sql_literals_read_back(spark):
+    values = [5, -5, 1 << 62, Decimal("-1.50"), 0.1, -1e300, "it's \\ x", True,
+              datetime.date(2020, 2, 29), datetime.datetime(2020, 2, 29, 1, 2, 3, 450000)]
+    row = spark.range(1).selectExpr(*(f"{sql_literal(v)} AS c{i}" for i, v in enumerate(values))).first()
+    assert list(row) == values
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 6, 7, 101, 3000])
+def test_scores_equal_qcut(spark, n):
+    rng = random.Random(n)
+    rows = [(i, rng.choice([1, 5, 5, 9]), rng.choice([1, 1, 2, 30]), Decimal(rng.randint(1, 500)) / 10)
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "CustomerKey long, RecencyDays int, TransactionCount long, "
+                                     "TotalSpend decimal(15,2)").repartition(3)
+    got = {r.CustomerKey: (r.R_Score, r.F_Score, r.M_Score) for r in rfm_scores(df).collect()}
+    assert len(got) == n
+
+    def bins(order):
+        ranked = sorted(rows, key=order)
+        if n == 1:
+            return {ranked[0][0]: 1}
+        q = pd.qcut(pd.Series(range(1, n + 1)), 5, labels=False) + 1 if n else []
+        return {r[0]: int(b) for r, b in zip(ranked, q)}
+    r = bins(lambda x: (x[1], -x[3], x[0]))
+    f = bins(lambda x: (x[2], -x[3], x[0]))
+    m = bins(lambda x: (x[3], x[0]))
+    assert got == {k: (6 - r[k], f[k], m[k]) for k in got}
+
+
+def test_exact_median(spark):
+    rng = random.Random(3)
+    for n in (1, 2, 999, 1000):
+        values = [round(rng.random() * 100, 2) for _ in range(n)]
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(-1, None)],
+                                   "CustomerKey long, v double")
+        assert exact_median(df, "v") == pytest.approx(pd.Series(values).median(), abs=1e-12)
+    assert exact_median(df.where("v is null"), "v") is None
