@@ -62,3 +62,19 @@ def test_conviction_infinite_when_certain(spark):
     rules = B.association_rules(B.frequent_itemsets(B.baskets(it), 0.5), 0.1).collect()
     assert rules and all(r.conviction == float("inf") for r in rules)
     assert all(r.zhangs_metric == 0.0 for r in rules)
+
+
+def test_long_itemset_needs_no_mask(spark):
+    """32 items: levels stop where confidence falls below the threshold."""
+    names = [f"i{k:02d}" for k in range(32)]
+    rows = [(names, 32, 0.2)] + [([n], 1, 0.9) for n in names]
+    rows += [([n for n in names if n != out], 31, 0.4 if out != "i05" else 0.21) for out in names]
+    sets = spark.createDataFrame(rows, "items array<string>, Length int, support double")
+    found = B.association_rules(sets, 0.9).collect()
+    assert [(r.consequent, len(r.antecedent)) for r in found if len(r.antecedent) == 31] == [(["i05"], 31)]
+    assert all(r.confidence >= 0.9 for r in found)
+
+
+def test_no_rules(spark):
+    sets = spark.createDataFrame([(["a"], 1, 0.5)], "items array<string>, Length int, support double")
+    assert B.association_rules(sets, 0.1).count() == 0

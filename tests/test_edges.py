@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from clientele.operators import cohort as C
-from clientele.operators.customer_view import customer_extract, customer_single_view
+from clientele.operators.customer_view import (customer_extract, customer_single_view,
+                                               purchase_metrics)
 from clientele.operators.rfm import rfm
 from clientele.sources import schemas as S
 
@@ -114,6 +115,14 @@ def test_pipeline_round_trip(spark, tmp_path):
         back = read_table(spark, str(tmp_path / name))
         assert back.count() == df.count(), name
     assert read_table(spark, str(tmp_path / "rfm_results")).count() == 150
+    assert set(outputs) == {
+        "scored_customers", "cohort_base", "segment_summary", "rfm_results", "report_rfm_scores",
+        "report_clv", "segment_share", "score_distribution", "rfm_stats", "clv_stats", "kpi_summary",
+        "chart_segment_share", "chart_segment_rfm", "chart_segment_clv", "chart_rm_grid",
+        "chart_revenue_tree", "top100_customers", "churn_risk_top10", "cohort_summary",
+        "cohort_retention", "cohort_spending", "cohort_retention_wide", "cohort_spending_wide",
+        "cohort_top_revenue", "cohort_active_rate", "basket_stats", "frequent_itemsets",
+        "market_basket_rules", "basket_top_rules"}
 
 
 def test_hot_customer_holding_a_third_of_all_lines(spark, dims):
@@ -152,3 +161,12 @@ def test_pipeline_outputs_equal_registered_queries(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
     rules = Q.q_basket_rules(spark, sf)
     assert out["market_basket_rules"].count() == rules.count()
+
+
+def test_view_honours_another_purchase_flag(spark, dims):
+    region, product = dims
+    customers = _customers(spark, {1: dt.date(2024, 1, 1)})
+    sales = _sales(spark, [(1, 1, 1, dt.datetime(2024, 2, 1), "10.00", "P"),
+                           (1, 1, 1, dt.datetime(2024, 3, 1), "5.00", "R")])
+    row = purchase_metrics(sales, product, region, purchase_flag="P").first()
+    assert (row.PurchaseCount, row.ReturnCount, float(row.TotalSpend)) == (1, 0, 10.0)

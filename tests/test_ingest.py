@@ -1,9 +1,12 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from clientele.operators import ingest as I
 from clientele.operators.calendar import dim_date
+from clientele.plans.ingest_job import FACTS, REJECTS, TABLES, load_feed, warehouse_table
+from clientele.session import scratch_folder
 from clientele.sources import schemas as S
 
 CSV = """Transaction ID,Date,Customer ID,Product Category,Quantity,Price per Unit,Total Amount,Gender
@@ -14,6 +17,8 @@ CSV = """Transaction ID,Date,Customer ID,Product Category,Quantity,Price per Uni
 5,2023-02-02,9,Clothing,x,30,30,F
 6,2023-02-03,9,home goods,3,10,30,F
 7,2023-02-04,7,Clothing,1,25.5,25.5,F
+8,2023-02-05,7,Beauty,2.0,50,100,F
+9,2023-02-06,7,Beauty,1,50,oops,F
 """
 
 
@@ -57,13 +62,14 @@ def test_csv_load_end_to_end(spark, tmp_path):
     reasons = {r.OrderID: r.RejectReason for r in classified.collect()}
     assert reasons == {"ORD_1": None, "ORD_2": "bad_date", "ORD_3": "date_not_in_calendar",
                        "ORD_4": "quantity_not_positive", "ORD_5": "bad_quantity", "ORD_6": None,
-                       "ORD_7": None}
+                       "ORD_7": None, "ORD_8": None, "ORD_9": "bad_amount"}
     facts = I.load_facts(classified).collect()
-    assert sorted(r.SalesID for r in facts) == [1000001, 1000002, 1000003]
+    assert sorted(r.SalesID for r in facts) == [1000001, 1000002, 1000003, 1000004]
+    assert {r.OrderNumber: r.Quantity for r in facts}["ORD_8"] == 2
     assert {r.RegionKey for r in facts} == {1} and {r.ReturnFlag for r in facts} == {"N"}
     more = I.load_facts(classified, spark.createDataFrame(
         [(f.SalesID,) for f in facts], "SalesID long"))
-    assert sorted(r.SalesID for r in more.collect()) == [1000004, 1000005, 1000006]
+    assert sorted(r.SalesID for r in more.collect()) == [1000005, 1000006, 1000007, 1000008]
 
 
 def test_empty_file(spark, tmp_path):
@@ -78,3 +84,41 @@ def test_calendar(spark):
     first = cal.where(F.col("DateKey") == 20200101).first()
     assert (first.DayName, first.MonthName, first.DayOfWeek, first.WeekOfYear, first.IsWeekend) == (
         "Wednesday", "January", 4, 1, False)
+
+
+def test_files_with_another_column_order_fail(spark, tmp_path):
+    lines = CSV.splitlines()
+    (tmp_path / "a.csv").write_text("\n".join(lines[:3]) + "\n")
+    columns = [line.split(",") for line in lines[:2]]
+    (tmp_path / "b.csv").write_text("\n".join(",".join(reversed(c)) for c in columns) + "\n")
+    with pytest.raises(Exception, match="header"):
+        I.read_transactions(spark, str(tmp_path)).collect()
+
+
+def test_load_feed_twice(spark, tmp_path):
+    """Dimensions do not change on the second run; facts and rejects are appended."""
+    path = tmp_path / "tx.csv"
+    path.write_text(CSV)
+    raw = I.read_transactions(spark, str(path))
+    warehouse = str(tmp_path / "warehouse")
+
+    def rows(name):
+        return sorted(map(str, warehouse_table(spark, warehouse, name).collect()))
+    load_feed(raw, warehouse, dim_date(spark), dt.date(2024, 1, 1))
+    before = {t: rows(t) for t in TABLES}
+    assert [len(v) for v in before.values()] == [1, 3, 3]
+    assert len(rows(FACTS)) == 4 and len(rows(REJECTS)) == 5
+    load_feed(raw, warehouse, dim_date(spark), dt.date(2024, 2, 1))
+    assert {t: rows(t) for t in TABLES} == before
+    sales = warehouse_table(spark, warehouse, FACTS)
+    assert sorted(r.SalesID for r in sales.collect()) == list(range(1000001, 1000009))
+    assert len(rows(REJECTS)) == 10
+    reasons = warehouse_table(spark, warehouse, REJECTS).select("RejectReason").distinct().count()
+    assert reasons == 5
+
+
+def test_no_scratch_folder_on_a_cluster():
+    assert scratch_folder("local[4]")
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_folder(master)
