@@ -35,13 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.llm.bitmap import bitmap, in_bitmap
 from clientele.llm.staging import Staging, row_key
 from clientele.llm.words import ALPHANUMERIC, blocks, whole_shingles
+from clientele.llm.workers import tidy
 
 WINDOW = 10
 SHINGLE = 4
 FILTER_BITS = 1 << 23
-BUCKET_BITS = 32768  # bits of one row of Spark's bitmap_construct_agg
 
 
 def _item_windows(window: int):
@@ -74,35 +75,18 @@ def _item_windows(window: int):
     return run
 
 
-def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """Bits of the low part of every ``h``; FILTER_BITS bits, so at most 1 MB is collected."""
-    bit = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
-    rows = (hashes.groupBy(F.floor(bit / BUCKET_BITS).cast("int").alias("bucket"))
-            .agg(F.bitmap_construct_agg((bit % BUCKET_BITS)).alias("bits")).collect())
-    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for r in rows:
-        out[r.bucket * BUCKET_BITS // 8:(r.bucket + 1) * BUCKET_BITS // 8] = np.frombuffer(
-            bytes(r.bits), dtype=np.uint8)
-    return out
-
-
-def _in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bit = hashes & np.uint64(FILTER_BITS - 1)
-    return (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
-
-
-def _found(words, sizes: list[int], bitmap: np.ndarray):
+def _found(words, sizes: list[int], bits: np.ndarray):
     for size in sizes:
         at, h = whole_shingles(words, size)
-        hit = _in_bitmap(bitmap, h)
+        hit = in_bitmap(bits, h)
         yield size, at[hit], h[hit]
 
 
-def _count_shingles(sizes: list[int], bitmap: np.ndarray):
+def _count_shingles(sizes: list[int], bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, words in blocks(batch, "text", ALPHANUMERIC):
-                for _, _, h in _found(words, sizes, bitmap):
+                for _, _, h in _found(words, sizes, bits):
                     values, counts = np.unique(h, return_counts=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))],
@@ -110,13 +94,13 @@ def _count_shingles(sizes: list[int], bitmap: np.ndarray):
     return run
 
 
-def _candidates(sizes: list[int], bitmap: np.ndarray, window: int):
+def _candidates(sizes: list[int], bits: np.ndarray, window: int):
     """Per document its word count and, per candidate, token, place and the words around."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, words in blocks(batch, "text", ALPHANUMERIC):
                 found: list[list] = [[] for _ in range(part.num_rows)]
-                for size, at, h in _found(words, sizes, bitmap):
+                for size, at, h in _found(words, sizes, bits):
                     owner = np.searchsorted(words.first, at, side="right") - 1
                     for w, token, i in zip(at.tolist(), h.view(np.int64).tolist(), owner.tolist()):
                         lo, hi = int(words.first[i]), int(words.first[i + 1])
@@ -155,7 +139,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     owned = stage.put(items.mapInArrow(
-        _item_windows(window),
+        tidy(_item_windows(window)),
         "item_id long, window string, n_words int, shingles array<long>"), "windows")
     windows = owned.groupBy("window").agg(F.first("n_words").alias("n_words"),
                                           F.first("shingles").alias("shingles"))
@@ -163,7 +147,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     sizes = sorted({min(SHINGLE, r.n_words) for r in
                     owned.groupBy("n_words").agg(F.count(F.lit(1))).collect()})
 
-    counts = (texts.mapInArrow(_count_shingles(sizes, _bitmap(shingles.select("h"))),
+    counts = (texts.mapInArrow(tidy(_count_shingles(sizes, bitmap(shingles.select("h"), FILTER_BITS))),
                                "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
     rarity = F.struct(F.coalesce("n", F.lit(0)), "h", "place")
     prefix = stage.put(
@@ -172,7 +156,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         .select("window", "n_words", "rarest.h", "rarest.place"), "prefix")
 
     rows = texts.mapInArrow(
-        _candidates(sizes, _bitmap(prefix.select("h")), window),
+        tidy(_candidates(sizes, bitmap(prefix.select("h"), FILTER_BITS), window)),
         "doc_id long, key long, n_words long, found array<struct<h:long,at:int,lead:int,near:array<string>>>")
     rows = stage.put(rows.withColumn("row", F.monotonically_increasing_id()), "candidates")
 

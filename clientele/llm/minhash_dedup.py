@@ -25,8 +25,8 @@ Verification is exact, on the full sets, and loses no link between bucket mates:
 So a group of thousands of near copies costs a few comparisons per document, not all pairs,
 and documents that merely share a passage meet only if their rarest shingles do.
 
-Scale. Texts are read once for sketches and once more, shuffled by id, for the classes that
-share a bucket. Bands are 50 narrow rows per class. Every join is between staged tables or
+Scale. Texts are read once for sketches and once more for the classes that share a bucket;
+of the others, a bitmap of fixed size leaves out all but a few before that shuffle. Bands are 50 narrow rows per class. Every join is between staged tables or
 plain shuffles, so hot buckets, centres and classes can be split by Spark.
 
 Defined results. A text with fewer than five words is one shingle; without words (or null),
@@ -44,15 +44,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.llm.bitmap import bitmap, in_bitmap
 from clientele.llm.components import connected_components
 from clientele.llm.staging import Staging, row_key
 from clientele.llm.words import NOT_SPACE, Words, blocks, mix, shingle_hashes
+from clientele.llm.workers import tidy
 
 SHINGLE = 5
 ROWS, BANDS = 5, 50
 THRESHOLD = 75  # per cent
 SMALL_BUCKET = 16
-BLOCK = 1 << 20
+BLOCK = 1 << 19
+FILTER_BITS = 1 << 26  # 8 MB
 
 _SEEDS = np.random.default_rng(577215664).integers(0, 1 << 63, 4 * ROWS * BANDS, dtype=np.uint64)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -188,7 +191,7 @@ class Verifier:
         left = self.texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         right = self.texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         similar = pairs.join(left, "b").join(right, "a").mapInArrow(
-            _similar(self.threshold), "a long, b long")
+            tidy(_similar(self.threshold)), "a long, b long")
         similar = self.stage.put(similar, f"links-{name}")
         self.checked = pairs if self.checked is None else self.checked.union(pairs)
         self.links = similar if self.links is None else self.links.union(similar)
@@ -220,7 +223,7 @@ def _prefix_pairs(stage: Staging, texts: DataFrame, nodes: DataFrame, threshold:
                     names=["node", "component", "n", "h"])
 
     rows = stage.put(texts.join(nodes, "node").mapInArrow(
-        tokens, "node long, component long, n long, h long"), "tokens")
+        tidy(tokens), "node long, component long, n long, h long"), "tokens")
     counts = stage.put(rows.groupBy("h").agg(F.count(F.lit(1)).alias("df"),
                                              F.min("component").alias("c1"),
                                              F.max("component").alias("c2")), "token-counts")
@@ -258,7 +261,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         row_key(id_col, text_col).alias("key"), text.alias("text"))
-    sketched = stage.put(found.mapInArrow(_sketch_rows(bands, rows), SKETCHED), "sketches")
+    sketched = stage.put(found.mapInArrow(tidy(_sketch_rows(bands, rows)), SKETCHED), "sketches")
     classes = stage.put(
         sketched.where("n_shingles > 0").groupBy("d1", "d2")
         .agg(F.min("doc_id").alias("first_id"), F.min("key").alias("key"),
@@ -273,11 +276,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                   F.col("centre.n").alias("centre_n")), "buckets")
     members = stage.put(banded.join(buckets, "bucket"), "members")
 
-    needed = members.select("node").distinct().join(
-        classes.select("node", "key", "d1", "d2"), "node")
-    texts = stage.put(found.select("key", "text").join(stage.put(needed, "needed"), "key")
+    needed = stage.put(members.select("node").distinct().join(
+        classes.select("node", "key", "d1", "d2"), "node"), "needed")
+    # few texts share a bucket: most others are left out before the shuffle
+    maybe = docs.sparkSession.sparkContext.broadcast(
+        bitmap(needed.select(F.col("key").alias("h")), FILTER_BITS))
+
+    @F.arrow_udf("boolean")
+    def may_be_needed(key: pa.Array) -> pa.Array:
+        return pa.array(in_bitmap(maybe.value, key.to_numpy(zero_copy_only=False)))
+    texts = stage.put(found.select("key", "text").where(may_be_needed("key")).join(needed, "key")
                       .select("node", "d1", "d2", "text")
-                      .mapInArrow(_own_text, "node long, text string"), "texts")
+                      .mapInArrow(tidy(_own_text), "node long, text string"), "texts")
 
     verifier = Verifier(stage, texts, threshold)
     verifier.check(members.where((F.col("node") != F.col("centre")) & _fits(threshold, "n", "centre_n"))
