@@ -34,7 +34,8 @@ def crossing_keys(stage: Staging, name: str, rows: DataFrame, goals: DataFrame,
     """
     rows = rows.select("g", "key", F.col("w").cast("double").alias("w"))
     state = goals.select("g", "target", F.col("goal").cast("double").alias("goal"),
-                         F.lit(0).cast("long").alias("prefix"), F.lit(0.0).alias("before"))
+                         F.lit(0).cast("long").alias("prefix"), F.lit(0.0).alias("before"),
+                         F.lit(0.0).alias("at_cut"))
     for shift in range(bits - DIGIT, -1, -DIGIT):
         top = shift + DIGIT >= bits
         prefix = F.lit(0).cast("long") if top else F.shiftright("key", shift + DIGIT)
@@ -43,12 +44,22 @@ def crossing_keys(stage: Staging, name: str, rows: DataFrame, goals: DataFrame,
         sums = (found.join(state.select("g", "prefix").distinct(), ["g", "prefix"])
                 .groupBy("g", "prefix", "digits").agg(F.sum("w").alias("at_cut")))
         order = Window.partitionBy("g", "prefix").orderBy("digits")
-        sums = sums.withColumn("upto", F.sum("at_cut").over(order))
-        crossed = state.drop("at_cut").join(sums, ["g", "prefix"]).where(
-            (F.col("before") + F.col("upto") - F.col("at_cut") <= F.col("goal"))
-            & (F.col("before") + F.col("upto") > F.col("goal")))
+        sums = sums.where("at_cut > 0").withColumn("upto", F.sum("at_cut").over(order))
+        # goals and running sums on one line, from high to low: the last sum before a goal is
+        # the smallest one above it
+        none = F.lit(None).cast("double")
+        line = sums.select("g", "prefix", F.col("upto").alias("at"), F.lit(0).alias("kind"),
+                           F.struct("digits", "upto", "at_cut").alias("sum"), none.alias("goal"),
+                           none.alias("before"), F.lit(None).cast(state.schema["target"].dataType).alias("target"))
+        line = line.unionByName(state.select(
+            "g", "prefix", (F.col("goal") - F.col("before")).alias("at"), F.lit(1).alias("kind"),
+            F.lit(None).cast(line.schema["sum"].dataType).alias("sum"), "goal", "before", "target"))
+        down = (Window.partitionBy("g", "prefix").orderBy(F.desc("at"), F.desc("kind"))
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        crossed = line.withColumn("sum", F.last("sum", ignorenulls=True).over(down)).where(
+            (F.col("kind") == 1) & F.col("sum").isNotNull())
         state = stage.put(crossed.select(
-            "g", "target", "goal", F.col("digits").alias("prefix"),
-            (F.col("before") + F.col("upto") - F.col("at_cut")).alias("before"), "at_cut"),
-            f"{name}-{shift}")
+            "g", "target", "goal", F.col("sum.digits").alias("prefix"),
+            (F.col("before") + F.col("sum.upto") - F.col("sum.at_cut")).alias("before"),
+            F.col("sum.at_cut").alias("at_cut")), f"{name}-{shift}")
     return state.withColumnRenamed("prefix", "cut")
