@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm.staging import Staging, row_key
+from clientele.llm.workers import tidy
 
 CACHE_SCHEMA = "digest binary, tokenizer binary, n_tokens long"
 MEMO_PIECES = 600_000
@@ -157,12 +158,14 @@ def token_counts(docs: DataFrame, spec: TokenizerSpec, cache_path: str | None =
     # the digest says which text is meant, should two rows share a key
     chosen = (misses.join(texts, "row").select("digest", "content")
               .where(F.unhex(F.sha2("content", 256)) == F.col("digest")))
-    fresh = (chosen.mapInArrow(_encode(spec), "digest binary, n_tokens long")
+    fresh = (chosen.mapInArrow(tidy(_encode(spec)), "digest binary, n_tokens long")
              .dropDuplicates(["digest"])  # repeated rows bring their text more than once
              .withColumn("tokenizer", F.lit(bytearray(tokenizer))))
     (fresh.select("digest", "tokenizer", "n_tokens")
      .write.mode("append").option("compression", "zstd").parquet(cache_path))
-    # concurrent runs may have appended a digest twice
-    counts = (cached_counts(spark, cache_path, tokenizer)
-              .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
+    # concurrent runs may have appended a digest twice; staged, so that a digest that many
+    # rows share can be split in the join
+    counts = Staging(spark, "token-counts").put(cached_counts(spark, cache_path, tokenizer)
+                                                .groupBy("digest")
+                                                .agg(F.max("n_tokens").alias("n_tokens")), "counts")
     return rows.join(counts, "digest").select(F.col("row_id").alias(id_col), "n_bytes", "n_tokens")
