@@ -26,12 +26,13 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float,
         fixed = fixed + pair_l2 * (pairs.T @ pairs) / n
     w = np.zeros(d)
     for _ in range(steps):
-        p = sigmoid(x @ w)
+        p = sigmoid(x @ w.astype(x.dtype))
         gradient = x.T @ (weight * (p - y)) / total + fixed @ w
-        curve = (x * (weight * np.maximum(p * (1 - p), 1e-6) / total)[:, None]).T @ x + fixed
+        scaled = x * (weight * np.maximum(p * (1 - p), 1e-6) / total)[:, None].astype(x.dtype)
+        curve = scaled.T @ x + fixed
         step = np.linalg.solve(curve, gradient)
         w = w - step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-5:
             break
     return w
 

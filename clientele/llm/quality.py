@@ -38,9 +38,10 @@ from clientele.llm.labelled import held_out, training_labels
 from clientele.llm.linear import balanced, fit_logistic, fit_platt, sigmoid
 from clientele.llm.staging import Staging
 from clientele.llm.words import utf8
+from clientele.llm.workers import release, tidy
 
-SAMPLE = 8_000
-POOL = 8_000
+SAMPLE = 6_000
+POOL = 4_000
 ROUNDS = 3
 EXCHANGE = 0.1
 CONFIDENT = 0.95
@@ -48,7 +49,7 @@ TRIGRAMS = 256
 LANGS, SOURCES = 8, 32
 L2 = 1e-3
 THRESHOLD = 0.3  # clean pages stay; a page goes only when both views speak against it
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -65,7 +66,7 @@ META = LANGS + SOURCES + N_KINDS + 9
 
 def _owners(offsets: np.ndarray, lo: int, hi: int) -> np.ndarray:
     """The text that each byte from lo to hi belongs to."""
-    return np.repeat(np.arange(len(offsets) - 1), np.diff(np.clip(offsets, lo, hi)))
+    return np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(np.clip(offsets, lo, hi)))
 
 
 def trigram_shares(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -85,7 +86,8 @@ def trigram_shares(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         for back in (1, 2):
             spots = edges - back
             inside[spots[(spots >= 0) & (spots < len(code))]] = False
-        counts += np.bincount(owner[inside] * TRIGRAMS + bucket[inside], minlength=n * TRIGRAMS)
+        bins = owner[inside] * np.int32(TRIGRAMS) + bucket[inside].astype(np.int32)
+        counts += np.bincount(bins, minlength=n * TRIGRAMS)
     counts = counts.reshape(n, TRIGRAMS)
     return np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
 
@@ -187,9 +189,10 @@ def _fit_view(x: np.ndarray, y: np.ndarray, rows: np.ndarray, labels: np.ndarray
     """Fit on labelled ``rows`` of x and on pool rows ``more`` with pseudo ``labels``."""
     train = np.vstack([x[rows], more]) if len(more) else x[rows]
     target = np.concatenate([y[rows], labels])
-    mean, scale = train.mean(axis=0), train.std(axis=0)
+    mean, scale = train.mean(axis=0, dtype=np.float64), train.std(axis=0, dtype=np.float64)
+    mean, scale = mean.astype(train.dtype), scale.astype(train.dtype)
     scale[scale < 1e-6] = 1.0
-    z = np.column_stack([(train - mean) / scale, np.ones(len(train))])
+    z = np.column_stack([(train - mean) / scale, np.ones(len(train), dtype=train.dtype)])
     return View(mean, scale, fit_logistic(z, target, balanced(target), L2))
 
 
@@ -257,11 +260,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     chosen = stage.put(marked.union(others), "chosen")  # at most sample + pool narrow rows
     known = _inputs(docs, F.col("doc_id")).join(F.broadcast(chosen), "doc_id")
     rows = stage.put(known.orderBy(F.xxhash64("doc_id"), "doc_id").drop("doc_id").mapInArrow(
-        _vectors, "label int, content binary, meta binary"), "vectors").toPandas()
+        tidy(_vectors), "label int, content binary, meta binary"), "vectors").toPandas()
     y = rows["label"].to_numpy(dtype=np.float64)
 
     def matrix(column: str, width: int) -> np.ndarray:
-        return np.frombuffer(b"".join(rows[column]), dtype=np.float32).reshape(-1, width).astype(np.float64)
+        return np.frombuffer(b"".join(rows.pop(column)), dtype=np.float32).reshape(-1, width)
     views = [matrix("content", TRIGRAMS), matrix("meta", META)]
     marked_rows, pool_rows = y >= 0, y < 0
     return co_train([v[marked_rows] for v in views], y[marked_rows], [v[pool_rows] for v in views])
@@ -277,7 +280,7 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
                     [part.column("doc_id"), *(pa.array(s) for s in scores)],
                     names=["doc_id", "content_score", "meta_score", "score"])
     return _inputs(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(
-        run, "doc_id long, content_score double, meta_score double, score double")
+        tidy(run), "doc_id long, content_score double, meta_score double, score double")
 
 
 def filter_quality(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
@@ -286,6 +289,7 @@ def filter_quality(docs: DataFrame, model: QualityModel, threshold: float = THRE
     def score(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([text, lang, source, n_chars],
                                            names=["text", "lang", "source", "n_chars"])
-        return pa.array(np.concatenate([np.zeros(0), *(model.score(content, meta)[2]
-                                                       for _, content, meta in _views(batch))]))
+        scores = [model.score(content, meta)[2] for _, content, meta in _views(batch)]
+        release()
+        return pa.array(np.concatenate([np.zeros(0), *scores]))
     return docs.where(score(*_input_columns(docs)) >= threshold)

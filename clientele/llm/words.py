@@ -14,8 +14,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
-BLOCK_BYTES = 4 << 20
+PIECE = 1 << 18
+BLOCK_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
