@@ -2,10 +2,11 @@
 
 Per group, rows are thought of as sorted by a 64-bit key. For a goal, the crossing key is
 the first key at which the running weight exceeds the goal. It is found digit by digit,
-as in radix selection: each pass sums the weights per 16-bit digit among the rows that
+as in radix selection: each pass sums the weights per 12-bit digit among the rows that
 share the digits found so far, keeps the digit that crosses, and goes on. A pass is one
-partial aggregation (at most 65,536 sums per goal are windowed together), so nothing is
-sorted globally and a group that holds a third of all rows costs no more than the rest.
+partial aggregation; at most 4,096 sums, and the goals that fall among them, are windowed
+together. So nothing is sorted globally, and a group that holds a third of all rows costs
+no more than the rest.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from clientele.llm.staging import Staging
 
-DIGIT = 16
+DIGIT = 12
 
 
 def key_bits(largest: int) -> int:
@@ -24,11 +25,11 @@ def key_bits(largest: int) -> int:
 
 
 def crossing_keys(stage: Staging, name: str, rows: DataFrame, goals: DataFrame,
-                  bits: int = 64) -> DataFrame:
+                  bits: int = 72) -> DataFrame:
     """g, target, goal, cut, before, at_cut for every goal below its group's total weight.
 
-    ``rows``: g, key (long; below 2**bits and not negative unless bits is 64), w (not
-    negative). ``goals``: g, target, goal. Keys below ``cut`` weigh ``before`` <= goal, and
+    ``rows``: g, key (long; below 2**bits, and not negative unless bits is the default, which
+    covers every long), w (not negative). ``goals``: g, target, goal. Keys below ``cut`` weigh ``before`` <= goal, and
     rows at ``cut`` weigh ``at_cut``, which exceeds what is left. A goal that its group's
     total does not exceed has no row.
     """

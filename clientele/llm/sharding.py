@@ -31,7 +31,7 @@ from pyspark.sql.types import StringType
 from clientele.llm.selection import crossing_keys, key_bits
 from clientele.llm.staging import Staging, row_key
 
-TIE_BITS = 32
+TIE_BITS = 36
 
 
 def dimension(docs: DataFrame, name: str) -> Column:
