@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.llm.staging import Staging
+from clientele.llm.workers import tidy
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 SPILL_FILES = 16
@@ -178,9 +179,9 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.sha2(normalised(text), 256).alias("digest"), normalised(text).alias("content"),
         F.length(F.coalesce(text, F.lit(""))).cast("long").alias("best_len"),
         F.col(id_col).cast("long").alias("best_id"), F.lit(1).cast("long").alias("size"))
-    partial = records.mapInArrow(_task(memory_bytes, True), PARTIAL)
+    partial = records.mapInArrow(tidy(_task(memory_bytes, True)), PARTIAL)
     return partial.repartition("digest").mapInArrow(
-        _task(memory_bytes, False), PARTIAL.replace("content string, ", ""))
+        tidy(_task(memory_bytes, False)), PARTIAL.replace("content string, ", ""))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

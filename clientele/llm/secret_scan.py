@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.llm.words import utf8
+from clientele.llm.workers import tidy
 
 MAX_LAYER_BYTES = 64 << 20
 # Kinds in their order, patterns and shortest lengths.
@@ -307,7 +308,7 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         lo = 0
         data, offsets = utf8(batch.column("text"))
         while lo < batch.num_rows:
-            hi = int(np.searchsorted(offsets, offsets[lo] + (2 << 20), side="right")) - 1
+            hi = int(np.searchsorted(offsets, offsets[lo] + (1 << 20), side="right")) - 1
             hi = min(max(hi, lo + 1), batch.num_rows)
             yield _scan_block(batch.slice(lo, hi - lo), data[offsets[lo]:offsets[hi]],
                               offsets[lo:hi + 1] - offsets[lo])
@@ -348,5 +349,5 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row: id, findings (kind, start, end, route, base, found), closed_layers."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = rows.mapInArrow(_scan_batches, f"doc_id long, findings {FINDINGS}, closed_layers long")
+    found = rows.mapInArrow(tidy(_scan_batches), f"doc_id long, findings {FINDINGS}, closed_layers long")
     return found.withColumnRenamed("doc_id", id_col)

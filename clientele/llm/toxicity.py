@@ -38,6 +38,7 @@ from clientele.llm.labelled import training_labels
 from clientele.llm.linear import balanced, fit_logistic, fit_platt, sigmoid
 from clientele.llm.staging import Staging
 from clientele.llm.words import ALPHANUMERIC, blocks, split_words
+from clientele.llm.workers import tidy
 
 SAMPLE = 12_000
 FEATURES = 300
@@ -124,7 +125,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     texts = docs.select(F.col(id_col).alias("doc_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sampled = texts.join(F.broadcast(chosen), "doc_id").select("label", "text")
-    rows = stage.put(sampled.mapInArrow(_text_words, "label int, words array<long>"), "sample")
+    rows = stage.put(sampled.mapInArrow(tidy(_text_words), "label int, words array<long>"), "sample")
     count = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     positives, negatives = count.get(1, 0), count.get(0, 0)
     if not positives or not negatives:
@@ -174,4 +175,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double").withColumnRenamed("doc_id", id_col)
+    return rows.mapInArrow(tidy(run), "doc_id long, score double").withColumnRenamed("doc_id", id_col)

@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 
 from clientele.llm.selection import crossing_keys, key_bits
 from clientele.llm.staging import Staging
+from clientele.llm.workers import tidy
 
 MIN_REVISIT = 100
 SHARD_BYTES = 256 << 20
@@ -235,7 +236,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
              .sortWithinPartitions("shard", "place", "digest", "kind", "url"))
     store, folder = open_store(path)
     store.create_dir(f"{folder}/records", recursive=True)
-    manifest = dealt.mapInArrow(Writer(f"{path}/records", roll_bytes, date), MANIFEST)
+    manifest = dealt.mapInArrow(tidy(Writer(f"{path}/records", roll_bytes, date)), MANIFEST)
     manifest.write.parquet(f"{path}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
@@ -313,4 +314,4 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> Data
     manifest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (manifest.select("file", "records").repartition(tasks, "file")
-            .mapInArrow(Reader(f"{path}/records", with_payload), RECORDS))
+            .mapInArrow(tidy(Reader(f"{path}/records", with_payload)), RECORDS))
