@@ -7,15 +7,18 @@ layout (lines, lengths, shares of letters, digits, spaces, punctuation and symbo
 lines and words).
 
 Co-training. Each view fits a ridge logistic classifier on the labelled sample. In every
-round each classifier labels the unlabelled pool, and its most confident rows (``EXCHANGE``
-of the pool per round, split as its predictions are) join the *other* view's training set
+round each classifier labels all unlabelled rows, and its most confident rows (``EXCHANGE``
+of them per round, split as its predictions are) join the *other* view's training set
 with those labels. After the last round each view is calibrated (Platt) on labelled rows that no
 classifier trained on, and the views are combined by a logistic model of the two calibrated
 log-odds fitted on the same rows.
 
-Fitting uses at most ``sample`` labelled rows outside the held-out fold and ``pool`` others,
-both chosen by hash of the id (documented bounds); what is collected is one vector of fixed
-length per row. Scoring covers every row and whole text, in place, without a shuffle.
+Fitting uses at most ``sample`` labelled rows outside the held-out fold, chosen by hash of the
+id. The unlabelled rows are all scored in every round, where they are read; a view hands on at
+most ``EXCHANGE * pool`` of them per round, the most confident of the whole table (documented
+bounds of the training set). Rows equal in text and metadata are one candidate. Per row two
+numbers are staged; a histogram of them bounds what the final top-k reads; only vectors of
+picked rows are collected. Scoring covers every row and whole text, in place, without a shuffle.
 
 Defined results. Null and empty texts: the score of an empty page. Null language, source or
 length: a value of its own. Missing labels or one class only: score 0.5, everything is kept.
@@ -40,11 +43,12 @@ from clientele.llm.staging import Staging
 from clientele.llm.words import utf8
 from clientele.llm.workers import release, tidy
 
-SAMPLE = 6_000
-POOL = 4_000
+SAMPLE = 8_000
+POOL = 8_000
 ROUNDS = 3
 EXCHANGE = 0.1
 CONFIDENT = 0.95
+STEPS, LARGEST = 32, 40  # histogram of log-odds: steps a unit, cut at the largest
 TRIGRAMS = 256
 LANGS, SOURCES = 8, 32
 L2 = 1e-3
@@ -146,10 +150,10 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, content, meta in _views(batch):
             yield pa.RecordBatch.from_arrays(
-                [part.column("label"),
+                [part.column("key"), part.column("label"),
                  pa.array([r.astype(np.float32).tobytes() for r in content], pa.binary()),
                  pa.array([r.astype(np.float32).tobytes() for r in meta], pa.binary())],
-                names=["label", "content", "meta"])
+                names=["key", "label", "content", "meta"])
 
 
 @dataclass(frozen=True)
@@ -196,41 +200,143 @@ def _fit_view(x: np.ndarray, y: np.ndarray, rows: np.ndarray, labels: np.ndarray
     return View(mean, scale, fit_logistic(z, target, balanced(target), L2))
 
 
-def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS,
-             exchange: float = EXCHANGE, confident: float = CONFIDENT) -> QualityModel:
-    """Views are (content, meta) matrices of the labelled rows and of the pool."""
+@dataclass(frozen=True)
+class Picked:
+    """Rows that one view hands to the other: their keys, its labels, the other's features."""
+
+    keys: np.ndarray
+    labels: np.ndarray
+    features: np.ndarray
+
+    def __add__(self, more: Picked) -> Picked:
+        return Picked(np.concatenate([self.keys, more.keys]), np.concatenate([self.labels, more.labels]),
+                      np.vstack([self.features, more.features]))
+
+
+def _shares(per_round: int, n: int, positive: int) -> dict[int, int]:
+    """How many rows of each label a view may pick: split as its predictions are."""
+    return {1: max(1, int(per_round * positive / n)), 0: max(1, int(per_round * (n - positive) / n))}
+
+
+class MemoryPool:
+    """Unlabelled rows as matrices, one per view."""
+
+    def __init__(self, views: list[np.ndarray], exchange: float = EXCHANGE):
+        self.views, self.per_round = views, int(exchange * len(views[0]))
+
+    def pick(self, fitted: list[View], taken: list[np.ndarray], confident: float) -> list[Picked]:
+        """Per view its most confident rows not yet ``taken`` by the other."""
+        out = []
+        for v in range(2):
+            z = fitted[v].logit(self.views[v])
+            new = ~np.isin(np.arange(len(z)), taken[1 - v])
+            keys, labels = [], []
+            if len(z):
+                for label, share in _shares(self.per_round, len(z), int((z >= 0).sum())).items():
+                    sure = z if label else -z
+                    best = np.argsort(-np.where(new, sure, -np.inf), kind="stable")[:share]
+                    best = best[(sigmoid(sure[best]) >= confident) & new[best]]
+                    keys.append(best)
+                    labels.append(np.full(len(best), float(label)))
+            own = np.concatenate([np.zeros(0, np.int64), *keys])
+            out.append(Picked(own, np.concatenate([np.zeros(0), *labels]), self.views[1 - v][own]))
+        return out
+
+
+class TablePool:
+    """All unlabelled rows of a table (columns of ``_inputs``, doc_id and key): scored in place
+    in every round; only the picked rows' vectors come to the driver."""
+
+    def __init__(self, stage: Staging, rows: DataFrame, labelled: DataFrame, pool: int,
+                 exchange: float = EXCHANGE):
+        self.stage, self.rows, self.labelled = stage, rows, labelled
+        self.pool, self.exchange, self.round = pool, exchange, 0
+
+    def _scored(self, fitted: list[View], taken: list[np.ndarray]) -> DataFrame:
+        """key, z0, z1 (log-odds by each view), new0, new1 (the other does not have it yet)."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part, *features in _views(batch):
+                    keys = part.column("key").to_numpy()
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("doc_id"), part.column("key"),
+                         *(pa.array(fitted[v].logit(features[v]).astype(np.float64)) for v in range(2)),
+                         *(pa.array(~np.isin(keys, taken[1 - v])) for v in range(2))],
+                        names=["doc_id", "key", "z0", "z1", "new0", "new1"])
+        scored = self.rows.mapInArrow(
+            tidy(run), "doc_id long, key long, z0 double, z1 double, new0 boolean, new1 boolean")
+        return (scored.join(self.labelled, "doc_id", "left_anti").groupBy("key")
+                .agg(*(F.min(c).alias(c) for c in ("z0", "z1", "new0", "new1"))))
+
+    def pick(self, fitted: list[View], taken: list[np.ndarray], confident: float) -> list[Picked]:
+        self.round += 1
+        scored = self.stage.put(self._scored(fitted, taken), f"scored-{self.round}")
+        least = float(np.log(confident / (1 - confident)))
+        step = lambda z: F.floor(F.least(F.greatest(z, F.lit(-LARGEST)), F.lit(LARGEST)) * STEPS)
+        counts = scored.select(F.explode(F.array(*(F.struct(
+            F.lit(v).alias("v"), (F.col(f"z{v}") >= 0).alias("up"), F.col(f"new{v}").alias("new"),
+            step(F.abs(f"z{v}")).alias("step")) for v in range(2)))).alias("x")).select("x.*").groupBy(
+                "v", "up", "new", "step").agg(F.count(F.lit(1)).alias("n")).collect()
+        best = None
+        for v in range(2):
+            n = sum(c.n for c in counts if c.v == v)
+            if not n:
+                continue
+            per_round = int(self.exchange * min(n, self.pool))
+            positive = sum(c.n for c in counts if c.v == v and c.up)
+            for label, share in _shares(per_round, n, positive).items():
+                # from the most confident step down to the one that fills the share
+                upto, lowest = 0, 0
+                for c in sorted((c for c in counts if c.v == v and c.up == bool(label) and c.new),
+                                key=lambda c: -c.step):
+                    upto, lowest = upto + c.n, c.step
+                    if upto >= share:
+                        break
+                z = F.col(f"z{v}") if label else -F.col(f"z{v}")
+                top = (scored.where(F.col(f"new{v}") & (z >= least) & (step(z) >= lowest))
+                       .orderBy(z.desc(), "key").limit(share)
+                       .select("key", F.lit(2 * v + label).alias("label")))
+                best = top if best is None else best.union(top)
+        if best is None:
+            return [Picked(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, width), np.float32))
+                    for width in (META, TRIGRAMS)]
+        best = self.stage.put(best, f"picked-{self.round}")
+        rows = _collected(self.rows.join(F.broadcast(best), "key"), distinct=True)
+        out = []
+        for v in range(2):
+            mine = rows.labels // 2 == v
+            out.append(Picked(rows.keys[mine], (rows.labels[mine] % 2).astype(np.float64),
+                              rows.views[1 - v][mine]))
+        return out
+
+
+def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray] | MemoryPool | TablePool,
+             rounds: int = ROUNDS, confident: float = CONFIDENT) -> QualityModel:
+    """Views are (content, meta) matrices of the labelled rows; the pool holds the others."""
     if len(y) < 10 or y.min() == y.max():
         return QualityModel(None, None)
+    if isinstance(pool, list):
+        pool = MemoryPool(pool)
     check = np.arange(len(y)) % 4 == 0  # calibration rows; hash order, so any quarter is fair
     train = np.flatnonzero(~check)
     if y[train].min() == y[train].max() or y[check].min() == y[check].max():
         train = np.arange(len(y))
         check = np.ones(len(y), dtype=bool)
-    pseudo: list[dict[int, float]] = [{}, {}]
-    per_round = int(exchange * len(pool[0]))
-    fitted: list[View] = []
-    for _ in range(rounds + 1):
-        fitted = []
-        for v in range(2):
-            ids = np.fromiter(pseudo[v], dtype=np.int64, count=len(pseudo[v]))
-            values = np.fromiter(pseudo[v].values(), dtype=np.float64, count=len(pseudo[v]))
-            fitted.append(_fit_view(views[v], y, train, values, pool[v][ids]))
-        if len(pool[0]) == 0 or len(pseudo[0]) + len(pseudo[1]) >= 2 * rounds * per_round:
+
+    def calibrated(v: int, more: Picked) -> View:
+        found = _fit_view(views[v], y, train, more.labels, more.features)
+        a, b = fit_platt(found.raw(views[v][check]), y[check])
+        return View(found.mean, found.scale, found.weights, a, b)
+
+    # what each view was given by the other
+    pseudo = [Picked(np.zeros(0, np.int64), np.zeros(0), v[:0]) for v in views]
+    done = [calibrated(v, pseudo[v]) for v in range(2)]
+    for _ in range(rounds):
+        picked = pool.pick(done, [p.keys for p in pseudo], confident)
+        if not any(len(p.keys) for p in picked):
             break
-        for v in range(2):
-            z = fitted[v].raw(pool[v])
-            a, b = fit_platt(fitted[v].raw(views[v][check]), y[check])
-            p = sigmoid(a * z + b)
-            new = np.array([i not in pseudo[1 - v] for i in range(len(p))])
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                share = max(1, int(per_round * (p >= 0.5).mean() if label else per_round * (p < 0.5).mean()))
-                best = np.argsort(-np.where(new, sure, -1), kind="stable")[:share]
-                for i in best[(sure[best] >= confident) & new[best]]:
-                    pseudo[1 - v][int(i)] = label
-    done = []
-    for v in range(2):
-        a, b = fit_platt(fitted[v].raw(views[v][check]), y[check])
-        done.append(View(fitted[v].mean, fitted[v].scale, fitted[v].weights, a, b))
+        pseudo = [pseudo[v] + picked[1 - v] for v in range(2)]
+        done = [calibrated(v, pseudo[v]) for v in range(2)]
     logits = np.column_stack([done[0].logit(views[0][check]), done[1].logit(views[1][check]),
                               np.ones(check.sum())])
     blend = fit_logistic(logits, y[check], np.ones(check.sum()), 1e-3)
@@ -248,26 +354,37 @@ def _inputs(docs: DataFrame, *more) -> DataFrame:
     return docs.select(*more, *_input_columns(docs))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE,
-                pool: int = POOL) -> QualityModel:
-    """Fit on bounded samples: ``sample`` labelled rows and ``pool`` unlabelled ones."""
-    stage = Staging(docs.sparkSession, "quality")
-    marked = training_labels(labels, label_col, sample)
-    others = (docs.select("doc_id").where(~held_out())
-              .join(labels.select("doc_id").distinct(), "doc_id", "left_anti").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool)
-              .select("doc_id", F.lit(-1).alias("label")))
-    chosen = stage.put(marked.union(others), "chosen")  # at most sample + pool narrow rows
-    known = _inputs(docs, F.col("doc_id")).join(F.broadcast(chosen), "doc_id")
-    rows = stage.put(known.orderBy(F.xxhash64("doc_id"), "doc_id").drop("doc_id").mapInArrow(
-        tidy(_vectors), "label int, content binary, meta binary"), "vectors").toPandas()
-    y = rows["label"].to_numpy(dtype=np.float64)
+@dataclass(frozen=True)
+class Collected:
+    keys: np.ndarray
+    labels: np.ndarray
+    views: list[np.ndarray]
+
+
+def _collected(rows: DataFrame, distinct: bool = False) -> Collected:
+    """Vectors of a bounded number of rows (columns of ``_inputs``, key, label) on the driver."""
+    if distinct:
+        rows = rows.dropDuplicates(["key", "label"])
+    found = rows.mapInArrow(tidy(_vectors), "key long, label int, content binary, meta binary").toPandas()
+    found = found.sort_values("key", kind="stable")
 
     def matrix(column: str, width: int) -> np.ndarray:
-        return np.frombuffer(b"".join(rows.pop(column)), dtype=np.float32).reshape(-1, width)
+        return np.frombuffer(b"".join(found.pop(column)), dtype=np.float32).reshape(-1, width)
     views = [matrix("content", TRIGRAMS), matrix("meta", META)]
-    marked_rows, pool_rows = y >= 0, y < 0
-    return co_train([v[marked_rows] for v in views], y[marked_rows], [v[pool_rows] for v in views])
+    return Collected(found["key"].to_numpy(dtype=np.int64), found["label"].to_numpy(dtype=np.int64), views)
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE,
+                pool: int = POOL) -> QualityModel:
+    """Fit on ``sample`` labelled rows and on what the views pick from all unlabelled ones, at
+    most ``EXCHANGE * pool`` rows per view and round."""
+    stage = Staging(docs.sparkSession, "quality")
+    marked = stage.put(training_labels(labels, label_col, sample), "marked")  # at most sample narrow rows
+    rows = _inputs(docs, F.col("doc_id").cast("long").alias("doc_id"))
+    known = _collected(rows.join(F.broadcast(marked), "doc_id").withColumn("key", F.xxhash64("doc_id")))
+    others = rows.where(~held_out()).withColumn("key", F.xxhash64("text", "lang", "source", "n_chars"))
+    labelled = labels.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    return co_train(known.views, known.labels.astype(np.float64), TablePool(stage, others, labelled, pool))
 
 
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:

@@ -4,9 +4,12 @@ import zlib
 import numpy as np
 import pytest
 from llm_fixtures import frame, sentence
+from pyspark.sql import functions as F
 
 from clientele.llm.linear import fit_logistic, sigmoid
-from clientele.llm.quality import co_train, filter_quality, fit_quality, score_quality
+from clientele.llm.quality import (LANGS, META, SOURCES, TRIGRAMS, TablePool, View, _inputs, co_train,
+                                   filter_quality, fit_quality, score_quality)
+from clientele.llm.staging import Staging
 from clientele.llm.toxicity import fit_toxicity, score_toxicity
 
 TABLES = "/root/testdata/sf0.1"
@@ -118,3 +121,44 @@ def test_views_teach_each_other():
     before = auc(alone.meta.logit(fresh)[test == 1], alone.meta.logit(fresh)[test == 0])
     after = auc(together.meta.logit(fresh)[test == 1], together.meta.logit(fresh)[test == 0])
     assert after > before + 0.03
+
+
+def test_views_pick_from_the_whole_table(spark):
+    """A source that occurs in few unlabelled rows, none among the first by hash, is learnt from."""
+    rng = random.Random(7)
+    rows, labels = [], []
+    for i in range(900):
+        good = i % 2
+        text = sentence(rng, 40) if good else "$$$ 00 !!! " * 20 + sentence(rng, 3)
+        rows.append((i, text, "en", "common", len(text)))
+        if i < 200:
+            labels.append((i, good, 0))
+    order = [r.doc_id for r in spark.createDataFrame(rows, "doc_id long, text string, lang string, "
+             "source string, n_chars long").selectExpr("doc_id").orderBy(F.xxhash64("doc_id")).collect()]
+    late = set([i for i in order if i >= 200 and i % 2 == 0 and not held_out(i)][-20:])
+    rows = [(i, "$$$ 00 !!! " * 60 if i in late else t, lang, "rare" if i in late else s, n)
+            for i, t, lang, s, n in rows]
+    model = fit_quality(frame(spark, rows), spark.createDataFrame(labels, LABELS), pool=300)
+    place = {s: LANGS + zlib.crc32(s.encode()) % (SOURCES - 1) for s in ("common", "rare")}
+    assert place["common"] != place["rare"]
+    assert 0 < model.meta.mean[place["rare"]]  # the content view handed rows of it on
+
+
+def test_picked_rows_are_the_most_confident_of_all(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, sentence(random.Random(i), 3 + i % 50), "en", "s", i) for i in range(400)]
+    docs = frame(spark, rows + rows[:50])
+    view = [View(np.zeros(w), np.ones(w), rng.normal(size=w + 1) * 9) for w in (TRIGRAMS, META)]
+    table = _inputs(docs, F.col("doc_id")).withColumn("key", F.col("doc_id"))
+    known = spark.createDataFrame([(i,) for i in range(0, 400, 4)], "doc_id long")
+    picked = TablePool(Staging(spark, "pick-test"), table, known, 100).pick(
+        view, [np.array([1, 2, 3]), np.array([5, 6, 7])], 0.6)
+    found = {r.key: (r.z0, r.z1) for r in TablePool(Staging(spark, "pick-test"), table, known, 100)
+             ._scored(view, [np.zeros(0), np.zeros(0)]).collect()}
+    assert set(found) == {i for i in range(400) if i % 4}
+    for v, taken in ((0, {5, 6, 7}), (1, {1, 2, 3})):
+        up = sum(z[v] >= 0 for z in found.values())
+        for label, share in ((1, max(1, int(10 * up / 300))), (0, max(1, int(10 * (300 - up) / 300)))):
+            sure = {i: z[v] if label else -z[v] for i, z in found.items() if i not in taken}
+            best = sorted((i for i in sure if sigmoid(sure[i]) >= 0.6), key=lambda i: (-sure[i], i))[:share]
+            assert sorted(picked[v].keys[picked[v].labels == label]) == sorted(best)
