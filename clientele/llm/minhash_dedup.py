@@ -257,6 +257,13 @@ def _prefix_pairs(stage: Staging, texts: DataFrame, nodes: DataFrame, threshold:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row: id, n_shingles, component_id, kept (the row's id is its group's), row_key."""
+    return _grouped_rows(docs, id_col, text_col, threshold, bands, rows).drop("_component")
+
+
+def _grouped_rows(docs: DataFrame, id_col: str, text_col: str, threshold: int, bands: int = BANDS,
+                  rows: int = ROWS) -> DataFrame:
+    """As near_duplicates, with _component: the group itself, whatever its ids (null for
+    texts without words)."""
     stage = Staging(docs.sparkSession, "near-duplicates")
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(F.col(id_col).cast("long").alias("doc_id"),
@@ -332,21 +339,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         "grouped")
     firsts = stage.put(grouped.groupBy("component").agg(F.min("first_id").alias("component_id")),
                        "firsts")
-    named = stage.put(grouped.join(firsts, "component").select("d1", "d2", "component_id"), "named")
+    named = stage.put(grouped.join(firsts, "component").select(
+        "d1", "d2", F.col("component").alias("_component"), "component_id"), "named")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (sketched.select("doc_id", "key", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
             .select(F.col("doc_id").alias(id_col), "n_shingles", own.alias("component_id"),
-                    F.col("doc_id").eqNullSafe(own).alias("kept"), F.col("key").alias("row_key")))
+                    F.col("doc_id").eqNullSafe(own).alias("kept"), F.col("key").alias("row_key"), "_component"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                threshold: int = THRESHOLD) -> DataFrame:
     """The documents without their near-duplicates: of every group the row with the
     smallest id stays, with all its columns. Empty texts are no duplicates of each other."""
-    found = near_duplicates(docs, id_col, text_col, threshold)
+    found = _grouped_rows(docs, id_col, text_col, threshold)
     alone = F.when(F.col("n_shingles") == 0, F.col("row_key"))
     first = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), "row_key")).alias("first")
-    chosen = (found.groupBy("component_id", alone.alias("alone")).agg(first)
+    # by the group itself: its smallest id may be null or also occur in another group
+    chosen = (found.groupBy("_component", alone.alias("alone")).agg(first)
               .select(F.col("first.row_key").alias("_row_key")))
     # equal rows share a key: one of them stays
     return (docs.withColumn("_row_key", row_key(id_col, text_col))

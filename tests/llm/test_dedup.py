@@ -125,6 +125,20 @@ def test_keep_first_leaves_one_row_of_each_group(spark, docs, rows):
     assert found.count(0) == 1                 # the repeated row once
 
 
+def test_keep_first_keeps_groups_whose_ids_are_null_or_repeat(spark):
+    rng = random.Random(11)
+    texts = [sentence(rng, 40) for _ in range(7)]
+    near = texts[0] + " end"
+    rows = [(None, texts[0], "en", "s", 1), (None, near, "en", "s", 1), (None, texts[1], "en", "s", 1),
+            (None, texts[2], "en", "s", 1), (7, texts[3], "en", "s", 1), (7, texts[4], "en", "s", 1),
+            (8, texts[5], "en", "s", 1), (None, texts[5], "en", "s", 1), (None, "", "en", "s", 1)]
+    found = [(r.doc_id, r.text) for r in keep_first(frame(spark, rows)).collect()]
+    first = [r for r in found if r[1] in (texts[0], near)]
+    assert len(first) == 1
+    assert sorted(map(str, found)) == sorted(map(str, [
+        *first, (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5]), (None, "")]))
+
+
 def test_near_duplicates_empty(no_docs):
     assert near_duplicates(no_docs).count() == 0
 
