@@ -60,7 +60,9 @@ ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa
 ESCAPED = re.compile(rf"[^\s]*(?:{ESCAPE.pattern})[^\s]*")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 BASE64_PART = re.compile(r"[A-Za-z0-9+]{16,}")
-TEXT_CONTROLS = dict.fromkeys(map(ord, "\t\n\r\x0b\x0c"))
+# a secret's word, a base pattern, an escape, or base64 (also over a line end)
+PROMISING = re.compile(rb"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx]|&#"
+                       rb"|[A-Za-z0-9+/_-]{16}|[A-Za-z0-9+/_-][ \t]*[\r\n]+[ \t]*[A-Za-z0-9+/_-]")
 
 
 def scan(text: str) -> list[tuple[int, int, int]]:
@@ -170,25 +172,33 @@ def _unpacked(data: bytes) -> tuple[str, bytes | None] | None:
     return (name, content if len(content) <= MAX_LAYER_BYTES else None)
 
 
-def _as_text(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and text.translate(TEXT_CONTROLS).isprintable() else None
+def _texts(data: bytes) -> list[str]:
+    """Readings of decoded bytes: as UTF-8, where anything else is replaced (the patterns are
+    ASCII), and as UTF-16, without which there is no NUL in a text."""
+    out = [data.decode("utf-8", "replace")]
+    if b"\x00" in data:
+        even = data[:len(data) & ~1]
+        out += [even.decode(code, "replace") for code in ("utf-16-le", "utf-16-be")]
+    return out
+
+
+def _promising(data: bytes) -> bool:
+    """Can the bytes, in any reading, hold a finding or a further layer?"""
+    return bool(_unpacked(data) or PROMISING.search(data)
+                or (b"\x00" in data and PROMISING.search(data.replace(b"\x00", b""))))
 
 
 def base64_layers(run: bytes, whole: tuple[int, int], route: tuple[str, ...],
                   around: frozenset) -> list[Layer]:
-    """The run decoded; where that gives neither text nor compressed data, its parts
-    between characters that are also separators (paths, slugs)."""
+    """The run decoded, and its parts between characters that are also separators (paths,
+    slugs); without what can hold neither a finding nor a further layer."""
     runs = [run]
     if any(c in run for c in b"/_-"):
         runs += [m.group().encode() for m in BASE64_PART.finditer(run.decode())]
     out = []
     for r in runs:
         data = _from_base64(r)
-        if data and (_unpacked(data) or (b"\x00" not in data and _as_text(data) is not None)):
+        if data and _promising(data):
             out.append(Layer(data, whole, (*route, "base64"), None, around))
     return out
 
@@ -232,11 +242,9 @@ def unwrap(start: list[Layer]) -> tuple[list[tuple[int, int, int, str]], int]:
                 elif content:
                     work.append(Layer(content, layer.whole, (*layer.route, name), None, around))
                 continue
-            text = _as_text(layer.content)
-            if text is not None:
-                # the same content as text: scanned under its own name
-                work.append(Layer(text, layer.whole, layer.route, None, layer.around))
-                done.discard((key, layer.whole))
+            # the same content as text: scanned under its own name
+            work.extend(Layer(t, layer.whole, layer.route, None, layer.around) for t in _texts(layer.content))
+            done.discard((key, layer.whole))
             continue
         for kind, lo, hi in scan(layer.content):
             found.append((kind, *layer.origin(lo, hi), "+".join(layer.route)))
@@ -323,7 +331,7 @@ def _scan_block(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) ->
                                     side="right") - 1).tolist())
     encoded: dict[int, list[tuple[int, int]]] = {}
     for s, e in _long_runs(data, offsets, _BASE64_BYTES, MIN_BASE64).tolist():
-        # most long runs are plain words: they decode to neither text nor compressed data
+        # most long runs are plain words: what they decode to holds nothing
         if base64_layers(raw[s:e], (0, 0), (), frozenset()):
             row = int(np.searchsorted(offsets, s, side="right")) - 1
             while e < offsets[row + 1] and raw[e:e + 1] == b"=":

@@ -83,6 +83,17 @@ def test_layers_are_unwrapped_to_the_end(spark, name):
     assert [f.asDict() for f in row.findings] == findings(text)[0]
 
 
+@pytest.mark.parametrize("content", [
+    "mot de passe\u00a0: password=hunter22".encode(), "\u3000\u200d\u00ad token=abcdefgh".encode(),
+    "\ufeffsecret=abcdefgh".encode(), b"\x1b[31mpassword=hunter22\x1b[0m", "caf\u00e9 password=hunter22".encode("latin-1"),
+    "password=hunter22 caf\u00e9".encode("utf-16"), "password=hunter22".encode("utf-16-be"),
+    "\u00a0 ".encode() + base64.b64encode(b"password=hunter22")])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, lzma.compress])
+def test_layers_of_any_characters_are_scanned(content, pack):
+    text = f"x {base64.b64encode(pack(content)).decode()} y"
+    assert [(f["kind"], f["start"], f["end"]) for f in findings(text)[0]] == [("assign", 2, len(text) - 2)]
+
+
 def test_escapes_map_to_their_own_characters():
     text = "x pass%77ord%3Dqwerty12 y"
     f = findings(text)[0][0]
