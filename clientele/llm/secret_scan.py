@@ -2,7 +2,7 @@
 
 The base scan finds three kinds of secrets in a text (patterns below). The worklist then
 unwraps encoded layers: percent escapes, Unicode and character escapes, base64 (plain or
-URL-safe, padded or not) and compressed data (gzip, zlib, bzip2, xz). Every unwrapped
+URL-safe, padded or not, on one line or wrapped) and compressed data (gzip, zlib, bzip2, xz). Every unwrapped
 layer is scanned with the same patterns and searched for further layers, until none is
 left. Findings in a layer are mapped back to the code points of the original text: a
 character that came through escapes maps to its own escape, one that came out of base64 or
@@ -30,7 +30,7 @@ import lzma
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -59,6 +59,10 @@ ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa
                     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 ESCAPED = re.compile(rf"[^\s]*(?:{ESCAPE.pattern})[^\s]*")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# base64 on consecutive lines, indented or not
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n?|\n)[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+WRAPPED_BYTES = re.compile(WRAPPED.pattern.encode())
+LINE = re.compile(rb"[A-Za-z0-9+/_-]+")
 BASE64_PART = re.compile(r"[A-Za-z0-9+]{16,}")
 # a secret's word, a base pattern, an escape, or base64 (also over a line end)
 PROMISING = re.compile(rb"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx]|&#"
@@ -152,18 +156,25 @@ def _from_base64(run: bytes) -> bytes | None:
         return None
 
 
+def _format(data: bytes) -> tuple[str, Callable] | None:
+    """Name and decompressor of the format that the first bytes tell."""
+    if data[:2] == b"\x1f\x8b":
+        return "gzip", lambda: zlib.decompressobj(31)
+    if data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
+        return "zlib", zlib.decompressobj
+    if data[:3] == b"BZh":
+        return "bzip2", bz2.BZ2Decompressor
+    if data[:6] == b"\xfd7zXZ\x00":
+        return "xz", lzma.LZMADecompressor
+    return None
+
+
 def _unpacked(data: bytes) -> tuple[str, bytes | None] | None:
     """(format, content) of compressed data, content None where it exceeds the bound."""
-    if data[:2] == b"\x1f\x8b":
-        name, make = "gzip", lambda: zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-        name, make = "zlib", zlib.decompressobj
-    elif data[:3] == b"BZh":
-        name, make = "bzip2", bz2.BZ2Decompressor
-    elif data[:6] == b"\xfd7zXZ\x00":
-        name, make = "xz", lzma.LZMADecompressor
-    else:
+    found = _format(data)
+    if not found:
         return None
+    name, make = found
     try:
         unpacker = make()
         content = unpacker.decompress(data, MAX_LAYER_BYTES + 1)
@@ -188,21 +199,47 @@ def _promising(data: bytes) -> bool:
                 or (b"\x00" in data and PROMISING.search(data.replace(b"\x00", b""))))
 
 
-def base64_layers(run: bytes, whole: tuple[int, int], route: tuple[str, ...],
+def _joined(run: bytes) -> Iterator[tuple[bytes, int]]:
+    """(characters, first byte) of wrapped base64. What stands before it (a word at a line end)
+    may be no base64: decoding starts at the first line of each alignment, and where compressed
+    data start."""
+    seen, n = set(), 0
+    lines = list(LINE.finditer(run))
+    whole = b"".join(m.group() for m in lines)
+    for m in lines:
+        head = _from_base64(whole[n:n + 16])
+        if n % 4 not in seen or (head and _format(head)):
+            seen.add(n % 4)
+            body = whole[n:]
+            yield (body[:-1] if len(body) % 4 == 1 else body), m.start()
+        n += len(m.group())
+
+
+def base64_layers(run: bytes, origin: Callable[[int, int], tuple[int, int]], route: tuple[str, ...],
                   around: frozenset) -> list[Layer]:
     """The run decoded, and its parts between characters that are also separators (paths,
-    slugs); without what can hold neither a finding nor a further layer."""
-    runs = [run]
-    if any(c in run for c in b"/_-"):
-        runs += [m.group().encode() for m in BASE64_PART.finditer(run.decode())]
+    slugs), or its lines joined; without what can hold neither a finding nor a further layer."""
+    if b"\n" in run or b"\r" in run:
+        runs = list(_joined(run.rstrip(b"=")))
+    else:
+        runs = [(run, 0)]
+        if any(c in run for c in b"/_-"):
+            runs += [(m.group().encode(), 0) for m in BASE64_PART.finditer(run.decode())]
     out = []
-    for r in runs:
+    for r, at in runs:
         data = _from_base64(r)
         if data and _promising(data):
-            out.append(Layer(data, whole, (*route, "base64"), None, around))
+            out.append(Layer(data, origin(at, len(run)), (*route, "base64"), None, around))
     return out
 
 
+def _inside(parent: Layer | None, start: int) -> Callable[[int, int], tuple[int, int]]:
+    """Origins of what begins at ``start`` of the parent's text, or of the original."""
+    def origin(lo: int, hi: int) -> tuple[int, int]:
+        return (start + lo, start + hi) if parent is None else parent.origin(start + lo, start + hi)
+    return origin
+
+
 def inner_layers(parent: Layer | None, text: str, with_base64: bool = True) -> Iterator[Layer]:
     route = parent.route if parent else ()
     around = (parent.around | {parent.key()}) if parent else frozenset()
@@ -217,9 +254,8 @@ def inner_layers(parent: Layer | None, text: str, with_base64: bool = True) -> I
             if layer:
                 yield layer
     if with_base64:
-        for m in BASE64.finditer(text):
-            whole = m.span() if parent is None else parent.origin(*m.span())
-            yield from base64_layers(m.group().encode(), whole, route, around)
+        for m in [*BASE64.finditer(text), *WRAPPED.finditer(text)]:
+            yield from base64_layers(m.group().encode(), _inside(parent, m.start()), route, around)
 
 
 def unwrap(start: list[Layer]) -> tuple[list[tuple[int, int, int, str]], int]:
@@ -263,7 +299,7 @@ def findings(text: str, runs: list[tuple[int, int]] | None = None) -> tuple[list
     else:
         start = list(inner_layers(None, text, with_base64=False))
         for lo, hi in runs:
-            start += base64_layers(text[lo:hi].encode(), (lo, hi), (), frozenset())
+            start += base64_layers(text[lo:hi].encode(), _inside(None, lo), (), frozenset())
     deeper, closed = unwrap(start) if start else ([], 0)
     seen = set(base)
     out = [(k, lo, hi, "") for k, lo, hi in base]
@@ -332,13 +368,16 @@ def _scan_block(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) ->
     encoded: dict[int, list[tuple[int, int]]] = {}
     for s, e in _long_runs(data, offsets, _BASE64_BYTES, MIN_BASE64).tolist():
         # most long runs are plain words: what they decode to holds nothing
-        if base64_layers(raw[s:e], (0, 0), (), frozenset()):
+        if base64_layers(raw[s:e], _inside(None, s), (), frozenset()):
             row = int(np.searchsorted(offsets, s, side="right")) - 1
             while e < offsets[row + 1] and raw[e:e + 1] == b"=":
                 e += 1
             encoded.setdefault(row, []).append((s, e))
     for i in range(n):
         own = raw[offsets[i]:offsets[i + 1]]
+        for m in WRAPPED_BYTES.finditer(own):
+            if m.end() - m.start() > MIN_BASE64 and base64_layers(m.group(), _inside(None, 0), (), frozenset()):
+                encoded.setdefault(i, []).append((int(offsets[i]) + m.start(), int(offsets[i]) + m.end()))
         low = own.lower()
         if not (i in hex_rows or i in encoded or b"%" in own or b"\\" in own or b"&#" in own
                 or b"AKIA" in own or any(w.encode() in low for w in ASSIGN_WORDS)):

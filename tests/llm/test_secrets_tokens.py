@@ -83,6 +83,31 @@ def test_layers_are_unwrapped_to_the_end(spark, name):
     assert [f.asDict() for f in row.findings] == findings(text)[0]
 
 
+def wrapped(data, width, end):
+    code = base64.b64encode(data).decode()
+    return end.join(code[i:i + width] for i in range(0, len(code), width))
+
+
+LONG = "é" * 31 + " some text before it; password=hunter2222222222222222222222222222222222222222 " + "ü" * 40
+
+
+@pytest.mark.parametrize("width,end", [(64, "\n"), (76, "\r\n"), (20, "\n    "), (10, "\n")])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, lzma.compress])
+@pytest.mark.parametrize("around", ["{}", "file follows\n{}\nend", "-----BEGIN X-----\n{}\n-----END X-----"])
+def test_wrapped_base64_is_joined(width, end, pack, around):
+    code = wrapped(pack(LONG.encode()), width, end)
+    for text in (around.format(code), "x " + base64.b64encode(around.format(code).encode()).decode()):
+        spans = [(f["start"], f["end"]) for f in findings(text)[0] if f["kind"] == "assign"]
+        lo = text.index(code) if code in text else 2
+        assert any(s <= lo and e >= lo + min(len(code), len(text) - lo) for s, e in spans)
+
+
+def test_wrapped_base64_in_a_table(spark):
+    text = "é x\n" + wrapped(gzip.compress(LONG.encode()), 64, "\n") + "\nz"
+    row = scan_secrets(frame(spark, [(1, text, "en", "s", 1), (2, "a\nb", "en", "s", 1)])).where("doc_id = 1").first()
+    assert [f.asDict() for f in row.findings] == findings(text)[0] != []
+
+
 @pytest.mark.parametrize("content", [
     "mot de passe\u00a0: password=hunter22".encode(), "\u3000\u200d\u00ad token=abcdefgh".encode(),
     "\ufeffsecret=abcdefgh".encode(), b"\x1b[31mpassword=hunter22\x1b[0m", "caf\u00e9 password=hunter22".encode("latin-1"),
