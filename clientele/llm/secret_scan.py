@@ -4,7 +4,7 @@ The base scan finds three kinds of secrets in a text (patterns below). The workl
 unwraps encoded layers: percent escapes, Unicode and character escapes, base64 (plain or
 URL-safe, padded or not, on one line or wrapped) and compressed data (gzip, zlib, bzip2, xz). Every unwrapped
 layer is scanned with the same patterns and searched for further layers, until none is
-left. Findings in a layer are mapped back to the code points of the original text: a
+left. Escapes are replaced over the whole text, and what touches one is kept. Findings in a layer are mapped back to the code points of the original text: a
 character that came through escapes maps to its own escape, one that came out of base64 or
 compressed data maps to the whole encoded run. A layer whose content already occurred
 among the layers around it is not unwrapped again (cycle detection).
@@ -29,6 +29,7 @@ import html
 import lzma
 import re
 import zlib
+from bisect import bisect_right
 from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -53,11 +54,9 @@ MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 # "token=" and six characters are the shortest secret; base64 makes 16 characters of them.
 MIN_BASE64 = 16
 
-PERCENT = re.compile(r"[^\s\"'<>]*%[0-9A-Fa-f]{2}[^\s\"'<>]*")
 PERCENT_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
                     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
-ESCAPED = re.compile(rf"[^\s]*(?:{ESCAPE.pattern})[^\s]*")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 # base64 on consecutive lines, indented or not
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n?|\n)[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
@@ -83,50 +82,82 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+@dataclass
+class Edits:
+    """Pieces of a text with replaced escapes: piece i begins at ``at[i]`` and came from
+    ``lo[i]`` to ``hi[i]`` of the text before; a replaced one as a whole."""
+
+    at: list[int] = field(default_factory=list)
+    lo: list[int] = field(default_factory=list)
+    hi: list[int] = field(default_factory=list)
+    replaced: list[bool] = field(default_factory=list)
+
+    def add(self, *piece) -> None:
+        for column, value in zip((self.at, self.lo, self.hi, self.replaced), piece):
+            column.append(value)
+
+    def pieces(self, lo: int, hi: int) -> tuple[int, int]:
+        return bisect_right(self.at, lo) - 1, bisect_right(self.at, max(lo, hi - 1)) - 1
+
+    def origin(self, lo: int, hi: int) -> tuple[int, int]:
+        i, j = self.pieces(lo, hi)
+        return (self.lo[i] if self.replaced[i] else self.lo[i] + lo - self.at[i],
+                self.hi[j] if self.replaced[j] else self.lo[j] + hi - self.at[j])
+
+
 @dataclass
 class Layer:
-    """Unwrapped content. Character i came from ``spans[i]`` of the original text; without
-    ``spans`` every character came from ``whole``."""
+    """Unwrapped content. With ``edits`` it is the text of ``parent`` (without one, the
+    original) with its escapes replaced; otherwise every character came from ``whole``."""
 
     content: str | bytes
     whole: tuple[int, int]
     route: tuple[str, ...]
-    spans: list[tuple[int, int]] | None = None
+    edits: Edits | None = None
     around: frozenset = field(default_factory=frozenset)
+    parent: Layer | None = None
 
     def origin(self, lo: int, hi: int) -> tuple[int, int]:
-        if self.spans is None:
+        if self.edits is None:
             return self.whole
-        part = self.spans[lo:hi]
-        return min(s for s, _ in part), max(e for _, e in part)
+        lo, hi = self.edits.origin(lo, hi)
+        return self.parent.origin(lo, hi) if self.parent else (lo, hi)
+
+    def is_new(self, lo: int, hi: int) -> bool:
+        """Did anything from lo to hi come out of an escape? The rest is the parent's."""
+        if self.edits is None:
+            return True
+        i, j = self.edits.pieces(lo, hi)
+        return any(self.edits.replaced[i:j + 1])
 
     def key(self) -> bytes:
         data = self.content if isinstance(self.content, bytes) else self.content.encode("utf-8", "replace")
         return hashlib.sha256(data).digest()
 
 
-def _substituted(parent: Layer | None, text: str, lo: int, hi: int, runs: re.Pattern, decode, name: str,
+def _substituted(parent: Layer | None, text: str, runs: re.Pattern, decode, name: str,
                  around: frozenset, route: tuple[str, ...]) -> Layer | None:
-    """text[lo:hi] with its escapes replaced; every character knows its origin."""
-    def origin(a, b):
-        return (a, b) if parent is None else parent.origin(a, b)
-
-    out, spans, at = [], [], lo
-    for m in runs.finditer(text, lo, hi):
-        for i in range(at, m.start()):
-            out.append(text[i])
-            spans.append(origin(i, i + 1))
+    """The whole text with its escapes replaced: what is encoded in part (a key without its
+    value, a quote) stands together again. Every character knows its origin."""
+    out, edits, at, n = [], Edits(), 0, 0
+    for m in runs.finditer(text):
         decoded = decode(m.group())
-        out.append(decoded)
-        spans += [origin(*m.span())] * len(decoded)
+        if decoded == m.group():
+            continue
+        for piece, lo, hi, replaced in ((text[at:m.start()], at, m.start(), False),
+                                        (decoded, *m.span(), True)):
+            if piece:
+                edits.add(n, lo, hi, replaced)
+                out.append(piece)
+                n += len(piece)
         at = m.end()
-    for i in range(at, hi):
-        out.append(text[i])
-        spans.append(origin(i, i + 1))
-    content = "".join(out)
-    if content == text[lo:hi]:
+    if not out:
         return None
-    return Layer(content, origin(lo, hi), (*route, name), spans, around)
+    if at < len(text):
+        edits.add(n, at, len(text), False)
+        out.append(text[at:])
+    whole = (0, len(text)) if parent is None else parent.origin(0, len(text))
+    return Layer("".join(out), whole, (*route, name), edits, around, parent)
 
 
 def _percent(run: str) -> str:
@@ -244,18 +275,17 @@ def inner_layers(parent: Layer | None, text: str, with_base64: bool = True) -> I
     route = parent.route if parent else ()
     around = (parent.around | {parent.key()}) if parent else frozenset()
     if "%" in text:
-        for m in PERCENT.finditer(text):
-            layer = _substituted(parent, text, *m.span(), PERCENT_RUN, _percent, "url", around, route)
-            if layer:
-                yield layer
+        layer = _substituted(parent, text, PERCENT_RUN, _percent, "url", around, route)
+        if layer:
+            yield layer
     if "\\" in text or "&#" in text:
-        for m in ESCAPED.finditer(text):
-            layer = _substituted(parent, text, *m.span(), ESCAPE, _escape, "escape", around, route)
-            if layer:
-                yield layer
+        layer = _substituted(parent, text, ESCAPE, _escape, "escape", around, route)
+        if layer:
+            yield layer
     if with_base64:
         for m in [*BASE64.finditer(text), *WRAPPED.finditer(text)]:
-            yield from base64_layers(m.group().encode(), _inside(parent, m.start()), route, around)
+            if parent is None or parent.is_new(*m.span()):
+                yield from base64_layers(m.group().encode(), _inside(parent, m.start()), route, around)
 
 
 def unwrap(start: list[Layer]) -> tuple[list[tuple[int, int, int, str]], int]:
@@ -283,7 +313,8 @@ def unwrap(start: list[Layer]) -> tuple[list[tuple[int, int, int, str]], int]:
             done.discard((key, layer.whole))
             continue
         for kind, lo, hi in scan(layer.content):
-            found.append((kind, *layer.origin(lo, hi), "+".join(layer.route)))
+            if layer.is_new(lo, hi):
+                found.append((kind, *layer.origin(lo, hi), "+".join(layer.route)))
         work.extend(inner_layers(layer, layer.content))
     return found, closed
 

@@ -125,6 +125,18 @@ def test_escapes_map_to_their_own_characters():
     assert (f["start"], f["end"], f["found"]) == (2, 23, "pass%77ord%3Dqwerty12")
 
 
+@pytest.mark.parametrize("part", [
+    "password%3A hunter2secret", 'password%3D"hunter22', '"pass\\u0077ord": "hunter22', "password: %68unter22",
+    "password%3A \\u0068unter22", "&#112;assword = 'hunter22"])
+def test_escapes_keep_what_stands_around_them(part):
+    text = f"é % \\ {part}' <end> %41"
+    lo = text.index(part) + part.startswith('"')
+    assert [(f["kind"], f["start"], f["end"]) for f in findings(text)[0]] == [
+        ("assign", lo, text.index(part) + len(part))]
+    code = base64.b64encode(text.encode()).decode()
+    assert [(f["start"], f["end"]) for f in findings(f"x {code}")[0]] == [(2, 2 + len(code))]
+
+
 def test_cycles_and_bombs_end(monkeypatch):
     monkeypatch.setattr(secret_scan, "MAX_LAYER_BYTES", 1000)
     bomb = base64.b64encode(gzip.compress(b"0" * 5000)).decode()
