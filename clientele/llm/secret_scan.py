@@ -9,8 +9,9 @@ character that came through escapes maps to its own escape, one that came out of
 compressed data maps to the whole encoded run. A layer whose content already occurred
 among the layers around it is not unwrapped again (cycle detection).
 
-A compressed layer may unpack to at most ``MAX_LAYER_BYTES`` (protection against
-decompression bombs); larger ones stay closed and are counted in ``closed_layers``.
+A compressed member may unpack to at most ``MAX_LAYER_BYTES`` (protection against
+decompression bombs); a larger one stays closed, with what follows it in the same layer, and
+is counted in ``closed_layers``. Members and streams in a row are read to the end.
 
 Scale. Rows are scanned where they are read: no shuffle, memory of a few batches plus one
 text's layers. Vectorised byte tests pick the texts and runs that can hold a finding.
@@ -43,6 +44,7 @@ from clientele.llm.words import utf8
 from clientele.llm.workers import tidy
 
 MAX_LAYER_BYTES = 64 << 20
+FEED, OVERLAP = 1 << 16, 1 << 16
 # Kinds in their order, patterns and shortest lengths.
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -200,18 +202,58 @@ def _format(data: bytes) -> tuple[str, Callable] | None:
     return None
 
 
-def _unpacked(data: bytes) -> tuple[str, bytes | None] | None:
-    """(format, content) of compressed data, content None where it exceeds the bound."""
-    found = _format(data)
-    if not found:
-        return None
-    name, make = found
+def _member(unpacker, data: bytes, at: int) -> tuple[bytes | None, int | None]:
+    """(content, end) of one compressed member; content None beyond the bound, end None
+    where the data break off or are damaged."""
+    parts, size = [], 0
     try:
-        unpacker = make()
-        content = unpacker.decompress(data, MAX_LAYER_BYTES + 1)
+        while at < len(data) and not unpacker.eof:
+            fed = data[at:at + FEED]
+            at += len(fed)
+            part = unpacker.decompress(fed, MAX_LAYER_BYTES + 1 - size)
+            parts.append(part)
+            size += len(part)
+            if size > MAX_LAYER_BYTES:
+                return None, None
     except (zlib.error, OSError, lzma.LZMAError, EOFError):
-        return None
-    return (name, content if len(content) <= MAX_LAYER_BYTES else None)
+        return b"".join(parts), None
+    return b"".join(parts), at - len(unpacker.unused_data) if unpacker.eof else None
+
+
+def _unpacked(data: bytes) -> Iterator[tuple[str, bytes | None]]:
+    """(format, content) of compressed data, all members and streams in a row as one content;
+    content None for a member that exceeds the bound. Contents that exceed it only together
+    come one after the other, each with the end of the one before. What follows the last
+    member, or is damaged, comes as it is, without format."""
+    at, name, kept, size = 0, "", [], 0
+    while at < len(data):
+        found = _format(data[at:at + 6])
+        if not found:
+            break
+        content, end = _member(found[1](), data, at)
+        if content is None:
+            if kept:
+                yield name, b"".join(kept)
+            yield found[0], None
+            return
+        if kept and (size + len(content) > MAX_LAYER_BYTES or found[0] != name):
+            whole = b"".join(kept)
+            yield name, whole
+            kept = [whole[-OVERLAP:]]
+            size = len(kept[0])
+        if content:
+            name = found[0]
+            kept.append(content)
+            size += len(content)
+        if end is None:
+            break
+        at = end
+        while data[at:at + 4] == bytes(4):  # padding between streams
+            at += 4
+    if kept:
+        yield name, b"".join(kept)
+    if at < len(data):
+        yield "", data[at:]
 
 
 def _texts(data: bytes) -> list[str]:
@@ -226,7 +268,7 @@ def _texts(data: bytes) -> list[str]:
 
 def _promising(data: bytes) -> bool:
     """Can the bytes, in any reading, hold a finding or a further layer?"""
-    return bool(_unpacked(data) or PROMISING.search(data)
+    return bool(_format(data) or PROMISING.search(data)
                 or (b"\x00" in data and PROMISING.search(data.replace(b"\x00", b""))))
 
 
@@ -288,10 +330,11 @@ def inner_layers(parent: Layer | None, text: str, with_base64: bool = True) -> I
                 yield from base64_layers(m.group().encode(), _inside(parent, m.start()), route, around)
 
 
-def unwrap(start: list[Layer]) -> tuple[list[tuple[int, int, int, str]], int]:
+def unwrap(start: list[Layer], done: set | None = None) -> tuple[list[tuple[int, int, int, str]], int]:
     """Work through layers until none is left: findings (kind, start, end, route) and the
     number of layers that stayed closed."""
-    work, found, closed, done = deque(start), [], 0, set()
+    work, found, closed = deque(start), [], 0
+    done = set() if done is None else done
     while work:
         layer = work.popleft()
         key = layer.key()
@@ -299,18 +342,19 @@ def unwrap(start: list[Layer]) -> tuple[list[tuple[int, int, int, str]], int]:
             continue
         done.add((key, layer.whole))
         if isinstance(layer.content, bytes):
-            unpacked = _unpacked(layer.content)
-            around = layer.around | {key}
-            if unpacked:
-                name, content = unpacked
+            for name, content in _unpacked(layer.content):
                 if content is None:
                     closed += 1
-                elif content:
-                    work.append(Layer(content, layer.whole, (*layer.route, name), None, around))
-                continue
-            # the same content as text: scanned under its own name
-            work.extend(Layer(t, layer.whole, layer.route, None, layer.around) for t in _texts(layer.content))
-            done.discard((key, layer.whole))
+                elif name:
+                    # each is worked through before the next one is unpacked
+                    deeper, shut = unwrap([Layer(content, layer.whole, (*layer.route, name), None,
+                                                 layer.around | {key})], done)
+                    found += deeper
+                    closed += shut
+                else:
+                    # no compressed data: as text, scanned under its own name
+                    work.extend(Layer(t, layer.whole, layer.route, None, layer.around) for t in _texts(content))
+                    done.discard((key, layer.whole))
             continue
         for kind, lo, hi in scan(layer.content):
             if layer.is_new(lo, hi):

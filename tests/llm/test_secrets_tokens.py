@@ -137,6 +137,22 @@ def test_escapes_keep_what_stands_around_them(part):
     assert [(f["start"], f["end"]) for f in findings(f"x {code}")[0]] == [(2, 2 + len(code))]
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+@pytest.mark.parametrize("limit", [100_000, 64 << 20])
+def test_all_members_are_read(monkeypatch, pack, limit):
+    monkeypatch.setattr(secret_scan, "MAX_LAYER_BYTES", limit)
+    filler = " ".join(f"line {i}" for i in range(6000)).encode()
+    for parts in ([b"first line\n", b"password=hunter22"], [filler, b"", filler, b" token=abcdefgh"],
+                  [filler + b" pass", b"word=hunter22"]):
+        text = f"x {base64.b64encode(b''.join(map(pack, parts))).decode()}"
+        found, closed = findings(text)
+        spans = [(f["start"], f["end"]) for f in found if f["kind"] == "assign"]
+        assert (spans, closed) == ([(2, len(text))], 0)
+    mixed = gzip.compress(b"a") + bytes(8) + bz2.compress(b"b") + b"secret=abcdefgh"
+    text = f"x {base64.b64encode(mixed).decode()}"
+    assert [f["kind"] for f in findings(text)[0]] == ["assign"]
+
+
 def test_cycles_and_bombs_end(monkeypatch):
     monkeypatch.setattr(secret_scan, "MAX_LAYER_BYTES", 1000)
     bomb = base64.b64encode(gzip.compress(b"0" * 5000)).decode()
