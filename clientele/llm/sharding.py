@@ -14,8 +14,8 @@ node. Slots come from row numbers within (shard, partition) plus offsets.
 
 Law: ``bytes``. Leaf sizes differ by about one row's size per level.
 
-Dimensions: numbers as they are, texts by their first six bytes (so in code point order),
-nulls before everything. Defined results. Null text: size 1, checksum of the empty text.
+Dimensions: numbers as they are, texts by the dense rank of their distinct values in code
+point order, nulls before everything. Defined results. Null text: size 1, checksum of the empty text.
 Null ids and repeated rows: each row gets its own slot. Empty table: empty result. Extra
 columns: ignored. Fewer rows than leaves: some leaves stay empty.
 """
@@ -30,19 +30,28 @@ from pyspark.sql.types import StringType
 
 from clientele.llm.selection import crossing_keys, key_bits
 from clientele.llm.staging import Staging, row_key
+from clientele.operators.ranking import global_row_number
 
 TIE_BITS = 36
 
 
 def dimension(docs: DataFrame, name: str) -> Column:
-    """A metadata column as a long: order-preserving, null lowest."""
+    """A metadata column as a long, null lowest; texts as they are, to be ranked."""
     c = F.col(name)
     if isinstance(docs.schema[name].dataType, StringType):
-        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
-        c = F.conv(head, 16, 10)
+        return c
     return F.coalesce(c.cast("long"), F.lit(-1).cast("long"))
 
 
+def _ranked(stage: Staging, rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the text column ``name`` as the rank of its value from 1, null as 0."""
+    values = global_row_number(rows.select(name).where(F.col(name).isNotNull()).distinct(),
+                               [F.col(name)], rank_col="rank")
+    values = stage.put(values.select(name, "rank"), f"values-{name}")
+    return (rows.join(values, name, "left")
+            .withColumn(name, F.coalesce(F.col("rank").cast("long"), F.lit(0).cast("long"))).drop("rank"))
+
+
 def _pick(nodes: dict[int, str], dims: Sequence[str], lowest: dict[str, int]) -> Column:
     """The value, from 0, of the dimension along which each row's node is split."""
     chosen = None
@@ -73,6 +82,11 @@ def kd_shards(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars
         row_key(id_col, text_col).bitwiseAND(F.lit((1 << TIE_BITS) - 1)).alias("tie"),
         *(dimension(docs, d).alias(n) for d, n in zip(dims, names)))
     rows = stage.put(rows, "rows")
+    texts = [n for n in names if isinstance(rows.schema[n].dataType, StringType)]
+    for n in texts:
+        rows = _ranked(stage, rows, n)
+    if texts:
+        rows = stage.put(rows, "ranked")
 
     whole = rows.agg(F.sum("size").alias("bytes"), *(F.max(n).alias(f"max_{n}") for n in names),
                      *(F.min(n).alias(f"min_{n}") for n in names)).first()

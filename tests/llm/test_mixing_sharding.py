@@ -139,6 +139,14 @@ def test_shards_are_even_and_gapless(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_shards_split_texts_with_a_common_beginning(spark):
+    rows = [(i, "x" * 99, "en", f"https://site{i % 4}.example", 1) for i in range(400)]
+    source = {r[0]: r[3] for r in rows}
+    found = Counter((r.shard, source[r.doc_id]) for r in
+                    kd_shards(frame(spark, rows), dims=("source",), shards=4).collect())
+    assert sum(n for n in found.values() if n >= 98) >= 392
+
+
 @pytest.mark.parametrize("shards", [1, 3])
 def test_shards_of_awkward_rows(docs, rows, shards):
     found = shard_documents(docs, shards=shards)
