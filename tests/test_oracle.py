@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from data_folders import SMALL
 from oracle_compare import run
 
 

@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import SMALL
+from data_folders import SMALL
 
 from clientele.plans import queries
 
