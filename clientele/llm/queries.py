@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm import oracle
@@ -13,6 +13,8 @@ from clientele.llm.exact_dedup import exact_dedup
 from clientele.llm.labelled import held_out
 from clientele.llm.minhash_dedup import near_duplicates
 from clientele.llm.mixing import mix_sources
+from clientele.llm.periodic_runs import periodic_runs, plant_runs
+from clientele.llm.pii import find_personal_data
 from clientele.llm.quality import THRESHOLD, fit_quality, score_quality
 from clientele.llm.secret_scan import scan_secrets
 from clientele.llm.sharding import kd_shards
@@ -71,6 +73,11 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *_span_digest(("assign", "access", "hex")), "closed_layers")
+
+
+def _span_digest(kinds: tuple[str, ...]) -> list[Column]:
+    """Columns over ``findings``: counts of the base ones by kind, their hash, all spans."""
     base = F.filter("findings", lambda f: f["base"])
 
     def count(kind: str):
@@ -80,9 +87,8 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(findings, lambda f: F.concat_ws(
             ":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
 
-    return found.select("doc_id", count("assign"), count("access"), count("hex"),
-                        F.sha2(joined(base), 256).alias("base_sha256"),
-                        joined(F.col("findings")).alias("spans"), "closed_layers")
+    return [*map(count, kinds), F.sha2(joined(base), 256).alias("base_sha256"),
+            joined(F.col("findings")).alias("spans")]
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +103,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *_span_digest(("email", "ip", "card", "phone")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(plant_runs(read_table(spark, sf_dir, "documents")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")),
+        F.lit("\n"))), "")
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_duplicates": op1_near_duplicates,
@@ -109,6 +133,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": op8_secrets,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_token_counts": op10_token_counts,
+        "op11_personal_data": op11_personal_data,
+        "op12_periodic_runs": op12_periodic_runs,
     }
 
 
