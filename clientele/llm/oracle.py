@@ -84,7 +84,47 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(html) AS payload_dige
 FROM p JOIN f USING (html)
 """
 
-SQL = {"op1_near_duplicates": OP1,
+OP13 = f"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                   '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM piece),
+gram AS (
+  SELECT lang, size, w[i:i + size - 1] AS w
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM w, range(1, 6) AS sizes(size) WHERE len(w) >= size)),
+f AS MATERIALIZED (
+  SELECT lang, size, array_to_string(w, ' ') AS phrase, first(w) AS w, count(*) AS f
+  FROM gram GROUP BY lang, size, phrase),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, phrase, w, size, f AS a FROM f WHERE size > 1 AND f >= 100),
+cut AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+scored AS (
+  SELECT cut.lang, cut.phrase, a, x.f AS l, y.f AS r, n, k,
+         CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = head
+           JOIN f y ON y.lang = cut.lang AND y.phrase = tail JOIN n ON n.lang = cut.lang),
+lowest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored)
+  WHERE nth = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer
+  FROM (SELECT lang, a, array_to_string(w[i:i + s - 1], ' ') AS phrase
+        FROM (SELECT lang, a, w, s, unnest(range(1, size - s + 2)) AS i
+              FROM (SELECT *, unnest(range(2, size)) AS s FROM c))) GROUP BY lang, phrase),
+ranked AS (
+  SELECT lowest.lang, lowest.phrase, a, l, r, n, score,
+         row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, a DESC, lowest.phrase) AS rank
+  FROM lowest LEFT JOIN inside ON inside.lang = lowest.lang AND inside.phrase = lowest.phrase
+  WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+SQL = {"op13_collocations": OP13,
+       "op1_near_duplicates": OP1,
        "op4_warc": OP4,
        "op3_decontaminate": OP3,
        "op9_exact_dedup": OP9}

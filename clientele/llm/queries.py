@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm import oracle
+from clientele.llm.collocations import collocations
 from clientele.llm.decontaminate import decontaminate
 from clientele.llm.exact_dedup import exact_dedup
 from clientele.llm.labelled import held_out
@@ -121,6 +122,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_duplicates": op1_near_duplicates,
@@ -135,6 +140,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_token_counts": op10_token_counts,
         "op11_personal_data": op11_personal_data,
         "op12_periodic_runs": op12_periodic_runs,
+        "op13_collocations": op13_collocations,
     }
 
 

@@ -18,7 +18,7 @@ def test_queries_with_sql_match(spark):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.queries())
-    assert numbers == list(range(1, 13)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name,columns", [
