@@ -6,8 +6,10 @@ URL-safe, padded or not, on one line or wrapped) and compressed data (gzip, zlib
 layer is scanned with the same patterns and searched for further layers, until none is
 left. Escapes are replaced over the whole text, and what touches one is kept. Findings in a layer are mapped back to the code points of the original text: a
 character that came through escapes maps to its own escape, one that came out of base64 or
-compressed data maps to the whole encoded run. A layer whose content already occurred
-among the layers around it is not unwrapped again (cycle detection).
+compressed data maps to the whole encoded run. Content that already came out of the same
+place is not unwrapped again (cycle detection). Nothing is recursive: the worklist is an explicit
+stack, maps lead straight to the original text, and escapes nested more than ``STEPWISE`` deep are
+resolved to the end in one pass over the text, so a text takes linear time for any depth.
 
 A compressed member may unpack to at most ``MAX_LAYER_BYTES`` (protection against
 decompression bombs); a larger one stays closed, with what follows it in the same layer, and
@@ -31,7 +33,6 @@ import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -59,6 +60,12 @@ MIN_BASE64 = 16
 PERCENT_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
                     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+# the same at the end of a text, one escape
+LAST_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}"
+                         r"|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)\Z")
+ESCAPE_ENDS = frozenset("0123456789abcdefABCDEF};")
+LONGEST_ESCAPE = 10
+STEPWISE = 8  # escapes nested deeper are resolved in one pass
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 # base64 on consecutive lines, indented or not
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n?|\n)[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
@@ -87,15 +94,17 @@ def scan(text: str) -> list[tuple[int, int, int]]:
 @dataclass
 class Edits:
     """Pieces of a text with replaced escapes: piece i begins at ``at[i]`` and came from
-    ``lo[i]`` to ``hi[i]`` of the text before; a replaced one as a whole."""
+    ``lo[i]`` to ``hi[i]`` of the original text; a ``whole`` one comes from escapes, whose
+    characters all map to all of it. ``new`` tells those of the last step."""
 
     at: list[int] = field(default_factory=list)
     lo: list[int] = field(default_factory=list)
     hi: list[int] = field(default_factory=list)
-    replaced: list[bool] = field(default_factory=list)
+    whole: list[bool] = field(default_factory=list)
+    new: list[bool] = field(default_factory=list)
 
     def add(self, *piece) -> None:
-        for column, value in zip((self.at, self.lo, self.hi, self.replaced), piece):
+        for column, value in zip((self.at, self.lo, self.hi, self.whole, self.new), piece):
             column.append(value)
 
     def pieces(self, lo: int, hi: int) -> tuple[int, int]:
@@ -103,42 +112,62 @@ class Edits:
 
     def origin(self, lo: int, hi: int) -> tuple[int, int]:
         i, j = self.pieces(lo, hi)
-        return (self.lo[i] if self.replaced[i] else self.lo[i] + lo - self.at[i],
-                self.hi[j] if self.replaced[j] else self.lo[j] + hi - self.at[j])
+        return (self.lo[i] if self.whole[i] else self.lo[i] + lo - self.at[i],
+                self.hi[j] if self.whole[j] else self.lo[j] + hi - self.at[j])
+
+    def kept(self, at: int, lo: int, hi: int, into: Edits) -> None:
+        """Add what stands here from lo to hi, unchanged, to ``into`` at ``at``."""
+        i, j = self.pieces(lo, hi)
+        for k in range(i, j + 1):
+            first = max(lo, self.at[k])
+            last = hi if k == j else self.at[k + 1]
+            into.add(at + first - lo, *self.origin(first, last), self.whole[k], False)
 
 
 @dataclass
 class Layer:
-    """Unwrapped content. With ``edits`` it is the text of ``parent`` (without one, the
-    original) with its escapes replaced; otherwise every character came from ``whole``."""
+    """Unwrapped content. With ``edits`` it is a text with escapes replaced, ``steps`` times so
+    far; otherwise every character came from ``whole``. ``around``: keys of layers that it is known
+    to lie in."""
 
     content: str | bytes
     whole: tuple[int, int]
     route: tuple[str, ...]
     edits: Edits | None = None
     around: frozenset = field(default_factory=frozenset)
-    parent: Layer | None = None
+    steps: int = 0
 
     def origin(self, lo: int, hi: int) -> tuple[int, int]:
-        if self.edits is None:
-            return self.whole
-        lo, hi = self.edits.origin(lo, hi)
-        return self.parent.origin(lo, hi) if self.parent else (lo, hi)
+        return self.whole if self.edits is None else self.edits.origin(lo, hi)
 
     def is_new(self, lo: int, hi: int) -> bool:
-        """Did anything from lo to hi come out of an escape? The rest is the parent's."""
+        """Did anything from lo to hi come out of an escape in the last step? The rest was
+        there before."""
         if self.edits is None:
             return True
         i, j = self.edits.pieces(lo, hi)
-        return any(self.edits.replaced[i:j + 1])
+        return any(self.edits.new[i:j + 1])
+
+    def key(self) -> tuple[bool, bytes, tuple[int, int]]:
+        is_text = isinstance(self.content, str)
+        data = self.content.encode("utf-8", "replace") if is_text else self.content
+        return is_text, hashlib.sha256(data).digest(), self.whole
+
+
+def _kept(parent: Layer | None, at: int, lo: int, hi: int, into: Edits) -> None:
+    if parent is None:
+        into.add(at, lo, hi, False, False)
+    elif parent.edits is None:
+        into.add(at, *parent.whole, True, False)
+    else:
+        parent.edits.kept(at, lo, hi, into)
+
 
-    def key(self) -> bytes:
-        data = self.content if isinstance(self.content, bytes) else self.content.encode("utf-8", "replace")
-        return hashlib.sha256(data).digest()
+def _origin(parent: Layer | None, lo: int, hi: int) -> tuple[int, int]:
+    return (lo, hi) if parent is None else parent.origin(lo, hi)
 
 
-def _substituted(parent: Layer | None, text: str, runs: re.Pattern, decode, name: str,
-                 around: frozenset, route: tuple[str, ...]) -> Layer | None:
+def _substituted(parent: Layer | None, text: str, runs: re.Pattern, decode, name: str) -> Layer | None:
     """The whole text with its escapes replaced: what is encoded in part (a key without its
     value, a quote) stands together again. Every character knows its origin."""
     out, edits, at, n = [], Edits(), 0, 0
@@ -146,20 +175,72 @@ def _substituted(parent: Layer | None, text: str, runs: re.Pattern, decode, name
         decoded = decode(m.group())
         if decoded == m.group():
             continue
-        for piece, lo, hi, replaced in ((text[at:m.start()], at, m.start(), False),
-                                        (decoded, *m.span(), True)):
-            if piece:
-                edits.add(n, lo, hi, replaced)
-                out.append(piece)
-                n += len(piece)
+        if m.start() > at:
+            _kept(parent, n, at, m.start(), edits)
+            out.append(text[at:m.start()])
+            n += m.start() - at
+        if decoded:
+            edits.add(n, *_origin(parent, *m.span()), True, True)
+            out.append(decoded)
+            n += len(decoded)
         at = m.end()
-    if not out:
+    if not at:
         return None
     if at < len(text):
-        edits.add(n, at, len(text), False)
+        _kept(parent, n, at, len(text), edits)
         out.append(text[at:])
-    whole = (0, len(text)) if parent is None else parent.origin(0, len(text))
-    return Layer("".join(out), whole, (*route, name), edits, around, parent)
+    return _as_layer(parent, text, "".join(out), edits, name)
+
+
+def _as_layer(parent: Layer | None, text: str, content: str, edits: Edits, name: str) -> Layer:
+    route, steps = ((), 0) if parent is None else (parent.route, parent.steps)
+    return Layer(content, _origin(parent, 0, len(text)), (*route, name), edits, steps=steps + 1)
+
+
+def _resolved(parent: Layer, text: str) -> Layer | None:
+    """The text with its escapes replaced until none is left, in one pass: whenever what was
+    read so far ends with an escape, that is replaced at once, so that an escape within an
+    escape, to any depth, costs one step."""
+    out: list[str] = []
+    lo: list[int] = []
+    hi: list[int] = []
+    replaced: list[bool] = []
+    changed = False
+    for i, c in enumerate(text):
+        out.append(c)
+        lo.append(i)
+        hi.append(i + 1)
+        replaced.append(False)
+        while out and out[-1] in ESCAPE_ENDS:
+            m = LAST_ESCAPE.search("".join(out[-LONGEST_ESCAPE:]))
+            if m is None:
+                break
+            size, run = len(m.group()), m.group()
+            decoded = chr(int(run[1:], 16)) if run[0] == "%" else _escape(run)
+            if len(decoded) != 1:
+                break
+            first = lo[-size]
+            for column in (out, lo, hi, replaced):
+                del column[-size:]
+            out.append(decoded)
+            lo.append(first)
+            hi.append(i + 1)
+            replaced.append(True)
+            changed = True
+    if not changed:
+        return None
+    edits, n = Edits(), len(out)
+    at = 0
+    while at < n:
+        end = at + 1
+        if replaced[at]:
+            edits.add(at, *_origin(parent, lo[at], hi[at]), True, True)
+        else:
+            while end < n and not replaced[end]:
+                end += 1
+            _kept(parent, at, lo[at], hi[end - 1], edits)
+        at = end
+    return _as_layer(parent, text, "".join(out), edits, "nested")
 
 
 def _percent(run: str) -> str:
@@ -288,8 +369,8 @@ def _joined(run: bytes) -> Iterator[tuple[bytes, int]]:
         n += len(m.group())
 
 
-def base64_layers(run: bytes, origin: Callable[[int, int], tuple[int, int]], route: tuple[str, ...],
-                  around: frozenset) -> list[Layer]:
+def base64_layers(run: bytes, origin: Callable[[int, int], tuple[int, int]],
+                  route: tuple[str, ...]) -> list[Layer]:
     """The run decoded, and its parts between characters that are also separators (paths,
     slugs), or its lines joined; without what can hold neither a finding nor a further layer."""
     if b"\n" in run or b"\r" in run:
@@ -302,65 +383,73 @@ def base64_layers(run: bytes, origin: Callable[[int, int], tuple[int, int]], rou
     for r, at in runs:
         data = _from_base64(r)
         if data and _promising(data):
-            out.append(Layer(data, origin(at, len(run)), (*route, "base64"), None, around))
+            out.append(Layer(data, origin(at, len(run)), (*route, "base64")))
     return out
 
 
 def _inside(parent: Layer | None, start: int) -> Callable[[int, int], tuple[int, int]]:
     """Origins of what begins at ``start`` of the parent's text, or of the original."""
     def origin(lo: int, hi: int) -> tuple[int, int]:
-        return (start + lo, start + hi) if parent is None else parent.origin(start + lo, start + hi)
+        return _origin(parent, start + lo, start + hi)
     return origin
 
 
 def inner_layers(parent: Layer | None, text: str, with_base64: bool = True) -> Iterator[Layer]:
     route = parent.route if parent else ()
-    around = (parent.around | {parent.key()}) if parent else frozenset()
-    if "%" in text:
-        layer = _substituted(parent, text, PERCENT_RUN, _percent, "url", around, route)
-        if layer:
-            yield layer
-    if "\\" in text or "&#" in text:
-        layer = _substituted(parent, text, ESCAPE, _escape, "escape", around, route)
-        if layer:
-            yield layer
+    if parent and parent.steps >= STEPWISE:
+        steps = [_resolved(parent, text)] if "%" in text or "\\" in text or "&#" in text else []
+    else:
+        steps = [_substituted(parent, text, PERCENT_RUN, _percent, "url")] if "%" in text else []
+        if "\\" in text or "&#" in text:
+            steps.append(_substituted(parent, text, ESCAPE, _escape, "escape"))
+    yield from filter(None, steps)
     if with_base64:
         for m in [*BASE64.finditer(text), *WRAPPED.finditer(text)]:
             if parent is None or parent.is_new(*m.span()):
-                yield from base64_layers(m.group().encode(), _inside(parent, m.start()), route, around)
+                yield from base64_layers(m.group().encode(), _inside(parent, m.start()), route)
 
 
-def unwrap(start: list[Layer], done: set | None = None) -> tuple[list[tuple[int, int, int, str]], int]:
+def _decompressed(layer: Layer, closed: list[int]) -> Iterator[Layer]:
+    """What compressed data hold, one content at a time; anything else in its readings as text."""
+    data, whole, route = layer.content, layer.whole, layer.route
+    layer.content = b""  # from here on kept by the reader alone, until it is read to the end
+    for name, content in _unpacked(data):
+        if content is None:
+            closed.append(1)
+        elif name:
+            yield Layer(content, whole, (*route, name))
+        else:
+            yield from (Layer(t, whole, route) for t in _texts(content))
+
+
+def unwrap(start: list[Layer]) -> tuple[list[tuple[int, int, int, str]], int]:
     """Work through layers until none is left: findings (kind, start, end, route) and the
-    number of layers that stayed closed."""
-    work, found, closed = deque(start), [], 0
-    done = set() if done is None else done
-    while work:
-        layer = work.popleft()
+    number of layers that stayed closed.
+
+    The worklist is a stack of readers of layers: a layer's own layers are worked through before
+    the next one is read, so that the contents of one compressed run are not all in memory.
+    Content that came out of the same place before is not unwrapped again (cycles)."""
+    found: list[tuple[int, int, int, str]] = []
+    closed: list[int] = []
+    done = set().union(*(layer.around for layer in start))
+    stack: list[Iterator[Layer]] = [iter(start)]
+    while stack:
+        layer = next(stack[-1], None)
+        if layer is None:
+            stack.pop()
+            continue
         key = layer.key()
-        if key in layer.around or (key, layer.whole) in done:
+        if key in done:
             continue
-        done.add((key, layer.whole))
+        done.add(key)
         if isinstance(layer.content, bytes):
-            for name, content in _unpacked(layer.content):
-                if content is None:
-                    closed += 1
-                elif name:
-                    # each is worked through before the next one is unpacked
-                    deeper, shut = unwrap([Layer(content, layer.whole, (*layer.route, name), None,
-                                                 layer.around | {key})], done)
-                    found += deeper
-                    closed += shut
-                else:
-                    # no compressed data: as text, scanned under its own name
-                    work.extend(Layer(t, layer.whole, layer.route, None, layer.around) for t in _texts(content))
-                    done.discard((key, layer.whole))
+            stack.append(_decompressed(layer, closed))
             continue
         for kind, lo, hi in scan(layer.content):
             if layer.is_new(lo, hi):
                 found.append((kind, *layer.origin(lo, hi), "+".join(layer.route)))
-        work.extend(inner_layers(layer, layer.content))
-    return found, closed
+        stack.append(inner_layers(layer, layer.content))
+    return found, len(closed)
 
 
 def findings(text: str, runs: list[tuple[int, int]] | None = None) -> tuple[list[dict], int]:
@@ -374,7 +463,7 @@ def findings(text: str, runs: list[tuple[int, int]] | None = None) -> tuple[list
     else:
         start = list(inner_layers(None, text, with_base64=False))
         for lo, hi in runs:
-            start += base64_layers(text[lo:hi].encode(), _inside(None, lo), (), frozenset())
+            start += base64_layers(text[lo:hi].encode(), _inside(None, lo), ())
     deeper, closed = unwrap(start) if start else ([], 0)
     seen = set(base)
     out = [(k, lo, hi, "") for k, lo, hi in base]
@@ -443,7 +532,7 @@ def _scan_block(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) ->
     encoded: dict[int, list[tuple[int, int]]] = {}
     for s, e in _long_runs(data, offsets, _BASE64_BYTES, MIN_BASE64).tolist():
         # most long runs are plain words: what they decode to holds nothing
-        if base64_layers(raw[s:e], _inside(None, s), (), frozenset()):
+        if base64_layers(raw[s:e], _inside(None, s), ()):
             row = int(np.searchsorted(offsets, s, side="right")) - 1
             while e < offsets[row + 1] and raw[e:e + 1] == b"=":
                 e += 1
@@ -451,7 +540,7 @@ def _scan_block(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) ->
     for i in range(n):
         own = raw[offsets[i]:offsets[i + 1]]
         for m in WRAPPED_BYTES.finditer(own):
-            if m.end() - m.start() > MIN_BASE64 and base64_layers(m.group(), _inside(None, 0), (), frozenset()):
+            if m.end() - m.start() > MIN_BASE64 and base64_layers(m.group(), _inside(None, 0), ()):
                 encoded.setdefault(i, []).append((int(offsets[i]) + m.start(), int(offsets[i]) + m.end()))
         low = own.lower()
         if not (i in hex_rows or i in encoded or b"%" in own or b"\\" in own or b"&#" in own

@@ -3,6 +3,7 @@ import bz2
 import gzip
 import lzma
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -137,6 +138,40 @@ def test_escapes_keep_what_stands_around_them(part):
     assert [(f["start"], f["end"]) for f in findings(f"x {code}")[0]] == [(2, 2 + len(code))]
 
 
+@pytest.mark.parametrize("text", [
+    "x %" + "25" * 200_000 + "41", "%3" * 100_000 + "35", "%26#37;" * 3 + "%26#37;41" * 30_000,
+    "\\u005c" * 20_000 + "u005c" * 20_000 + "u0041", "&" + "#38;" * 100_000 + "#65;", "%" * 200_000 + "32" * 200_000])
+def test_deeply_nested_escapes(text):
+    """Any depth, in linear time; the secret around the escape is found with its place."""
+    began = time.perf_counter()
+    found, closed = findings(f"é pass{text}")
+    assert closed == 0 and time.perf_counter() - began < 20
+    nested = "x to%" + "25" * 100_000 + "6Ben=abcdefgh1 y"
+    assert [(f["start"], f["end"]) for f in findings(nested)[0] if f["kind"] == "assign"] == [(2, len(nested) - 2)]
+
+
+@pytest.mark.parametrize("depth", [1, 2, 7, 8, 9, 10, 30])
+def test_escapes_of_every_depth(depth):
+    word = "k"
+    for _ in range(depth):
+        word = "".join(f"%{ord(c):02X}" if c in "%k" else c for c in word)
+    text = f"x to{word}en=abcdefgh1 y"
+    assert [(f["start"], f["end"]) for f in findings(text)[0] if f["kind"] == "assign"] == [(2, len(text) - 2)]
+    inner = base64.b64encode(text.encode()).decode()
+    assert (2, 2 + len(inner)) in [(f["start"], f["end"]) for f in findings(f"é {inner}")[0] if f["kind"] == "assign"]
+
+
+def test_deeply_nested_compression():
+    data = b"token=abcdefgh1"
+    for _ in range(5000):
+        data = gzip.compress(data, 0)
+    began = time.perf_counter()
+    text = "x " + base64.b64encode(data).decode()
+    found, closed = findings(text)
+    assert [(f["kind"], f["start"], f["end"]) for f in found if f["kind"] == "assign"] == [("assign", 2, len(text))]
+    assert closed == 0 and time.perf_counter() - began < 30
+
+
 @pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
 @pytest.mark.parametrize("limit", [100_000, 64 << 20])
 def test_all_members_are_read(monkeypatch, pack, limit):
