@@ -9,25 +9,30 @@ cut counts. A candidate whose words lie inside a longer candidate that is as fre
 dropped; of the others, the best ``top`` of each language are ranked.
 
 Counting. A suffix pointer is a word position; its key is the words from there to the end
-of the piece, ``MAX_WORDS`` at most.
-1. Leading words are counted exactly, then pairs of neighbouring frequent words by the hash
-   of the pair. Two bitmaps of fixed size hold the hashes that reach ``least``.
-2. A pointer whose leading pair is outside the bitmap is left out, and a key ends before the
-   first pair outside: no phrase across such a pair is frequent. Equal keys are
-   added up in their block, their task, and once over the shuffle.
-3. Keys are routed by their leading words: range partitions of the (language, key) order,
-   each of about ``ROUTE_ROWS`` distinct keys, so that a word that leads a third of all keys
-   takes as many tasks as its keys need. In a partition, multikey three-way quicksort splits the
-   pointers by the word at the current depth into less, equal and greater; the weight
-   of an equal part is the count of a phrase, and the part goes on one word deeper. Parts that
-   weigh less than ``least`` are abandoned, unless they reach the border of the partition,
-   where the neighbour may hold the rest; what is found is added up by phrase.
-
-Scale. Three reads of the texts; rows of the first shuffle are distinct words, of the second
-distinct pairs, of the third distinct keys that hold a frequent pair. When the data outgrow the
-bitmaps more rows pass; counts stay exact, as only the keys themselves decide. Scores are joins on
-(language, phrase) between candidates, arithmetic is in decimals of 38 digits. The best of a
-language are picked per (language, salt) first, so a language with all rows is no hot key.
+of the piece or to the first infrequent word, ``MAX_WORDS`` at most.
+1. Words are counted exactly. A bitmap of fixed size holds the hashes of those that occur
+   ``least`` times; pointers that do not begin with two of them are left out. In a key a word
+   is its 64-bit hash (language included); a check over all words makes sure that no frequent
+   word shares its hash with any other word, else another hash function is taken, so keys
+   stand for words exactly. Equal keys of a block are added up there.
+2. Keys are routed by their leading words: the key order is cut into ranges of about
+   ``ROUTE_KEYS`` keys, at keys of a sample. The cuts are whole keys, so a word or pair that
+   leads a third of all keys takes as many ranges as its keys need. A block sends its keys of one
+   range as one packed row.
+3. In a range, multikey three-way quicksort splits the pointers by the word at the current
+   depth into less, equal and greater; the weight of an equal part is the count of a
+   phrase, and the part goes on one word deeper. Parts that weigh less than ``least`` are
+   abandoned, unless they hold the first or last key of the range, where the neighbour may hold
+   the rest; what is found is added up by phrase.
+
+Scale. Three reads of the texts, one of them only of the sample. What is shuffled is the
+distinct words, and 10 to 15 compressed bytes for each distinct key of a block; nothing of it is
+staged, and a range is all that a task holds at a time. The sample, 32 keys a range, only
+balances the ranges. The cuts are broadcast: 40 bytes for every ``ROUTE_KEYS`` keys, a few MB
+for a TB of text. When the words outgrow the bitmap more keys pass, and their counts
+decide. Scores are joins on (language, phrase) between candidates, arithmetic is in decimals
+of 38 digits. The best of a language are picked per (language, salt) first, so a language with
+all rows is no hot key.
 
 Defined results. Null text: no words. Null language: ``und``, together with rows that say so.
 Repeated rows count each. Empty table: empty result. Extra columns: ignored. Texts are used
@@ -36,6 +41,7 @@ whole, however long. Equal scores: higher a, then the phrase in byte order.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -49,16 +55,21 @@ from clientele.llm.bitmap import bitmap, in_bitmap
 from clientele.llm.staging import Staging
 from clientele.llm.words import mix
 from clientele.llm.workers import tidy
+from clientele.operators.ranking import global_row_number
 
 MAX_WORDS = 5
 LEAST = 100
 TOP = 2000
 UNKNOWN_LANGUAGE = "und"
 BLOCK_BYTES = 4 << 20
-WORD_BITS, PAIR_BITS = 1 << 26, 1 << 26  # 8 MB each
-ROUTE_ROWS = 250_000
+WORD_BITS = 1 << 26  # 8 MB
+ROUTE_KEYS = 500_000
+SAMPLED_KEYS = 32  # for every route
+SAMPLED_TEXTS = 8  # the sample comes from one text in so many
+MOST_TASKS = 20_000  # beyond that, tasks take several routes, one after the other
 SALTS = 32
-_NONE = -1
+_END = 0  # no word; the hash of none of the frequent words
+_LOCAL_BITS = 21  # words of a block, numbered
 
 # every piece separator becomes a line feed, both word separators a space
 _SEPARATORS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\t", b"\n" * 10 + b" ")
@@ -96,87 +107,114 @@ def _split(piece: bytes) -> list[bytes]:
     return [w for w in piece.split(b" ") if w]
 
 
-class Pointers:
-    """Words of a block as numbers, with a gap (-1) between pieces, and for every number the
-    word and its hash."""
-
-    def __init__(self, lang: str, texts: list[bytes]):
-        given: defaultdict[bytes, int] = defaultdict()
-        given.default_factory = given.__len__
-        numbers: list[int] = []
-        for raw in texts:
-            for piece in raw.translate(_SEPARATORS).split(b"\n"):
-                words = _split(piece)
-                if len(words) > 1:
-                    numbers.extend(map(given.__getitem__, words))
-                    numbers.append(_NONE)
-        self.at = np.array(numbers, dtype=np.int32)
-        self.words = list(given)
-        seed = xxhash.xxh64_intdigest(lang.encode("utf-8"), 42)
-        self.hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in self.words], dtype=np.uint64)
-
-    def pairs(self, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places that begin a pair of frequent words of one piece, and the pairs' hashes."""
-        if not len(self.at):
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        known = np.append(in_bitmap(frequent, self.hashes), False)  # -1 is the last: a gap
-        inside = known[self.at]
-        places = np.flatnonzero(inside[:-1] & inside[1:])
-        first, second = self.hashes[self.at[places]], self.hashes[self.at[places + 1]]
-        return places, mix(first * np.uint64(0x9E3779B97F4A7C15) + second)
-
-
-def _summed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    distinct, counts = np.unique(keys, return_counts=True)
-    return distinct, counts
-
-
-def count_pairs(frequent_words):
+def word_hashes(lang: str, words: list[bytes], seed: int) -> np.ndarray:
+    """Spark's ``xxhash64(number, lang, word)``, whose number hashes to ``seed``."""
+    seed = xxhash.xxh64_intdigest(lang.encode("utf-8"), seed)
+    return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], dtype=np.uint64)
+
+
+def block_keys(lang: str, texts: list[bytes], frequent: np.ndarray, seed: int, depth: int
+               ) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a block, one per row in their order, and their weights."""
+    given: defaultdict[bytes, int] = defaultdict()
+    given.default_factory = given.__len__
+    numbers = array("i")
+    for raw in texts:
+        for piece in raw.translate(_SEPARATORS).split(b"\n"):
+            words = _split(piece)
+            if len(words) > 1:
+                numbers.extend(map(given.__getitem__, words))
+                numbers.append(-1)
+    hashes = word_hashes(lang, list(given), seed)
+    known = in_bitmap(frequent, hashes)
+    # frequent words are numbered from 1 in the order of their hashes, others and gaps are 0
+    rank = np.zeros(len(hashes) + 1, dtype=np.int64)
+    order = np.flatnonzero(known)[np.argsort(hashes[known])]
+    rank[order] = np.arange(1, len(order) + 1)
+    at = np.zeros(len(numbers) + depth, dtype=np.int64)
+    at[:len(numbers)] = rank[np.frombuffer(numbers, dtype=np.int32)]  # -1 is the last rank: 0
+    places = np.flatnonzero((at[:-1] > 0) & (at[1:] > 0))
+    columns = [at[places]]
+    going = np.ones(len(places), dtype=bool)
+    for d in range(1, depth):
+        word = at[places + d]
+        going &= word > 0
+        columns.append(np.where(going, word, 0))
+    if len(order) < 1 << _LOCAL_BITS:  # three numbers in a long
+        packed = []
+        for lo in range(0, depth, 3):
+            part = np.zeros(len(places), dtype=np.int64)
+            for c in columns[lo:lo + 3]:
+                part = part << _LOCAL_BITS | c
+            packed.append(part)
+    else:
+        packed = columns
+    sequence = np.lexsort(packed[::-1])
+    fresh = np.ones(len(places), dtype=bool)
+    fresh[1:] = np.any([p[sequence[1:]] != p[sequence[:-1]] for p in packed], axis=0)
+    first = np.flatnonzero(fresh)
+    hash_of = np.append(np.uint64(_END), hashes[order])
+    keys = np.stack([hash_of[c[sequence[first]]] for c in columns], axis=1)
+    return keys, np.diff(np.append(first, len(places)))
+
+
+def in_order(keys: np.ndarray) -> np.ndarray:
+    """Keys as byte strings that compare as the keys do."""
+    return np.ascontiguousarray(keys.astype(">u8")).view(f"S{8 * keys.shape[1]}").ravel()
+
+
+def sample_keys(frequent, seed: int, depth: int, one_in: int):
+    """Every ``one_in``-th key or so, by its hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, texts in _texts(batches):
-            _, hashes = Pointers(lang, texts).pairs(frequent_words.value)
-            keys, counts = _summed(hashes)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())],
-                                             names=["h", "f"])
+            keys, _ = block_keys(lang, texts, frequent.value, seed, depth)
+            mixed = mix((keys * (np.arange(depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1))).sum(axis=1))
+            keys = keys[mixed % np.uint64(one_in) == 0]
+            yield pa.RecordBatch.from_arrays([pa.array(in_order(keys).tolist(), pa.binary())], names=["key"])
     return run
 
 
-def suffix_keys(frequent_words, frequent_pairs, depth: int):
-    """Distinct keys of a block with their weights."""
+PACKED = "route long, words binary, keys binary, weights binary"
+
+
+def _coded(keys: np.ndarray) -> tuple[bytes, bytes]:
+    """The distinct words of some keys, and the keys as places among them, column by column
+    (neighbours are alike there, and compress well). The places are short where 2 bytes do."""
+    words, places = np.unique(keys, return_inverse=True)
+    size = np.uint16 if len(words) < 1 << 16 else np.uint32
+    return words.tobytes(), places.reshape(keys.shape).T.astype(size).tobytes()
+
+
+def _decoded(words: bytes, places: bytes, depth: int) -> np.ndarray:
+    distinct = np.frombuffer(words, dtype=np.uint64)
+    size = np.uint16 if len(distinct) < 1 << 16 else np.uint32
+    return distinct[np.frombuffer(places, dtype=size).reshape(depth, -1).T]
+
+
+def packed_keys(frequent, cuts, seed: int, depth: int):
+    """The distinct keys of a block, one row for every route that they fall into."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, texts in _texts(batches):
-            pointers = Pointers(lang, texts)
-            places, hashes = pointers.pairs(frequent_words.value)
-            places = places[in_bitmap(frequent_pairs.value, hashes)]
-            if not len(places):
+            keys, weights = block_keys(lang, texts, frequent.value, seed, depth)
+            if not len(keys):
                 continue
-            follows = np.zeros(len(pointers.at) + depth, dtype=bool)
-            follows[places] = True
-            keys = np.full((len(places), depth), _NONE, dtype=np.int32)
-            keys[:, 0] = pointers.at[places]
-            going = np.ones(len(places), dtype=bool)
-            for d in range(1, depth):
-                going &= follows[places + d - 1]
-                keys[going, d] = pointers.at[places[going] + d]
-            order = np.lexsort(keys.T)
-            keys = keys[order]
-            fresh = np.ones(len(keys), dtype=bool)
-            fresh[1:] = (keys[1:] != keys[:-1]).any(axis=1)
-            first = np.flatnonzero(fresh)
-            weights = np.diff(np.append(first, len(keys)))
-            words = [*pointers.words, b""]
-            spelt = [b" ".join([words[i] for i in key if i >= 0]).decode("utf-8") for key in keys[first].tolist()]
+            borders = np.concatenate([[0], np.searchsorted(in_order(keys), cuts.value), [len(keys)]])
+            routes = np.flatnonzero(np.diff(borders))
+            slices = [slice(borders[r], borders[r + 1]) for r in routes]
+            coded = [_coded(keys[s]) for s in slices]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(spelt), pa.string()), pa.array(spelt, pa.string()),
-                 pa.array(weights, pa.int64())], names=["lang", "key", "w"])
+                [pa.array(routes, pa.int64()), pa.array([c[0] for c in coded], pa.binary()),
+                 pa.array([c[1] for c in coded], pa.binary()),
+                 pa.array([weights[s].astype(np.int32).tobytes() for s in slices], pa.binary())],
+                names=["route", "words", "keys", "weights"])
     return run
 
 
 def quicksort_counts(keys: np.ndarray, weights: np.ndarray, least: int,
                      open_keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """Multikey three-way quicksort of pointers to rows of ``keys`` (numbers of words, -1 behind
+    """Multikey three-way quicksort of pointers to rows of ``keys`` (words as numbers, 0 behind
     the end): (a row, words, weight) of every prefix of two words or more whose rows weigh
-    ``least`` or that is a prefix of one of the rows ``open_keys``.
+    ``least`` or include one of the rows ``open_keys``.
     """
     depth = keys.shape[1]
     is_open = np.zeros(len(keys), dtype=bool)
@@ -187,11 +225,11 @@ def quicksort_counts(keys: np.ndarray, weights: np.ndarray, least: int,
         if not len(rows) or (weights[rows].sum() < least and not is_open[rows].any()):
             continue  # abandoned
         word = keys[rows, d]
-        pivot = int(np.sort(word[[0, len(word) // 2, -1]])[1])
+        pivot = np.sort(word[[0, len(word) // 2, -1]])[1]
         stack.append((rows[word < pivot], d))
         stack.append((rows[word > pivot], d))
         equal = rows[word == pivot]
-        if pivot == _NONE:
+        if pivot == _END:
             continue
         weight = int(weights[equal].sum())
         if weight < least and not is_open[equal].any():
@@ -202,53 +240,94 @@ def quicksort_counts(keys: np.ndarray, weights: np.ndarray, least: int,
             stack.append((equal, d + 1))
 
 
+def _end_of(keys: np.ndarray, least_or_most) -> int:
+    """A row with the first or last of the keys."""
+    rows = np.arange(len(keys))
+    for d in range(keys.shape[1]):
+        word = keys[rows, d]
+        rows = rows[word == least_or_most(word)]
+    return int(rows[0])
+
+
+def _by_route(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and weights of one route after the other; rows come sorted by route."""
+    route, keys, weights = None, [], []
+
+    def whole():
+        return np.concatenate(keys), np.concatenate(weights).astype(np.int64)
+    for batch in batches:
+        for r, d, k, w in zip(*(batch.column(c).to_pylist() for c in ("route", "words", "keys", "weights"))):
+            if r != route and keys:
+                yield whole()
+                keys, weights = [], []
+            route = r
+            keys.append(_decoded(d, k, depth))
+            weights.append(np.frombuffer(w, dtype=np.int32))
+    if keys:
+        yield whole()
+
+
 def count_phrases(least: int, depth: int):
-    """Counts of the phrases of one range partition; those at its borders may be partial."""
+    """Counts of the phrases of the routes; those of a route's first and last key may be partial."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [b for b in batches if b.num_rows]
-        if not tables:
-            return
-        table = pa.Table.from_batches(tables)
-        langs, spelt = table.column("lang").to_pylist(), table.column("key").to_pylist()
-        weights = table.column("w").to_numpy()
-        given: defaultdict[tuple, int] = defaultdict()
-        given.default_factory = given.__len__
-        keys = np.full((len(spelt), depth), _NONE, dtype=np.int32)
-        # words are told apart by language, so languages need no level of their own
-        for i, (lang, key) in enumerate(zip(langs, spelt)):
-            numbers = [given[lang, w] for w in key.split(" ")]
-            keys[i, :len(numbers)] = numbers
-        order_of = [(lang.encode("utf-8"), key.encode("utf-8")) for lang, key in zip(langs, spelt)]
-        lowest = min(range(len(spelt)), key=order_of.__getitem__)
-        highest = max(range(len(spelt)), key=order_of.__getitem__)
-        found = list(quicksort_counts(keys, weights, least, np.array([lowest, highest])))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([langs[i] for i, _, _ in found], pa.string()),
-             pa.array([" ".join(spelt[i].split(" ")[:n]) for i, n, _ in found], pa.string()),
-             pa.array([n for _, n, _ in found], pa.int32()), pa.array([w for _, _, w in found], pa.int64())],
-            names=["lang", "phrase", "words", "a"])
+        for keys, weights in _by_route(batches, depth):
+            found = list(quicksort_counts(keys, weights, least, np.array([_end_of(keys, np.min), _end_of(keys, np.max)])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([keys[i, :n].view(np.int64).tolist() for i, n, _ in found], pa.list_(pa.int64())),
+                 pa.array([w for _, _, w in found], pa.int64())], names=["key", "a"])
     return run
 
 
+def _hash_function(words: DataFrame, least: int) -> int:
+    """A number for which ``xxhash64(number, lang, word)`` tells every frequent word from all others."""
+    number = 0
+    while True:
+        hashed = words.select(F.xxhash64(F.lit(number), "lang", "phrase").alias("h"), "f")
+        shared = (hashed.groupBy("h").agg(F.count(F.lit(1)).alias("words"), F.max("f").alias("f"))
+                  .where((F.col("f") >= least) & ((F.col("words") > 1) | (F.col("h") == _END))))
+        if not shared.take(1):
+            return number
+        number += 1
+
+
 def frequent_phrases(stage: Staging, rows: DataFrame, least: int = LEAST, max_words: int = MAX_WORDS
                      ) -> tuple[DataFrame, DataFrame]:
     """Words (lang, phrase, f), all of them, and candidates (lang, phrase, words, a)."""
-    context = rows.sparkSession.sparkContext
+    spark = rows.sparkSession
     words = stage.put(rows.mapInArrow(tidy(count_words), "lang string, phrase string, f long")
                       .groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "words")
-    frequent = words.where(F.col("f") >= least).select(F.xxhash64("lang", "phrase").alias("h"))
-    frequent_words = context.broadcast(bitmap(frequent, WORD_BITS))
-    pairs = (rows.mapInArrow(tidy(count_pairs(frequent_words)), "h long, f long")
-             .groupBy("h").agg(F.sum("f").alias("f")).where(F.col("f") >= least))
-    frequent_pairs = context.broadcast(bitmap(pairs, PAIR_BITS))
-    keys = rows.mapInArrow(tidy(suffix_keys(frequent_words, frequent_pairs, max_words)),
-                           "lang string, key string, w long")
-    keys = stage.put(keys.groupBy("lang", "key").agg(F.sum("w").alias("w")), "keys")
-    routes = 1 + keys.count() // ROUTE_ROWS
-    found = (keys.repartitionByRange(routes, "lang", "key")
-             .mapInArrow(tidy(count_phrases(least, max_words)), "lang string, phrase string, words int, a long")
-             .groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).where(F.col("a") >= least))
-    return words, stage.put(found, "candidates")
+    number = _hash_function(words, least)
+    seed = spark.range(1).select(F.xxhash64(F.lit(number))).first()[0] % (1 << 64)
+    known = words.where(F.col("f") >= least).select(
+        F.xxhash64(F.lit(number), "lang", "phrase").alias("h"), "lang", F.col("phrase").alias("word"), "f")
+    frequent = spark.sparkContext.broadcast(bitmap(known, WORD_BITS))
+    positions = known.agg(F.sum("f")).first()[0] or 0  # at least as many as there are keys
+    routes = 1 + positions // ROUTE_KEYS
+    cuts = _cuts(stage, rows, frequent, seed, max_words, routes, max(1, ROUTE_KEYS // SAMPLED_KEYS))
+    keys = rows.mapInArrow(tidy(packed_keys(frequent, spark.sparkContext.broadcast(cuts), seed, max_words)), PACKED)
+    found = (keys.repartition(min(len(cuts) + 1, MOST_TASKS), "route").sortWithinPartitions("route")
+             .mapInArrow(tidy(count_phrases(least, max_words)), "key array<long>, a long")
+             .groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= least))
+    found = stage.put(found, "counted")
+    spelt = (found.select("key", "a", F.posexplode("key").alias("place", "h")).join(known.drop("f"), "h")
+             .groupBy("key", "a").agg(F.first("lang").alias("lang"),
+                                      F.sort_array(F.collect_list(F.struct("place", "word"))).alias("spelt")))
+    return words, stage.put(spelt.select(
+        "lang", F.array_join(F.col("spelt.word"), " ").alias("phrase"), F.size("key").alias("words"), "a"), "candidates")
+
+
+def _cuts(stage: Staging, rows: DataFrame, frequent, seed: int, depth: int, routes: int, one_in: int) -> np.ndarray:
+    """Keys, as byte strings, that cut the key order into about ``routes`` equal ranges."""
+    none = np.zeros(0, dtype=f"S{8 * depth}")
+    if routes == 1:
+        return none
+    few = min(one_in, SAMPLED_TEXTS)
+    some = rows.where(F.pmod(F.xxhash64("text"), F.lit(few)) == 0)
+    sampled = stage.put(some.mapInArrow(tidy(sample_keys(frequent, seed, depth, one_in // few)), "key binary"), "sample")
+    numbered = global_row_number(sampled, [F.col("key").asc()], rank_col="nth", count_col="all")
+    at = F.floor(F.col("nth") * routes / F.col("all")) > F.floor((F.col("nth") - 1) * routes / F.col("all"))
+    cuts = sorted({bytes(r.key) for r in numbered.where(at & (F.col("nth") < F.col("all"))).select("key").toLocalIterator()})
+    return np.array(cuts, dtype=none.dtype) if cuts else none
 
 
 def _part(first: Column, length: Column) -> Column:

@@ -68,7 +68,7 @@ def table(seed, n=60, words=30):
 @pytest.mark.parametrize("seed,least,top,route", [(1, 5, 1000, 250_000), (2, 3, 7, 20), (3, 2, 1000, 1), (4, 10, 3, 7)])
 def test_matches_counting(spark, monkeypatch, seed, least, top, route):
     """Also with many small range partitions, where phrases cross their borders."""
-    monkeypatch.setattr(C, "ROUTE_ROWS", route)
+    monkeypatch.setattr(C, "ROUTE_KEYS", route)
     rows = table(seed)
     got = found(C.collocations(frame(spark, rows, clashing=True), least, top))
     assert got == brute(rows, least, top) and got
@@ -96,17 +96,49 @@ def test_full_bitmaps_change_nothing(spark, monkeypatch):
     assert found(C.collocations(frame(spark, rows), 4, 100)) == brute(rows, 4, 100)
 
 
+def test_shared_hashes_take_another_function(spark, monkeypatch):
+    words = spark.createDataFrame([("en", w, f) for w, f in (("a", 100), ("b", 100), ("c", 1), ("d", 1))],
+                                  "lang string, phrase string, f long")
+    assert C._hash_function(words, 100) == 0
+    real, calls = C.F.xxhash64, []
+
+    def poor(number, *columns):
+        calls.append(1)
+        return C.F.lit(7) if len(calls) < 3 else real(number, *columns)
+    monkeypatch.setattr(C.F, "xxhash64", poor)
+    assert C._hash_function(words, 100) == 2
+
+
+def test_hashes_equal_those_of_spark(spark):
+    words = ["a", "wörter", "x" * 70, ""]
+    seed = spark.range(1).select(C.F.xxhash64(C.F.lit(3))).first()[0] % (1 << 64)
+    got = C.word_hashes("de", [w.encode() for w in words], seed).view(np.int64).tolist()
+    rows = spark.createDataFrame([("de", i, w) for i, w in enumerate(words)], "lang string, i int, w string")
+    assert got == [r[0] for r in rows.orderBy("i").select(C.F.xxhash64(C.F.lit(3), "lang", "w")).collect()]
+
+
+def test_block_keys_without_packing(monkeypatch):
+    """Blocks with very many words sort their keys column by column."""
+    texts = [" ".join(random.Random(5).choices("abcdef", k=500)).encode()]
+    full = np.full(1 << 10, 255, dtype=np.uint8)
+    keys, weights = C.block_keys("en", texts, full, 7, 5)
+    monkeypatch.setattr(C, "_LOCAL_BITS", 1)
+    other, also = C.block_keys("en", texts, full, 7, 5)
+    assert (keys == other).all() and (weights == also).all() and weights.sum() == 499
+    assert (np.diff(np.searchsorted(C.in_order(keys), C.in_order(keys))) > 0).all()
+
+
 def test_quicksort_counts():
     rng = np.random.default_rng(1)
     for depth in (2, 3, 5):
-        keys = rng.integers(0, 4, (200, depth)).astype(np.int32)
+        keys = rng.integers(1, 5, (200, depth)).astype(np.uint64)
         for row in keys:
-            row[rng.integers(1, depth + 1):] = -1
+            row[rng.integers(1, depth + 1):] = 0
         weights = rng.integers(1, 9, 200)
         want = Counter()
         for row, w in zip(keys.tolist(), weights.tolist()):
             for size in range(2, depth + 1):
-                if row[size - 1] >= 0:
+                if row[size - 1]:
                     want[tuple(row[:size])] += w
         open_key = keys[17].tolist()
         kept = {k: v for k, v in want.items() if v >= 20 or list(k) == open_key[:len(k)]}
