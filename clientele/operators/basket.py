@@ -7,7 +7,7 @@
   any length, mined with Spark's distributed FP-growth.
 * Rules: for each frequent itemset, **every** non-empty proper split into antecedent
   and consequent (MLlib's own ``associationRules`` only emits one-item consequents).
-  The splits are enumerated as bit masks 1 .. 2^k - 2 over the sorted items, and the
+  The splits grow level by level in the consequent and stop where the confidence falls short; the
   two sides' supports come from two equi-joins on the sorted item arrays.
 
 Metrics, for sA, sC, s = supports of antecedent, consequent and both:

@@ -11,8 +11,8 @@ Semantics of the source view:
 * MonthsActive counts distinct months of the year (1..12), not year-months.
 * RecencyDays counts day boundaries from the last sale *timestamp* to ``as_of``.
 
-Plan: plain hash aggregation throughout. Region names, countries, states and categories
-are coded as integers on their dimensions (codes follow the texts' order, so the maximum
+Plan: plain hash aggregation throughout. Region names, countries and states
+are coded as integers on their dimension, once (codes follow the texts' order, so the maximum
 of codes is the maximum of texts); lines are joined with the codes only, aggregated by
 (customer, category) and then by customer, and the codes of the result are decoded. Both
 aggregations combine map-side, so a customer with a third of all lines sends one row per
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from clientele.functions.dates import day_boundaries
 from clientele.functions.numeric import safe_ratio
+from clientele.session import cut_lineage
 
 RECENCY_BANDS = (  # fixed values: upper bound in days, label
     (30, "Very Recent"),
@@ -49,14 +50,6 @@ def recency_category(days: Column) -> Column:
     return band.otherwise(F.lit(RECENCY_OTHER))
 
 
-def codes(dimension: DataFrame, column: str) -> DataFrame:
-    """(text, code): the distinct texts of a dimension's column, numbered in their order.
-
-    The window runs over the distinct texts of one attribute (countries, categories)."""
-    texts = dimension.select(column).where(F.col(column).isNotNull()).distinct()
-    return texts.withColumn(f"{column}Code", F.row_number().over(Window.orderBy(column)))
-
-
 PLACES = ("RegionName", "Country", "State")
 
 
@@ -70,18 +63,17 @@ def coded_places(region: DataFrame) -> DataFrame:
 def purchase_metrics(sales: DataFrame, product: DataFrame, region: DataFrame,
                      purchase_flag: str = "N") -> DataFrame:
     """Per-customer aggregate over purchase lines (the CTE of the view)."""
-    coded_region = coded_places(region)
-    coded_product = (product.select("ProductKey", "Category")
-                     .join(codes(product, "Category"), "Category", "left"))
+    # written once: the codes are joined to the lines, and three times to decode the result
+    coded_region = cut_lineage(coded_places(region))
     lines = (sales.where(F.col("ReturnFlag") == purchase_flag)
              .select("CustomerKey", "ProductKey", "RegionKey", "TransactionDate",
                      "NetSalesAmount", "ReturnFlag"))
     lines = (lines
              .join(coded_region.select("RegionKey", *(f"{c}Code" for c in PLACES)), "RegionKey", "left")
-             .join(coded_product.select("ProductKey", "CategoryCode"), "ProductKey", "left"))
+             .join(product.select("ProductKey", "Category"), "ProductKey", "left"))
     month_bit = F.call_function("shiftleft", F.lit(1), F.month("TransactionDate") - F.lit(1))
     bought = F.col("ReturnFlag") == purchase_flag
-    by_category = lines.groupBy("CustomerKey", "CategoryCode").agg(
+    by_category = lines.groupBy("CustomerKey", "Category").agg(
         F.max("TransactionDate").alias("last"),
         F.count(F.lit(1)).alias("lines"),
         F.sum("NetSalesAmount").alias("spend"),
@@ -97,7 +89,7 @@ def purchase_metrics(sales: DataFrame, product: DataFrame, region: DataFrame,
         F.sum("returned").alias("ReturnCount"),
         F.bit_count(F.bit_or("months")).cast("int").alias("MonthsActive"),
         *(F.max(f"{c}Code").alias(f"{c}Code") for c in PLACES),
-        F.count("CategoryCode").alias("CategoriesPurchased"))
+        F.count("Category").alias("CategoriesPurchased"))
     for c in PLACES:
         names = coded_region.select(f"{c}Code", c).where(F.col(c).isNotNull()).distinct()
         totals = totals.join(names, f"{c}Code", "left").drop(f"{c}Code")

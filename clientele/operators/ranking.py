@@ -14,12 +14,15 @@ task. Instead ``global_row_number``:
    sum over those P rows; the offsets are broadcast (size bounded by P);
 4. row number = offset of the partition + position inside the partition.
 
-``rows_at`` finds the rows at a few positions of a total order (cut points of quantiles,
-medians) without ranking or shuffling anything: it narrows a bracket around each
-position. Every step counts, in one aggregation, the rows before a few sampled
-splitters of each bracket and keeps the part that holds the position, until a bracket
-has at most ``BRACKET_ROWS`` rows left, of which the right one is taken. Rows are read, never moved; what
-reaches the driver is a handful of splitters per position.
+``rows_at`` finds the rows at a few positions of total orders (cut points of quantiles,
+medians) without ranking or shuffling rows, by radix selection on a composite key. One
+aggregation finds the range of every order column; with it each column becomes whole
+numbers from 0 of known width that sort as the column does (``key_fields``), and the columns of an
+order one behind the other are a bit string. Every further step counts, in one aggregation
+for all positions of all orders, rows by the next ``DIGIT`` bits within the brackets (equal
+bits so far) that hold a position, until a bracket has at most ``BRACKET_ROWS`` rows; a last one
+reads those. So ``df`` is read once per digit, however many positions there are; what
+reaches the driver is at most 2 ** ``DIGIT`` counts per open bracket.
 
 The same plan runs at every size. The order must be total (end it with a unique key);
 ties would otherwise be broken by whatever order the ranges are read in.
@@ -28,18 +31,22 @@ ties would otherwise be broken by whatever order the ranges are read in.
 from __future__ import annotations
 
 import datetime
+import math
 from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, DataType, DateType, DecimalType, DoubleType, FloatType,
+                               StringType, TimestampNTZType, TimestampType)
 
 from clientele.session import cut_lineage
 
 _PID = "_rank_pid"
 _MID = "_rank_mid"
 
-SPLITTERS = 96     # counted together in one aggregation
+DIGIT = 12
+COMPARED = 5  # digits compared together: as many as a long holds
 BRACKET_ROWS = 256
 
 
@@ -105,77 +112,180 @@ def at_or_before(order: Order, values: Sequence) -> str:
     return f"({met})"
 
 
-def _inside(order: Order, bracket: tuple) -> str:
-    """Rows after the bracket's lower and up to its upper border."""
-    low, high = bracket
-    met = "TRUE" if high is None else at_or_before(order, high)
-    return met if low is None else f"({met} AND NOT {at_or_before(order, low)})"
+Field = tuple[Column, int]  # whole numbers from 0, bits
+
+
+def _limits(df: DataFrame, column: str) -> list[Column]:
+    """What ``key_fields`` has to know of a column: smallest and largest value, or byte length."""
+    c = F.col(column)
+    if isinstance(df.schema[column].dataType, StringType):
+        return [F.lit(0), F.coalesce(F.max(F.octet_length(c)), F.lit(0))]
+    if isinstance(df.schema[column].dataType, (DoubleType, FloatType)):
+        size = F.abs(c.cast("double"))
+        return [F.min(F.when(size > 0, size)), F.max(size)]
+    return [F.min(c), F.max(c)]
+
+
+def key_fields(column: str, kind: DataType, low, high) -> list[Field]:
+    """Fields that sort, one after the other, as the column's values from low to high do.
+    (For fractions: as values of that size, for texts: of that many bytes, at most.)
+
+    Finite numbers, dates, timestamps, booleans and texts (by bytes)."""
+    c = F.col(column)
+    if isinstance(kind, StringType):
+        data, fields = c.cast("binary"), []
+        for at in range(0, high, 7):  # seven bytes in a field, missing ones as 0, then the length
+            part = F.rpad(F.substring(data, at + 1, 7), 7, F.lit(b"\0"))
+            fields.append((F.conv(F.hex(part), 16, 10).cast("long"), 56))
+        return [*fields, (F.octet_length(c).cast("long"), int(high).bit_length())]
+    if isinstance(kind, (DoubleType, FloatType)):
+        c = c.cast("double")
+        if not high:
+            return []
+        top, bottom = math.frexp(high)[1], math.frexp(low)[1] - 53  # binary places of all values
+        size, fields = F.abs(c), []
+        for end in range(top - 52, bottom - 52, -52):  # 52 places each; all steps are exact
+            rest = size if end + 52 >= top else size % F.lit(math.ldexp(1.0, end + 52))
+            for factor in (end // 2, end - end // 2):  # 2 ** end may be no number
+                rest = rest / F.lit(math.ldexp(1.0, factor))
+            fields.append((F.signum(c).cast("long") * F.floor(rest).cast("long") + F.lit(1 << 52), 54))
+        return fields
+    if isinstance(kind, DecimalType):
+        steps = (c - F.lit(low)).cast(f"decimal(38,{kind.scale})") * _power_of_ten(kind.scale)
+        size = int((high - low).scaleb(kind.scale))
+        if size.bit_length() <= 62:
+            return [(steps.cast("long"), size.bit_length())]
+        whole, fields = steps.cast("decimal(38,0)"), []
+        for at in (30, 15, 0):
+            rest = whole % _power_of_ten(at + 15) if at < 30 else whole
+            below = rest % _power_of_ten(at) if at else F.lit(0).cast("decimal(38,0)")
+            fields.append((F.call_function("div", (rest - below).cast("decimal(38,0)"), _power_of_ten(at)).cast("long"), 50))
+        return fields
+    if isinstance(kind, BooleanType):
+        return [(c.cast("long"), 1)]
+    if isinstance(kind, DateType):
+        epoch = datetime.date(1970, 1, 1)
+        c, low, high = F.unix_date(c).cast("long"), (low - epoch).days, (high - epoch).days
+    elif isinstance(kind, (TimestampType, TimestampNTZType)):
+        return [(F.unix_micros(c.cast("timestamp")) + F.lit(1 << 61), 62)]
+    else:
+        c = c.cast("long")
+    if (high - low).bit_length() <= 62:
+        return [(c - F.lit(low), (high - low).bit_length())]
+    return [(F.shiftright(c, 32) + F.lit(1 << 31), 32), (c.bitwiseAND(F.lit((1 << 32) - 1)), 32)]
+
+
+def _power_of_ten(n: int) -> Column:
+    return F.lit(str(10 ** n)).cast("decimal(38,0)")
+
+
+def _digit(fields: Sequence[Field], start: int, width: int) -> Column:
+    """Bits ``start`` to ``start + width`` of the fields' bit string."""
+    out, at = F.lit(0).cast("long"), 0
+    for value, bits in fields:
+        first, last = max(start, at), min(start + width, at + bits)
+        if first < last:
+            part = F.shiftright(value, at + bits - last).bitwiseAND(F.lit((1 << (last - first)) - 1).cast("long"))
+            out = F.shiftleft(out, last - first) + part
+        at += bits
+    return out
 
 
 def rows_at(df: DataFrame, n: int, wanted: dict[str, tuple[Order, Sequence[int]]]
             ) -> dict[str, dict[int, tuple]]:
     """Per name, the order columns of the rows at 1-based positions of an order.
 
-    ``n`` is the number of rows of ``df``; no order column may be null. All orders are
-    narrowed together; ``df`` is read twice per step, and there are about
-    log(n) / log(SPLITTERS) steps.
+    ``n`` is the number of rows of ``df``; no order column may be null. ``df`` is read once
+    for the columns' ranges, once per digit for all orders together, and once for the rows.
     """
+    if not any(positions for _, positions in wanted.values()):
+        return {name: {} for name in wanted}
     columns = list(dict.fromkeys(c for order, _ in wanted.values() for c, _ in order))
     keys = df.select(*columns)
-
-    def place(order: Order, row) -> tuple:
-        return tuple(row[c] for c, _ in order)
-
-    # position -> (lower border, upper border), rows up to the lower, rows up to the upper
-    state = {(name, p): ((None, None), 0, n) for name, (_, positions) in wanted.items()
-             for p in positions}
+    limits = keys.agg(*(limit.alias(f"{c}_{i}") for c in columns for i, limit in enumerate(_limits(keys, c)))).first()
+    fields: dict[str, list[Field]] = {}
+    for name, (order, _) in wanted.items():
+        fields[name] = []
+        for c, ascending in order:
+            for value, bits in key_fields(c, keys.schema[c].dataType, limits[f"{c}_0"], limits[f"{c}_1"]):
+                if bits:
+                    fields[name].append((value if ascending else F.lit((1 << bits) - 1) - value, bits))
+    total = {name: sum(bits for _, bits in own) for name, own in fields.items()}
+
+    # position -> (digits of its bracket, rows before it, rows in it)
+    state = {(name, p): ((), 0, n) for name, (_, positions) in wanted.items() for p in positions}
+
+    def bracket_of(name: str, brackets: Sequence[tuple]) -> Column:
+        """Number of the bracket that a row is in, null outside of all."""
+        out = F.when(F.lit(False), F.lit(0))
+        for i, digits in enumerate(brackets):
+            met = F.lit(True)
+            for at in range(0, len(digits), COMPARED):  # several digits as one number
+                width, value = 0, 0
+                for k in range(at, min(at + COMPARED, len(digits))):
+                    value = value << _width(name, k) | digits[k]
+                    width += _width(name, k)
+                met = met & (_digit(fields[name], at * DIGIT, width) == F.lit(value))
+            out = out.when(met, F.lit(i))
+        return out
+
+    def _width(name: str, k: int) -> int:
+        return min(DIGIT, total[name] - k * DIGIT)
+
+    def marked(brackets: dict[str, list[tuple]], with_digit: bool) -> DataFrame:
+        """One row for every bracket of any order that a row is in."""
+        marks = []
+        for i, (name, own) in enumerate(brackets.items()):
+            if own:
+                k = len(own[0])
+                digit = _digit(fields[name], k * DIGIT, _width(name, k)) if with_digit else F.lit(0).cast("long")
+                marks.append(F.struct(F.lit(i).alias("order"), bracket_of(name, own).alias("bracket"),
+                                      digit.alias("digit")))
+        seen = keys.select(*columns, F.explode(F.array(*marks)).alias("_mark"))
+        return seen.where(F.col("_mark.bracket").isNotNull())
+
+    names = list(wanted)
     while True:
-        wide = {(name, bracket) for (name, _), (bracket, before, upto) in state.items()
-                if upto - before > BRACKET_ROWS}
-        if not wide:
+        brackets: dict[str, list[tuple]] = {
+            name: sorted({digits for (other, _), (digits, _, size) in state.items()
+                          if other == name and size > BRACKET_ROWS and len(digits) * DIGIT < total[name]})
+            for name in names}
+        if not any(brackets.values()):
             break
-        each = max(3, SPLITTERS // len(wide))
-        wide = list(wide)
-        sampled = None
-        for i, (name, bracket) in enumerate(wide):  # rows of the bracket with the smallest hashes
-            part = (keys.where(_inside(wanted[name][0], bracket))
-                    .orderBy(F.xxhash64(F.lit(i), *columns), *columns).limit(each)
-                    .select(F.lit(i).alias("_bracket"), *columns))
-            sampled = part if sampled is None else sampled.union(part)
-        splitters: dict[int, list[tuple]] = {}
-        for row in sampled.collect():
-            splitters.setdefault(row["_bracket"], []).append(
-                place(wanted[wide[row["_bracket"]][0]][0], row))
-        counts = keys.selectExpr(
-            *(f"count_if({at_or_before(wanted[wide[i][0]][0], s)}) AS `{i}_{k}`"
-              for i, own in splitters.items() for k, s in enumerate(own))).first()
-        for (name, p), (bracket, before, upto) in list(state.items()):
-            if (name, bracket) not in wide or upto - before <= BRACKET_ROWS:
-                continue
-            i = wide.index((name, bracket))
-            low, high = bracket
-            for count, s in sorted((counts[f"{i}_{k}"], s) for k, s in enumerate(splitters[i])):
-                if count < p:
-                    low, before = s, count
-                else:
-                    high, upto = s, count
-                    break
-            state[name, p] = ((low, high), before, upto)
-    ends = list({(name, bracket) for (name, _), (bracket, _, _) in state.items()})
-    last = None
-    for i, (name, bracket) in enumerate(ends):
-        order = wanted[name][0]
-        part = (keys.where(_inside(order, bracket)).orderBy(*sort_columns(order)).limit(BRACKET_ROWS)
-                .select(F.lit(i).alias("_bracket"), *columns))
-        last = part if last is None else last.union(part)
-    rows: dict[int, list] = {i: [] for i in range(len(ends))}
-    for row in last.collect() if ends else []:
-        rows[row["_bracket"]].append(row)
+        counted: dict[tuple, list[tuple[int, int]]] = {}
+        for row in marked(brackets, True).groupBy("_mark").count().collect():
+            mark = row["_mark"]
+            own = names[mark["order"]]
+            counted.setdefault((own, brackets[own][mark["bracket"]]), []).append((mark["digit"], row["count"]))
+        for key, (digits, before, size) in list(state.items()):
+            name, p = key
+            if (name, digits) in counted:
+                for digit, rows in sorted(counted[name, digits]):
+                    if before + rows >= p:
+                        state[key] = ((*digits, digit), before, rows)
+                        break
+                    before += rows
+    # brackets of one order may have ended after different numbers of digits
+    ends: dict[tuple[str, int], list[tuple]] = {}
+    for (name, _), (digits, _, _) in state.items():
+        ends.setdefault((name, len(digits)), []).append(digits)
+    marks = [F.struct(F.lit(i).alias("end"), bracket_of(name, sorted(set(own))).alias("bracket"))
+             for i, ((name, _), own) in enumerate(ends.items())]
+    last = keys.select(*columns, F.explode(F.array(*marks)).alias("_mark")).where(F.col("_mark.bracket").isNotNull())
+    held: dict[tuple, list] = {}
+    for row in last.groupBy("_mark", *columns).count().collect():  # equal rows come once, with their number
+        key = list(ends)[row["_mark"]["end"]]
+        digits = sorted(set(ends[key]))[row["_mark"]["bracket"]]
+        held.setdefault((key[0], digits), []).append(
+            (tuple(row[c] for c, _ in wanted[key[0]][0]), row["count"]))
     out: dict[str, dict[int, tuple]] = {name: {} for name in wanted}
-    for (name, p), (bracket, before, _) in state.items():
-        order = wanted[name][0]
-        own = sort_rows([place(order, r) for r in rows[ends.index((name, bracket))]], order)
-        out[name][p] = own[p - before - 1]
+    for (name, p), (digits, before, _) in state.items():
+        own = dict(held[name, digits])
+        for values in sort_rows(list(own), wanted[name][0]):
+            before += own[values]
+            if before >= p:
+                out[name][p] = values
+                break
     return out
 
 

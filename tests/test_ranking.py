@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from clientele.operators import ranking
 from clientele.operators.ranking import BRACKET_ROWS, global_row_number, rows_at, sql_literal
 from clientele.operators.reports import exact_median
 from clientele.operators.rfm import rfm_scores
@@ -86,3 +87,48 @@ def test_exact_median(spark):
                                    "CustomerKey long, v double")
         assert exact_median(df, "v") == pytest.approx(pd.Series(values).median(), abs=1e-12)
     assert exact_median(df.where("v is null"), "v") is None
+
+
+DOUBLES = [0.0, 1.5, -1.5, 0.01, -0.01, 3.0, 3.0000000000000004, 1000.25]
+
+
+@pytest.mark.parametrize("kind,values", [
+    ("double", DOUBLES), ("long", [-(1 << 63), (1 << 63) - 1, 0, -1, 1, 1 << 40]), ("boolean", [True, False]),
+    ("decimal(38,2)", [Decimal("-99999999999999999999999999999999.99"), Decimal("0.01"), Decimal(10) ** 33, Decimal("1.10")]),
+    ("date", [datetime.date(1, 1, 2), datetime.date(1969, 12, 31), datetime.date(2024, 2, 29)]),
+    ("timestamp", [datetime.datetime(1900, 1, 1), datetime.datetime(2024, 1, 1, 0, 0, 0, 1), datetime.datetime(2024, 1, 1)]),
+    ("string", ["", "a", "a\0", "ab", "abcdefg", "abcdefgh", "abcdefg\0", "\U0001f600", "\uffff"]),
+])
+def test_rows_at_orders_every_type(spark, monkeypatch, kind, values):
+    """Down to single rows by digits alone, in both directions, with ties."""
+    monkeypatch.setattr(ranking, "BRACKET_ROWS", 1)
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values * 2)], f"v {kind}, t int")
+    n = 2 * len(values)
+    up = sorted(values * 2, key=(lambda v: v.encode()) if kind == "string" else None)
+    at = [1, n // 2, n]
+    got = rows_at(df, n, {"up": ([("v", True)], at), "down": ([("v", False)], at)})
+    assert [got["up"][p][0] for p in at] == [up[p - 1] for p in at]
+    assert [got["down"][p][0] for p in at] == [up[-p] for p in at]
+
+
+def test_rows_at_reads_once_per_digit(spark, monkeypatch, tmp_path):
+    """The number of reads does not depend on the number of positions."""
+    spark.range(20_000).selectExpr("id", "id * 7919 % 20011 AS v", "cast(id % 3 as decimal(15,2)) AS d").write.parquet(
+        str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    counted = []
+    for positions in ([10_000], list(range(1, 20_000, 500))):
+        jobs = []
+        for method in ("collect", "first"):
+            original = getattr(type(df), method)
+
+            def count(self, *args, _original=original, _jobs=jobs):
+                _jobs.append(1)
+                return _original(self, *args)
+            monkeypatch.setattr(type(df), method, count)
+        got = rows_at(df, 20_000, {"v": ([("v", True), ("id", True)], positions),
+                                   "d": ([("d", False), ("v", True), ("id", True)], positions)})
+        assert set(got["v"]) == set(positions)
+        monkeypatch.undo()
+        counted.append(len(jobs))
+    assert counted[0] == counted[1] <= 6
