@@ -94,13 +94,15 @@ def upsert_dim(existing: DataFrame, feed: DataFrame, business_key: str, surrogat
     """Rows to append to a dimension: one per new business key, numbered after the
     dimension's largest surrogate key. When the feed spells one key several ways, the
     smallest attribute tuple wins (the feed has no meaningful row order). Spellings are
-    made distinct first, by a hash aggregate, so only they are compared, not feed rows."""
+    made distinct first, by a hash aggregate, so only they are compared, not feed rows; only
+    the keys that are new are written and sorted."""
     spellings = feed.where(F.col(business_key).isNotNull()).select(business_key, *attributes).distinct()
-    firsts = (cut_lineage(spellings)
-              .groupBy(business_key)
+    firsts = (spellings.groupBy(business_key)
               .agg(F.min(F.struct(*attributes)).alias("_first"))
               .select(business_key, *[F.col(f"_first.{a}").alias(a) for a in attributes]))
-    new = firsts.join(existing.select(business_key), business_key, "left_anti")
+    new = cut_lineage(firsts.join(existing.select(business_key), business_key, "left_anti"))
+    if new.isEmpty():
+        return new.select(F.lit(0).cast("long").alias(surrogate_key), business_key, *attributes)
     start = existing.select(F.coalesce(F.max(surrogate_key), F.lit(0)).cast("long")).scalar()
     numbered = global_row_number(new, [F.col(business_key).asc()], rank_col="_n")
     return numbered.select((start + F.col("_n")).alias(surrogate_key), business_key, *attributes)

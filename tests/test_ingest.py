@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from clientele.operators import ingest as I
 from clientele.operators.calendar import dim_date
+from clientele.plans import ingest_job
 from clientele.plans.ingest_job import FACTS, REJECTS, TABLES, load_feed, warehouse_table
 from clientele.session import scratch_folder
 from clientele.sources import schemas as S
@@ -117,6 +118,41 @@ def test_load_feed_twice(spark, tmp_path):
     assert reasons == 5
 
 
+def test_load_that_breaks_off_is_rerun(spark, tmp_path, monkeypatch):
+    """Killed between any two writes, a batch stays invisible; run again it ends as a clean run."""
+    path = tmp_path / "tx.csv"
+    path.write_text(CSV)
+    raw = I.read_transactions(spark, str(path))
+    days = dim_date(spark)
+    first, second = raw.where("`Customer ID` = '7'"), raw.where("`Customer ID` <> '7'")
+    clean, broken = str(tmp_path / "clean"), str(tmp_path / "broken")
+
+    def tables(warehouse):
+        return {t: sorted(map(str, warehouse_table(spark, warehouse, t).collect()))
+                for t in (*TABLES, FACTS, REJECTS)}
+    for warehouse in (clean, broken):
+        load_feed(first, warehouse, days, dt.date(2024, 1, 1), "2024-01-01")
+    before = tables(broken)
+    load_feed(second, clean, days, dt.date(2024, 1, 2), "007")
+    real = ingest_job.write_table
+    for broken_at in (2, 4, 5, 6):             # after regions, customers, rejects, facts
+        writes = []
+
+        def failing(*args, **more):
+            writes.append(args)
+            if len(writes) == broken_at:
+                raise RuntimeError("killed")
+            real(*args, **more)
+        monkeypatch.setattr(ingest_job, "write_table", failing)
+        with pytest.raises(RuntimeError, match="killed"):
+            load_feed(second, broken, days, dt.date(2024, 1, 2), "007")
+        assert tables(broken) == before
+    monkeypatch.setattr(ingest_job, "write_table", real)
+    for _ in range(2):                         # a loaded batch is not loaded again
+        load_feed(second, broken, days, dt.date(2024, 1, 2), "007")
+        assert tables(broken) == tables(clean)
+
+
 def test_no_scratch_folder_on_a_cluster():
     assert scratch_folder("local[4]")
     for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
