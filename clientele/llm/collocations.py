@@ -26,7 +26,7 @@ of the piece or to the first infrequent word, ``MAX_WORDS`` at most.
    the rest; what is found is added up by phrase.
 
 Scale. Three reads of the texts, one of them only of the sample. What is shuffled is the
-distinct words, and 10 to 15 compressed bytes for each distinct key of a block; nothing of it is
+distinct words, and about 20 compressed bytes for each distinct key of a block; nothing of it is
 staged, and a range is all that a task holds at a time. The sample, 32 keys a range, only
 balances the ranges. The cuts are broadcast: 40 bytes for every ``ROUTE_KEYS`` keys, a few MB
 for a TB of text. When the words outgrow the bitmap more keys pass, and their counts
