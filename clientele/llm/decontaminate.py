@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.llm.bitmap import bitmap, in_bitmap
-from clientele.llm.staging import Staging, row_key
+from clientele.llm.staging import Staging, numbered_rows, row_key
 from clientele.llm.words import ALPHANUMERIC, blocks, whole_shingles
 from clientele.llm.workers import tidy
 
@@ -130,12 +130,15 @@ def _covered(places):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   id_col: str = "doc_id", text_col: str = "text",
-                  item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Per document: id, n_words, n_hit, items (sorted array of item ids as strings), row_key."""
+                  item_id_col: str = "item_id", item_text_col: str = "text",
+                  key_col: str | None = None) -> DataFrame:
+    """Per document: id, n_words, n_hit, items (sorted array of item ids as strings), row_key (the
+    long column ``key_col``, or a hash of id and text)."""
     stage = Staging(docs.sparkSession, "decontaminate")
     items = benchmark.select(F.col(item_id_col).cast("long").alias("item_id"),
                              F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"),
+    key = F.col(key_col) if key_col else row_key(id_col, text_col)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     owned = stage.put(items.mapInArrow(
@@ -188,8 +191,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns as they are, without any benchmark window."""
-    found = decontaminate(docs, benchmark, window, id_col, text_col)
-    hit = found.where("n_hit > 0").select(F.col("row_key").alias("_row_key"))
-    return (docs.withColumn("_row_key", row_key(id_col, text_col))
-            .join(hit, "_row_key", "left_anti").drop("_row_key"))
+    """The documents, all columns as they are, without any benchmark window. Rows are told
+    apart by a number of their own, so columns may have any name and type."""
+    rows = numbered_rows(Staging(docs.sparkSession, "drop-contaminated"), docs)
+    doc = F.col("doc")
+    found = decontaminate(rows.select("row", doc[id_col].alias("doc_id"), doc[text_col].alias("text")),
+                          benchmark, window, key_col="row")
+    hit = found.where("n_hit > 0").select(F.col("row_key").alias("row"))
+    return rows.join(hit, "row", "left_anti").select("doc.*")

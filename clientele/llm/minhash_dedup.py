@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from clientele.llm.bitmap import bitmap, in_bitmap
 from clientele.llm.components import connected_components
-from clientele.llm.staging import Staging, row_key
+from clientele.llm.staging import Staging, numbered_rows, row_key
 from clientele.llm.words import NOT_SPACE, Words, blocks, mix, shingle_hashes
 from clientele.llm.workers import tidy
 
@@ -116,10 +116,10 @@ def set_digest(s: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
-SKETCHED = "doc_id long, key long, n_shingles long, d1 long, d2 long, bands array<long>"
+SKETCHED = "n_shingles long, d1 long, d2 long, bands array<long>"
 
 
-def _sketch_rows(bands: int, rows: int):
+def _sketch_rows(bands: int, rows: int, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, words in blocks(batch, "text", NOT_SPACE, BLOCK):
@@ -131,12 +131,12 @@ def _sketch_rows(bands: int, rows: int):
                     lists[i] = row
                 digests = [set_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("key"),
+                    [*(part.column(c) for c in carried),
                      pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([d[0] for d in digests], pa.int64()),
                      pa.array([d[1] for d in digests], pa.int64()),
                      pa.array(lists, pa.list_(pa.int64()))],
-                    names=["doc_id", "key", "n_shingles", "d1", "d2", "bands"])
+                    names=[*carried, "n_shingles", "d1", "d2", "bands"])
     return run
 
 
@@ -261,14 +261,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _grouped_rows(docs: DataFrame, id_col: str, text_col: str, threshold: int, bands: int = BANDS,
-                  rows: int = ROWS) -> DataFrame:
+                  rows: int = ROWS, row_col: str | None = None) -> DataFrame:
     """As near_duplicates, with _component: the group itself, whatever its ids (null for
-    texts without words)."""
+    texts without words), and the long column ``row_col``, if given, as it is."""
     stage = Staging(docs.sparkSession, "near-duplicates")
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                        row_key(id_col, text_col).alias("key"), text.alias("text"))
-    sketched = stage.put(found.mapInArrow(tidy(_sketch_rows(bands, rows)), SKETCHED), "sketches")
+                        row_key(id_col, text_col).alias("key"), text.alias("text"),
+                        *([row_col] if row_col else []))
+    carried = [c for c in found.columns if c != "text"]
+    sketched = stage.put(found.mapInArrow(
+        tidy(_sketch_rows(bands, rows, carried)),
+        "".join(f"{c} long, " for c in carried) + SKETCHED), "sketches")
     classes = stage.put(
         sketched.where("n_shingles > 0").groupBy("d1", "d2")
         .agg(F.min("doc_id").alias("first_id"), F.min("key").alias("key"),
@@ -342,21 +346,25 @@ def _grouped_rows(docs: DataFrame, id_col: str, text_col: str, threshold: int, b
     named = stage.put(grouped.join(firsts, "component").select(
         "d1", "d2", F.col("component").alias("_component"), "component_id"), "named")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return (sketched.select("doc_id", "key", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
+    return (sketched.select(*carried, "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
             .select(F.col("doc_id").alias(id_col), "n_shingles", own.alias("component_id"),
-                    F.col("doc_id").eqNullSafe(own).alias("kept"), F.col("key").alias("row_key"), "_component"))
+                    F.col("doc_id").eqNullSafe(own).alias("kept"), F.col("key").alias("row_key"),
+                    "_component", *([row_col] if row_col else [])))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                threshold: int = THRESHOLD) -> DataFrame:
     """The documents without their near-duplicates: of every group the row with the
-    smallest id stays, with all its columns. Empty texts are no duplicates of each other."""
-    found = _grouped_rows(docs, id_col, text_col, threshold)
-    alone = F.when(F.col("n_shingles") == 0, F.col("row_key"))
-    first = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), "row_key")).alias("first")
+    smallest id stays, with all its columns. Texts without words are duplicates of nothing, not
+    even of each other: every such row stays, with or without id. Rows are told apart by a
+    number of their own, so columns may have any name and type."""
+    rows = numbered_rows(Staging(docs.sparkSession, "keep-first"), docs)
+    doc = F.col("doc")
+    found = _grouped_rows(rows.select("row", doc[id_col].alias("doc_id"), doc[text_col].alias("text")),
+                          "doc_id", "text", threshold, row_col="row")
+    alone = F.when(F.col("n_shingles") == 0, F.col("row"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), "row_key", "row"))
     # by the group itself: its smallest id may be null or also occur in another group
-    chosen = (found.groupBy("_component", alone.alias("alone")).agg(first)
-              .select(F.col("first.row_key").alias("_row_key")))
-    # equal rows share a key: one of them stays
-    return (docs.withColumn("_row_key", row_key(id_col, text_col))
-            .join(chosen, "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key"))
+    chosen = (found.groupBy("_component", alone.alias("alone")).agg(first.alias("first"))
+              .select("first.row"))
+    return rows.join(chosen, "row", "left_semi").select("doc.*")

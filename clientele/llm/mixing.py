@@ -33,13 +33,14 @@ Extra columns: ignored, whatever their names.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.llm.selection import crossing_keys
-from clientele.llm.staging import Staging, row_key
+from clientele.llm.staging import Staging, numbered_rows, row_key
 from clientele.operators.ranking import global_row_number
 
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -116,20 +117,27 @@ def solve_multipliers(stage: Staging, rows: DataFrame, sources: DataFrame, cap:
                     F.col("new_lo").alias("lo"), F.col("new_hi").alias("hi"),
                     solved.alias("solved")), f"newton-{step}")
         if not state.where(~F.col("solved")).take(1):
-            break
+            return state
+    rest = state.where(~F.col("solved")).agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("s")).first()
+    if rest.n:
+        name = sources.where(F.col("s") == rest.s).first()["source"]
+        warnings.warn(f"{rest.n} sources did not meet their target within {MAX_STEPS} Newton steps, "
+                      f"among them {name!r}; their last multiplier is used", stacklevel=2)
     return state
 
 
 def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
                 cap: float = CAP, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source") -> DataFrame:
-    """Per row: id, source, size, source_size, target, rate, copies, taken, row_key."""
+                source_col: str = "source", key_col: str | None = None) -> DataFrame:
+    """Per row: id, source, size, source_size, target, rate, copies, taken, row_key (the column
+    ``key_col``, or a hash of id and text). Warns if a source's multiplier did not converge."""
     stage = Staging(docs.sparkSession, "mixing")
+    own_key = [F.col(key_col).alias("own_key")] if key_col else []
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(
         F.col(id_col).alias("row_id"), F.col(source_col).cast("string").alias("source"),
         F.regexp_count(text, F.lit(TOKEN)).cast("long").alias("size"),
-        row_key(id_col, text_col).alias("hash"))
+        row_key(id_col, text_col).alias("hash"), *own_key)
     base = stage.put(base, "rows")
     sizes = F.col("size").cast("double")
     sources = base.groupBy("source").agg(
@@ -152,7 +160,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: floa
                     F.lit(float((1 << KEY_BITS) - 1))).cast("long")
     rated = stage.put(
         rated.withColumn("key", order)
-        .select("s", "row_id", "source", "size", "hash", "key", "rate", "copies", "fraction"), "rated")
+        .select("s", "row_id", "source", "size", "hash", "key", "rate", "copies", "fraction",
+                *(["own_key"] if key_col else [])), "rated")
 
     more = (F.col("fraction") > 0) & (F.col("size") > 0)
     for k in range(1 + FILL_ROUNDS):
@@ -178,20 +187,21 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: floa
     facts = sources.select("s", F.col("tokens").alias("source_size"), "target")
     return rated.join(facts, "s").select(
         F.col("row_id").alias(id_col), "source", "size", "source_size", "target", "rate",
-        "copies", (F.col("copies") * F.col("size")).alias("taken"), F.col("hash").alias("row_key"))
+        "copies", (F.col("copies") * F.col("size")).alias("taken"),
+        F.col("own_key" if key_col else "hash").alias("row_key"))
 
 
 def take_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
              cap: float = CAP, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source") -> DataFrame:
-    """The mix itself: every document as many times as it has copies, all columns as they are."""
-    plan = (mix_sources(docs, weights, share, cap, id_col, text_col, source_col)
-            .where("copies > 0")
-            .select(F.col("row_key").alias("_row_key"), F.col("source").alias("_source"),
-                    F.col("copies").alias("_copies")).distinct())
-    keyed = docs.withColumn("_row_key", row_key(id_col, text_col))
-    return (keyed.join(plan.withColumnRenamed("_row_key", "_plan_key"),
-                       (F.col("_row_key") == F.col("_plan_key"))
-                       & F.col(source_col).cast("string").eqNullSafe(F.col("_source")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-            .select(*(keyed[c] for c in docs.columns)))
+    """The mix itself: every document as many times as it has copies, all columns as they are.
+    Rows are told apart by a number of their own, so columns may have any name and type."""
+    rows = numbered_rows(Staging(docs.sparkSession, "take-mix"), docs)
+    doc = F.col("doc")
+    plan = mix_sources(
+        rows.select("row", doc[id_col].alias("doc_id"), doc[text_col].alias("text"),
+                    doc[source_col].alias("source")),
+        weights, share, cap, key_col="row").where("copies > 0")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return (rows.join(plan.select(F.col("row_key").alias("row"), "copies"), "row")
+            .select("doc", copies.alias("copy")).select("doc.*"))

@@ -9,13 +9,16 @@ level are split together. There are as many leaves as the target bytes ask for.
 Scale. Texts are read once, to size them; the tree works on a staged table of a few numbers
 per row. Each level is one aggregation for the extents plus a radix selection for the
 medians (``selection.py``), so no level sorts or shuffles rows, and a hot value (one source
-with a third of all rows) is split by the tie-break. What reaches the driver is one row per
-node. Slots come from row numbers within (shard, partition) plus offsets.
+with a third of all rows) is split by the tie-break. The number of levels is the logarithm of
+the number of leaves. A level's splits are a staged table of one row per node, so that no node
+reaches the driver and Spark knows the size of what it joins. Slots come from row numbers
+within (shard, partition) plus offsets.
 
 Law: ``bytes``. Leaf sizes differ by about one row's size per level.
 
-Dimensions: numbers as they are, texts by the dense rank of their distinct values in code
-point order, nulls before everything. Defined results. Null text: size 1, checksum of the empty text.
+Dimensions: whole numbers as they are (by rank if they span 2^62 or more), all else (texts in
+code point order, fractions, dates) by the dense rank of the distinct values; nulls before
+everything. Defined results. Null text: size 1, checksum of the empty text.
 Null ids and repeated rows: each row gets its own slot. Empty table: empty result. Extra
 columns: ignored. Fewer rows than leaves: some leaves stay empty.
 """
@@ -24,27 +27,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegralType
 
 from clientele.llm.selection import crossing_keys, key_bits
-from clientele.llm.staging import Staging, row_key
+from clientele.llm.staging import Staging, numbered_rows, row_key
 from clientele.operators.ranking import global_row_number
 
 TIE_BITS = 36
-
-
-def dimension(docs: DataFrame, name: str) -> Column:
-    """A metadata column as a long, null lowest; texts as they are, to be ranked."""
-    c = F.col(name)
-    if isinstance(docs.schema[name].dataType, StringType):
-        return c
-    return F.coalesce(c.cast("long"), F.lit(-1).cast("long"))
+WIDE = 1 << 62  # a difference beyond this could leave 64 bits
 
 
 def _ranked(stage: Staging, rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` with the text column ``name`` as the rank of its value from 1, null as 0."""
+    """``rows`` with the column ``name`` as the rank of its value from 1, null as 0."""
     values = global_row_number(rows.select(name).where(F.col(name).isNotNull()).distinct(),
                                [F.col(name)], rank_col="rank")
     values = stage.put(values.select(name, "rank"), f"values-{name}")
@@ -52,15 +48,20 @@ def _ranked(stage: Staging, rows: DataFrame, name: str) -> DataFrame:
             .withColumn(name, F.coalesce(F.col("rank").cast("long"), F.lit(0).cast("long"))).drop("rank"))
 
 
-def _pick(nodes: dict[int, str], dims: Sequence[str], lowest: dict[str, int]) -> Column:
-    """The value, from 0, of the dimension along which each row's node is split."""
-    chosen = None
-    for d in dims:
-        members = [n for n, name in nodes.items() if name == d]
-        if members:
-            here, value = F.col("node").isin(members), F.col(d) - F.lit(lowest[d])
-            chosen = F.when(here, value) if chosen is None else chosen.when(here, value)
-    return chosen
+def _from_zero(stage: Staging, rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``rows`` with all dimensions as longs: null 0, everything else from 1."""
+    numbers = [n for n in names if isinstance(rows.schema[n].dataType, IntegralType)]
+    bounds = rows.agg(F.count(F.lit(1)), *(F.min(n).alias(f"min_{n}") for n in numbers),
+                      *(F.max(n).alias(f"max_{n}") for n in numbers)).first()
+    ranked = [n for n in names if n not in numbers
+              or (bounds[f"max_{n}"] or 0) - (bounds[f"min_{n}"] or 0) >= WIDE]
+    for n in names:
+        if n in ranked:
+            rows = _ranked(stage, rows, n)
+        else:
+            lowest = F.lit(bounds[f"min_{n}"] or 0).cast("long")
+            rows = rows.withColumn(n, F.coalesce(F.col(n).cast("long") - lowest + 1, F.lit(0).cast("long")))
+    return stage.put(rows, "ranked") if ranked else rows
 
 
 def kd_shards(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars"),
@@ -80,41 +81,33 @@ def kd_shards(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars
         F.crc32(text.cast("binary")).alias("crc"),
         (F.col(key_col) if key_col else row_key(id_col, text_col)).alias("key_of_row"),
         row_key(id_col, text_col).bitwiseAND(F.lit((1 << TIE_BITS) - 1)).alias("tie"),
-        *(dimension(docs, d).alias(n) for d, n in zip(dims, names)))
+        *(F.col(d).alias(n) for d, n in zip(dims, names)))
     rows = stage.put(rows, "rows")
-    texts = [n for n in names if isinstance(rows.schema[n].dataType, StringType)]
-    for n in texts:
-        rows = _ranked(stage, rows, n)
-    if texts:
-        rows = stage.put(rows, "ranked")
-
+    rows = _from_zero(stage, rows, names)
     whole = rows.agg(F.sum("size").alias("bytes"), *(F.max(n).alias(f"max_{n}") for n in names),
                      *(F.min(n).alias(f"min_{n}") for n in names)).first()
     if shards is None:
         shards = max(1, -(-(whole["bytes"] or 0) // target_bytes))
-    lowest = {n: whole[f"min_{n}"] or 0 for n in names}
-    extent = {n: max(1, (whole[f"max_{n}"] or 0) - lowest[n]) for n in names}
-
-    # a node is named by its first leaf; leaves[first] is the number of leaves below it
-    leaves = {0: shards}
-    rows = rows.withColumn("node", F.lit(0))
-    level = 0
-    while any(k > 1 for k in leaves.values()):
-        split = [n for n, k in leaves.items() if k > 1]
-        inner = rows.where(F.col("node").isin(split))
-        stats = inner.groupBy("node").agg(
+    extent = {n: max(1, (whole[f"max_{n}"] or 0) - (whole[f"min_{n}"] or 0)) for n in names}
+    bits = key_bits(max(whole[f"max_{n}"] or 0 for n in names))
+
+    # a node is named by its first leaf; k is the number of leaves below it
+    rows = rows.withColumn("node", F.lit(0)).withColumn("k", F.lit(shards))
+    value = F.element_at(F.array(*names), F.col("dim"))
+    for level in range((shards - 1).bit_length()):
+        stats = rows.where("k > 1").groupBy("node", "k").agg(
             F.sum("size").alias("bytes"),
-            *((F.max(n) - F.min(n)).alias(n) for n in names)).collect()
-        widest = {s.node: max(names, key=lambda n: s[n] / extent[n]) for s in stats}
-        if not widest:
-            break
-        goals = spark.createDataFrame(
-            [(s.node, 0, s.bytes * (leaves[s.node] // 2) / leaves[s.node]) for s in stats],
-            "g int, target int, goal double")
-        keyed = inner.select(F.col("node").alias("g"), _pick(widest, names, lowest).alias("key"),
-                             F.col("tie"), F.col("size").alias("w"))
-        cut = crossing_keys(stage, f"value-{level}", keyed, goals,
-                            key_bits(max(extent[n] for n in widest.values())))
+            # the first of the widest dimensions
+            F.array_max(F.array(*(F.struct(((F.max(n) - F.min(n)) / F.lit(extent[n])).alias("share"),
+                                           F.lit(-i).alias("place"))
+                                  for i, n in enumerate(names, 1)))).alias("widest"))
+        half = F.floor(F.col("k") / 2).cast("int")
+        splits = stage.put(stats.select(
+            F.col("node").alias("g"), F.lit(0).alias("target"), (-F.col("widest.place")).alias("dim"),
+            half.alias("half"), (F.col("bytes") * half / F.col("k")).alias("goal")), f"splits-{level}")
+        keyed = rows.join(splits, F.col("node") == F.col("g")).select(
+            "g", value.alias("key"), "tie", F.col("size").alias("w"))
+        cut = crossing_keys(stage, f"value-{level}", keyed, splits.select("g", "target", "goal"), bits)
         # among equal values the tie-break decides
         ties = keyed.join(cut.select("g", "cut"), "g").where("key = cut")
         rest = cut.select("g", "target", (F.col("goal") - F.col("before")).alias("goal"))
@@ -125,25 +118,20 @@ def kd_shards(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars
             # the row at the border goes to the side whose size it brings nearer to the goal
             (F.col("before") + F.col("at_cut") - F.col("goal")
              < F.col("goal") - F.col("before")).alias("take"))
-        borders = cut.join(tie_cut, "g", "left").select(
-            "g", "cut", F.coalesce("tie_cut", F.lit(0)).alias("tie_cut"),
-            F.coalesce("take", F.lit(False)).alias("take"))
-        half = spark.createDataFrame([(n, n + leaves[n] // 2) for n in split], "g int, right int")
-        borders = half.join(borders, "g")
-        key = F.coalesce(_pick(widest, names, lowest), F.lit(0).cast("long"))
-        left = ((F.col("key") < F.col("cut"))
-                | ((F.col("key") == F.col("cut"))
-                   & ((F.col("tie") < F.col("tie_cut"))
-                      | ((F.col("tie") == F.col("tie_cut")) & F.col("take")))))
-        rows = (rows.withColumn("key", key).join(borders, rows["node"] == borders["g"], "left")
-                .withColumn("node", F.when(F.col("g").isNull() | left, F.col("node"))
-                            .otherwise(F.col("right")))
-                .drop("key", "g", "right", "cut", "tie_cut", "take"))
+        borders = splits.select("g", "dim", "half").join(cut.select("g", "cut"), "g").join(
+            tie_cut, "g", "left")
+        left = ((value < F.col("cut"))
+                | ((value == F.col("cut"))
+                   & ((F.col("tie") < F.coalesce("tie_cut", F.lit(0)))
+                      | ((F.col("tie") == F.col("tie_cut")) & F.coalesce("take", F.lit(False))))))
+        done = F.col("g").isNull()
+        right = ~done & ~F.coalesce(left, F.lit(False))
+        rows = rows.join(borders, F.col("node") == F.col("g"), "left").select(
+            *(c for c in rows.columns if c not in ("node", "k")),
+            F.when(right, F.col("node") + F.col("half")).otherwise(F.col("node")).alias("node"),
+            F.when(done, F.col("k")).when(right, F.col("k") - F.col("half"))
+            .otherwise(F.col("half")).alias("k"))
         rows = stage.put(rows, f"level-{level}")
-        for n in split:
-            k = leaves[n]
-            leaves[n], leaves[n + k // 2] = k // 2, k - k // 2
-        level += 1
 
     placed = rows.select("row_id", "key_of_row", "size", "crc", F.col("node").alias("shard"),
                          F.spark_partition_id().alias("part"),
@@ -166,10 +154,12 @@ def shard_documents(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n
                     target_bytes: int | None = None, shards: int | None = None,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns as they are, with shard and slot (in place of columns of
-    these names, if there are any)."""
-    docs = docs.drop("shard", "slot")
-    # rows equal in all columns are interchangeable: one of them fills all their slots
-    keyed = docs.withColumn("_row_key", F.xxhash64(*docs.columns))
-    placed = kd_shards(keyed, dims, target_bytes, shards, id_col, text_col, key_col="_row_key")
-    slots = placed.select(F.col("row_key").alias("_row_key"), "shard", "slot")
-    return keyed.dropDuplicates(["_row_key"]).join(slots, "_row_key").drop("_row_key")
+    these names, if there are any). Rows are told apart by a number of their own, so other
+    columns may have any name and type."""
+    rows = numbered_rows(Staging(docs.sparkSession, "shard-documents"), docs.drop("shard", "slot"))
+    doc, names = F.col("doc"), [f"dim{i}" for i in range(len(dims))]
+    parts = rows.select("row", doc[id_col].alias("doc_id"), doc[text_col].alias("text"),
+                        *(doc[d].alias(n) for d, n in zip(dims, names)))
+    placed = kd_shards(parts, names, target_bytes, shards, key_col="row")
+    return (rows.join(placed.select(F.col("row_key").alias("row"), "shard", "slot"), "row")
+            .select("doc.*", "shard", "slot"))

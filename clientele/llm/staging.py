@@ -9,6 +9,8 @@ and gives later jobs the very same rows.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +18,29 @@ from pyspark.sql import functions as F
 from clientele.session import ensure_checkpoint_dir
 
 
+_scopes: list[list[Staging]] = []
+
+
+@contextmanager
+def dropped_after() -> Iterator[None]:
+    """Delete at its end, also after an error, all folders that were staged inside it. What was
+    computed from them must be written by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for stage in _scopes.pop():
+            delete_path(stage.spark, stage.path)
+
+
 class Staging:
     """One folder of staged tables: ``put`` writes and rereads, ``drop`` deletes."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        if _scopes:
+            _scopes[-1].append(self)
 
     def put(self, df: DataFrame, name: str, mode: str = "errorifexists") -> DataFrame:
         df.write.mode(mode).option("compression", "zstd").parquet(f"{self.path}/{name}")
@@ -45,6 +64,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered_rows(stage: Staging, docs: DataFrame) -> DataFrame:
+    """``docs`` staged as (row, doc): a number that only this row has, and all its columns in one
+    struct. So equal rows and rows without id stay apart, no two rows can be taken for each
+    other, and no column's name or type can get in the way. ``select("doc.*")`` undoes it."""
+    return stage.put(docs.select(F.monotonically_increasing_id().alias("row"),
+                                 F.struct("*").alias("doc")), "numbered-rows")
+
+
 def row_key(id_col: str, text_col: str) -> Column:
-    """A hash of id and text, by which rows are found again where ids are null or repeat."""
+    """A 64-bit hash of id and text: an order that reruns repeat, not an identity."""
     return F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))

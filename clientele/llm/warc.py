@@ -212,13 +212,16 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
 
     known = keys.agg(F.sum("n").alias("n"), F.min("place").alias("lo"), F.max("place").alias("hi")).first()
     total, lowest = known.n or 0, known.lo or 0
+    bits = key_bits((known.hi or 0) - lowest)
+    if bits > 60:  # a difference of extreme ids could leave 64 bits: the ids as they are
+        bits, lowest = 72, 0
     shards = max(-(-total // shard_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
     goals = spark.range(1, shards).select(
         F.lit(0).alias("g"), F.col("id").cast("int").alias("target"),
         (F.col("id") * F.lit(total / shards)).alias("goal"))
     placed = keys.select(F.lit(0).alias("g"), (F.col("place") - F.lit(lowest)).alias("key"),
                          F.col("n").alias("w"))
-    cuts = crossing_keys(stage, "cut", placed, goals, key_bits((known.hi or 0) - lowest))
+    cuts = crossing_keys(stage, "cut", placed, goals, bits)
     borders = np.array(sorted(r.cut + lowest for r in cuts.select("cut").distinct().collect()),
                        dtype=np.int64)
 
@@ -232,7 +235,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     content = rows.select("page_id", "place", "digest", F.lit(None).cast("long").alias("refers_to"),
                           "url", "payload", F.lit(1).alias("kind"))
     dealt = (told.unionByName(content).withColumn("shard", shard_of("place"))
-             .repartition(shards, "shard")
+             .repartitionById(shards, F.col("shard").cast("int"))
              .sortWithinPartitions("shard", "place", "digest", "kind", "url"))
     store, folder = open_store(path)
     store.create_dir(f"{folder}/records", recursive=True)

@@ -40,6 +40,16 @@ def frame(spark, rows, clashing: bool = False):
     return df
 
 
+def with_odd_columns(df):
+    """``df`` with columns of types that cannot be hashed or compared, and of names the
+    operators use inside themselves."""
+    return df.select(
+        "*", F.create_map(F.lit("a"), F.col("doc_id")).alias("tags"),
+        F.array(F.create_map(F.lit(1), F.lit(2))).alias("many"), F.lit("x").alias("_row_key"),
+        F.lit("y").alias("row"), F.lit("z").alias("doc"), F.lit("c").alias("copies"),
+        F.lit("o").alias("own_key"), F.lit("d").alias("dim0"), F.lit("k").alias("k"))
+
+
 def shingles(text: str | None, size: int = 5) -> set:
     w = (text or "").encode().lower().split()
     if not w:

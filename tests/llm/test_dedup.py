@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_fixtures import frame, sentence, shingles
+from llm_fixtures import frame, sentence, shingles, with_odd_columns
 
 from clientele.llm.components import connected_components
 from clientele.llm.exact_dedup import ContentTable, exact_dedup, grace_aggregate
@@ -139,6 +139,23 @@ def test_keep_first_keeps_groups_whose_ids_are_null_or_repeat(spark):
         *first, (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5]), (None, "")]))
 
 
+def test_keep_first_keeps_every_text_without_words(spark):
+    rows = [(None, None, "en", "a", None), (None, "", "de", "b", 0), (None, "", "de", "b", 0),
+            (None, " \n", "en", "a", 2), (4, "", "en", "a", 0), (4, "", "en", "a", 0), (5, "x y", "en", "a", 3)]
+    found = keep_first(frame(spark, rows)).collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, rows))
+
+
+def test_keep_first_whatever_the_other_columns(spark, rows):
+    docs = frame(spark, rows)
+    odd = keep_first(with_odd_columns(docs))
+    assert odd.columns == with_odd_columns(docs).columns
+    assert sorted(map(str, odd.select(docs.columns).collect())) == sorted(
+        map(str, keep_first(docs).collect()))
+    assert {(r._row_key, r.row, r.doc) for r in odd.collect()} == {("x", "y", "z")}
+    assert all(r.tags == {"a": r.doc_id} for r in odd.collect())
+
+
 def test_near_duplicates_empty(no_docs):
     assert near_duplicates(no_docs).count() == 0
 

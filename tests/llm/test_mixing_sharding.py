@@ -4,12 +4,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
-from llm_fixtures import frame, sentence
+from llm_fixtures import frame, sentence, with_odd_columns
+from pyspark.sql import functions as F
 
+from clientele.llm import mixing
 from clientele.llm.mixing import mix_sources, source_targets, take_mix
 from clientele.llm.selection import crossing_keys
-from clientele.llm.sharding import kd_shards, shard_documents
-from clientele.llm.staging import Staging
+from clientele.llm.sharding import TIE_BITS, kd_shards, shard_documents
+from clientele.llm.staging import Staging, dropped_after, row_key
 
 
 def n_words(text):
@@ -164,3 +166,99 @@ def test_shards_by_target_bytes_and_empty(spark, no_docs):
     found = kd_shards(frame(spark, rows), target_bytes=800).collect()
     assert Counter(Counter(r.shard for r in found).values()) == {8: 8}
     assert kd_shards(no_docs, shards=8).count() == 0
+
+
+def brute_tree(rows, leaves):
+    """rows: (name, size, tie, values); name -> leaf, splitting one node after the other."""
+    wide = [max(1, max(r[3][d] for r in rows) - min(r[3][d] for r in rows)) for d in range(len(rows[0][3]))]
+    out, nodes = {}, [(0, leaves, rows)]
+    while nodes:
+        first, k, own = nodes.pop()
+        if k == 1 or not own:
+            out |= {r[0]: first for r in own}
+            continue
+        spread = [(max(r[3][d] for r in own) - min(r[3][d] for r in own)) / w for d, w in enumerate(wide)]
+        d = spread.index(max(spread))
+        own = sorted(own, key=lambda r: (r[3][d], r[2]))
+        goal, before, at = sum(r[1] for r in own) * (k // 2) / k, 0, 0
+        while before + own[at][1] <= goal:
+            before, at = before + own[at][1], at + 1
+        at += before + own[at][1] - goal < goal - before
+        nodes += [(first, k // 2, own[:at]), (first + k // 2, k - k // 2, own[at:])]
+    return out
+
+
+@pytest.mark.parametrize("leaves", [1, 5, 8])
+def test_tree_equals_brute_force(spark, leaves):
+    rng = random.Random(leaves)
+    rows = [(i, sentence(rng, rng.randint(0, 60)), rng.choice(["en", "de", None]),
+             "hot" if i % 3 == 0 else rng.choice(["a", "É", "z"]), rng.choice([None, -5, 0, 7, rng.randint(-99, 999)]))
+            for i in range(300)]
+    docs = frame(spark, rows).withColumn("ratio", F.col("doc_id") % 7 / 10)
+    ties = {r.doc_id: r.tie for r in docs.select("doc_id", row_key("doc_id", "text").bitwiseAND(
+        F.lit((1 << TIE_BITS) - 1)).alias("tie")).collect()}
+
+    def ranks(values):
+        order = {v: i for i, v in enumerate(sorted(set(values) - {None}), 1)}
+        return [order.get(v, 0) for v in values]
+    least = min(r[4] for r in rows if r[4] is not None)
+    dims = zip(ranks([r[2] for r in rows]), ranks([r[3] for r in rows]),
+               [0 if r[4] is None else r[4] - least + 1 for r in rows], ranks([r[0] % 7 / 10 for r in rows]))
+    want = brute_tree([(r[0], len(r[1].encode()) + 1, ties[r[0]], v) for r, v in zip(rows, dims)], leaves)
+    found = kd_shards(docs, ("lang", "source", "n_chars", "ratio"), shards=leaves).collect()
+    assert {r.doc_id: r.shard for r in found} == want
+
+
+def test_fractions_and_extreme_numbers_split(spark):
+    rows = [(i, "x" * 9, "en", "s", (-(1 << 63), 0, (1 << 63) - 1, None)[i % 4]) for i in range(80)]
+    found = {r.doc_id: r.shard for r in kd_shards(frame(spark, rows), ("n_chars",), shards=4).collect()}
+    for value, shard in ((3, 0), (0, 1), (1, 2), (2, 3)):   # null first
+        assert {s for i, s in found.items() if i % 4 == value} == {shard}
+    part = frame(spark, rows).withColumn("part", F.col("doc_id") % 2 / 4)
+    found = {r.doc_id: r.shard for r in kd_shards(part, ("part",), shards=2).collect()}
+    assert all(s == i % 2 for i, s in found.items())
+
+
+def test_leaves_are_near_the_target(spark):
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, rng.randint(1, 40)), "en", "hot" if i % 3 else rng.choice("abc"), rng.randint(0, 99))
+            for i in range(900)]
+    sizes = Counter()
+    for r in kd_shards(frame(spark, rows), target_bytes=6000).collect():
+        sizes[r.shard] += r.size
+    assert len(sizes) == -(-sum(sizes.values()) // 6000)
+    longest = max(len(r[1]) + 1 for r in rows)
+    assert all(abs(n - 6000) < 3 * longest + 6000 / len(sizes) for n in sizes.values())
+
+
+def test_mix_and_shards_whatever_the_other_columns(spark, docs, rows):
+    docs = frame(spark, rows)
+    odd = with_odd_columns(docs)
+    mixed, plain = take_mix(odd), take_mix(docs)
+    assert mixed.columns == odd.columns
+    assert Counter(map(str, mixed.select(docs.columns).collect())) == Counter(map(str, plain.collect()))
+    placed = shard_documents(odd, shards=3)
+    assert placed.columns == [*odd.columns, "shard", "slot"]
+    got = placed.collect()
+    assert Counter(str(tuple(r[c] for c in docs.columns)) for r in got) == Counter(map(str, map(tuple, rows)))
+    assert len({(r.shard, r.slot) for r in got}) == len(rows)
+    assert {(r._row_key, r.doc, r.copies) for r in got} == {("x", "z", "c")}
+
+
+def test_mix_tells_of_sources_that_do_not_converge(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    with pytest.warns(UserWarning, match="did not meet their target within 1 "):
+        mix_sources(frame(spark, corpus()))
+
+
+def test_staged_tables_go_also_after_an_error(spark):
+    import os
+
+    kept = Staging(spark, "test-kept")
+    kept.put(spark.range(3), "t")
+    with pytest.raises(KeyError), dropped_after():
+        gone = Staging(spark, "test-gone")
+        gone.put(spark.range(3), "t")
+        raise KeyError
+    exists = lambda s: os.path.exists(s.path.removeprefix("file:"))
+    assert exists(kept) and not exists(gone)

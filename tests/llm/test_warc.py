@@ -76,6 +76,18 @@ def test_records_are_range_sorted(spark):
     assert ids == sorted(ids)
 
 
+def test_extreme_and_null_ids(spark):
+    ids = [-(1 << 63), (1 << 63) - 1, None, 0, -(1 << 62) - 5, None]
+    same = "<p>" + "x" * 200
+    rows = [(i, f"http://e.example/{n}", same if n % 2 else f"{same}{n}") for n, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = Staging(spark, "warc-e").path
+    write_warc(df, path, roll_bytes=300)
+    back = read_warc(spark, path).collect()
+    assert sorted(map(str, (r.page_id for r in back))) == sorted(map(str, ids))
+    assert [r.page_id for r in back if r.record_type == "response" and r.payload_bytes == len(same)] == [0]
+
+
 def test_empty(spark):
     path = Staging(spark, "warc-d").path
     assert write_warc(spark.createDataFrame([], PAGES), path).count() == 0
