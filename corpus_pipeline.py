@@ -13,9 +13,9 @@ from clientele.llm.minhash_dedup import keep_first
 from clientele.llm.mixing import take_mix
 from clientele.llm.quality import filter_quality, fit_quality
 from clientele.llm.sharding import shard_documents
-from clientele.llm.staging import Staging, read_table
+from clientele.llm.staging import Staging, dropped_after, read_table
 
-SHARDS = 8
+TARGET_BYTES = 128 << 20
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +39,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents of the mix with shard and slot."""
-    return shard_documents(docs, shards=SHARDS)
+    """All documents of the mix with shard and slot; shards of about TARGET_BYTES of text."""
+    return shard_documents(docs, target_bytes=TARGET_BYTES)
 
 
 STAGES = [
@@ -57,7 +57,10 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = Staging(spark, "pipeline")
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), []
     for name, step in STAGES:
-        docs = stage.put(step(spark, docs, sf_dir), name)
+        with dropped_after():
+            docs = stage.put(step(spark, docs, sf_dir), name)
+        stage.drop(*before)
+        before = [name]
     return docs
