@@ -18,7 +18,7 @@ from clientele.operators.clv import clv
 from clientele.operators.customer_view import customer_extract, customer_single_view
 from clientele.operators.rfm import rfm
 from clientele.session import cut_lineage
-from clientele.sources.sinks import read_table, write_table
+from clientele.sources.sinks import new_version, publish_version, read_table, write_table
 from clientele.sources.testdata import Star
 
 # Export column list of the results table. CohortYearMonth is listed by the
@@ -88,3 +88,13 @@ def run_pipeline(star: Star, as_of: _dt.date, out_dir: str | None = None,
         for name, df in outputs.items():
             write_table(df, path(name))
     return {"scored_customers": scored, "cohort_base": base, "segment_summary": seg} | outputs
+
+
+def publish_results(star: Star, as_of: _dt.date, folder: str, **options) -> str:
+    """Write all output tables as a new version below ``folder`` and switch to it when the last one
+    is written; returns the version (``sources.sinks.read_version`` reads it)."""
+    spark = star.customer.sparkSession
+    version = new_version(spark, folder)
+    run_pipeline(star, as_of, f"{folder.rstrip('/')}/{version}", **options)
+    publish_version(spark, folder, version)
+    return version
