@@ -20,7 +20,8 @@ Dimensions: whole numbers as they are (by rank if they span 2^62 or more), all e
 code point order, fractions, dates) by the dense rank of the distinct values; nulls before
 everything. Defined results. Null text: size 1, checksum of the empty text.
 Null ids and repeated rows: each row gets its own slot. Empty table: empty result. Extra
-columns: ignored. Fewer rows than leaves: some leaves stay empty.
+columns: ignored. Fewer rows than leaves, or
+a row larger than a leaf: some leaves stay empty.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-TARGET = 20_000
+TARGET = 60_000  # above the largest document
 
 
 @pytest.fixture(scope="module")
