@@ -9,7 +9,7 @@ from clientele.operators.cohort import (cohort_active_rate, cohort_base, cohort_
                                         retention_wide, to_wide)
 from clientele.operators.customer_view import customer_extract, customer_single_view
 from clientele.operators.ingest import (classify_facts, customer_rows, ingest_transform,
-                                        load_facts, product_rows, read_transactions, region_rows,
+                                        load_facts, product_rows, read_feed, read_transactions, region_rows,
                                         rejects, upsert_dim)
 from clientele.operators.ranking import global_row_number, top_k
 from clientele.operators.reports import (chart_revenue_tree, chart_rm_grid, chart_segment_clv,

@@ -10,6 +10,11 @@ any row that fails; here the whole feed is one job:
 3. ``load_facts``: surrogate-key lookups as joins, the region key is the smallest
    region key, and every row either becomes a fact or a reject with its reason.
 
+Lines with too few or too many fields, or with text behind a closing quote, cannot be read by
+name: a missing field shifts all after it. ``read_feed`` keeps such a line whole, beside the
+file it stands in, and reads none of its fields; it becomes a reject (``bad_line``), and no
+dimension takes a key from it. A blank line is no line.
+
 Dimensions are idempotent (re-running a feed adds nothing); facts are not (the source
 has no duplicate guard, and neither does this).
 """
@@ -40,6 +45,20 @@ FIRST_SALES_ID = 1000001
 DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy", "dd-MM-yyyy")
 
 RAW_COLUMNS = [f.name for f in RAW_TRANSACTIONS.fields]
+BAD_LINE, SOURCE_FILE = "BadLine", "SourceFile"
+_CORRUPT = "_corrupt_line"
+
+
+def _header(spark: SparkSession, path: str) -> list[str]:
+    names = spark.read.option("header", True).csv(path).columns
+    missing = [c for c in RAW_COLUMNS if c not in names]
+    if names and missing:
+        raise ValueError(f"transaction file lacks columns {missing}")
+    return names
+
+
+def _text_schema(names: Sequence[str]) -> StructType:
+    return StructType([StructField(n, StringType()) for n in names])
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
@@ -48,20 +67,42 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
 
     The names come from one header; the schema made of them is explicit and every file's
     own header is held against it (``enforceSchema`` off), so a file with another column
-    order fails instead of being read by position.
+    order fails instead of being read by position. Lines of another length are padded or cut;
+    ``read_feed`` keeps them apart.
     """
-    names = spark.read.option("header", True).csv(path).columns
+    names = _header(spark, path)
     if not names:
         return spark.createDataFrame([], RAW_TRANSACTIONS)
-    missing = [c for c in RAW_COLUMNS if c not in names]
-    if missing:
-        raise ValueError(f"transaction file lacks columns {missing}")
-    schema = StructType([StructField(n, StringType()) for n in names])
-    raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-           .option("mode", "PERMISSIVE").csv(path))
+    raw = (spark.read.schema(_text_schema(names)).option("header", True)
+           .option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path))
     return raw.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])
 
 
+def read_feed(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_transactions``, with two columns more: ``BadLine``, the whole text of a line
+    that does not have the header's fields (its other columns are null; null for a sound
+    line), and ``SourceFile``, the file that a row stands in. One scan, no shuffle."""
+    names = _header(spark, path)
+    if not names:
+        return spark.createDataFrame([], _text_schema([*RAW_COLUMNS, BAD_LINE, SOURCE_FILE]))
+    raw = (spark.read.schema(_text_schema([*names, _CORRUPT])).option("header", True)
+           .option("enforceSchema", False).option("mode", "PERMISSIVE")
+           # fields are counted against the whole header, also where not all of them are read
+           .option("columnPruning", False)
+           .option("columnNameOfCorruptRecord", _CORRUPT).csv(path))
+    sound = F.col(_CORRUPT).isNull()
+    return raw.select(*[F.when(sound, F.col(f"`{c}`")).alias(c) for c in RAW_COLUMNS],
+                      F.col(_CORRUPT).alias(BAD_LINE),
+                      F.col("_metadata.file_path").alias(SOURCE_FILE))
+
+
+def with_origin(tx: DataFrame) -> DataFrame:
+    """``BadLine`` and ``SourceFile`` on every feed, null where it was not read as lines, so
+    that rejects of all loads have the same columns."""
+    return tx.withColumns({c: F.lit(None).cast("string") for c in (BAD_LINE, SOURCE_FILE)
+                           if c not in tx.columns})
+
+
 def parse_timestamp(text) -> F.Column:
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in DATE_FORMATS])
 
@@ -86,6 +127,7 @@ def ingest_transform(raw: DataFrame) -> DataFrame:
         F.concat(F.lower(customer_id), F.lit(EMAIL_DOMAIN)).alias("Email"),
         F.lit(UNKNOWN_REGION[1]).alias("Region"),
         (quantity * unit_price).alias("SalesAmount"),
+        *[c for c in (BAD_LINE, SOURCE_FILE) if c in raw.columns],
     )
 
 
@@ -133,7 +175,8 @@ def customer_rows(existing_customers: DataFrame, tx: DataFrame, as_of: _dt.date)
 
 
 def _reject_reason() -> F.Column:
-    return (F.when(F.col("OrderDate").isNull(), F.lit("bad_date"))
+    return (F.when(F.col(BAD_LINE).isNotNull(), F.lit("bad_line"))
+             .when(F.col("OrderDate").isNull(), F.lit("bad_date"))
              .when(F.col("Quantity").isNull(), F.lit("bad_quantity"))
              .when(F.col("UnitPrice").isNull(), F.lit("bad_price"))
              .when(F.col("NetSalesAmount").isNull(), F.lit("bad_amount"))
@@ -148,7 +191,7 @@ def classify_facts(tx: DataFrame, customers: DataFrame, products: DataFrame, reg
                    calendar: DataFrame) -> DataFrame:
     """Every feed row with its keys and ``RejectReason`` (NULL for a loadable row)."""
     region_key = regions.select(F.min("RegionKey")).scalar()
-    x = (tx.join(customers.select("CustomerID", "CustomerKey"), "CustomerID", "left")
+    x = (with_origin(tx).join(customers.select("CustomerID", "CustomerKey"), "CustomerID", "left")
            .join(products.select("ProductID", "ProductKey"), "ProductID", "left")
            .withColumn("RegionKey", region_key)
            .withColumn("DateKey", date_key("OrderDate")))

@@ -83,7 +83,7 @@ def warehouse_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame
 
 def load_feed(raw: DataFrame, warehouse: str, calendar: DataFrame, as_of: _dt.date,
               batch: str | None = None) -> None:
-    """Load one feed (see ``ingest.read_transactions``) into the tables below ``warehouse``.
+    """Load one feed (see ``ingest.read_feed``) into the tables below ``warehouse``.
 
     ``batch`` names the load, so that it can be run again if it breaks off; without it
     every call is a load of its own.

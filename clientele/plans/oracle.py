@@ -326,8 +326,38 @@ INGEST_FACTS = {
 }
 
 
-def ingest(final: str, facts: bool = False) -> str:
-    return with_ctes(INGEST, *([INGEST_FACTS] if facts else []), final=final)
+def ingest(final: str, *extra: dict[str, str], facts: bool = False) -> str:
+    return with_ctes(INGEST, *([INGEST_FACTS] if facts else []), *extra, final=final)
+
+
+# The feed as one load from CSV, with lines of another number of fields.
+BAD = """
+    SELECT 'L' || tid || ',' || dt || ',' || cid || ',' || cat
+               || CASE kind WHEN 10 THEN ',1,2,3,4' ELSE '' END AS line
+    FROM sound WHERE kind IN (9, 10)"""
+
+
+def classified_by_key(batch: str) -> str:
+    """Reject reasons of one load: every key that is not null is known after it."""
+    return f"""
+        SELECT OrderID, CustomerID, ProductID,
+               CASE WHEN OrderDate IS NULL THEN 'bad_date'
+                    WHEN Quantity IS NULL THEN 'bad_quantity'
+                    WHEN UnitPrice IS NULL THEN 'bad_price'
+                    WHEN NetSalesAmount IS NULL THEN 'bad_amount'
+                    WHEN CustomerID IS NULL THEN 'unknown_customer'
+                    WHEN ProductID IS NULL THEN 'unknown_product'
+                    WHEN CAST(strftime(OrderDate, '%Y%m%d') AS INTEGER) NOT IN (SELECT DateKey FROM cal)
+                         THEN 'date_not_in_calendar'
+                    WHEN Quantity <= 0 THEN 'quantity_not_positive' END AS RejectReason
+        FROM {batch}"""
+
+
+BAD_LINES = """
+    SELECT OrderID, CustomerID, ProductID, RejectReason, CAST(NULL AS VARCHAR) AS BadLine
+    FROM kb WHERE RejectReason IS NOT NULL
+    UNION ALL
+    SELECT NULL, NULL, NULL, 'bad_line', line FROM bad"""
 
 
 CALENDAR = """

@@ -530,6 +530,28 @@ def q_ingest_rejects(spark, sf_dir):
     return rejects.select("OrderID", "CustomerID", "ProductID", "RejectReason")
 
 
+def write_lines(lines: DataFrame, path: str) -> None:
+    """CSV lines (one text column) as they are, with the feed's header, beside what ``path`` holds."""
+    header = ",".join(I.RAW_COLUMNS)
+    (lines.toDF(header).write.mode("append").option("header", True)
+     .option("sep", "\u0001").option("quote", "").csv(path))
+
+
+@register("ingest_bad_lines", O.ingest(O.BAD_LINES, {"bad": O.BAD, "kb": O.classified_by_key("tx")}))
+def q_ingest_bad_lines(spark, sf_dir):
+    """Rejects of the feed loaded from CSV files that also hold lines with too few and too many
+    fields (made of the given order lines): such a line is kept whole, all others as before."""
+    star = load_star(spark, sf_dir)
+    shared = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feeds/{uuid.uuid4().hex}"
+    star.feed().write.option("header", True).csv(shared)
+    write_lines(star.malformed_lines(), shared)
+    folder = f"{shared}-warehouse"
+    load_feed(I.read_feed(spark, shared), folder, cut_lineage(order_calendar(star)), TESTDATA_AS_OF)
+    drop_table(spark, shared)
+    rejects = warehouse_table(spark, folder, REJECTS)
+    return rejects.select("OrderID", "CustomerID", "ProductID", "RejectReason", I.BAD_LINE)
+
+
 @register("dim_date", f"SELECT * REPLACE ({O.day('CalendarDate')}) FROM ({O.CALENDAR})")
 def q_dim_date(spark, sf_dir):
     return report_types(order_calendar(load_star(spark, sf_dir)))

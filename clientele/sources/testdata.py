@@ -199,6 +199,15 @@ class Star:
             spoil("Total Amount", {3: "oops"}),
         )
 
+    def malformed_lines(self) -> DataFrame:
+        """CSV lines made of feed rows by the same rule: of kind 9 with three fields missing,
+        of kind 10 with one field too many."""
+        kind = F.col("`Transaction ID`").cast("long") % DAMAGE_EVERY
+        first = F.concat_ws(",", F.concat(F.lit("L"), F.col("`Transaction ID`")), "Date",
+                            F.col("`Customer ID`"), F.col("`Product Category`"))
+        return self.raw_transactions().where(kind.isin(9, 10)).select(
+            F.when(kind == 9, first).otherwise(F.concat(first, F.lit(",1,2,3,4"))).alias("line"))
+
     def feed(self) -> DataFrame:
         """The whole feed: all sound rows and the damaged copies."""
         return self.raw_transactions().unionByName(self.damaged_transactions())

@@ -153,6 +153,57 @@ def test_load_that_breaks_off_is_rerun(spark, tmp_path, monkeypatch):
         assert tables(broken) == tables(clean)
 
 
+LINES = """Transaction ID,Date,Customer ID,Product Category,Quantity,Price per Unit,Total Amount,Gender
+1,2023-01-05,7,Beauty,2,50,100,F
+2,2023-01-06,70,Beauty,2
+3,2023-01-07,71,Toys,2,50,100,F,surplus
+
+4,2023-01-08,7,"Home, Garden",1,5,5,M
+5
+6,2023-01-09,,,,,,
+"""
+
+
+def test_malformed_lines_are_kept_whole(spark, tmp_path):
+    """Too few or too many fields: nothing of the line is read, the line and its file are kept."""
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    (folder / "a.csv").write_text(LINES)
+    (folder / "b.csv").write_text(LINES.splitlines()[0] + "\n")
+    raw = I.read_feed(spark, str(folder))
+    assert raw.columns == [*I.RAW_COLUMNS, I.BAD_LINE, I.SOURCE_FILE]
+    rows = raw.collect()
+    assert all(r[I.SOURCE_FILE].endswith("/feed/a.csv") for r in rows)
+    bad = {r[I.BAD_LINE]: r for r in rows if r[I.BAD_LINE] is not None}
+    assert set(bad) == {"2,2023-01-06,70,Beauty,2", "3,2023-01-07,71,Toys,2,50,100,F,surplus", "5"}
+    assert all(r[c] is None for r in bad.values() for c in I.RAW_COLUMNS)
+    assert {r["Transaction ID"]: r["Product Category"] for r in rows if r[I.BAD_LINE] is None} == {
+        "1": "Beauty", "4": "Home, Garden", "6": None}
+
+    warehouse = str(tmp_path / "warehouse")
+    load_feed(raw, warehouse, dim_date(spark), dt.date(2024, 1, 1), "lines")
+    # a second batch without lines has the same columns
+    load_feed(I.read_transactions(spark, str(folder / "a.csv")).where("`Transaction ID` = '6'"),
+              warehouse, dim_date(spark), dt.date(2024, 1, 2), "rows")
+    rejects = warehouse_table(spark, warehouse, REJECTS).collect()
+    assert sorted((r.RejectReason, r[I.BAD_LINE]) for r in rejects if r[I.BAD_LINE]) == [
+        ("bad_line", line) for line in sorted(bad)]
+    assert [(r.OrderID, r.RejectReason) for r in rejects if not r[I.BAD_LINE]] == 2 * [
+        ("ORD_6", "bad_quantity")]
+    # no dimension takes a key of a malformed line
+    customers = warehouse_table(spark, warehouse, "dim_customer").collect()
+    assert [r.CustomerID for r in customers] == ["CUST_7"]
+    products = warehouse_table(spark, warehouse, "dim_product").collect()
+    assert sorted(r.ProductID for r in products) == ["PROD_BEAUTY", "PROD_HOME,_GARDEN"]
+    assert warehouse_table(spark, warehouse, FACTS).count() == 2
+
+
+def test_empty_feed_of_lines(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    feed = I.read_feed(spark, str(tmp_path / "empty.csv"))
+    assert feed.count() == 0 and feed.columns == [*I.RAW_COLUMNS, I.BAD_LINE, I.SOURCE_FILE]
+
+
 def test_no_scratch_folder_on_a_cluster():
     assert scratch_folder("local[4]")
     for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
