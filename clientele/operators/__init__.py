@@ -18,5 +18,6 @@ from clientele.operators.reports import (chart_revenue_tree, chart_rm_grid, char
                                          report_rfm_scores, rfm_stats, score_distribution,
                                          segment_share, segment_summary, top_customers)
 from clientele.operators.rfm import rfm, rfm_index, rfm_scores, rfm_segments
+from clientele.operators.versions import keys_at, merge_versions
 
 __all__ = [name for name in dir() if not name.startswith("_")]

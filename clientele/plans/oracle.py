@@ -83,6 +83,46 @@ VIEW = {
 }
 
 
+def _status(n: str) -> str:
+    return f"CASE WHEN {n} < 5 THEN 'New' WHEN {n} < 10 THEN 'Active' ELSE 'Loyal' END"
+
+
+# Two loads of the customer dimension, and the view over lines keyed by version.
+VERSIONS = {
+    "order_counts": """
+        SELECT o_custkey, count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01') AS early,
+               count(*) AS total FROM orders GROUP BY o_custkey""",
+    "known": f"""
+        SELECT c.* EXCLUDE (CustomerKey, IsCurrentRecord), c.CustomerKey AS SourceKey,
+               COALESCE(n.early, 0) AS early, {_status('COALESCE(n.early, 0)')} AS early_status,
+               {_status('COALESCE(n.total, 0)')} AS end_status
+        FROM dim_customer c LEFT JOIN order_counts n ON c.CustomerKey = n.o_custkey""",
+    "load1": """
+        SELECT row_number() OVER (ORDER BY CustomerID) AS CustomerKey, * FROM known WHERE early > 0""",
+    "load2": """
+        SELECT (SELECT COALESCE(max(CustomerKey), 0) FROM load1)
+                 + row_number() OVER (ORDER BY CustomerID) AS CustomerKey, *
+        FROM known WHERE early = 0 OR early_status <> end_status""",
+    "customer_versions": """
+        SELECT * EXCLUDE (early_status, end_status, early), early_status AS LifecycleStatus,
+               DATE '1900-01-01' AS ValidFrom,
+               CASE WHEN early_status <> end_status THEN DATE '1998-01-01' END AS ValidTo,
+               early_status = end_status AS IsCurrentRecord
+        FROM load1
+        UNION ALL BY NAME
+        SELECT * EXCLUDE (early_status, end_status, early), end_status AS LifecycleStatus,
+               DATE '1998-01-01' AS ValidFrom, CAST(NULL AS DATE) AS ValidTo, TRUE AS IsCurrentRecord
+        FROM load2""",
+    "fact_versions": """
+        SELECT f.* EXCLUDE (CustomerKey), v.CustomerKey
+        FROM fact_sales f LEFT JOIN customer_versions v
+             ON f.CustomerKey = v.SourceKey AND v.ValidFrom <= f.TransactionDate
+                AND f.TransactionDate < COALESCE(v.ValidTo, DATE '9999-01-01')""",
+}
+VERSIONED_VIEW = {name: body.replace("fact_sales f", "fact_versions f")
+                  .replace("dim_customer c", "customer_versions c") for name, body in VIEW.items()}
+
+
 def _tile(rank: str, tiles: int = 5) -> str:
     return (f"CASE WHEN n > 1 THEN greatest(1, ({tiles} * ({rank} - 1) + n - 2) // (n - 1)) "
             f"ELSE 1 END")

@@ -7,6 +7,7 @@ with the DuckDB oracle in ``clientele/plans/oracle.py``.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -21,6 +22,7 @@ from clientele.operators import ingest as I
 from clientele.operators.calendar import calendar_for
 from clientele.operators.customer_view import customer_extract, customer_single_view
 from clientele.operators.ranking import global_row_number
+from clientele.operators.versions import keys_at, merge_versions
 from clientele.plans import oracle as O
 from clientele.plans.ingest_job import FACTS, REJECTS, load_feed, warehouse_table
 from clientele.plans.pipeline import RESULT_COLUMNS, scored_customers
@@ -107,6 +109,59 @@ def q_customer_extract(spark, sf_dir):
     return report_types(customer_extract(view(spark, sf_dir)))
 
 
+# two loads of the customer dimension: a customer's status is known from the orders before each
+VERSION_DATES = (dt.date(1900, 1, 1), dt.date(1998, 1, 1))
+VERSION_ATTRIBUTES = ("CustomerName", "Email", "Phone", "RegistrationDate", "LifecycleStatus")
+
+
+def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by lifecycle status (number of orders): those with orders before the second
+    date as known then, and all of them as known at the end."""
+    star = load_star(spark, sf_dir)
+    early = F.col("o_orderdate") < F.lit(str(VERSION_DATES[1])).cast("timestamp_ntz")
+    orders = star.table("orders").groupBy(F.col("o_custkey").alias("_ck")).agg(
+        F.count_if(early).alias("_early"), F.count(F.lit(1)).alias("_all"))
+    known = star.customer.drop("LifecycleStatus").join(orders, F.col("CustomerKey") == F.col("_ck"), "left")
+
+    def feed(count: str) -> DataFrame:
+        n = F.coalesce(F.col(count), F.lit(0))
+        return known.withColumn("LifecycleStatus", F.when(n < 5, F.lit("New"))
+                                .when(n < 10, F.lit("Active")).otherwise(F.lit("Loyal")))
+
+    def load(existing, rows, day):
+        return merge_versions(existing, rows, "CustomerID", "CustomerKey", VERSION_ATTRIBUTES, day)
+    first = load(None, feed("_early").where(F.col("_early") > 0), VERSION_DATES[0])
+    return load(first, feed("_all"), VERSION_DATES[1])
+
+
+def versioned_view(spark: SparkSession, sf_dir: str,
+                   versions: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The versioned dimension, and the view over it with lines keyed by the version in force
+    at their date."""
+    star = load_star(spark, sf_dir)
+    versions = versions or cut_lineage(customer_versions(spark, sf_dir))
+    ids = star.customer.select("CustomerKey", "CustomerID")
+    lines = star.sales().join(ids, "CustomerKey").drop("CustomerKey")
+    lines = keys_at(lines, versions, "CustomerID", "CustomerKey", "TransactionDate")
+    return versions, customer_single_view(versions, lines, star.product, star.region, TESTDATA_AS_OF)
+
+
+@register("customer_versions", O.with_ctes(O.STAR, O.VERSIONS, final=f"""
+    SELECT CustomerKey, CustomerID, LifecycleStatus, {O.day('RegistrationDate')}, {O.day('ValidFrom')},
+           {O.day('ValidTo')}, IsCurrentRecord FROM customer_versions"""))
+def q_customer_versions(spark, sf_dir):
+    return report_types(customer_versions(spark, sf_dir).select(
+        "CustomerKey", "CustomerID", "LifecycleStatus", "RegistrationDate", "ValidFrom", "ValidTo",
+        "IsCurrentRecord"))
+
+
+@register("customer_view_versions", O.with_ctes(O.STAR, O.VERSIONS, O.VERSIONED_VIEW,
+                                                final=f"SELECT {VIEW_COLUMNS} FROM customer_view_banded"))
+def q_customer_view_versions(spark, sf_dir):
+    """The single view over a dimension that does hold closed versions: their lines do not count."""
+    return report_types(versioned_view(spark, sf_dir)[1])
+
+
 # ---------------------------------------------------------------- ranking, RFM, CLV
 
 @register("global_rank", O.with_ctes(O.STAR, O.VIEW, final="""
