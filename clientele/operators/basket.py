@@ -2,9 +2,9 @@
 
 * Items are purchase lines joined to the product; an item is the product *name*.
 * A basket is the set of distinct names of one order (repeated items collapse, as
-  boolean encoding does; MLlib's FP-growth also rejects repeated items).
+  boolean encoding does; the miner rejects repeated items).
 * Frequent itemsets: every itemset with support = count / baskets >= min_support,
-  any length, mined with Spark's distributed FP-growth.
+  any length, mined by pattern growth on projected baskets (tables, weighted rows).
 * Rules: for each frequent itemset, **every** non-empty proper split into antecedent
   and consequent (MLlib's own ``associationRules`` only emits one-item consequents).
   The splits grow level by level in the consequent and stop where the confidence falls short; the
@@ -18,11 +18,10 @@ zhangs_metric = leverage / max(s*(1 - sA), sA*(sC - s)) (0 when that is 0).
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.operators.ranking import top_k
+from clientele.operators.ranking import global_row_number, top_k
 from clientele.session import cut_lineage
 
 # Thresholds of the source analysis.
@@ -57,30 +56,66 @@ def basket_stats(items: DataFrame, item_col: str = "ProductName") -> DataFrame:
 
 def frequent_itemsets(basket_df: DataFrame, min_support: float = MIN_SUPPORT,
                       num_partitions: int | None = None) -> DataFrame:
-    """items (sorted array), Length, Count, support.
-
-    FP-growth keeps ``count >= ceil(min_support * n)``; the source keeps
-    ``count / n >= min_support`` in floating point. FP-growth is run with a hair lower
-    threshold and the source's test is applied to its result, so the two agree exactly.
-
-    The baskets are written once (FP-growth reads its input several times) and so are
-    the itemsets (MLlib hands them back as an uncached RDD, and the rule step uses
-    them three times).
+    """items (sorted array), Length, Count, support, where count / baskets >= min_support.
+
+    Pattern growth on projected baskets, as FP-growth does it, with tables for trees. Frequent
+    items get numbers, baskets shrink to them, and equal baskets become one row with a weight.
+    A row of a level is a frequent itemset (``prefix``), the items after it in a basket that
+    can extend it (``rest``), and the weight of all baskets with this rest. Each level counts
+    the items of the rests per prefix, drops the infrequent ones from the rests, extends the
+    prefixes and merges rows that became equal. No task holds a tree; what is counted and merged is
+    combined map-side and can spill.
     """
-    basket_df = cut_lineage(basket_df.select("items"))
-    n = basket_df.count()
+    basket_df = cut_lineage(basket_df.select(F.monotonically_increasing_id().alias("basket"), "items"))
+    n, repeated = basket_df.agg(F.count(F.lit(1)), F.coalesce(F.bool_or(
+        F.size("items") > F.size(F.array_distinct("items"))), F.lit(False))).first()
+    if repeated:
+        raise ValueError("items of a basket must be unique")
     if n == 0:
         return basket_df.sparkSession.createDataFrame(
             [], "items array<string>, Length int, Count long, support double")
-    fp = FPGrowth(itemsCol="items", minSupport=min_support * (1 - 1e-9), minConfidence=1.0)
+    support = F.col("Count").cast("double") / F.lit(float(n))
+    enough = support >= F.lit(min_support)
+    single = basket_df.select("basket", F.explode("items").alias("item"))
+    # rare items first: they have the longest rests, and few baskets
+    items = cut_lineage(global_row_number(
+        single.groupBy("item").agg(F.count(F.lit(1)).alias("Count")).where(enough),
+        [F.col("Count").asc(), F.col("item").asc()], rank_col="code"))
+    coded = single.join(items.select("item", "code"), "item").groupBy("basket").agg(
+        F.sort_array(F.collect_list("code")).alias("rest"))
     if num_partitions:
-        fp = fp.setNumPartitions(num_partitions)
-    found = fp.fit(basket_df).freqItemsets
-    out = found.select(F.sort_array("items").alias("items"), F.size("items").alias("Length"),
-                       F.col("freq").alias("Count"),
-                       (F.col("freq").cast("double") / F.lit(float(n))).alias("support"))
-    out = out.where(F.col("support") >= F.lit(min_support))
-    return cut_lineage(out)
+        coded = coded.repartition(num_partitions)
+    weighted = coded.where(F.size("rest") > 1).groupBy("rest").agg(F.count(F.lit(1)).alias("weight"))
+    rows = _extended(weighted.withColumn("prefix", F.array().cast("array<bigint>")))
+    levels = [items.select(F.array("code").alias("codes"), "Count")]
+    while True:
+        counted = cut_lineage(
+            rows.select("prefix", F.explode("rest").alias("item"), "weight")
+            .groupBy("prefix", "item").agg(F.sum("weight").alias("Count")).where(enough))
+        if counted.isEmpty():
+            break
+        levels.append(counted.select(F.concat("prefix", F.array("item")).alias("codes"), "Count"))
+        extending = counted.groupBy("prefix").agg(F.collect_list("item").alias("_frequent"))
+        rows = _extended(rows.join(extending, "prefix").withColumn(
+            "rest", F.array_intersect("rest", "_frequent")))
+    found = levels[0]
+    for level in levels[1:]:
+        found = found.unionByName(level)
+    named = (found.select("codes", "Count", F.explode("codes").alias("code"))
+             .join(items.select("code", "item"), "code").groupBy("codes", "Count")
+             .agg(F.sort_array(F.collect_list("item")).alias("items")))
+    return cut_lineage(named.select("items", F.size("items").alias("Length"), "Count",
+                                    support.alias("support")))
+
+
+def _extended(rows: DataFrame) -> DataFrame:
+    """Every prefix extended by every item of its rest that has items after it."""
+    grown = rows.where(F.size("rest") > 1).select(
+        "prefix", "rest", "weight", F.explode(F.sequence(F.lit(1), F.size("rest") - 1)).alias("at"))
+    return cut_lineage(
+        grown.select(F.concat("prefix", F.array(F.element_at("rest", F.col("at")))).alias("prefix"),
+                     F.slice("rest", F.col("at") + 1, F.size("rest")).alias("rest"), "weight")
+        .groupBy("prefix", "rest").agg(F.sum("weight").alias("weight")))
 
 
 def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:

@@ -78,3 +78,37 @@ def test_long_itemset_needs_no_mask(spark):
 def test_no_rules(spark):
     sets = spark.createDataFrame([(["a"], 1, 0.5)], "items array<string>, Length int, support double")
     assert B.association_rules(sets, 0.1).count() == 0
+
+
+def test_long_itemsets_match_fp_growth(spark):
+    """Itemsets of up to six items, equal baskets, rare items, and baskets without any frequent one."""
+    from pyspark.ml.fpm import FPGrowth
+
+    rows = [([x for x in "abcdefgh" if (i * 7919 + ord(x) * 31) % (ord(x) - 93) < 3]
+             + (["rare%d" % i] if i % 9 == 0 else []),) for i in range(200)] + [([],), (["only"],)]
+    df = spark.createDataFrame(rows, "items array<string>")
+    got = {tuple(r["items"]): (r.Length, r.Count, r.support) for r in B.frequent_itemsets(df, 0.05).collect()}
+    model = FPGrowth(itemsCol="items", minSupport=0.05, minConfidence=1.0).fit(df)
+    want = {tuple(sorted(r["items"])): (len(r["items"]), r.freq, r.freq / 202)
+            for r in model.freqItemsets.collect()}
+    assert got == want and max(map(len, got)) >= 5
+    assert not any("rare" in x for k in got for x in k)
+
+
+def test_equal_baskets_are_mined_as_one_row(spark, monkeypatch):
+    """The miner's rows do not grow with the number of equal baskets."""
+    seen, real = [], B.cut_lineage
+
+    def counted(df):
+        out = real(df)
+        seen.append((out.columns, out.count()))
+        return out
+    monkeypatch.setattr(B, "cut_lineage", counted)
+    df = spark.createDataFrame([(list("abc"),), (list("abd"),)] * 50, "items array<string>")
+    assert B.frequent_itemsets(df, 0.4).count() == 4 + 5 + 2
+    assert max(n for columns, n in seen if "weight" in columns) <= 5
+
+
+def test_repeated_items_are_refused(spark):
+    with pytest.raises(ValueError, match="unique"):
+        B.frequent_itemsets(spark.createDataFrame([(["a", "a"],)], "items array<string>"), 0.1)
