@@ -209,3 +209,58 @@ def test_no_scratch_folder_on_a_cluster():
     for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             scratch_folder(master)
+
+
+def test_staged_load_writes_narrow_rows_once(spark, tmp_path, monkeypatch):
+    """A feed that is a table is not written again; rows meet their keys without derived columns."""
+    (tmp_path / "tx.csv").write_text(CSV)
+    raw = I.read_transactions(spark, str(tmp_path / "tx.csv"))
+    staged, real = [], ingest_job.cut_lineage
+
+    def recorded(df):
+        staged.append(df.columns)
+        return real(df)
+    monkeypatch.setattr(ingest_job, "cut_lineage", recorded)
+    tables = {}
+    for name, more in (("one", {}), ("two", {"staged": True})):
+        load_feed(raw, str(tmp_path / name), dim_date(spark), dt.date(2024, 1, 1), **more)
+        tables[name] = {t: sorted(map(str, warehouse_table(spark, str(tmp_path / name), t).collect()))
+                        for t in (*TABLES, FACTS, REJECTS)}
+    assert tables["one"] == tables["two"]
+    assert len(staged) == 3                    # the feed of the first load, and both loads' keyed rows
+    for columns in staged:
+        assert not {"ProductID", "ProductName", "CustomerName", "Email", "Region", "SalesAmount"} & set(columns)
+    rejects = warehouse_table(spark, str(tmp_path / "two"), REJECTS)
+    assert {(r.OrderID, r.Email, r.ProductName) for r in rejects.collect()} >= {
+        ("ORD_4", "cust_8@example.com", "Home Goods Item")}
+
+
+def test_constant_columns_are_not_sorted(spark, tmp_path, monkeypatch):
+    (tmp_path / "tx.csv").write_text(CSV)
+    seen, real = [], I.global_row_number
+
+    def recorded(df, order, **more):
+        seen.append(set(df.columns))
+        return real(df, order, **more)
+    monkeypatch.setattr(I, "global_row_number", recorded)
+    load_feed(I.read_transactions(spark, str(tmp_path / "tx.csv")), str(tmp_path / "w"), dim_date(spark),
+              dt.date(2024, 1, 1))
+    constant = {"OrderLineNumber", "DiscountAmount", "TaxAmount", "ReturnFlag"}
+    assert "NetSalesAmount" in seen[-1] and not constant & seen[-1]
+    rows = warehouse_table(spark, str(tmp_path / "w"), FACTS).collect()
+    assert {(r.OrderLineNumber, r.DiscountAmount, r.TaxAmount, r.ReturnFlag) for r in rows} == {(1, 0, 0, "N")}
+    assert warehouse_table(spark, str(tmp_path / "w"), FACTS).schema["TaxAmount"].dataType.simpleString() == "decimal(10,2)"
+
+
+def test_feed_joins_the_lines_once(spark):
+    from data_folders import SMALL
+
+    from clientele.sources.testdata import DAMAGE_EVERY, load_star
+    star = load_star(spark, SMALL)
+    feed = star.feed()
+    plan = feed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2             # orders and parts
+    copies = feed.where("`Transaction ID` LIKE 'D%'")
+    lines = star.raw_transactions().where(F.col("`Transaction ID`").cast("long") % DAMAGE_EVERY <= 8)
+    assert copies.count() == lines.count() > 0
+    assert feed.exceptAll(copies).exceptAll(star.raw_transactions()).count() == 0
