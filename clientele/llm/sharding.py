@@ -95,6 +95,7 @@ def kd_shards(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars
     # a node is named by its first leaf; k is the number of leaves below it
     rows = rows.withColumn("node", F.lit(0)).withColumn("k", F.lit(shards))
     value = F.element_at(F.array(*names), F.col("dim"))
+    held = ["rows", "ranked"]  # staged tables of all rows; the next one takes their place
     for level in range((shards - 1).bit_length()):
         stats = rows.where("k > 1").groupBy("node", "k").agg(
             F.sum("size").alias("bytes"),
@@ -133,11 +134,14 @@ def kd_shards(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars
             F.when(done, F.col("k")).when(right, F.col("k") - F.col("half"))
             .otherwise(F.col("half")).alias("k"))
         rows = stage.put(rows, f"level-{level}")
+        stage.drop(*held)
+        held = [f"level-{level}"]
 
     placed = rows.select("row_id", "key_of_row", "size", "crc", F.col("node").alias("shard"),
                          F.spark_partition_id().alias("part"),
                          F.monotonically_increasing_id().alias("at"))
     placed = stage.put(placed, "placed")
+    stage.drop(*held)
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     counts = placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))

@@ -262,3 +262,17 @@ def test_staged_tables_go_also_after_an_error(spark):
         raise KeyError
     exists = lambda s: os.path.exists(s.path.removeprefix("file:"))
     assert exists(kept) and not exists(gone)
+
+
+def test_shards_keep_no_table_of_an_earlier_level(spark):
+    """Of the staged tables with a row per document, only the last is left when the tree is done."""
+    from pathlib import Path
+
+    docs = spark.createDataFrame([(i, "t" * (i % 50), f"s{i % 3}", "en", i % 50) for i in range(400)],
+                                 "doc_id long, text string, source string, lang string, n_chars long")
+    placed = kd_shards(docs, shards=8)
+    assert sorted(r.slot for r in placed.where("shard = 0").collect()) == list(range(placed.where("shard = 0").count()))
+    assert placed.count() == 400
+    folder = Path(placed.inputFiles()[0].removeprefix("file://")).parent.parent
+    tables = [t for t in folder.iterdir() if spark.read.parquet(str(t)).count() == 400]
+    assert [t.name for t in tables] == ["placed"]
