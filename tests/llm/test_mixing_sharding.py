@@ -1,5 +1,6 @@
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ from clientele.llm import mixing
 from clientele.llm.mixing import mix_sources, source_targets, take_mix
 from clientele.llm.selection import crossing_keys
 from clientele.llm.sharding import TIE_BITS, kd_shards, shard_documents
-from clientele.llm.staging import Staging, dropped_after, row_key
+from clientele.llm.staging import CLEANUP, Staging, dropped_after, row_key
 
 
 def n_words(text):
@@ -276,3 +277,21 @@ def test_shards_keep_no_table_of_an_earlier_level(spark):
     folder = Path(placed.inputFiles()[0].removeprefix("file://")).parent.parent
     tables = [t for t in folder.iterdir() if spark.read.parquet(str(t)).count() == 400]
     assert [t.name for t in tables] == ["placed"]
+
+
+def test_shuffles_behind_a_staged_table_go(spark):
+    """Their files would add up over the tables of a job."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {n for n in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in n}
+    before, setting = shuffles(), spark.conf.get(CLEANUP, None)
+    stage = Staging(spark, "cleanup-test")
+    for k in range(2):
+        put = stage.put(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count(), f"t{k}")
+        assert sum(r[0] for r in put.select("count").collect()) == 1000
+    deadline = time.time() + 20  # files go in the background
+    while shuffles() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(CLEANUP, None) == setting
