@@ -9,28 +9,33 @@ cut counts. A candidate whose words lie inside a longer candidate that is as fre
 dropped; of the others, the best ``top`` of each language are ranked.
 
 Counting. A suffix pointer is a word position; its key is the words from there to the end
-of the piece or to the first infrequent word, ``MAX_WORDS`` at most.
+of the piece or to the first infrequent pair of words, ``MAX_WORDS`` at most.
 1. Words are counted exactly. A bitmap of fixed size holds the hashes of those that occur
-   ``least`` times; pointers that do not begin with two of them are left out. In a key a word
-   is its 64-bit hash (language included); a check over all words makes sure that no frequent
-   word shares its hash with any other word, else another hash function is taken, so keys
-   stand for words exactly. Equal keys of a block are added up there.
-2. Keys are routed by their leading words: the key order is cut into ranges of about
+   ``least`` times. In a key a word is its 64-bit hash (language included); a check over all
+   words makes sure that no frequent word shares its hash with any other word, else another
+   hash function is taken, so keys stand for words exactly.
+2. Neighbouring frequent words are counted as pairs, by a hash: 4 bytes within one of the
+   ranges that its leading bits name. A bitmap holds the hashes that add up to ``least``.
+   All pairs of a phrase occur as often as the phrase or more, so a key may end where a pair is
+   missing there, and pointers that do not begin with a pair are left out; pairs that share a
+   hash only let more pass. Equal keys of a block are added up there.
+3. Keys are routed by their leading words: the key order is cut into ranges of about
    ``ROUTE_KEYS`` keys, at keys of a sample. The cuts are whole keys, so a word or pair that
    leads a third of all keys takes as many ranges as its keys need. A block sends its keys of one
    range as one packed row.
-3. In a range, multikey three-way quicksort splits the pointers by the word at the current
+4. In a range, multikey three-way quicksort splits the pointers by the word at the current
    depth into less, equal and greater; the weight of an equal part is the count of a
    phrase, and the part goes on one word deeper. Parts that weigh less than ``least`` are
    abandoned, unless they hold the first or last key of the range, where the neighbour may hold
    the rest; what is found is added up by phrase.
 
-Scale. Three reads of the texts, one of them only of the sample. What is shuffled is the
-distinct words, and about 20 compressed bytes for each distinct key of a block; nothing of it is
-staged, and a range is all that a task holds at a time. The sample, 32 keys a range, only
+Scale. Four reads of the texts, one of them only of the sample. What is shuffled, one after the
+other, is the distinct words, about 5 bytes for each distinct pair of a block, and about 20
+compressed bytes for each distinct key of a block; of the last two nothing is staged but the
+frequent ones, and a range is all that a task holds at a time. The sample, 32 keys a range, only
 balances the ranges. The cuts are broadcast: 40 bytes for every ``ROUTE_KEYS`` keys, a few MB
-for a TB of text. When the words outgrow the bitmap more keys pass, and their counts
-decide. Scores are joins on (language, phrase) between candidates, arithmetic is in decimals
+for a TB of text. When words or pairs outgrow their bitmap more keys pass, and their
+counts decide. Scores are joins on (language, phrase) between candidates, arithmetic is in decimals
 of 38 digits. The best of a language are picked per (language, salt) first, so a language with
 all rows is no hot key.
 
@@ -63,6 +68,8 @@ TOP = 2000
 UNKNOWN_LANGUAGE = "und"
 BLOCK_BYTES = 4 << 20
 WORD_BITS = 1 << 26  # 8 MB
+PAIR_BITS = 1 << 27  # 16 MB
+PAIR_ROUTE = 2_000_000  # pairs of a range, repeated ones included
 ROUTE_KEYS = 500_000
 SAMPLED_KEYS = 32  # for every route
 SAMPLED_TEXTS = 8  # the sample comes from one text in so many
@@ -113,9 +120,10 @@ def word_hashes(lang: str, words: list[bytes], seed: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], dtype=np.uint64)
 
 
-def block_keys(lang: str, texts: list[bytes], frequent: np.ndarray, seed: int, depth: int
-               ) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys of a block, one per row in their order, and their weights."""
+def _numbered(lang: str, texts: list[bytes], frequent: np.ndarray, seed: int, depth: int
+              ) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a block as numbers in the order of their hashes, 0 for infrequent ones and
+    between pieces, and the hash of every number."""
     given: defaultdict[bytes, int] = defaultdict()
     given.default_factory = given.__len__
     numbers = array("i")
@@ -133,14 +141,35 @@ def block_keys(lang: str, texts: list[bytes], frequent: np.ndarray, seed: int, d
     rank[order] = np.arange(1, len(order) + 1)
     at = np.zeros(len(numbers) + depth, dtype=np.int64)
     at[:len(numbers)] = rank[np.frombuffer(numbers, dtype=np.int32)]  # -1 is the last rank: 0
-    places = np.flatnonzero((at[:-1] > 0) & (at[1:] > 0))
-    columns = [at[places]]
+    return at, np.append(np.uint64(_END), hashes[order])
+
+
+def _pair_codes(at: np.ndarray, hash_of: np.ndarray, places: np.ndarray, range_bits: int) -> np.ndarray:
+    """Hashes of ``range_bits`` + 32 bits of the pairs that begin at ``places``."""
+    first, second = hash_of[at[places]], hash_of[at[places + 1]]
+    return mix(first * np.uint64(3) + mix(second)) >> np.uint64(32 - range_bits)
+
+
+def _pair_places(at: np.ndarray) -> np.ndarray:
+    return np.flatnonzero((at[:-1] > 0) & (at[1:] > 0))
+
+
+def block_keys(lang: str, texts: list[bytes], frequent: np.ndarray, seed: int, depth: int,
+               pairs: tuple[np.ndarray, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a block, one per row in their order, and their weights. ``pairs``: the
+    bitmap of the frequent pairs and the bits that name a range; without it all pairs pass."""
+    at, hash_of = _numbered(lang, texts, frequent, seed, depth)
+    places = _pair_places(at)
+    if pairs is not None:
+        places = places[in_bitmap(pairs[0], _pair_codes(at, hash_of, places, pairs[1]))]
+    begins = np.zeros(len(at), dtype=bool)
+    begins[places] = True
+    columns = [at[places], at[places + 1]]
     going = np.ones(len(places), dtype=bool)
-    for d in range(1, depth):
-        word = at[places + d]
-        going &= word > 0
-        columns.append(np.where(going, word, 0))
-    if len(order) < 1 << _LOCAL_BITS:  # three numbers in a long
+    for d in range(2, depth):
+        going &= begins[places + d - 1]
+        columns.append(np.where(going, at[places + d], 0))
+    if len(hash_of) <= 1 << _LOCAL_BITS:  # three numbers in a long
         packed = []
         for lo in range(0, depth, 3):
             part = np.zeros(len(places), dtype=np.int64)
@@ -153,21 +182,58 @@ def block_keys(lang: str, texts: list[bytes], frequent: np.ndarray, seed: int, d
     fresh = np.ones(len(places), dtype=bool)
     fresh[1:] = np.any([p[sequence[1:]] != p[sequence[:-1]] for p in packed], axis=0)
     first = np.flatnonzero(fresh)
-    hash_of = np.append(np.uint64(_END), hashes[order])
     keys = np.stack([hash_of[c[sequence[first]]] for c in columns], axis=1)
     return keys, np.diff(np.append(first, len(places)))
 
 
+PACKED_PAIRS = "route long, codes binary, counts binary"
+
+
+def packed_pairs(frequent, seed: int, range_bits: int):
+    """The distinct pairs of a block, one row for every range that they fall into."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, texts in _texts(batches):
+            at, hash_of = _numbered(lang, texts, frequent.value, seed, 2)
+            codes, counts = np.unique(_pair_codes(at, hash_of, _pair_places(at), range_bits), return_counts=True)
+            routes, first = np.unique(codes >> np.uint64(32), return_index=True)
+            slices = [slice(*x) for x in zip(first, [*first[1:], len(codes)])]
+            low, counts = codes.astype(np.uint32), counts.astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(routes.astype(np.int64)), pa.array([low[x].tobytes() for x in slices], pa.binary()),
+                 pa.array([counts[x].tobytes() for x in slices], pa.binary())], names=["route", "codes", "counts"])
+    return run
+
+
+def count_pairs(least: int):
+    """Hash and count of the pairs of a range that add up to ``least``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for route, parts in _routes(batches, "codes", "counts"):
+            codes = np.concatenate([np.frombuffer(c, dtype=np.uint32) for c, _ in parts])
+            counts = np.concatenate([np.frombuffer(n, dtype=np.int32) for _, n in parts])
+            order = np.argsort(codes)
+            codes = codes[order]
+            first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+            sums = np.add.reduceat(counts[order].astype(np.int64), first)
+            kept = sums >= least
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(codes[first[kept]].astype(np.int64) | route << 32), pa.array(sums[kept])], names=["h", "f"])
+    return run
+
+
 def in_order(keys: np.ndarray) -> np.ndarray:
     """Keys as byte strings that compare as the keys do."""
     return np.ascontiguousarray(keys.astype(">u8")).view(f"S{8 * keys.shape[1]}").ravel()
 
 
-def sample_keys(frequent, seed: int, depth: int, one_in: int):
+def _given(pairs) -> tuple[np.ndarray, int]:
+    return pairs[0].value, pairs[1]
+
+
+def sample_keys(frequent, pairs, seed: int, depth: int, one_in: int):
     """Every ``one_in``-th key or so, by its hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, texts in _texts(batches):
-            keys, _ = block_keys(lang, texts, frequent.value, seed, depth)
+            keys, _ = block_keys(lang, texts, frequent.value, seed, depth, _given(pairs))
             mixed = mix((keys * (np.arange(depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1))).sum(axis=1))
             keys = keys[mixed % np.uint64(one_in) == 0]
             yield pa.RecordBatch.from_arrays([pa.array(in_order(keys).tolist(), pa.binary())], names=["key"])
@@ -191,11 +257,11 @@ def _decoded(words: bytes, places: bytes, depth: int) -> np.ndarray:
     return distinct[np.frombuffer(places, dtype=size).reshape(depth, -1).T]
 
 
-def packed_keys(frequent, cuts, seed: int, depth: int):
+def packed_keys(frequent, pairs, cuts, seed: int, depth: int):
     """The distinct keys of a block, one row for every route that they fall into."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, texts in _texts(batches):
-            keys, weights = block_keys(lang, texts, frequent.value, seed, depth)
+            keys, weights = block_keys(lang, texts, frequent.value, seed, depth, _given(pairs))
             if not len(keys):
                 continue
             borders = np.concatenate([[0], np.searchsorted(in_order(keys), cuts.value), [len(keys)]])
@@ -249,22 +315,25 @@ def _end_of(keys: np.ndarray, least_or_most) -> int:
     return int(rows[0])
 
 
-def _by_route(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Keys and weights of one route after the other; rows come sorted by route."""
-    route, keys, weights = None, [], []
-
-    def whole():
-        return np.concatenate(keys), np.concatenate(weights).astype(np.int64)
+def _routes(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[int, list[tuple]]]:
+    """One route after the other with the columns ``names`` of its rows; rows come sorted by route."""
+    route, parts = None, []
     for batch in batches:
-        for r, d, k, w in zip(*(batch.column(c).to_pylist() for c in ("route", "words", "keys", "weights"))):
-            if r != route and keys:
-                yield whole()
-                keys, weights = [], []
+        for r, *part in zip(*(batch.column(c).to_pylist() for c in ("route", *names))):
+            if r != route and parts:
+                yield route, parts
+                parts = []
             route = r
-            keys.append(_decoded(d, k, depth))
-            weights.append(np.frombuffer(w, dtype=np.int32))
-    if keys:
-        yield whole()
+            parts.append(tuple(part))
+    if parts:
+        yield route, parts
+
+
+def _by_route(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and weights of one route after the other."""
+    for _, parts in _routes(batches, "words", "keys", "weights"):
+        yield (np.concatenate([_decoded(d, k, depth) for d, k, _ in parts]),
+               np.concatenate([np.frombuffer(w, dtype=np.int32) for _, _, w in parts]).astype(np.int64))
 
 
 def count_phrases(least: int, depth: int):
@@ -301,10 +370,10 @@ def frequent_phrases(stage: Staging, rows: DataFrame, least: int = LEAST, max_wo
     known = words.where(F.col("f") >= least).select(
         F.xxhash64(F.lit(number), "lang", "phrase").alias("h"), "lang", F.col("phrase").alias("word"), "f")
     frequent = spark.sparkContext.broadcast(bitmap(known, WORD_BITS))
-    positions = known.agg(F.sum("f")).first()[0] or 0  # at least as many as there are keys
+    pairs, positions = _frequent_pairs(stage, rows, frequent, seed, least, known.agg(F.sum("f")).first()[0] or 0)
     routes = 1 + positions // ROUTE_KEYS
-    cuts = _cuts(stage, rows, frequent, seed, max_words, routes, max(1, ROUTE_KEYS // SAMPLED_KEYS))
-    keys = rows.mapInArrow(tidy(packed_keys(frequent, spark.sparkContext.broadcast(cuts), seed, max_words)), PACKED)
+    cuts = _cuts(stage, rows, frequent, pairs, seed, max_words, routes, max(1, ROUTE_KEYS // SAMPLED_KEYS))
+    keys = rows.mapInArrow(tidy(packed_keys(frequent, pairs, spark.sparkContext.broadcast(cuts), seed, max_words)), PACKED)
     found = (keys.repartition(min(len(cuts) + 1, MOST_TASKS), "route").sortWithinPartitions("route")
              .mapInArrow(tidy(count_phrases(least, max_words)), "key array<long>, a long")
              .groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= least))
@@ -316,14 +385,25 @@ def frequent_phrases(stage: Staging, rows: DataFrame, least: int = LEAST, max_wo
         "lang", F.array_join(F.col("spelt.word"), " ").alias("phrase"), F.size("key").alias("words"), "a"), "candidates")
 
 
-def _cuts(stage: Staging, rows: DataFrame, frequent, seed: int, depth: int, routes: int, one_in: int) -> np.ndarray:
+def _frequent_pairs(stage: Staging, rows: DataFrame, frequent, seed: int, least: int, most: int):
+    """The bitmap of the frequent pairs, broadcast, with the bits that name a range, and how many
+    positions begin with such a pair. ``most``: as many pairs or more."""
+    range_bits = (most // PAIR_ROUTE).bit_length()
+    pairs = rows.mapInArrow(tidy(packed_pairs(frequent, seed, range_bits)), PACKED_PAIRS)
+    found = stage.put(pairs.repartition(min(1 << range_bits, MOST_TASKS), "route").sortWithinPartitions("route")
+                      .mapInArrow(tidy(count_pairs(least)), "h long, f long"), "pairs")
+    held = rows.sparkSession.sparkContext.broadcast(bitmap(found, PAIR_BITS))
+    return (held, range_bits), found.agg(F.sum("f")).first()[0] or 0
+
+
+def _cuts(stage: Staging, rows: DataFrame, frequent, pairs, seed: int, depth: int, routes: int, one_in: int) -> np.ndarray:
     """Keys, as byte strings, that cut the key order into about ``routes`` equal ranges."""
     none = np.zeros(0, dtype=f"S{8 * depth}")
     if routes == 1:
         return none
     few = min(one_in, SAMPLED_TEXTS)
     some = rows.where(F.pmod(F.xxhash64("text"), F.lit(few)) == 0)
-    sampled = stage.put(some.mapInArrow(tidy(sample_keys(frequent, seed, depth, one_in // few)), "key binary"), "sample")
+    sampled = stage.put(some.mapInArrow(tidy(sample_keys(frequent, pairs, seed, depth, one_in // few)), "key binary"), "sample")
     numbered = global_row_number(sampled, [F.col("key").asc()], rank_col="nth", count_col="all")
     at = F.floor(F.col("nth") * routes / F.col("all")) > F.floor((F.col("nth") - 1) * routes / F.col("all"))
     cuts = sorted({bytes(r.key) for r in numbered.where(at & (F.col("nth") < F.col("all"))).select("key").toLocalIterator()})

@@ -153,3 +153,29 @@ def test_scores_beyond_64_bits(spark):
     row = C._scored(words, candidates, 100).first()
     n = 109 * 10**15
     assert row.n == n and row.score == 1000 * (3 * 10**15 + 7) * n // (4 * 10**15 * 5 * 10**15)
+
+
+def test_keys_end_where_pairs_are_infrequent(spark, monkeypatch):
+    """Only frequent pairs and what goes on from them is shuffled; small ranges lose nothing."""
+    monkeypatch.setattr(C, "PAIR_ROUTE", 50)
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices("abcdefghijklmnopqrst", k=40)) + " x y z", "en", "s", 1) for i in range(40)]
+    sent, real = [], C.block_keys
+    words = [f"{a} {b}" for _, t, *_ in rows for a, b in zip(t.split(), t.split()[1:])]
+    often = {p for p, n in Counter(words).items() if n >= 12}
+
+    def watched(*args):
+        keys, weights = real(*args)
+        sent.append(int(weights.sum()))
+        return keys, weights
+    texts = [t.encode() for _, t, *_ in rows]
+    frame_rows = frame(spark, rows).select("lang", "text")
+    got = found(C.collocations(frame(spark, rows), 12, 1000))
+    assert got == brute(rows, 12, 1000) and "x y z" in {r[2] for r in got}
+    stage = C.Staging(spark, "pairs-test")
+    every = spark.sparkContext.broadcast(np.full(C.WORD_BITS // 8, 255, dtype=np.uint8))
+    (held, bits), positions = C._frequent_pairs(stage, frame_rows, every, 7, 12, len(words))
+    assert bits > 3 and positions == sum(words.count(p) for p in often)
+    watched("en", texts, every.value, 7, 5, (held.value, bits))
+    watched("en", texts, every.value, 7, 5)
+    assert sent == [positions, len(words)] and positions < len(words) / 2
