@@ -9,11 +9,13 @@ normalisation, so a changed tokenizer never reads old counts.
 Method details. ``word_bpe`` tokenizers split at white space before anything else and
 drop it, so runs of white space are collapsed for the digest, and a text's count is the
 sum over its white-space separated pieces (added special tokens hold no white space and
-are found inside a piece as in a whole text). Pieces repeat much more than texts do: a
-worker keeps the counts of pieces in a bounded memo and hands only new ones to the
-library. Other tokenizers get whole texts and an unchanged content.
+are found inside a piece as in a whole text). Pieces repeat much more than texts do, but
+most different ones come only once: a worker hands those of a text that it meets first to
+the library as one string, which costs half as much, and counts a piece on its own when it
+comes again, for a bounded memo. Other tokenizers get whole texts and an unchanged content.
 
-Scale. Duplicates are found on (digest, id) rows; only one text per missing digest is
+Scale. Texts are normalised and digested once, into a staged table of a few numbers per row.
+Duplicates are found there; only one text per missing digest is
 shuffled and encoded, so a group of copies with a third of all rows is encoded once. The
 answer joins narrow rows with the written cache, between two plain shuffles that Spark
 can split when one digest is hot.
@@ -29,6 +31,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,7 +42,10 @@ from clientele.llm.workers import tidy
 
 CACHE_SCHEMA = "digest binary, tokenizer binary, n_tokens long"
 MEMO_PIECES = 600_000
-WHITE_SPACE_RUN = r"[\x20\x09-\x0D]+"
+MET_BITS = 24  # a byte each; different pieces on one byte only get into the memo earlier
+AT_ONCE, JOINED = 4096, 64  # pieces of a call to the library, and of a joined string in it
+# a single space stays as it is, and is not matched: most runs are one
+WHITE_SPACE_RUN = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
 
 @dataclass(frozen=True)
@@ -76,11 +82,11 @@ class TokenizerSpec:
         tokenizer = Tokenizer.from_file(self.path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        return lambda texts: [len(x.ids) for x in
+        return lambda texts: [len(x) for x in
                               tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-# Per worker process: the loaded tokenizer and its memo of pieces.
+# Per worker process: the loaded tokenizer, its memo of pieces and the marks of those met.
 _LOADED: dict = {}
 
 
@@ -90,22 +96,37 @@ def _loaded(spec: TokenizerSpec):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
         _LOADED.clear()
-        _LOADED[spec] = (spec.counter(), {})
+        _LOADED[spec] = (spec.counter(), {}, bytearray(1 << MET_BITS if spec.by_piece else 0))
     return _LOADED[spec]
 
 
 def count_texts(spec: TokenizerSpec, texts: list[str]) -> list[int]:
-    count, memo = _loaded(spec)
+    count, memo, met = _loaded(spec)
     if not spec.by_piece:
         return count(texts)
-    split = [t.split(" ") for t in texts]
-    new = list({p for pieces in split for p in pieces if p not in memo})
-    if len(memo) + len(new) > MEMO_PIECES:
+    if len(memo) > MEMO_PIECES:
         memo.clear()
-        new = list({p for pieces in split for p in pieces})
-    for lo in range(0, len(new), 4096):
-        memo.update(zip(new[lo:lo + 4096], count(new[lo:lo + 4096])))
-    return [sum(map(memo.__getitem__, pieces)) for pieces in split]
+        met[:] = bytes(len(met))
+    split = [t.split(" ") for t in texts]
+    new = [[p for p in pieces if p not in memo] for pieces in split]
+    mask = len(met) - 1
+    again = list({p for pieces in new for p in pieces if met[hash(p) & mask]})
+    for lo in range(0, len(again), AT_ONCE):
+        memo.update(zip(again[lo:lo + AT_ONCE], count(again[lo:lo + AT_ONCE])))
+    totals = [sum(map(memo.get, pieces, repeat(0))) for pieces in split]
+    joined, owners = [], []
+    for i, pieces in enumerate(new):
+        first = [p for p in pieces if p not in memo]
+        for p in first:
+            met[hash(p) & mask] = 1
+        for lo in range(0, len(first), JOINED):
+            joined.append(" ".join(first[lo:lo + JOINED]))
+            owners.append(i)
+    step = AT_ONCE // JOINED
+    for lo in range(0, len(joined), step):
+        for i, n in zip(owners[lo:lo + step], count(joined[lo:lo + step])):
+            totals[i] += n
+    return totals
 
 
 def _encode(spec: TokenizerSpec):
@@ -147,10 +168,10 @@ def token_counts(docs: DataFrame, spec: TokenizerSpec, cache_path: str | None =
     tokenizer = spec.digest()
     content = spec.normalised(F.col(text_col))
     digest = F.unhex(F.sha2(content, 256))
-    rows = docs.select(F.col(id_col).alias("row_id"), row_key(id_col, text_col).alias("row"),
-                       digest.alias("digest"),
-                       F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long")
-                       .alias("n_bytes"))
+    stage = Staging(spark, "token-counts")
+    rows = stage.put(docs.select(
+        F.col(id_col).alias("row_id"), row_key(id_col, text_col).alias("row"), digest.alias("digest"),
+        F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes")), "rows")
     known = cached_counts(spark, cache_path, tokenizer)
     misses = (rows.groupBy("digest").agg(F.min("row").alias("row"))
               .join(known, "digest", "left_anti"))
@@ -165,7 +186,6 @@ def token_counts(docs: DataFrame, spec: TokenizerSpec, cache_path: str | None =
      .write.mode("append").option("compression", "zstd").parquet(cache_path))
     # concurrent runs may have appended a digest twice; staged, so that a digest that many
     # rows share can be split in the join
-    counts = Staging(spark, "token-counts").put(cached_counts(spark, cache_path, tokenizer)
-                                                .groupBy("digest")
-                                                .agg(F.max("n_tokens").alias("n_tokens")), "counts")
+    counts = stage.put(cached_counts(spark, cache_path, tokenizer).groupBy("digest")
+                       .agg(F.max("n_tokens").alias("n_tokens")), "counts")
     return rows.join(counts, "digest").select(F.col("row_id").alias(id_col), "n_bytes", "n_tokens")

@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from llm_fixtures import frame
 
 from clientele.llm import secret_scan
+from clientele.llm import token_counts as token_counts_module
 from clientele.llm.secret_scan import findings, scan_secrets
 from clientele.llm.staging import Staging
 from clientele.llm.token_counts import CACHE_SCHEMA, TokenizerSpec, count_texts, token_counts
@@ -263,3 +264,28 @@ def test_other_tokenizers(spark):
         found = {r.doc_id: r.n_tokens for r in token_counts(docs, spec).collect()}
         assert found == {1: spec.counter()(["Hello  world"])[0], 2: 0}
     assert len({sentences.digest(), bytes_.digest()}) == 2
+
+
+@pytest.mark.parametrize("limit", [3, 600_000])
+def test_pieces_met_first_are_joined(spec, monkeypatch, limit):
+    """Most different pieces come once; one call of the library for each was most of the work."""
+    monkeypatch.setattr(token_counts_module, "MEMO_PIECES", limit)
+    monkeypatch.setattr(token_counts_module, "_LOADED", {})
+    handed, plain = [], TokenizerSpec.counter
+
+    def spy(self):
+        count = plain(self)
+        return lambda texts: handed.extend(texts) or count(texts)
+    monkeypatch.setattr(TokenizerSpec, "counter", spy)
+    blocks = [["the " + " ".join(f"é{b}x{i}!{j}" for j in range(200)) for i in range(5)] + ["", "the the"] for b in range(4)]
+    for block in blocks:
+        assert count_texts(spec, block) == whole(spec, block)
+    assert len(handed) < 4 * 5 * 200 / 20
+
+
+def test_texts_are_digested_once(spark, spec, rows):
+    path = Staging(spark, "docs-test").path
+    frame(spark, rows).write.parquet(path)
+    found = token_counts(spark.read.parquet(path), spec)
+    assert not [f for f in found.inputFiles() if path.removeprefix("file:") in f]
+    assert found.count() == len(rows)
