@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.llm.bitmap import bitmap, in_bitmap
-from clientele.llm.staging import Staging, numbered_rows, row_key
+from clientele.llm.staging import Staging, beside, dropped_after, numbered_rows, row_key
 from clientele.llm.words import ALPHANUMERIC, blocks, whole_shingles
 from clientele.llm.workers import tidy
 
@@ -193,9 +193,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns as they are, without any benchmark window. Rows are told
     apart by a number of their own, so columns may have any name and type."""
-    rows = numbered_rows(Staging(docs.sparkSession, "drop-contaminated"), docs)
+    stage = Staging(docs.sparkSession, "drop-contaminated")
+    rows = numbered_rows(stage, docs)
     doc = F.col("doc")
-    found = decontaminate(rows.select("row", doc[id_col].alias("doc_id"), doc[text_col].alias("text")),
-                          benchmark, window, key_col="row")
-    hit = found.where("n_hit > 0").select(F.col("row_key").alias("row"))
-    return rows.join(hit, "row", "left_anti").select("doc.*")
+    with dropped_after():  # of the search's tables only the rows that are hit are needed
+        found = decontaminate(rows.select("row", doc[id_col].alias("doc_id"), doc[text_col].alias("text")),
+                              benchmark, window, key_col="row")
+        hit = stage.put(found.where("n_hit > 0").select(F.col("row_key").alias("row")), "hit")
+    return rows.join(beside(hit), "row", "left_anti").select("doc.*")

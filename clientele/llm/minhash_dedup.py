@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from clientele.llm.bitmap import bitmap, in_bitmap
 from clientele.llm.components import connected_components
-from clientele.llm.staging import Staging, numbered_rows, row_key
+from clientele.llm.staging import Staging, beside, dropped_after, numbered_rows, row_key
 from clientele.llm.words import NOT_SPACE, Words, blocks, mix, shingle_hashes
 from clientele.llm.workers import tidy
 
@@ -358,13 +358,15 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     smallest id stays, with all its columns. Texts without words are duplicates of nothing, not
     even of each other: every such row stays, with or without id. Rows are told apart by a
     number of their own, so columns may have any name and type."""
-    rows = numbered_rows(Staging(docs.sparkSession, "keep-first"), docs)
+    stage = Staging(docs.sparkSession, "keep-first")
+    rows = numbered_rows(stage, docs)
     doc = F.col("doc")
-    found = _grouped_rows(rows.select("row", doc[id_col].alias("doc_id"), doc[text_col].alias("text")),
-                          "doc_id", "text", threshold, row_col="row")
     alone = F.when(F.col("n_shingles") == 0, F.col("row"))
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), "row_key", "row"))
-    # by the group itself: its smallest id may be null or also occur in another group
-    chosen = (found.groupBy("_component", alone.alias("alone")).agg(first.alias("first"))
-              .select("first.row"))
-    return rows.join(chosen, "row", "left_semi").select("doc.*")
+    with dropped_after():  # of the grouping's tables only the rows that stay are needed
+        found = _grouped_rows(rows.select("row", doc[id_col].alias("doc_id"), doc[text_col].alias("text")),
+                              "doc_id", "text", threshold, row_col="row")
+        # by the group itself: its smallest id may be null or also occur in another group
+        chosen = stage.put(found.groupBy("_component", alone.alias("alone")).agg(first.alias("first"))
+                           .select("first.row"), "chosen")
+    return rows.join(beside(chosen), "row", "left_semi").select("doc.*")

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.llm.selection import crossing_keys
-from clientele.llm.staging import Staging, numbered_rows, row_key
+from clientele.llm.staging import Staging, beside, dropped_after, numbered_rows, row_key
 from clientele.operators.ranking import global_row_number
 
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -196,12 +196,14 @@ def take_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
              source_col: str = "source") -> DataFrame:
     """The mix itself: every document as many times as it has copies, all columns as they are.
     Rows are told apart by a number of their own, so columns may have any name and type."""
-    rows = numbered_rows(Staging(docs.sparkSession, "take-mix"), docs)
+    stage = Staging(docs.sparkSession, "take-mix")
+    rows = numbered_rows(stage, docs)
     doc = F.col("doc")
-    plan = mix_sources(
-        rows.select("row", doc[id_col].alias("doc_id"), doc[text_col].alias("text"),
-                    doc[source_col].alias("source")),
-        weights, share, cap, key_col="row").where("copies > 0")
+    with dropped_after():  # of the balancing's tables only the numbers of copies are needed
+        plan = mix_sources(
+            rows.select("row", doc[id_col].alias("doc_id"), doc[text_col].alias("text"),
+                        doc[source_col].alias("source")),
+            weights, share, cap, key_col="row").where("copies > 0")
+        plan = stage.put(plan.select(F.col("row_key").alias("row"), "copies"), "copies")
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return (rows.join(plan.select(F.col("row_key").alias("row"), "copies"), "row")
-            .select("doc", copies.alias("copy")).select("doc.*"))
+    return rows.join(beside(plan), "row").select("doc", copies.alias("copy")).select("doc.*")

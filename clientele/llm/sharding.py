@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from clientele.llm.selection import crossing_keys, key_bits
-from clientele.llm.staging import Staging, numbered_rows, row_key
+from clientele.llm.staging import Staging, beside, dropped_after, numbered_rows, row_key
 from clientele.operators.ranking import global_row_number
 
 TIE_BITS = 36
@@ -161,10 +161,12 @@ def shard_documents(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n
     """The documents, all columns as they are, with shard and slot (in place of columns of
     these names, if there are any). Rows are told apart by a number of their own, so other
     columns may have any name and type."""
-    rows = numbered_rows(Staging(docs.sparkSession, "shard-documents"), docs.drop("shard", "slot"))
+    stage = Staging(docs.sparkSession, "shard-documents")
+    rows = numbered_rows(stage, docs.drop("shard", "slot"))
     doc, names = F.col("doc"), [f"dim{i}" for i in range(len(dims))]
     parts = rows.select("row", doc[id_col].alias("doc_id"), doc[text_col].alias("text"),
                         *(doc[d].alias(n) for d, n in zip(dims, names)))
-    placed = kd_shards(parts, names, target_bytes, shards, key_col="row")
-    return (rows.join(placed.select(F.col("row_key").alias("row"), "shard", "slot"), "row")
-            .select("doc.*", "shard", "slot"))
+    with dropped_after():  # of the tree's tables only the rows' places are needed
+        placed = kd_shards(parts, names, target_bytes, shards, key_col="row")
+        placed = stage.put(placed.select(F.col("row_key").alias("row"), "shard", "slot"), "places")
+    return rows.join(beside(placed), "row").select("doc.*", "shard", "slot")

@@ -2,14 +2,19 @@
 
 import re
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 import pytest
+from llm_fixtures import frame
 from test_dedup import brute_components
 from test_decontaminate import brute as brute_hits
 
-from clientele.llm.mixing import mix_sources
+from clientele.llm.decontaminate import drop_contaminated
+from clientele.llm.minhash_dedup import keep_first
+from clientele.llm.mixing import mix_sources, take_mix
 from clientele.llm.quality import fit_quality, score_quality
+from clientele.llm.sharding import shard_documents
 from clientele.llm.staging import Staging
 
 SMALL = "/root/testdata/sf0.001"
@@ -84,3 +89,24 @@ def test_every_copy_has_its_slot(steps):
     assert len(slots) == -(-sum(bytes_.values()) // TARGET) > 4
     largest = max(len((r[1] or "").encode()) for r in rows_of(shards))
     assert max(bytes_.values()) - min(bytes_.values()) < 3 * largest
+
+
+@pytest.mark.parametrize("step", ["near_dedup", "decontaminate", "mix", "shard"])
+def test_only_what_a_stage_returns_stays_staged(spark, step):
+    """The tables behind it would add up over the stages; the rows are those of the whole job."""
+    docs = frame(spark, [(i, f"w{i} and some more words {i % 7} {i // 2}", "en", f"s{i % 3}", 30) for i in range(60)])
+    items = spark.createDataFrame([(1, "w4 and some more words 4 2")], "item_id long, text string")
+    run = {"near_dedup": keep_first, "decontaminate": lambda d: drop_contaminated(d, items),
+           "mix": take_mix, "shard": lambda d: shard_documents(d, shards=4)}[step]
+    shared = Path(Staging(spark, "none").path.removeprefix("file:")).parent
+    before = {*shared.iterdir(), shared / "tables"}  # tables: the sources' and values' ranks
+    result = run(docs)
+    new = set(shared.iterdir()) - before
+    assert len(new) == 1 and sorted(p.name for p in new.pop().iterdir()) == sorted(
+        ["numbered-rows", {"near_dedup": "chosen", "decontaminate": "hit", "mix": "copies", "shard": "places"}[step]])
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan  # memory does not grow with the rows, whatever their files' size
+    want = Counter({i: 1 for i in range(60) if step != "decontaminate" or i != 4})
+    if step == "mix":
+        want = Counter({r.doc_id: r.copies for r in mix_sources(docs).collect() if r.copies})
+    assert Counter(r.doc_id for r in result.collect()) == want
