@@ -180,10 +180,9 @@ class Verifier:
     def __init__(self, stage: Staging, texts: DataFrame, threshold: int):
         self.stage, self.texts, self.threshold = stage, texts, threshold
         self.checked: DataFrame | None = None
-        self.links: DataFrame | None = None
 
-    def check(self, pairs: DataFrame, name: str) -> None:
-        """``pairs``: a, b (any order). Adds the similar ones to ``links``."""
+    def check(self, pairs: DataFrame, name: str) -> DataFrame:
+        """``pairs``: a, b (any order). The similar ones among those not checked before."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.checked is not None:
             pairs = pairs.join(self.checked, ["a", "b"], "left_anti")
@@ -194,7 +193,7 @@ class Verifier:
             tidy(_similar(self.threshold)), "a long, b long")
         similar = self.stage.put(similar, f"links-{name}")
         self.checked = pairs if self.checked is None else self.checked.union(pairs)
-        self.links = similar if self.links is None else self.links.union(similar)
+        return similar
 
 
 def _fits(threshold: int, x: str, y: str):
@@ -299,13 +298,15 @@ def _grouped_rows(docs: DataFrame, id_col: str, text_col: str, threshold: int, b
     texts = stage.put(found.select("key", "text").where(may_be_needed("key")).join(needed, "key")
                       .select("node", "d1", "d2", "text")
                       .mapInArrow(tidy(_own_text), "node long, text string"), "texts")
+    maybe.destroy()  # the driver and all executors would hold it until garbage collection
 
     verifier = Verifier(stage, texts, threshold)
-    verifier.check(members.where((F.col("node") != F.col("centre")) & _fits(threshold, "n", "centre_n"))
-                   .select(F.col("centre").alias("a"), F.col("node").alias("b")), "centre")
+    links = verifier.check(
+        members.where((F.col("node") != F.col("centre")) & _fits(threshold, "n", "centre_n"))
+        .select(F.col("centre").alias("a"), F.col("node").alias("b")), "centre")
 
     # buckets that still hold several components
-    components = connected_components(stage, "first", verifier.links)
+    components = connected_components(stage, "first", links)
     members = stage.put(_with_components(members, components), "members-1")
     mixed = stage.put(
         members.groupBy("bucket").agg(
@@ -325,24 +326,23 @@ def _grouped_rows(docs: DataFrame, id_col: str, text_col: str, threshold: int, b
     star = large.where((F.col("component") != F.col("second_component"))
                        & _fits(threshold, "n", "second_n")).select(
         F.col("second").alias("a"), F.col("node").alias("b"))
-    verifier.check(inside.union(star), "second")
+    links = verifier.check(inside.union(star), "second")
 
     # large buckets that still do: exact, by prefixes
-    components = connected_components(stage, "second", verifier.links)
+    components = connected_components(stage, "second", links, components)
     rest = _with_components(large.select("bucket", "node"), components)
     rest = stage.put(rest, "rest")
     open_buckets = rest.groupBy("bucket").agg(F.min("component").alias("c1"),
                                               F.max("component").alias("c2")).where("c1 <> c2")
-    nodes = stage.put(rest.join(stage.put(open_buckets.select("bucket"), "open"), "bucket")
+    nodes = stage.put(rest.join(open_buckets.select("bucket"), "bucket")
                       .select("node", "component").distinct(), "open-nodes")
     if nodes.take(1):
-        verifier.check(_prefix_pairs(stage, texts, nodes, threshold), "prefix")
-        components = connected_components(stage, "third", verifier.links)
+        links = verifier.check(_prefix_pairs(stage, texts, nodes, threshold), "prefix")
+        components = connected_components(stage, "third", links, components)
 
     grouped = stage.put(_with_components(classes.select("node", "d1", "d2", "first_id"), components),
                         "grouped")
-    firsts = stage.put(grouped.groupBy("component").agg(F.min("first_id").alias("component_id")),
-                       "firsts")
+    firsts = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = stage.put(grouped.join(firsts, "component").select(
         "d1", "d2", F.col("component").alias("_component"), "component_id"), "named")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))

@@ -56,10 +56,11 @@ KEY_BITS = 48
 def source_targets(sources: DataFrame, weights: Sequence[float], share: float,
                    cap: float) -> DataFrame:
     """Add weight and target to (source, tokens, ...)."""
+    stage = Staging(sources.sparkSession, "targets")
     ranked = global_row_number(sources, [F.col("source").asc_nulls_last()], rank_col="place")
     cycle = F.array(*(F.lit(float(w)) for w in weights))
-    ranked = ranked.withColumn("weight", F.element_at(
-        cycle, ((F.col("place") - 1) % len(weights) + 1).cast("int")))
+    ranked = stage.put(ranked.withColumn("weight", F.element_at(
+        cycle, ((F.col("place") - 1) % len(weights) + 1).cast("int"))), "weights")
     stop = F.col("tokens") * F.lit(float(cap))
     total = ranked.agg(F.sum("tokens").alias("n")).first().n or 0
     level, budget = 0.0, share * total
@@ -177,8 +178,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: floa
             allowed = rated.where(more)
         cut = crossing_keys(stage, f"round-{k}", allowed.select(
             F.col("s").alias("g"), "key", F.col("size").alias("w")), gaps, KEY_BITS)
-        borders = stage.put(gaps.select(F.col("g").alias("s"), "goal").join(
-            cut.select(F.col("g").alias("s"), "cut"), "s", "left"), f"borders-{k}")
+        borders = gaps.select(F.col("g").alias("s"), "goal").join(
+            cut.select(F.col("g").alias("s"), "cut"), "s", "left")
         fits = F.col("goal") > 0 if not k else F.col("size") <= F.col("goal")
         extra = more & fits & (F.col("cut").isNull() | (F.col("key") < F.col("cut")))
         rated = stage.put(

@@ -384,7 +384,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     known = _collected(rows.join(F.broadcast(marked), "doc_id").withColumn("key", F.xxhash64("doc_id")))
     others = rows.where(~held_out()).withColumn("key", F.xxhash64("text", "lang", "source", "n_chars"))
     labelled = labels.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return co_train(known.views, known.labels.astype(np.float64), TablePool(stage, others, labelled, pool))
+    model = co_train(known.views, known.labels.astype(np.float64), TablePool(stage, others, labelled, pool))
+    del known
+    release()  # the driver's own: it goes on with what follows
+    return model
 
 
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:

@@ -42,19 +42,23 @@ def crossing_keys(stage: Staging, name: str, rows: DataFrame, goals: DataFrame,
         prefix = F.lit(0).cast("long") if top else F.shiftright("key", shift + DIGIT)
         found = rows.select("g", "w", prefix.alias("prefix"),
                             F.shiftright("key", shift).alias("digits"))
-        sums = (found.join(state.select("g", "prefix").distinct(), ["g", "prefix"])
-                .groupBy("g", "prefix", "digits").agg(F.sum("w").alias("at_cut")))
-        order = Window.partitionBy("g", "prefix").orderBy("digits")
-        sums = sums.where("at_cut > 0").withColumn("upto", F.sum("at_cut").over(order))
+        # at the top nothing is found yet that could leave rows out
+        found = found.where("g is not null") if top else found.join(state, ["g", "prefix"], "left_semi")
+        sums = found.groupBy("g", "prefix", "digits").agg(F.sum("w").alias("at_cut")).where("at_cut > 0")
         # goals and running sums on one line, from high to low: the last sum before a goal is
-        # the smallest one above it
+        # the smallest one above it. Both come together before the sums run, in one shuffle.
         none = F.lit(None).cast("double")
-        line = sums.select("g", "prefix", F.col("upto").alias("at"), F.lit(0).alias("kind"),
-                           F.struct("digits", "upto", "at_cut").alias("sum"), none.alias("goal"),
+        line = sums.select("g", "prefix", "digits", "at_cut", F.lit(0).alias("kind"), none.alias("goal"),
                            none.alias("before"), F.lit(None).cast(state.schema["target"].dataType).alias("target"))
         line = line.unionByName(state.select(
-            "g", "prefix", (F.col("goal") - F.col("before")).alias("at"), F.lit(1).alias("kind"),
-            F.lit(None).cast(line.schema["sum"].dataType).alias("sum"), "goal", "before", "target"))
+            "g", "prefix", F.lit(None).cast("long").alias("digits"), none.alias("at_cut"),
+            F.lit(1).alias("kind"), "goal", "before", "target"))
+        goal = F.col("kind") == 1
+        order = Window.partitionBy("g", "prefix").orderBy("digits")
+        line = line.withColumn("upto", F.sum("at_cut").over(order)).select(
+            "g", "prefix", "kind", "goal", "before", "target",
+            F.when(goal, F.col("goal") - F.col("before")).otherwise(F.col("upto")).alias("at"),
+            F.when(~goal, F.struct("digits", "upto", "at_cut")).alias("sum"))
         down = (Window.partitionBy("g", "prefix").orderBy(F.desc("at"), F.desc("kind"))
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         crossed = line.withColumn("sum", F.last("sum", ignorenulls=True).over(down)).where(

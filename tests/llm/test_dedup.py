@@ -173,6 +173,21 @@ def test_connected_components_of_paths_and_stars(spark):
     assert len(set(found.values())) == 3
 
 
+def test_more_links_continue_known_components(spark):
+    """Links inside a component are no work; others join components and bring new nodes."""
+    def frame_of(links):
+        return spark.createDataFrame(links, "a long, b long")
+    stage = Staging(spark, "test-more-links")
+    first = [(i, i + 1) for i in range(20) if i % 5 != 4]
+    known = connected_components(stage, "first", frame_of(first))
+    assert connected_components(stage, "none", frame_of([(0, 4), (7, 5), (9, 9)]), known) is known
+    more = [(4, 17), (3, 0), (30, 8), (40, 41), (41, 42), (17, 31)]
+    found = {r.node: r.component for r in connected_components(stage, "more", frame_of(more), known).collect()}
+    whole = {r.node: r.component for r in connected_components(stage, "whole", frame_of(first + more)).collect()}
+    assert found.keys() == whole.keys()
+    assert len(set(found.values())) == len(set(whole.values())) == len({(found[n], whole[n]) for n in found}) == 4
+
+
 def batch_sets(texts):
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
     return [s for _, w in blocks(batch, "text", NOT_SPACE, 1000) for s in shingle_sets(w)]

@@ -125,6 +125,31 @@ def test_crossing_keys(spark):
             assert (got[g, t].cut, got[g, t].before) == (cut, before)
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_crossing_keys_shuffle_twice_a_pass(spark, monkeypatch):
+    """What the driver keeps of a query grows with its shuffles; groups without goal or null stay out."""
+    plans, put = [], Staging.put
+    monkeypatch.setattr(Staging, "put", lambda self, df, *a: plans.append(executed(df)) or put(self, df, *a))
+    rows = spark.createDataFrame([(1, 3, 2), (1, 5000, 4), (1, 9000, 1), (2, 7, 9), (None, 1, 1)],
+                                 "g int, key long, w long")
+    goals = spark.createDataFrame([(1, 0, 2.0), (1, 1, 6.5), (None, 0, 0.5)], "g int, target int, goal double")
+    got = crossing_keys(Staging(spark, "test-shuffles"), "x", rows, goals, 24).collect()
+    assert sorted((r.g, r.target, r.cut, r.before, r.at_cut) for r in got) == [
+        (1, 0, 5000, 2.0, 4.0), (1, 1, 9000, 6.0, 1.0)]
+    assert len(plans) == 2 and max(p.count("Exchange hashpartitioning") for p in plans) == 2
+
+
+def test_source_targets_number_the_sources_once(spark):
+    """Every step of the level reads a staged table, not the numbering again."""
+    df = spark.createDataFrame([("a", 10), (None, 5), ("b", 0)], "source string, tokens long")
+    found = source_targets(df, (5.0, 2.0, 1.0), 1.5, 2.0)
+    assert "Window" not in executed(found) and "Exchange" not in executed(found)
+    assert {(r.source, r.weight) for r in found.collect()} == {("a", 5.0), ("b", 2.0), (None, 1.0)}
+
+
 def test_shards_are_even_and_gapless(spark):
     rng = random.Random(6)
     rows = [(i, sentence(rng, rng.randint(1, 200)), rng.choice(["en", "de", None]),
